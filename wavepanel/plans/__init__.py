@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["crosswalk"]
+_MODULES = ["crosswalk", "panel_core"]
 
 
 def all_queries() -> dict:
