@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["crosswalk", "panel_core"]
+_MODULES = ["crosswalk", "panel_core", "diagnostics"]
 
 
 def all_queries() -> dict:
