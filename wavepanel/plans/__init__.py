@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["crosswalk", "panel_core", "diagnostics"]
+_MODULES = ["crosswalk", "panel_core", "diagnostics", "scalars"]
 
 
 def all_queries() -> dict:
