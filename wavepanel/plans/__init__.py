@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["crosswalk", "panel_core", "diagnostics", "scalars", "extracts"]
+_MODULES = ["crosswalk", "panel_core", "diagnostics", "scalars", "extracts", "importer"]
 
 
 def all_queries() -> dict:
