@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavepanel.operators.stats import exact_quantiles
-from wavepanel.session import max_broadcast_rows
+from wavepanel.session import ensure_checkpoint_dir, max_broadcast_rows
 
 
 def nonmissing_counts(df: DataFrame, by: str | Sequence[str], cols: Sequence[str],
@@ -59,14 +59,19 @@ def wave_stats(long: DataFrame, wave: str, value: str = "val",
                probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Per (wave, variable): exact quartiles ``p25 p50 p75`` and ``mean``."""
     keys = [wave, "variable"]
-    q = exact_quantiles(long, keys, value, probs, ["p25", "p50", "p75"],
-                        tiebreak=F.xxhash64("_row", "variable") if "_row" in long.columns else None)
-    m = long.groupBy(*keys).agg(F.avg(value).alias("mean"))
-    return q.join(m, keys, "inner")
+    return exact_quantiles(long, keys, value, probs, ["p25", "p50", "p75"],
+                           tiebreak=F.xxhash64("_row", "variable") if "_row" in long.columns else None,
+                           mean_name="mean")
 
 
 def _attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join a per-(wave, variable) table back onto rows; broadcast after a count."""
+    """Join a per-(wave, variable) table back onto rows.
+
+    The small table is materialised once in the checkpoint folder (so its
+    window pass is not repeated by the join), counted, and broadcast when
+    the count allows it."""
+    ensure_checkpoint_dir(big.sparkSession)
+    small = small.checkpoint(eager=True)
     n = small.count()
     side = F.broadcast(small) if n <= max_broadcast_rows(big.sparkSession) else small
     return big.join(side, list(keys), "left")

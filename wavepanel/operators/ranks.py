@@ -169,15 +169,15 @@ def attach_rank(df: DataFrame, crosswalk: DataFrame, bin_col: str, year_col: str
     rank_name = rank_name or f"{bin_col}_rank"
     cw = crosswalk.select(F.col("year").alias("_wp_y"), F.col("ibin").alias("_wp_b"),
                           F.col("rank").cast("double").alias("_wp_r"))
-    n = cw.count()
-    if validate:
-        dups = key_duplicates(cw, ["_wp_y", "_wp_b"]).limit(1).count()
-        if dups:
-            raise ValueError("crosswalk is not unique on (year, ibin): many-to-one join refused")
-    if rescale:
-        top = cw.agg(F.max("_wp_r")).first()[0]
-        if top is not None and top <= 1.0:
-            cw = cw.withColumn("_wp_r", F.col("_wp_r") * F.lit(100.0))
+    # One small job: size (for the broadcast decision), key uniqueness, scale.
+    facts = cw.agg(F.count(F.lit(1)).alias("n"),
+                   F.count_distinct(F.struct("_wp_y", "_wp_b")).alias("k"),
+                   F.max("_wp_r").alias("top")).first()
+    n = facts["n"]
+    if validate and facts["k"] != n:
+        raise ValueError("crosswalk is not unique on (year, ibin): many-to-one join refused")
+    if rescale and facts["top"] is not None and facts["top"] <= 1.0:
+        cw = cw.withColumn("_wp_r", F.col("_wp_r") * F.lit(100.0))
     side = F.broadcast(cw) if n <= max_broadcast_rows(df.sparkSession) else cw
     cond = (df[year_col] == side["_wp_y"]) & (df[bin_col] == side["_wp_b"])
     return (df.join(side, cond, "left")

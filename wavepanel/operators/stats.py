@@ -34,20 +34,24 @@ def _pname(p: float) -> str:
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    tiebreak: str | Column | None = None, limit: int | None = None) -> DataFrame:
+                    tiebreak: str | Column | None = None, limit: int | None = None,
+                    mean_name: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``)
     of the non-missing ``value`` per ``keys``; one row per key.
 
     ``tiebreak`` (default: a hash of the whole input row) only lets a very
     frequent value be split across tasks; it does not change the answer.
+    ``mean_name`` also returns the mean, from the same window pass.
     """
     keys = list(keys)
     names = list(names) if names else [_pname(p) for p in probs]
     tb = F.xxhash64(*[F.col(c) for c in df.columns]) if tiebreak is None else _c(tiebreak)
     v = (df.select(*keys, _c(value).alias("_q_v"), tb.alias("_q_t"))
            .where(F.col("_q_v").isNotNull()))
-    r = running(v, keys, ["_q_v", "_q_t"], {"_q_c": ("sum", F.lit(1)),
-                                           "_q_n": ("group_sum", F.lit(1))}, limit=limit)
+    aggs = {"_q_c": ("sum", F.lit(1)), "_q_n": ("group_sum", F.lit(1))}
+    if mean_name:
+        aggs["_q_s"] = ("group_sum", F.col("_q_v"))
+    r = running(v, keys, ["_q_v", "_q_t"], aggs, limit=limit)
     pos = F.col("_q_c") - 1
     n = F.col("_q_n")
     keep = F.lit(False)
@@ -56,6 +60,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
         keep = keep | (pos == F.floor(h)) | (pos == F.ceil(h))
     picked = r.where(keep)
     aggs = [F.max(n).alias("_q_n")]
+    if mean_name:
+        aggs.append(F.max(F.col("_q_s")).alias("_q_s"))
     for i, p in enumerate(probs):
         h = (n - 1) * F.lit(float(p))
         aggs.append(F.max(F.when(pos == F.floor(h), F.col("_q_v"))).alias(f"_lo{i}"))
@@ -66,6 +72,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
         h = (F.col("_q_n") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(nm))
+    if mean_name:
+        out.append((F.col("_q_s") / F.col("_q_n")).alias(mean_name))
     return g.select(*keys, *out)
 
 
