@@ -122,3 +122,18 @@ SELECT event_id AS id, ts AS date, value AS prob_move_house, value / 500.0 * 100
 FROM events""",
     "load_preamble": "SELECT event_id, ts, user_id, event_type, value FROM events",
 }
+
+
+def stream_ingest(spark, sf_dir):
+    """Write ``events`` as extract files, ingest them with the streaming
+    loader (one catch-up trigger), and read the resulting table."""
+    from wavepanel.streaming.ingest import ingest_available
+    src = _write_event_extracts(spark, sf_dir, "stream-src")
+    target = scratch_dir(spark, "stream-out")
+    ingest_available(spark, src, EXTRACT_SCHEMA, target, scratch_dir(spark, "stream-ckpt"),
+                     preamble_prefix="#", timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return spark.read.parquet(target).drop("_source_file")
+
+
+QUERIES["stream_ingest"] = stream_ingest
+SQL["stream_ingest"] = SQL["load_preamble"]

@@ -56,8 +56,14 @@ def load_extracts(spark: SparkSession, paths: str | Sequence[str], schema: T.Str
     equal to the header, or starting with ``preamble_prefix``, is dropped.
     The file of each row is kept in ``_source_file``.
     """
-    header = sep.join(f.name for f in schema.fields)
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    return parse_extract_lines(lines, schema, preamble_prefix, sep, timestamp_format)
+
+
+def parse_extract_lines(lines: DataFrame, schema: T.StructType, preamble_prefix: str | None = None,
+                        sep: str = ",", timestamp_format: str | None = None) -> DataFrame:
+    """Lines (column ``value``) of extract files -> typed rows (batch or stream)."""
+    header = sep.join(f.name for f in schema.fields)
     keep = (F.col("value") != F.lit(header)) & (F.length("value") > 0)
     if preamble_prefix:
         keep = keep & ~F.col("value").startswith(preamble_prefix)
