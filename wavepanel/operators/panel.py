@@ -24,44 +24,68 @@ def _c(x: str | Column) -> Column:
 
 
 def tile(df: DataFrame, values: Mapping[str, str | Column] | Sequence[str], by: str | Sequence[str],
-         dtype: str | None = None, check: str | None = "lazy", allow_equal: bool = False) -> DataFrame:
+         dtype: str | None = None, check: str | None = "lazy", allow_equal: bool = False,
+         dtypes: Mapping[str, str] | None = None,
+         records: Mapping[str, Sequence[str]] | None = None,
+         record_dtype: str | None = None) -> DataFrame:
     """Spread a value given once per person to every row of the person.
 
     ``values`` maps output names to source columns (a list keeps names).
     Persons without a value get NULL.  More than one non-missing row for a
     person is an error - also when the values are equal, unless
-    ``allow_equal`` (then only distinct values conflict).
+    ``allow_equal`` (then only distinct values conflict).  ``dtypes`` gives a
+    per-column safe cast (``dtype`` one for all).
+
+    ``records`` tiles groups of columns as one record each in the same pass
+    (see ``tile_record``): only rows with all of a group's columns present
+    count.
 
     ``check``: ``"lazy"`` folds the check into the tiled column (error when
     it is computed), ``"eager"`` runs a violation count first, ``None`` skips.
+    All columns are tiled by ONE per-person aggregate and ONE left join.
     """
     by = [by] if isinstance(by, str) else list(by)
     if not isinstance(values, Mapping):
         values = {v: v for v in values}
+    records = {k: list(v) for k, v in (records or {}).items() if v}
     aggs = []
     for out, src in values.items():
         s = _c(src)
         aggs.append(F.max(s).alias(f"_t_{out}"))
         n = F.count_distinct(s) if allow_equal else F.count(s)
         aggs.append(n.alias(f"_n_{out}"))
+    for name, cols in records.items():
+        complete = F.lit(True)
+        for c in cols:
+            complete = complete & F.col(c).isNotNull()
+        rec = F.when(complete, F.struct(*[F.col(c) for c in cols]))
+        aggs += [F.max(rec).alias(f"_t_{name}"), F.count(rec).alias(f"_n_{name}")]
     stats = df.groupBy(*by).agg(*aggs)
+    names = list(values) + list(records)
     if check == "eager":
         bad = F.lit(False)
-        for out in values:
+        for out in names:
             bad = bad | (F.col(f"_n_{out}") > 1)
         if stats.where(bad).limit(1).count():
-            raise ValueError("Multiple non-missing values per person: " + ", ".join(values))
+            raise ValueError("Multiple non-missing values per person: " + ", ".join(names))
+
+    def guarded(out, v):
+        if check != "lazy":
+            return v
+        return F.when(F.col(f"_n_{out}") <= 1, v).otherwise(
+            F.raise_error(F.lit(f"Multiple non-missing values per person in {out}")))
+
     cols = {}
     for out in values:
         v = F.col(f"_t_{out}")
-        if dtype:
-            v = v.try_cast(dtype)
-        if check == "lazy":
-            v = F.when(F.col(f"_n_{out}") <= 1, v).otherwise(
-                F.raise_error(F.lit(f"Multiple non-missing values per person in {out}")))
-        cols[out] = v
+        cast_to = (dtypes or {}).get(out, dtype)
+        cols[out] = guarded(out, v.try_cast(cast_to) if cast_to else v)
+    for name, rcols in records.items():
+        r = guarded(name, F.col(f"_t_{name}"))
+        for c in rcols:
+            cols[c] = r[c].try_cast(record_dtype) if record_dtype else r[c]
     stats = stats.select(*by, *[c.alias(k) for k, c in cols.items()])
-    base = df.drop(*[k for k in values if k in df.columns])
+    base = df.drop(*[k for k in cols if k in df.columns])
     return base.join(stats, by, "left")
 
 

@@ -152,24 +152,17 @@ def key_duplicates(df: DataFrame, keys: Sequence[str], count_col: str = "n") ->
               .where(F.col(count_col) > 1))
 
 
-def attach_rank(df: DataFrame, crosswalk: DataFrame, bin_col: str, year_col: str = "year",
-                rank_name: str | None = None, rescale: bool = True,
-                validate: bool = True) -> DataFrame:
-    """Many-to-one LEFT join adding ``<bin_col>_rank`` from a (year, ibin, rank) crosswalk.
-
-    ``df`` is matched on (``year_col``, ``bin_col``) against (year, ibin).
-
-    * ``validate``: the crosswalk must be unique on (year, ibin), else ValueError;
-    * ``rescale``: ranks on [0, 1] (global max <= 1) are put on [0, 100];
-    * unmatched rows keep a NULL rank; the row count is unchanged.
-
-    The crosswalk is small by construction (years x bins); it is counted
-    and broadcast only below ``wavepanel.maxBroadcastRows``.
+def validated_crosswalk(crosswalk: DataFrame, rescale: bool = True,
+                        validate: bool = True) -> DataFrame:
+    """Crosswalk ready for lookups: columns ``_wp_y, _wp_b, _wp_r``.
+
+    One small job checks it: the row count (broadcast decision), uniqueness
+    on (year, ibin) (else ValueError: the many-to-one join is refused), and
+    the scale (ranks on [0, 1] are put on [0, 100]).  The result is reusable
+    for several lookups.
     """
-    rank_name = rank_name or f"{bin_col}_rank"
     cw = crosswalk.select(F.col("year").alias("_wp_y"), F.col("ibin").alias("_wp_b"),
                           F.col("rank").cast("double").alias("_wp_r"))
-    # One small job: size (for the broadcast decision), key uniqueness, scale.
     facts = cw.agg(F.count(F.lit(1)).alias("n"),
                    F.count_distinct(F.struct("_wp_y", "_wp_b")).alias("k"),
                    F.max("_wp_r").alias("top")).first()
@@ -178,7 +171,22 @@ def attach_rank(df: DataFrame, crosswalk: DataFrame, bin_col: str, year_col: str
         raise ValueError("crosswalk is not unique on (year, ibin): many-to-one join refused")
     if rescale and facts["top"] is not None and facts["top"] <= 1.0:
         cw = cw.withColumn("_wp_r", F.col("_wp_r") * F.lit(100.0))
-    side = F.broadcast(cw) if n <= max_broadcast_rows(df.sparkSession) else cw
+    return F.broadcast(cw) if n <= max_broadcast_rows(crosswalk.sparkSession) else cw
+
+
+def attach_rank(df: DataFrame, crosswalk: DataFrame, bin_col: str, year_col: str = "year",
+                rank_name: str | None = None, rescale: bool = True,
+                validate: bool = True) -> DataFrame:
+    """Many-to-one LEFT join adding ``<bin_col>_rank`` from a (year, ibin, rank) crosswalk.
+
+    ``df`` is matched on (``year_col``, ``bin_col``) against (year, ibin);
+    unmatched rows keep a NULL rank and the row count is unchanged.
+    ``crosswalk`` is either a raw crosswalk (checked by
+    ``validated_crosswalk``) or the output of ``validated_crosswalk``.
+    """
+    rank_name = rank_name or f"{bin_col}_rank"
+    side = (crosswalk if "_wp_r" in crosswalk.columns
+            else validated_crosswalk(crosswalk, rescale=rescale, validate=validate))
     cond = (df[year_col] == side["_wp_y"]) & (df[bin_col] == side["_wp_b"])
     return (df.join(side, cond, "left")
               .withColumnRenamed("_wp_r", rank_name)

@@ -32,7 +32,7 @@ from wavepanel.functions.columns import (any_equals_flag, columns_matching, equa
                                          row_sum, score_answer, sentinel_fill, try_cast)
 from wavepanel.operators.checks import implies_missing, rule_violations
 from wavepanel.operators.panel import carry_forward, tile, tile_record
-from wavepanel.operators.ranks import attach_rank
+from wavepanel.operators.ranks import attach_rank, validated_crosswalk
 from wavepanel.operators.signs import decide, flipped, negative_mask
 from wavepanel.functions.columns import reference_year
 
@@ -177,12 +177,9 @@ def prepare(raw: DataFrame, checks: str = "raise") -> tuple[DataFrame, dict[str,
             raise ValueError("skip-logic violation: Q16/Q19 filled for the wrong Q15 answer")
 
     # 3. tiles: once-only answers (one aggregate + join); races as one record
-    tiles = {t: t for t, _ in TILES if t in cols}
-    df = tile(df, tiles, ID)
-    df = df.withColumns({t: F.col(t).try_cast(dt) for t, dt in TILES if t in cols})
-    races = columns_matching(df, r"Q35.*")
-    if races:
-        df = tile_record(df, races, ID, dtype="smallint")
+    tiles = {t: dt for t, dt in TILES if t in cols}
+    df = tile(df, list(tiles), ID, dtypes=tiles,
+              records={"_races": columns_matching(df, r"Q35.*")}, record_dtype="smallint")
 
     # 4. household composition: overwrite on change, carry last complete record
     flag = F.coalesce(F.col("D1") == 2, F.lit(False))
@@ -305,8 +302,9 @@ def build_survey_tables(raw: DataFrame, crosswalk: DataFrame | None = None,
     full = prep.select(*keys, *full_columns(prep))
     extract = prep.select(*keys, *extract_columns(prep))
     if crosswalk is not None:
-        full = _with_rank(full, "Q47", crosswalk)
-        extract = _with_rank(extract, "hh_inc_bin", crosswalk)
+        cw = validated_crosswalk(crosswalk)
+        full = _with_rank(full, "Q47", cw)
+        extract = _with_rank(extract, "hh_inc_bin", cw)
     from wavepanel.functions.labels import with_variable_labels
     return SurveyTables(full, with_variable_labels(extract, EXTRACT_LABELS), verdicts)
 

@@ -3,104 +3,110 @@ test tables at any scale.
 
 One row per (person, day): ``userid = user_id``, ``date`` (the wave) =
 yyyymmdd, ``survey_date`` = first event of the day.  Answers are fixed rules
-of the day's aggregates (first event id, mean and max value, event count),
-respecting the questionnaire's routing: once-only questions on the first
-wave only, follow-ups only where the routing question allows them, the
-household update block only on later waves.
+of the day's aggregates (first event id ``eid``, mean ``v`` and max ``vmax``
+value), respecting the questionnaire's routing: once-only questions on the
+first wave only, follow-ups only where the routing question allows them, the
+household update block only on later waves.  The rules are SQL expressions
+(one analyser call per column).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavepanel.operators.segments import running
 from wavepanel.plans.common import table
+from wavepanel.session import stage
 
 
-def _code(k: int, seed: int) -> Column:
-    return (F.pmod(F.xxhash64(F.col("eid"), F.lit(seed)), F.lit(k)) + 1).cast("double")
+def _code(k: int, seed: int) -> str:
+    return f"CAST(pmod(xxhash64(eid, {seed}), {k}) + 1 AS DOUBLE)"
 
 
-def _prob(seed: int) -> Column:
-    return F.round((F.col("v") * (seed + 3) + seed) % 101, 1)
+def _prob(seed: int) -> str:
+    return f"round(pmod(v * {seed + 3} + {seed}, 101), 1)"
 
 
-def _pct(seed: int) -> Column:
-    return F.round((F.col("vmax") + seed) % 15, 2)
+def _pct(seed: int) -> str:
+    return f"round(pmod(vmax + {seed}, 15), 2)"
 
 
-def raw_from_events(events: DataFrame) -> DataFrame:
-    day = (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int")
-    daily = (events.groupBy(F.col("user_id").alias("userid"), day.alias("date"))
-                   .agg(F.min("ts").alias("survey_date"), F.min("event_id").alias("eid"),
-                        F.avg("value").alias("v"), F.max("value").alias("vmax"),
-                        F.count(F.lit(1)).alias("n_ev")))
-    daily = running(daily, ["userid"], ["date"], {"tenure": ("sum", F.lit(1))})
-    first = F.col("tenure") == 1
-    later = F.col("tenure") > 1
-    sparse = (F.col("eid") % 4) != 0
-
-    cols: dict[str, Column] = {
-        "tenure": F.col("tenure").cast("int"),
-        "weight": F.round(F.col("v") / 50 + 0.5, 4),
-        "Q1": F.when(sparse, _code(5, 1)), "Q2": _code(5, 2),
-        "Q3": _prob(3), "Q4new": _prob(4), "Q5new": F.when(sparse, _prob(5)), "Q6new": _prob(6),
-        "Q9_probdeflation": F.round(F.col("v") % 1, 3), "Q9c_probdeflation": F.round(F.col("vmax") % 1, 3),
-        "Q10_1": (F.col("eid") % 2).cast("double"), "Q10_2": (F.col("eid") % 3 == 0).cast("double"),
-        "Q11": F.when(F.col("eid") % 2 == 1, _code(3, 11)),
+def _rules() -> dict[str, str]:
+    sparse = "(eid % 4 <> 0)"
+    r: dict[str, str] = {
+        "tenure": "CAST(tenure AS INT)",
+        "weight": "round(v / 50 + 0.5, 4)",
+        "Q1": f"CASE WHEN {sparse} THEN {_code(5, 1)} END", "Q2": _code(5, 2),
+        "Q3": _prob(3), "Q4new": _prob(4), "Q5new": f"CASE WHEN {sparse} THEN {_prob(5)} END",
+        "Q6new": _prob(6),
+        "Q9_probdeflation": "round(pmod(v, 1), 3)", "Q9c_probdeflation": "round(pmod(vmax, 1), 3)",
+        "Q10_1": "CAST(eid % 2 AS DOUBLE)", "Q10_2": "CAST(eid % 3 = 0 AS DOUBLE)",
+        "Q11": f"CASE WHEN eid % 2 = 1 THEN {_code(3, 11)} END",
         "Q12new": _code(2, 12), "Q13new": _prob(13), "Q14new": _prob(14),
-        "Q15": F.when(F.col("eid") % 5 != 0, _code(2, 15)),
+        "Q15": f"CASE WHEN eid % 5 <> 0 THEN {_code(2, 15)} END",
         "Q17new": _prob(17), "Q18new": _prob(18), "Q20new": _prob(20), "Q21new": _prob(21),
         "Q22new": _prob(22), "Q28": _code(5, 28), "Q29": _code(5, 29), "Q30new": _prob(30),
         "Q24_1": _prob(241), "Q24_2": _prob(242), "C1_1": _prob(111), "C1_2": _prob(112),
     }
     for s, c in (("mean", 1), ("var", 2), ("cent50", 3), ("iqr", 4)):
-        cols[f"Q9_{s}"] = _pct(c)
-        cols[f"Q9c_{s}"] = _pct(c + 4)
+        r[f"Q9_{s}"] = _pct(c)
+        r[f"Q9c_{s}"] = _pct(c + 4)
     for i in range(1, 11):
-        cols[f"Q9_bin{i}"] = _prob(100 + i)
-        cols[f"Q9c_bin{i}"] = _prob(200 + i)
+        r[f"Q9_bin{i}"] = _prob(100 + i)
+        r[f"Q9c_bin{i}"] = _prob(200 + i)
     # Direction questions and their percent answers: most arrive with the
     # right sign, two need a flip, one is ambiguous.
     pairs = [("Q8v2", 2, "correct"), ("Q9bv2", 2, "flip"), ("Q23v2", 3, "correct"),
              ("Q25v2", 3, "correct"), ("Q26v2", 3, "flip"), ("Q27v2", 3, "correct"),
              ("Q31v2", 3, "ambiguous"), ("C2", 3, "correct"), ("C3", 3, "correct")]
     for i, (d, dec, kind) in enumerate(pairs):
-        code = _code(3, 30 + i)
-        mag = _pct(30 + i)
-        cols[d] = code
-        if kind == "correct":
-            val = F.when(code == dec, -mag).otherwise(mag)
-        elif kind == "flip":
-            val = mag
-        else:
-            val = F.when(F.col("eid") % 2 == 0, -mag).otherwise(mag)
-        cols[d + "part2"] = F.when(sparse | (code == dec), val)
+        code, mag = _code(3, 30 + i), _pct(30 + i)
+        r[d] = code
+        val = {"correct": f"CASE WHEN {code} = {dec} THEN -{mag} ELSE {mag} END",
+               "flip": mag,
+               "ambiguous": f"CASE WHEN eid % 2 = 0 THEN -{mag} ELSE {mag} END"}[kind]
+        r[d + "part2"] = f"CASE WHEN {sparse} OR {code} = {dec} THEN {val} END"
     # routing: months unemployed only if looking (Q15 = 1), out of work if not (Q15 = 2)
-    cols["Q16"] = F.when(cols["Q15"] == 1, (F.col("eid") % 24).cast("double"))
-    cols["Q19"] = F.when(cols["Q15"] == 2, (F.col("eid") % 36).cast("double"))
-    once = {"QNUM1": F.when(F.col("eid") % 3 == 0, F.lit(150.0)).otherwise(F.lit(100.0)),
-            "QNUM2": F.when(F.col("eid") % 2 == 0, F.lit(242.0)).otherwise(F.lit(220.0)),
-            "QNUM3": (F.col("eid") % 12).cast("double"), "QNUM5": F.lit(100.0),
-            "QNUM6": (F.col("eid") % 7).cast("double"), "QNUM8": _code(3, 8), "QNUM9": _code(2, 9),
-            "Q32": (F.col("userid") % 60 + 18).cast("double"), "Q33": _code(2, 33), "Q34": _code(2, 34),
-            "Q35_1": _code(2, 351) - 1, "Q35_2": _code(2, 352) - 1, "Q36": _code(9, 36),
-            "Q37": _code(6, 37), "Q38": _code(2, 38), "HH2_1": _code(2, 381) - 1, "HH2_2": _code(2, 382) - 1,
-            "Q41": _code(6, 41), "Q42": _code(6, 42), "Q43": _code(3, 43), "Q44": _code(2, 44),
-            "Q45b": _code(5, 45), "Q46": _code(3, 46), "QRA1": _code(7, 47), "Q47": _code(11, 48)}
+    r["Q16"] = f"CASE WHEN {r['Q15']} = 1 THEN CAST(eid % 24 AS DOUBLE) END"
+    r["Q19"] = f"CASE WHEN {r['Q15']} = 2 THEN CAST(eid % 36 AS DOUBLE) END"
+    once = {"QNUM1": "CASE WHEN eid % 3 = 0 THEN 150.0 ELSE 100.0 END",
+            "QNUM2": "CASE WHEN eid % 2 = 0 THEN 242.0 ELSE 220.0 END",
+            "QNUM3": "CAST(eid % 12 AS DOUBLE)", "QNUM5": "100.0",
+            "QNUM6": "CAST(eid % 7 AS DOUBLE)", "QNUM8": _code(3, 8), "QNUM9": _code(2, 9),
+            "Q32": "CAST(userid % 60 + 18 AS DOUBLE)", "Q33": _code(2, 33), "Q34": _code(2, 34),
+            "Q35_1": f"{_code(2, 351)} - 1", "Q35_2": f"{_code(2, 352)} - 1", "Q36": _code(9, 36),
+            "Q37": _code(6, 37), "Q38": _code(2, 38), "HH2_1": f"{_code(2, 381)} - 1",
+            "HH2_2": f"{_code(2, 382)} - 1", "Q41": _code(6, 41), "Q42": _code(6, 42),
+            "Q43": _code(3, 43), "Q44": _code(2, 44), "Q45b": _code(5, 45), "Q46": _code(3, 46),
+            "QRA1": _code(7, 47), "Q47": _code(11, 48)}
     for i in range(1, 7):
-        once[f"Q45new_{i}"] = (F.col("eid") % (i + 2)).cast("double")
-    cols.update({k: F.when(first, v) for k, v in once.items()})
-    d1 = F.when(later, _code(2, 61))
-    upd = {"D1": d1, "D3": F.when(later, _code(2, 62)), "DSAME": F.when(later, _code(3, 63)),
-           "DQ38": F.when(later, _code(2, 64)), "DHH2_1": F.when(later, _code(2, 65) - 1),
-           "D6": F.when(later, _code(11, 66))}
+        once[f"Q45new_{i}"] = f"CAST(eid % {i + 2} AS DOUBLE)"
+    r.update({k: f"CASE WHEN tenure = 1 THEN {v} END" for k, v in once.items()})
+    d1 = f"CASE WHEN tenure > 1 THEN {_code(2, 61)} END"
+    r.update({"D1": d1, "D3": f"CASE WHEN tenure > 1 THEN {_code(2, 62)} END",
+              "DSAME": f"CASE WHEN tenure > 1 THEN {_code(3, 63)} END",
+              "DQ38": f"CASE WHEN tenure > 1 THEN {_code(2, 64)} END",
+              "DHH2_1": f"CASE WHEN tenure > 1 THEN {_code(2, 65)} - 1 END",
+              "D6": f"CASE WHEN tenure > 1 THEN {_code(11, 66)} END"})
     for i in range(1, 7):
-        upd[f"D2new_{i}"] = F.when(d1 == 2, (F.col("v").cast("int") % (i + 1)).cast("double"))
-    cols.update(upd)
-    return daily.select("userid", "date", "survey_date", *[c.alias(k) for k, c in cols.items()])
+        r[f"D2new_{i}"] = f"CASE WHEN ({d1}) = 2 THEN CAST(CAST(v AS INT) % {i + 1} AS DOUBLE) END"
+    return r
+
+
+def raw_from_events(events: DataFrame) -> DataFrame:
+    day = (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int")
+    daily = (events.groupBy(F.col("user_id").alias("userid"), day.alias("date"))
+                   .agg(F.min("ts").alias("survey_date"), F.min("event_id").alias("eid"),
+                        F.avg("value").alias("v"), F.max("value").alias("vmax")))
+    daily = running(daily, ["userid"], ["date"], {"tenure": ("sum", F.lit(1))})
+    return daily.selectExpr("userid", "date", "survey_date",
+                            *[f"{expr} AS {name}" for name, expr in _rules().items()])
 
 
-def survey_raw(spark, sf_dir) -> DataFrame:
-    return raw_from_events(table(spark, sf_dir, "events"))
+def survey_raw(spark, sf_dir, materialise: bool = True) -> DataFrame:
+    """The derived extract, staged once as Parquet in the checkpoint folder
+    (the importer scans its input several times: sign verdicts, checks,
+    hot-key detection), like a stored raw extract would be."""
+    raw = raw_from_events(table(spark, sf_dir, "events"))
+    return stage(raw, "survey-raw") if materialise else raw

@@ -95,3 +95,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and return
+    the read-back table: cuts the lineage, and later scans are columnar and
+    column-pruned (unlike an RDD checkpoint of a wide table)."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
