@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavepanel.functions.columns import clamp_low, cut, cut_index, reference_year
+from pyspark.sql import types as T
+
+from wavepanel.functions.columns import clamp_low, cut, cut_index, interval_recode, reference_year
 from wavepanel.operators.ranks import (attach_rank, key_duplicates, rank_crosswalk,
                                        small_cell_filter, weighted_ecdf)
 from wavepanel.plans.common import (ACCTBAL_EDGES, ORDER_VALUE_EDGES, order_weight,
@@ -20,6 +22,13 @@ from wavepanel.session import scratch_dir
 
 SMALL_CELL_MIN = 400
 
+# By-college crosswalk for a young age range, on orders: educ = o_custkey % 12,
+# age = 18 + o_custkey % 60, order values in [450000, 460000] act as the
+# "not available" income codes.
+AGE_MIN, AGE_MAX = 18, 27
+NA_CODES = (450000.0, 460000.0)
+COLLEGE_CELL_MIN = 100
+
 
 def _orders(spark, sf_dir):
     return (table(spark, sf_dir, "orders")
@@ -75,6 +84,25 @@ def q_small_cell_filter(spark, sf_dir):
     return kept.withColumn("rank", F.round("rank", 6))
 
 
+def rank_crosswalk_college(spark, sf_dir):
+    """Crosswalk by (year, college) for ages AGE_MIN..AGE_MAX: education
+    recoded to a college flag, special income codes set missing, small cells
+    (< COLLEGE_CELL_MIN ranked people over all bins) dropped, exported as CSV
+    (year, college, ibin, lbound, rank to 3 places, nobs) and read back."""
+    o = table(spark, sf_dir, "orders")
+    micro = o.select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), order_weight().alias("w"),
+        interval_recode(F.col("o_custkey") % 12, [(0, 9, 0), (10, 11, 1)]).cast("int").alias("college"),
+        (F.col("o_custkey") % 60 + 18).cast("int").alias("age"))
+    young = micro.where(F.col("age").between(AGE_MIN, AGE_MAX))
+    cw = rank_crosswalk(young, "o_totalprice", "w", ["year", "college"], "o_orderkey",
+                        edges=ORDER_VALUE_EDGES, missing_codes=NA_CODES, count_col="nobs")
+    kept = small_cell_filter(cw, ["year", "college"], "nobs", COLLEGE_CELL_MIN)
+    path = scratch_dir(spark, "crosswalk-college")
+    write_crosswalk_csv(kept, path, ["year", "college", "ibin", "lbound", "rank", "nobs"])
+    return read_crosswalk(spark, path, COLLEGE_CROSSWALK_SCHEMA)
+
+
 def rank_lookup(spark, sf_dir):
     """Reference year + income bin of every order, joined (left, m:1) to the
     crosswalk as stored on disk (rank to 3 places, rescaled to 0-100)."""
@@ -99,6 +127,11 @@ def join_key_duplicates(spark, sf_dir):
     return key_duplicates(li, ["l_orderkey", "l_linenumber"], "n")
 
 
+COLLEGE_CROSSWALK_SCHEMA = T.StructType([
+    T.StructField("year", T.IntegerType()), T.StructField("college", T.IntegerType()),
+    T.StructField("ibin", T.IntegerType()), T.StructField("lbound", T.DoubleType()),
+    T.StructField("rank", T.DoubleType()), T.StructField("nobs", T.LongType())])
+
 QUERIES = {
     "cut_bins": cut_bins,
     "weighted_ecdf": weighted_ecdf_rows,
@@ -107,6 +140,7 @@ QUERIES = {
     "crosswalk_export": crosswalk_export,
     "rank_crosswalk_cells": rank_crosswalk_cells,
     "small_cell_filter": q_small_cell_filter,
+    "rank_crosswalk_college": rank_crosswalk_college,
     "rank_lookup": rank_lookup,
     "reference_year": q_reference_year,
     "join_key_duplicates": join_key_duplicates,
@@ -154,7 +188,29 @@ def _round_rank(inner: str, digits: int = 6) -> str:
     return f"SELECT * REPLACE (round(rank, {digits}) AS rank) FROM ({inner}) q"
 
 
+_COLLEGE = f"""
+WITH m AS (
+  SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, 1 + o_orderkey % 5 AS w,
+    CAST(CASE WHEN o_custkey % 12 BETWEEN 0 AND 9 THEN 0 WHEN o_custkey % 12 BETWEEN 10 AND 11 THEN 1
+              ELSE o_custkey % 12 END AS INTEGER) AS college,
+    CASE WHEN o_totalprice BETWEEN {NA_CODES[0]!r} AND {NA_CODES[1]!r} THEN NULL ELSE o_totalprice END AS x
+  FROM orders WHERE o_custkey % 60 + 18 BETWEEN {AGE_MIN} AND {AGE_MAX}),
+r AS (
+  SELECT year, college, x,
+    CASE WHEN x IS NOT NULL THEN
+      sum(CASE WHEN x IS NOT NULL THEN w ELSE 0 END) OVER (PARTITION BY year, college
+          ORDER BY x NULLS FIRST, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      / sum(CASE WHEN x IS NOT NULL THEN w END) OVER (PARTITION BY year, college) END AS rank
+  FROM m),
+b AS (SELECT *, {sql_cut('greatest(0, coalesce(x, 0))', ORDER_VALUE_EDGES)} AS lbound FROM r),
+c AS (SELECT year, college, lbound, median(rank) AS rank, CAST(count(rank) AS BIGINT) AS nobs
+      FROM b WHERE lbound IS NOT NULL GROUP BY ALL),
+i AS (SELECT *, CAST(row_number() OVER (PARTITION BY year, college ORDER BY lbound) AS INTEGER) AS ibin,
+        sum(nobs) OVER (PARTITION BY year, college) AS cell_total FROM c)
+SELECT year, college, ibin, lbound, round(rank, 3) AS rank, nobs FROM i WHERE cell_total >= {COLLEGE_CELL_MIN}"""
+
 SQL = {
+    "rank_crosswalk_college": _COLLEGE,
     "cut_bins": f"""
 SELECT c_custkey, greatest(0, c_acctbal) AS acctbal,
   {sql_cut('greatest(0, c_acctbal)', ACCTBAL_EDGES)} AS lbound
