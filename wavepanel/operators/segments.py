@@ -12,8 +12,10 @@ window for ordinary keys and splits each hot key into ordered *segments*:
    points.  A row's segment is ``2 * (#edges < x) + (x is an edge)``, so
    rows equal to an edge form a *point* segment of their own; a point
    segment that holds one very frequent value is split again by quantiles of
-   the second order column (the tie-break).  Segment ids are monotone in
-   the order, so the segments of a key are consecutive slices of it;
+   the second order column (the tie-break), as finely as its own row count
+   needs.  Edge lookups are binary searches over the per-key edge array.
+   Segment ids are monotone in the order, so the segments of a key are
+   consecutive slices of it;
 3. a small table of per-segment summaries is prefix-combined with a window
    over ``(key, segment)`` (tiny), giving the carry-in of every segment;
 4. the window runs per ``(key, segment)`` and adds the carry-in.
@@ -56,6 +58,25 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame
     return hot.checkpoint(eager=True), int(summary["k"]), int(summary["m"])
 
 
+def count_below(edges: Column, x: Column, max_len: int) -> Column:
+    """Number of elements of the ascending array ``edges`` that are < ``x``
+    (0 for a NULL ``x``), by binary search: a fold over power-of-two steps,
+    so log2(len) lambda evaluations per row instead of len."""
+    steps = []
+    k = 1
+    while k <= max_len:
+        steps.append(k)
+        k *= 2
+    steps.reverse()
+
+    def step(acc, s):
+        cand = acc + s
+        ok = (cand <= F.size(edges)) & (F.try_element_at(edges, cand.cast("int")) < x)
+        return F.when(F.coalesce(ok, F.lit(False)), cand).otherwise(acc)
+
+    return F.aggregate(F.array(*[F.lit(v) for v in steps]), F.lit(0), step)
+
+
 def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= max_broadcast_rows(df.sparkSession) else df
 
@@ -81,28 +102,48 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     o1 = order[0]
     o2 = order[1] if (split_ties and len(order) > 1) else None
 
+    keys = list(keys)
     hot_small = _maybe_broadcast(hot.select(*keys), n_hot)
-    hot_rows = df.join(hot_small, list(keys), "left_semi")
-    aggs = [F.array_distinct(F.percentile_approx(o1, probs, accuracy)).alias("_wp_e1")]
-    if o2 is not None:
-        aggs.append(F.array_distinct(F.percentile_approx(o2, probs, accuracy)).alias("_wp_e2"))
-    edges = hot_rows.groupBy(*keys).agg(*aggs).checkpoint(eager=True)
-
+    hot_rows = df.join(hot_small, keys, "left_semi")
+    edges = (hot_rows.groupBy(*keys)
+                     .agg(F.array_distinct(F.percentile_approx(o1, probs, accuracy)).alias("_wp_e1"))
+                     .checkpoint(eager=True))
     x1 = F.col(o1)
-    lo = F.size(F.filter("_wp_e1", lambda e: e < x1))
-    point = F.coalesce(F.array_contains("_wp_e1", x1), F.lit(False))
+    out = df.join(_maybe_broadcast(edges, n_hot), keys, "left")
+    lo = count_below(F.col("_wp_e1"), x1, grid)
+    point = F.coalesce(F.try_element_at(F.col("_wp_e1"), (lo + 1).cast("int")) == x1, F.lit(False))
     level = lo * 2 + point.cast("int")
+
+    sub = F.lit(0)
     if o2 is not None:
-        x2 = F.col(o2)
-        sub = F.when(point, F.size(F.filter("_wp_e2", lambda e: e < x2))).otherwise(F.lit(0))
-    else:
-        sub = F.lit(0)
+        # A value frequent enough to be an edge forms its own segment; split
+        # it by quantiles of the tie-break, as finely as ITS row count needs
+        # (about four pieces per `limit` rows).
+        on_edge = F.coalesce(F.array_contains("_wp_e1", x1), F.lit(False))
+        points = out.where(on_edge).select(*keys, x1.alias("_wp_x"), F.col(o2).alias("_wp_t"))
+        want = F.ceil(F.col("_wp_c") * 4.0 / limit)
+        stride = F.greatest(F.lit(1), F.floor(F.lit(grid) / want)).cast("int")
+        sub_edges = (points.groupBy(*keys, "_wp_x")
+                           .agg(F.count(F.lit(1)).alias("_wp_c"),
+                                F.percentile_approx("_wp_t", probs, accuracy).alias("_wp_q"))
+                           .where(F.col("_wp_c") > limit // 4)
+                           .select(*[F.col(k).alias(f"_wp_sk{i}") for i, k in enumerate(keys)],
+                                   "_wp_x", F.array_distinct(F.filter(
+                                       "_wp_q", lambda e, i: (i + 1) % stride == 0)).alias("_wp_e2"))
+                           .checkpoint(eager=True))
+        n_sub = sub_edges.count()
+        if n_sub:
+            cond = [F.col(k) == F.col(f"_wp_sk{i}") for i, k in enumerate(keys)] + [x1 == F.col("_wp_x")]
+            j = cond[0]
+            for c in cond[1:]:
+                j = j & c
+            out = (out.join(_maybe_broadcast(sub_edges, n_sub), j, "left")
+                      .drop(*[f"_wp_sk{i}" for i in range(len(keys))], "_wp_x"))
+            sub = F.when(point & F.col("_wp_e2").isNotNull(),
+                         count_below(F.col("_wp_e2"), F.col(o2), grid)).otherwise(F.lit(0))
     seg = F.when(F.col("_wp_e1").isNull(), F.lit(0)).otherwise(level * (grid + 1) + sub)
-
-    out = (df.join(_maybe_broadcast(edges, n_hot), list(keys), "left")
-             .withColumn(SEG, seg.cast("long"))
-             .drop("_wp_e1", "_wp_e2"))
-    return out, hot, n_hot
+    out = out.withColumn(SEG, seg.cast("long"))
+    return out.drop(*[c for c in ("_wp_e1", "_wp_e2") if c in out.columns]), hot, n_hot
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
