@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
@@ -103,6 +103,14 @@ def rank_crosswalk_college(spark, sf_dir):
     return read_crosswalk(spark, path, COLLEGE_CROSSWALK_SCHEMA)
 
 
+def max_bin_index(spark, sf_dir):
+    """Largest bin index present per year, and overall (the axis range of
+    the crosswalk chart)."""
+    cw = _crosswalk(spark, sf_dir)
+    return cw.groupBy("year").agg(F.max("ibin").alias("max_ibin")).select(
+        "year", "max_ibin", F.max("max_ibin").over(Window.partitionBy()).alias("max_ibin_all"))
+
+
 def rank_lookup(spark, sf_dir):
     """Reference year + income bin of every order, joined (left, m:1) to the
     crosswalk as stored on disk (rank to 3 places, rescaled to 0-100)."""
@@ -142,6 +150,7 @@ QUERIES = {
     "small_cell_filter": q_small_cell_filter,
     "rank_crosswalk_college": rank_crosswalk_college,
     "rank_lookup": rank_lookup,
+    "max_bin_index": max_bin_index,
     "reference_year": q_reference_year,
     "join_key_duplicates": join_key_duplicates,
 }
@@ -211,6 +220,9 @@ SELECT year, college, ibin, lbound, round(rank, 3) AS rank, nobs FROM i WHERE ce
 
 SQL = {
     "rank_crosswalk_college": _COLLEGE,
+    "max_bin_index": f"""
+SELECT year, max(ibin) AS max_ibin, max(max(ibin)) OVER () AS max_ibin_all
+FROM ({_sql_crosswalk()}) c GROUP BY year""",
     "cut_bins": f"""
 SELECT c_custkey, greatest(0, c_acctbal) AS acctbal,
   {sql_cut('greatest(0, c_acctbal)', ACCTBAL_EDGES)} AS lbound
