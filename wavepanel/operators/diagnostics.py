@@ -112,7 +112,9 @@ def median_timestamp(df: DataFrame, by: str | Sequence[str], ts: str | Column) -
     epoch, exact half-microsecond) and ``median_ts`` (floor to the microsecond)."""
     by = [by] if isinstance(by, str) else list(by)
     t = F.col(ts) if isinstance(ts, str) else ts
-    us = F.unix_micros(t.cast("timestamp"))
+    # Zone-free arithmetic on wall-clock timestamps (no session time zone).
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    us = F.timestamp_diff("MICROSECOND", epoch, t.cast("timestamp_ntz"))
     q = exact_quantiles(df.withColumn("_us", us), by, "_us", [0.5], ["median_us"])
     return q.withColumn("median_ts",
-                        F.timestamp_micros(F.floor("median_us").cast("long")).cast("timestamp_ntz"))
+                        F.timestamp_add("MICROSECOND", F.floor("median_us").cast("long"), epoch))
