@@ -151,12 +151,16 @@ def check_required(raw: DataFrame) -> None:
         raise KeyError(f"raw extract lacks required columns: {missing}")
 
 
+# Skip logic: months unemployed only when looking (Q15 = 1), months out of
+# work only when not looking (Q15 = 2).
+def skip_rules() -> dict[str, Column]:
+    return {"Q16_needs_Q15_eq_1": implies_missing("Q15", 1, "Q16"),
+            "Q19_needs_Q15_eq_2": implies_missing("Q15", 2, "Q19")}
+
+
 def skip_logic(prepared: DataFrame) -> DataFrame:
-    """Rows breaking: months unemployed only when looking (Q15 = 1), months
-    out of work only when not looking (Q15 = 2)."""
-    return rule_violations(prepared, {"Q16_needs_Q15_eq_1": implies_missing("Q15", 1, "Q16"),
-                                      "Q19_needs_Q15_eq_2": implies_missing("Q15", 2, "Q19")},
-                           [ID, WID])
+    """Rows breaking the skip-logic rules (one output row per row and rule)."""
+    return rule_violations(prepared, skip_rules(), [ID, WID])
 
 
 def prepare(raw: DataFrame, checks: str = "raise") -> tuple[DataFrame, dict[str, str]]:
@@ -168,14 +172,15 @@ def prepare(raw: DataFrame, checks: str = "raise") -> tuple[DataFrame, dict[str,
     # 2. signs: one aggregate for all pairs
     pairs = {v: (v, negative_mask(d, code)) for d, code, v, _ in SIGN_PAIRS
              if d in cols and v in cols}
-    verdicts = decide(df, pairs)
+    # the skip-logic check rides along in the same aggregate
+    rules = skip_rules() if checks == "raise" else {}
+    decided = decide(df, pairs, {k: F.count_if(c) for k, c in rules.items()})
+    verdicts = {v: decided[v] for v in pairs}
+    bad = [k for k in rules if decided[k]]
+    if bad:
+        raise ValueError(f"skip-logic violation ({', '.join(bad)}): Q16/Q19 filled for the wrong Q15 answer")
     df = df.withColumns({v: flipped(v, neg, verdicts[v]) for v, (_, neg) in pairs.items()})
 
-    if checks in ("raise", "report"):
-        bad = skip_logic(df)
-        if checks == "raise" and bad.limit(1).count():
-            raise ValueError("skip-logic violation: Q16/Q19 filled for the wrong Q15 answer")
-
     # 3. tiles: once-only answers (one aggregate + join); races as one record
     tiles = {t: dt for t, dt in TILES if t in cols}
     df = tile(df, list(tiles), ID, dtypes=tiles,
