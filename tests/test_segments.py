@@ -120,3 +120,13 @@ def test_median_timestamp(spark):
                                "g int, ts timestamp_ntz")
     r = median_timestamp(df, "g", "ts").first()
     assert r["median_ts"] == dt.datetime(2024, 1, 1, 0, 0, 0, 500000)
+
+
+def test_tabulate_many_levels_hot_path(spark, low_limit):
+    from wavepanel.operators.stats import weighted_tabulate
+    df = skewed(spark)
+    got = weighted_tabulate(df, "k", "w").toPandas().set_index("k").sort_index()
+    pdf = df.toPandas().groupby("k")["w"].sum().sort_index()
+    tot = pdf.sum()
+    assert list(got["freq"]) == list(pdf)
+    assert (got["cum_percent"] - pdf.cumsum() * 100.0 / tot).abs().max() < 1e-9

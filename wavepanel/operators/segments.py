@@ -158,6 +158,10 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys = list(keys)
     order = list(order)
+    if not keys:
+        # one global group: a constant key lets the hot-key path split it
+        out = running(df.withColumn("_wp_all", F.lit(0)), ["_wp_all"], order, aggs, frame, limit)
+        return out.drop("_wp_all")
     if frame not in ("rows", "range"):
         raise ValueError("frame must be 'rows' or 'range'")
     if frame == "range":

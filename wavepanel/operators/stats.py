@@ -206,10 +206,10 @@ def weighted_tabulate(df: DataFrame, var: str, weight: str | Column | None = Non
     w = F.lit(1) if weight is None else _c(weight)
     src = df if where is None else df.where(where)
     g = src.groupBy(var).agg(F.sum(w).alias("freq"))
-    total = F.sum("freq").over(Window.partitionBy())
-    cum = F.sum("freq").over(Window.orderBy(var).rowsBetween(Window.unboundedPreceding, 0))
-    return g.select(var, "freq", (F.col("freq") * 100.0 / total).alias("percent"),
-                    (cum * 100.0 / total).alias("cum_percent")).orderBy(var)
+    # running total over the levels: skew-safe even for many levels
+    r = running(g, [], [var], {"_cum": ("sum", F.col("freq")), "_tot": ("group_sum", F.col("freq"))})
+    return r.select(var, "freq", (F.col("freq") * 100.0 / F.col("_tot")).alias("percent"),
+                    (F.col("_cum") * 100.0 / F.col("_tot")).alias("cum_percent")).orderBy(var)
 
 
 def distinct_levels(df: DataFrame, col: str | Column, where: Column | None = None,

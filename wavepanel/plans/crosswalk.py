@@ -106,9 +106,9 @@ def rank_crosswalk_college(spark, sf_dir):
 def max_bin_index(spark, sf_dir):
     """Largest bin index present per year, and overall (the axis range of
     the crosswalk chart)."""
-    cw = _crosswalk(spark, sf_dir)
-    return cw.groupBy("year").agg(F.max("ibin").alias("max_ibin")).select(
-        "year", "max_ibin", F.max("max_ibin").over(Window.partitionBy()).alias("max_ibin_all"))
+    per_year = _crosswalk(spark, sf_dir).groupBy("year").agg(F.max("ibin").alias("max_ibin"))
+    overall = per_year.select(F.max("max_ibin")).scalar()
+    return per_year.select("year", "max_ibin", overall.alias("max_ibin_all"))
 
 
 def rank_lookup(spark, sf_dir):
