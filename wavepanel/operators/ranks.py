@@ -65,14 +65,15 @@ def weighted_ecdf(df: DataFrame, value: str, weight: str | Column | None = None,
 
 
 def median_by_position(ranked: DataFrame, keys: Sequence[str], value: str,
-                       pos_col: str, out: str = "median", count_col: str | None = None
-                       ) -> DataFrame:
+                       pos_col: str, out: str = "median", count_col: str | None = None,
+                       broadcast_cells: bool = False) -> DataFrame:
     """Median of ``value`` per ``keys`` when each cell is a contiguous run of
     the ``pos_col`` order and ``value`` is non-decreasing along it.
 
     Unweighted median: the middle value, or the mean of the two middle
     values for an even count.  One row per cell, NULL for a cell without
-    values.
+    values.  ``broadcast_cells`` broadcasts the per-cell table to the rows
+    (set it when the number of cells is known to be bounded).
     """
     keys = list(keys)
     alias = {k: f"_wp_k{i}" for i, k in enumerate(keys)}
@@ -86,7 +87,8 @@ def median_by_position(ranked: DataFrame, keys: Sequence[str], value: str,
     mid_hi = F.ceil((F.col("_wp_n") - 1) / 2)
     picked = (ranked.select(*keys, value, pos_col)
                     .where(F.col(value).isNotNull())
-                    .join(cells, F.expr("true") if not cond else _and(cond), "inner")
+                    .join(F.broadcast(cells) if broadcast_cells else cells,
+                          F.expr("true") if not cond else _and(cond), "inner")
                     .where((rel == mid_lo) | (rel == mid_hi))
                     .groupBy(*alias.values()).agg(F.avg(value).alias(out))
                     .select(*[F.col(a).alias(a + "p") for a in alias.values()], out))
@@ -129,8 +131,11 @@ def rank_crosswalk(df: DataFrame, income: str, weight: str | Column | None,
                            rank_col="_wp_rank", pos_col="_wp_pos", limit=limit)
     clamped = clamp_low("_wp_x", clamp_at) if clamp_at is not None else F.col("_wp_x")
     binned = ranked.withColumn("lbound", cut(clamped, edges)).where(F.col("lbound").isNotNull())
+    # cells <= groups x bins: count the groups once to prove the broadcast bound
+    n_groups = work.select(*by).distinct().count() if by else 1
+    small = n_groups * len(edges) <= max_broadcast_rows(df.sparkSession)
     med = median_by_position(binned, by + ["lbound"], "_wp_rank", "_wp_pos", out="rank",
-                             count_col=count_col)
+                             count_col=count_col, broadcast_cells=small)
     ibin = F.row_number().over(Window.partitionBy(*by).orderBy("lbound"))
     cols = by + ["ibin", "lbound", "rank"] + ([count_col] if count_col else [])
     return med.withColumn("ibin", ibin.cast("int")).select(*cols)
