@@ -95,3 +95,24 @@ def test_lookup_miss_rescale_and_duplicates(spark):
 def test_small_cell_filter(spark):
     cw = spark.createDataFrame([(1, 1, 600), (1, 2, 500), (2, 1, 900)], "year int, ibin int, nobs long")
     assert sorted(r["year"] for r in small_cell_filter(cw, ["year"], "nobs", 1000).collect()) == [1, 1]
+
+
+def test_ecdf_and_crosswalk_with_missing_income(spark):
+    from wavepanel.operators.ranks import rank_crosswalk, weighted_ecdf
+    rows = [(1, 2020, 5.0, 1), (2, 2020, None, 3), (3, 2020, 15.0, 2), (4, 2020, 999.0, 1),
+            (5, 2020, -3.0, 2), (6, 2020, 25.0, None), (7, 2020, 12.0, 1)]
+    df = spark.createDataFrame(rows, "k int, year int, x double, w int")
+    r = {row["k"]: row["rank"] for row in weighted_ecdf(df, "x", "w", ["year"], "k").collect()}
+    # valid rows (x and w present): -3(2) 5(1) 12(1) 15(2) 999(1) -> total 7
+    assert r[2] is None and r[6] is None
+    assert r[5] == 2 / 7 and r[1] == 3 / 7 and r[7] == 4 / 7 and r[3] == 6 / 7 and r[4] == 1.0
+    # 999 is a special code -> missing; bins [0,10) [10,20) [20, inf)
+    cw = rank_crosswalk(df, "x", "w", ["year"], "k", edges=[0, 10, 20, 1e20],
+                        missing_codes=(999.0, 999.0), count_col="nobs")
+    got = {row["lbound"]: (row["ibin"], row["rank"], row["nobs"]) for row in cw.collect()}
+    # ranks without 999: -3(2) 5(1) 12(1) 15(2) -> total 6: 2/6, 3/6, 4/6, 6/6
+    # bin 0 holds -3 and 5 (clamped) plus the missing incomes (rank NULL, not counted)
+    assert got[0.0] == (1, (2 / 6 + 3 / 6) / 2, 2)
+    assert got[10.0] == (2, (4 / 6 + 6 / 6) / 2, 2)
+    # x = 25 with a missing weight has a bin but no rank: a cell with NULL median, 0 obs
+    assert got[20.0] == (3, None, 0)
