@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from wavepanel.plans.catalogue import build_survey_tables
 from wavepanel.plans.common import ORDER_VALUE_EDGES, order_weight, table
-from wavepanel.plans.survey_raw import survey_raw
+from wavepanel.plans.survey_raw import raw_sql, survey_raw
 from wavepanel.operators.ranks import rank_crosswalk
 from wavepanel.session import scratch_dir
 from wavepanel.sources.files import read_crosswalk, write_crosswalk_csv
@@ -32,5 +32,14 @@ def survey_extract(spark, sf_dir):
     return build_survey_tables(survey_raw(spark, sf_dir), _crosswalk(spark, sf_dir)).extract
 
 
-QUERIES = {"survey_full": survey_full, "survey_extract": survey_extract}
-SQL: dict[str, str] = {}
+def q_survey_raw(spark, sf_dir):
+    return survey_raw(spark, sf_dir, materialise=False)
+
+
+QUERIES = {"survey_raw": q_survey_raw, "survey_full": survey_full, "survey_extract": survey_extract}
+def _sql() -> dict[str, str]:
+    from wavepanel.plans.importer_sql import extract_sql, full_sql
+    return {"survey_raw": raw_sql(), "survey_extract": extract_sql(), "survey_full": full_sql()}
+
+
+SQL: dict[str, str] = _sql()

@@ -3,11 +3,13 @@ test tables at any scale.
 
 One row per (person, day): ``userid = user_id``, ``date`` (the wave) =
 yyyymmdd, ``survey_date`` = first event of the day.  Answers are fixed rules
-of the day's aggregates (first event id ``eid``, mean ``v`` and max ``vmax``
-value), respecting the questionnaire's routing: once-only questions on the
-first wave only, follow-ups only where the routing question allows them, the
-household update block only on later waves.  The rules are SQL expressions
-(one analyser call per column).
+of the day's aggregates (first event id ``eid``, mean ``v`` - from exact
+integer cents - and max ``vmax`` value), respecting the questionnaire's
+routing: once-only questions on the first wave only, follow-ups only where
+the routing question allows them, the household update block only on later
+waves.  The rules are SQL expressions that Spark and DuckDB evaluate
+identically (integer arithmetic, ``floor`` instead of ``round``), so the
+importer's oracle can start from the same raw table.
 """
 
 from __future__ import annotations
@@ -21,26 +23,27 @@ from wavepanel.session import stage
 
 
 def _code(k: int, seed: int) -> str:
-    return f"CAST(pmod(xxhash64(eid, {seed}), {k}) + 1 AS DOUBLE)"
+    return f"CAST((eid * 7919 + {seed * 104729}) % {k} + 1 AS DOUBLE)"
 
 
 def _prob(seed: int) -> str:
-    return f"round(pmod(v * {seed + 3} + {seed}, 101), 1)"
+    return f"floor(((v * {seed + 3} + {seed}) % 101) * 10) / 10"
 
 
 def _pct(seed: int) -> str:
-    return f"round(pmod(vmax + {seed}, 15), 2)"
+    return f"floor(((vmax + {seed}) % 15) * 100) / 100"
 
 
 def _rules() -> dict[str, str]:
     sparse = "(eid % 4 <> 0)"
     r: dict[str, str] = {
         "tenure": "CAST(tenure AS INT)",
-        "weight": "round(v / 50 + 0.5, 4)",
+        "weight": "floor((v / 50 + 0.5) * 10000) / 10000",
         "Q1": f"CASE WHEN {sparse} THEN {_code(5, 1)} END", "Q2": _code(5, 2),
         "Q3": _prob(3), "Q4new": _prob(4), "Q5new": f"CASE WHEN {sparse} THEN {_prob(5)} END",
         "Q6new": _prob(6),
-        "Q9_probdeflation": "round(pmod(v, 1), 3)", "Q9c_probdeflation": "round(pmod(vmax, 1), 3)",
+        "Q9_probdeflation": "floor((v % 1) * 1000) / 1000",
+        "Q9c_probdeflation": "floor((vmax % 1) * 1000) / 1000",
         "Q10_1": "CAST(eid % 2 AS DOUBLE)", "Q10_2": "CAST(eid % 3 = 0 AS DOUBLE)",
         "Q11": f"CASE WHEN eid % 2 = 1 THEN {_code(3, 11)} END",
         "Q12new": _code(2, 12), "Q13new": _prob(13), "Q14new": _prob(14),
@@ -70,9 +73,9 @@ def _rules() -> dict[str, str]:
     # routing: months unemployed only if looking (Q15 = 1), out of work if not (Q15 = 2)
     r["Q16"] = f"CASE WHEN {r['Q15']} = 1 THEN CAST(eid % 24 AS DOUBLE) END"
     r["Q19"] = f"CASE WHEN {r['Q15']} = 2 THEN CAST(eid % 36 AS DOUBLE) END"
-    once = {"QNUM1": "CASE WHEN eid % 3 = 0 THEN 150.0 ELSE 100.0 END",
-            "QNUM2": "CASE WHEN eid % 2 = 0 THEN 242.0 ELSE 220.0 END",
-            "QNUM3": "CAST(eid % 12 AS DOUBLE)", "QNUM5": "100.0",
+    once = {"QNUM1": "CAST(CASE WHEN eid % 3 = 0 THEN 150 ELSE 100 END AS DOUBLE)",
+            "QNUM2": "CAST(CASE WHEN eid % 2 = 0 THEN 242 ELSE 220 END AS DOUBLE)",
+            "QNUM3": "CAST(eid % 12 AS DOUBLE)", "QNUM5": "CAST(100 AS DOUBLE)",
             "QNUM6": "CAST(eid % 7 AS DOUBLE)", "QNUM8": _code(3, 8), "QNUM9": _code(2, 9),
             "Q32": "CAST(userid % 60 + 18 AS DOUBLE)", "Q33": _code(2, 33), "Q34": _code(2, 34),
             "Q35_1": f"{_code(2, 351)} - 1", "Q35_2": f"{_code(2, 352)} - 1", "Q36": _code(9, 36),
@@ -90,15 +93,34 @@ def _rules() -> dict[str, str]:
               "DHH2_1": f"CASE WHEN tenure > 1 THEN {_code(2, 65)} - 1 END",
               "D6": f"CASE WHEN tenure > 1 THEN {_code(11, 66)} END"})
     for i in range(1, 7):
-        r[f"D2new_{i}"] = f"CASE WHEN ({d1}) = 2 THEN CAST(CAST(v AS INT) % {i + 1} AS DOUBLE) END"
+        r[f"D2new_{i}"] = f"CASE WHEN ({d1}) = 2 THEN CAST(CAST(floor(v) AS BIGINT) % {i + 1} AS DOUBLE) END"
     return r
 
 
+def raw_sql(events: str = "events") -> str:
+    """The same derivation as SQL text over a table named ``events``."""
+    cols = ",\n  ".join(f"{expr} AS {name}" for name, expr in _rules().items())
+    return f"""
+SELECT userid, date, survey_date,
+  {cols}
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY userid ORDER BY date) AS tenure
+  FROM (
+    SELECT user_id AS userid, CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date,
+      min(ts) AS survey_date, min(event_id) AS eid,
+      CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0 AS v,
+      max(value) AS vmax
+    FROM {events}
+    GROUP BY 1, 2) d) t"""
+
+
 def raw_from_events(events: DataFrame) -> DataFrame:
     day = (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int")
+    cents = F.round(F.col("value") * 100).cast("long")
     daily = (events.groupBy(F.col("user_id").alias("userid"), day.alias("date"))
                    .agg(F.min("ts").alias("survey_date"), F.min("event_id").alias("eid"),
-                        F.avg("value").alias("v"), F.max("value").alias("vmax")))
+                        (F.sum(cents).cast("double") / F.count(F.lit(1)) / 100.0).alias("v"),
+                        F.max("value").alias("vmax")))
     daily = running(daily, ["userid"], ["date"], {"tenure": ("sum", F.lit(1))})
     return daily.selectExpr("userid", "date", "survey_date",
                             *[f"{expr} AS {name}" for name, expr in _rules().items()])
