@@ -116,3 +116,13 @@ def test_ecdf_and_crosswalk_with_missing_income(spark):
     assert got[10.0] == (2, (4 / 6 + 6 / 6) / 2, 2)
     # x = 25 with a missing weight has a bin but no rank: a cell with NULL median, 0 obs
     assert got[20.0] == (3, None, 0)
+
+
+def test_wave_stats_approx_close_to_exact(spark):
+    from wavepanel.operators.diagnostics import to_long, wave_stats
+    rows = [(w, k, float((k * 37) % 101)) for w in (1, 2) for k in range(500)]
+    long = to_long(spark.createDataFrame(rows, "wid int, k int, x double"), ["wid"], ["x"])
+    ex = {r["wid"]: r for r in wave_stats(long, "wid").collect()}
+    ap = {r["wid"]: r for r in wave_stats(long, "wid", method="approx").collect()}
+    for w in (1, 2):
+        assert abs(ex[w]["p50"] - ap[w]["p50"]) <= 1.0 and ex[w]["mean"] == ap[w]["mean"]

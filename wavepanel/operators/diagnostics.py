@@ -56,9 +56,21 @@ def to_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 
 def wave_stats(long: DataFrame, wave: str, value: str = "val",
-               probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Per (wave, variable): exact quartiles ``p25 p50 p75`` and ``mean``."""
+               probs: Sequence[float] = (0.25, 0.5, 0.75), method: str = "exact",
+               accuracy: int = 10_000) -> DataFrame:
+    """Per (wave, variable): quartiles ``p25 p50 p75`` and ``mean``.
+
+    ``method="exact"`` (default) reads them by position after one sort per
+    (wave, variable); ``"approx"`` uses ``percentile_approx`` (one
+    aggregate, rank error about 1/accuracy) for very large waves.
+    """
     keys = [wave, "variable"]
+    if method == "approx":
+        q = F.percentile_approx(value, list(probs), accuracy)
+        return long.groupBy(*keys).agg(q.alias("_q"), F.avg(value).alias("mean")).select(
+            *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "mean")
+    if method != "exact":
+        raise ValueError("method must be 'exact' or 'approx'")
     return exact_quantiles(long, keys, value, probs, ["p25", "p50", "p75"],
                            tiebreak=F.xxhash64("_row", "variable") if "_row" in long.columns else None,
                            mean_name="mean")
