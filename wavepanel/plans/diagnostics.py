@@ -9,7 +9,7 @@ from wavepanel.operators.checks import missing_report
 from wavepanel.operators.diagnostics import (median_timestamp, nobs_histogram, nonmissing_counts,
                                              outlier_counts, outlier_flags, to_long, trimmed_means,
                                              wave_stats)
-from wavepanel.operators.stats import (distinct_levels, weighted_mean_se, weighted_summary,
+from wavepanel.operators.stats import (distinct_levels, summaries, weighted_mean_se,
                                        weighted_tabulate)
 from wavepanel.plans.common import PANEL_SQL, panel, table
 
@@ -86,11 +86,7 @@ def weighted_mean(spark, sf_dir):
 def q_weighted_summary(spark, sf_dir):
     li = _lineitem(spark, sf_dir)
     tb = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    parts = []
-    for flag, w in ((0, None), (1, "w")):
-        s = weighted_summary(li.withColumn("_tb", tb), ["l_returnflag"], "l_discount", w, "_tb")
-        parts.append(s.withColumn("weighted", F.lit(flag)))
-    out = parts[0].unionByName(parts[1])
+    out = summaries(li.withColumn("_tb", tb), ["l_returnflag"], "l_discount", {0: None, 1: "w"}, "_tb")
     dbl = [c for c in out.columns if c not in ("l_returnflag", "weighted", "n")]
     return out.select("l_returnflag", "weighted", F.col("n").cast("double").alias("n"),
                       *[F.round(c, 6).alias(c) for c in dbl])
