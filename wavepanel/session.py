@@ -38,6 +38,9 @@ def build_session(master: str | None = None, app: str = "wavepanel",
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # no Python call-site capture per Column call (extra JVM round trips
+        # on every expression built on the driver)
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
