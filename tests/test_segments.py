@@ -130,3 +130,17 @@ def test_tabulate_many_levels_hot_path(spark, low_limit):
     tot = pdf.sum()
     assert list(got["freq"]) == list(pdf)
     assert (got["cum_percent"] - pdf.cumsum() * 100.0 / tot).abs().max() < 1e-9
+
+
+def test_hot_key_is_split_into_bounded_segments(spark):
+    """One person with a third of the rows (and many ties): no window
+    partition (key, segment) may exceed a small multiple of the limit."""
+    from wavepanel.operators.segments import SEG, assign_segments
+    rows = [(0 if i % 3 == 0 else i % 50 + 1, i % 17, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "u int, t int, k int")
+    seg, hot, n_hot = assign_segments(df, ["u"], ["t", "k"], limit=100)
+    assert n_hot == 1
+    sizes = seg.groupBy("u", SEG).count()
+    biggest = sizes.agg(F.max("count")).first()[0]
+    assert biggest <= 100, biggest
+    assert sizes.where("u = 0").count() >= 10

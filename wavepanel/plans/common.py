@@ -24,26 +24,27 @@ def order_weight():
     return F.lit(1) + F.col("o_orderkey") % 5
 
 
-def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def panel(spark: SparkSession, sf_dir: str, with_tenure: bool = True) -> DataFrame:
     """Panel view of ``events``: person ``user_id``, order ``(ts, event_id)``.
 
     ``tenure`` (1 = first row of the person) is a running count, computed
-    with the skew-safe running aggregate; ``wid`` is the day as yyyymmdd.
+    with the skew-safe running aggregate (skipped with ``with_tenure=False``);
+    ``wid`` is the day as yyyymmdd.
     Sparse answers are derived by rule: ``asked_once`` only on the first row,
     ``a`` on every third event, ``b`` on four events out of five.
     """
     from wavepanel.operators.segments import running
 
-    ev = table(spark, sf_dir, "events")
-    ev = running(ev, ["user_id"], ["ts", "event_id"], {"tenure": ("sum", F.lit(1))})
-    return ev.withColumns({
-        "tenure": F.col("tenure").cast("long"),
+    ev = table(spark, sf_dir, "events").withColumns({
         "wid": (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int"),
-    }).withColumns({
-        "asked_once": F.when(F.col("tenure") == 1, F.col("value")),
         "a": F.when(F.col("event_id") % 3 == 0, F.col("value")),
         "b": F.when(F.col("event_id") % 5 != 0, F.col("value")),
     })
+    if not with_tenure:      # queries that never look at the first wave skip the running count
+        return ev
+    ev = running(ev, ["user_id"], ["ts", "event_id"], {"tenure": ("sum", F.lit(1))})
+    return ev.withColumns({"tenure": F.col("tenure").cast("long")}).withColumn(
+        "asked_once", F.when(F.col("tenure") == 1, F.col("value")))
 
 
 PANEL_SQL = """

@@ -18,7 +18,7 @@ WAVE_VARS = ["v", "a", "b"]
 
 
 def _panel_v(spark, sf_dir):
-    p = panel(spark, sf_dir)
+    p = panel(spark, sf_dir, with_tenure=False)
     return p.withColumn("v", F.when(F.col("event_id") % 500 == 0, F.col("value") * 100000)
                               .otherwise(F.col("value")))
 

@@ -43,22 +43,22 @@ def tile_constant(spark, sf_dir):
 
 
 def q_tile_violations(spark, sf_dir):
-    return tile_violations(panel(spark, sf_dir), "a", "user_id", "n")
+    return tile_violations(panel(spark, sf_dir, with_tenure=False), "a", "user_id", "n")
 
 
 def carry_forward_record(spark, sf_dir):
-    p = panel(spark, sf_dir).select("event_id", "user_id", "ts", "a", "b")
+    p = panel(spark, sf_dir, with_tenure=False).select("event_id", "user_id", "ts", "a", "b")
     return carry_forward(p, ["a", "b"], "user_id", ["ts", "event_id"]).select(
         "event_id", "user_id", "a", "b")
 
 
 def q_complete_rows(spark, sf_dir):
-    p = panel(spark, sf_dir)
+    p = panel(spark, sf_dir, with_tenure=False)
     return complete_rows(p.select("event_id", "user_id", "a", "b"), ["a", "b"])
 
 
 def q_family_overwrite(spark, sf_dir):
-    p = panel(spark, sf_dir).withColumns({
+    p = panel(spark, sf_dir, with_tenure=False).withColumns({
         "c1": F.when(F.col("event_id") % 2 == 0, F.col("value")),
         "c2": F.col("value") * 2})
     flag = F.col("event_type") == "purchase"
@@ -66,7 +66,7 @@ def q_family_overwrite(spark, sf_dir):
 
 
 def skip_logic_violations(spark, sf_dir):
-    p = panel(spark, sf_dir).withColumn("cond", F.when(F.col("event_id") % 3 == 0, F.lit(1)))
+    p = panel(spark, sf_dir, with_tenure=False).withColumn("cond", F.when(F.col("event_id") % 3 == 0, F.lit(1)))
     rules = {"a_requires_cond": implies_missing("cond", 1, "a"),
              "b_requires_cond": implies_missing("cond", 1, "b")}
     return rule_violations(p, rules, ["event_id", "user_id"])

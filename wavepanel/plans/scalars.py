@@ -19,7 +19,7 @@ COLLEGE_CODES = (5, 6, 7, 8)
 
 
 def _codes(spark, sf_dir):
-    p = panel(spark, sf_dir)
+    p = panel(spark, sf_dir, with_tenure=False)
     return p.withColumns({
         "code1": F.when(F.col("event_id") % 3 == 0, F.floor("value").cast("int") % 10),
         "code2": F.when(F.col("event_id") % 5 != 0, F.floor("value").cast("int") % 3),
@@ -49,7 +49,8 @@ def any_flag(spark, sf_dir):
 
 
 def q_score_answer(spark, sf_dir):
-    p = panel(spark, sf_dir).withColumn("x", F.when(F.col("event_id") % 3 == 0, F.round("value")))
+    p = panel(spark, sf_dir, with_tenure=False)
+    p = p.withColumn("x", F.when(F.col("event_id") % 3 == 0, F.round("value")))
     return p.select("event_id", score_answer("x", 10).alias("x_correct"),
                     score_answer("b", 24.2, tolerance=1e-6).alias("b_correct"))
 
@@ -59,7 +60,8 @@ def q_sentinel_fill(spark, sf_dir):
 
 
 def coalesce_cols(spark, sf_dir):
-    return panel(spark, sf_dir).select("event_id", first_present("a", "b", "value").alias("first_present"))
+    p = panel(spark, sf_dir, with_tenure=False)
+    return p.select("event_id", first_present("a", "b", "value").alias("first_present"))
 
 
 def try_cast_report(spark, sf_dir):
@@ -76,7 +78,7 @@ def row_sum_min_count(spark, sf_dir):
 
 
 def q_family_merge(spark, sf_dir):
-    p = panel(spark, sf_dir).select(
+    p = panel(spark, sf_dir, with_tenure=False).select(
         "event_id", F.col("a").alias("HH2_1"), F.col("b").alias("HH2_2"),
         F.when(F.col("event_id") % 7 == 0, F.col("value")).alias("DHH2_1"),
         (F.col("value") * 2).alias("DHH2_2"))
