@@ -86,87 +86,6 @@ def approx_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
         *keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
 
 
-def summaries(df: DataFrame, keys: Sequence[str], value: str,
-              weights: dict[int | str, str | Column | None], tiebreak: str | Column | None = None,
-              percents: Sequence[int] = SUMMARY_PERCENTILES, extremes: int = 4,
-              variant_col: str = "weighted", limit: int | None = None) -> DataFrame:
-    """Detailed summaries under several weightings from ONE sort.
-
-    ``weights`` maps a variant label (output column ``variant_col``) to a
-    frequency weight (None = unweighted).  All variants share one running
-    pass over (value, tiebreak) and one aggregate for moments and one for
-    percentiles; the result has one row per (key, variant) with the columns
-    of ``weighted_summary``.
-    """
-    keys = list(keys)
-    tb = F.xxhash64(*[F.col(c) for c in df.columns]) if tiebreak is None else _c(tiebreak)
-    labels = list(weights)
-    x = F.col(value)
-    wcols = {}
-    for i, lab in enumerate(labels):
-        w = weights[lab]
-        wv = F.lit(1).cast("long") if w is None else _c(w).cast("long")
-        wcols[f"_w{i}"] = F.when(x.isNotNull() & wv.isNotNull() & (wv > 0), wv).otherwise(F.lit(0))
-    base = df.select(*keys, x.alias("_x"), tb.alias("_t"), *[c.alias(n) for n, c in wcols.items()])
-    aggs = {"_cn": ("sum", F.when(F.col("_x").isNotNull(), 1).otherwise(0)),
-            "_tn": ("group_sum", F.when(F.col("_x").isNotNull(), 1).otherwise(0))}
-    for i in range(len(labels)):
-        aggs[f"_cw{i}"] = ("sum", F.col(f"_w{i}"))
-        aggs[f"_tw{i}"] = ("group_sum", F.col(f"_w{i}"))
-    r = running(base.where(F.col("_x").isNotNull()), keys, ["_x", "_t"], aggs, limit=limit)
-    pos, tn = F.col("_cn") - 1, F.col("_tn")
-    keep = (pos < extremes) | (pos >= tn - extremes)
-    out_aggs = []
-    for i in range(len(labels)):
-        cw, tw, w = F.col(f"_cw{i}"), F.col(f"_tw{i}"), F.col(f"_w{i}")
-        before = cw - w
-        for p in percents:
-            target = tw * F.lit(int(p))
-            at_a = (w > 0) & (before * 100 <= target) & (target < cw * 100)
-            at_b = (w > 0) & (cw * 100 == target)
-            keep = keep | at_a | at_b
-            out_aggs += [F.max(F.when(at_a, F.col("_x"))).alias(f"_a{i}_{p}"),
-                         F.max(F.when(at_a, before * 100 == target)).alias(f"_e{i}_{p}"),
-                         F.max(F.when(at_b, F.col("_x"))).alias(f"_b{i}_{p}")]
-    for j in range(extremes):
-        out_aggs += [F.max(F.when(pos == j, F.col("_x"))).alias(f"smallest{j + 1}"),
-                     F.max(F.when(pos == tn - 1 - j, F.col("_x"))).alias(f"largest{j + 1}")]
-    g = r.where(keep).groupBy(*keys).agg(*out_aggs)
-    rows = []
-    for i, lab in enumerate(labels):
-        fields = [F.lit(lab).alias(variant_col)]
-        for p in percents:
-            a, b, e = F.col(f"_a{i}_{p}"), F.col(f"_b{i}_{p}"), F.col(f"_e{i}_{p}")
-            fields.append(F.when(e, (a + b) / 2).otherwise(a).alias(f"p{p}"))
-        fields += [F.col(f"smallest{j + 1}") for j in range(extremes)]
-        fields += [F.col(f"largest{j + 1}") for j in range(extremes)]
-        rows.append(F.struct(*fields))
-    pct = g.select(*keys, F.inline(F.array(*rows)))
-
-    # moments: one aggregate of weighted power sums for every variant
-    m_aggs = []
-    for i in range(len(labels)):
-        w = F.col(f"_w{i}").cast("double")
-        m_aggs.append(F.sum(F.when(w > 0, w)).alias(f"W{i}"))
-        m_aggs += [F.sum(F.when(w > 0, w * F.pow(F.col("_x"), k))).alias(f"S{i}_{k}") for k in range(1, 5)]
-    mg = base.groupBy(*keys).agg(*m_aggs)
-    mrows = []
-    for i, lab in enumerate(labels):
-        W = F.col(f"W{i}")
-        S1, S2, S3, S4 = (F.col(f"S{i}_{k}") for k in range(1, 5))
-        m = S1 / W
-        c2 = S2 - m * S1
-        c3 = S3 - 3 * m * S2 + 2 * m * m * S1
-        c4 = S4 - 4 * m * S3 + 6 * m * m * S2 - 3 * m * m * m * S1
-        var = c2 / (W - 1)
-        mrows.append(F.struct(F.lit(lab).alias(variant_col), W.alias("n"), m.alias("mean"),
-                              var.alias("variance"), F.sqrt(var).alias("sd"),
-                              ((c3 / W) / F.pow(c2 / W, 1.5)).alias("skewness"),
-                              ((c4 / W) / ((c2 / W) * (c2 / W))).alias("kurtosis")))
-    mom = mg.select(*keys, F.inline(F.array(*mrows)))
-    return mom.join(pct, keys + [variant_col], "inner")
-
-
 def weighted_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                          weight: str | Column | None, tiebreak: str | Column | None,
                          percents: Sequence[int] = SUMMARY_PERCENTILES,
