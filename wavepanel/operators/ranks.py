@@ -34,7 +34,8 @@ def _c(x: str | Column) -> Column:
 def weighted_ecdf(df: DataFrame, value: str, weight: str | Column | None = None,
                   by: Sequence[str] = (), tiebreak: str | None = None,
                   ties: str = "rows", rank_col: str = "rank",
-                  pos_col: str | None = None, limit: int | None = None) -> DataFrame:
+                  pos_col: str | None = None, limit: int | None = None,
+                  info: dict | None = None) -> DataFrame:
     """Weighted empirical CDF of ``value`` within ``by`` (frequency weights).
 
     ``rank = (sum of weights up to this row) / (group total)``; rows with a
@@ -57,7 +58,7 @@ def weighted_ecdf(df: DataFrame, value: str, weight: str | Column | None = None,
         aggs["_wp_cn"] = ("sum", F.col("_wp_v"))
     order = [value] + ([tiebreak] if tiebreak else [])
     frame = "rows" if ties == "rows" else "range"
-    out = running(work, list(by), order, aggs, frame=frame, limit=limit)
+    out = running(work, list(by), order, aggs, frame=frame, limit=limit, info=info)
     cols = {rank_col: F.when(F.col("_wp_v") == 1, F.col("_wp_cw") / F.col("_wp_tw"))}
     if pos_col:
         cols[pos_col] = F.when(F.col("_wp_v") == 1, F.col("_wp_cn") - 1)
@@ -127,12 +128,13 @@ def rank_crosswalk(df: DataFrame, income: str, weight: str | Column | None,
         x = F.when(~x.between(F.lit(lo), F.lit(hi)) | x.isNull(), x)
     work = df.select(*by, tiebreak, x.alias("_wp_x"),
                      (F.lit(1) if weight is None else _c(weight)).alias("_wp_wt"))
+    info: dict = {}
     ranked = weighted_ecdf(work, "_wp_x", "_wp_wt", by, tiebreak, ties=ties,
-                           rank_col="_wp_rank", pos_col="_wp_pos", limit=limit)
+                           rank_col="_wp_rank", pos_col="_wp_pos", limit=limit, info=info)
     clamped = clamp_low("_wp_x", clamp_at) if clamp_at is not None else F.col("_wp_x")
     binned = ranked.withColumn("lbound", cut(clamped, edges)).where(F.col("lbound").isNotNull())
-    # cells <= groups x bins: count the groups once to prove the broadcast bound
-    n_groups = work.select(*by).distinct().count() if by else 1
+    # cells <= groups x bins; the group count comes from the ECDF's skew check
+    n_groups = info.get("n_keys", 1)
     small = n_groups * len(edges) <= max_broadcast_rows(df.sparkSession)
     med = median_by_position(binned, by + ["lbound"], "_wp_rank", "_wp_pos", out="rank",
                              count_col=count_col, broadcast_cells=small)

@@ -42,19 +42,25 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame | None, int, int]:
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int,
+             info: dict | None = None) -> tuple[DataFrame | None, int, int]:
     """Keys with more than ``limit`` rows, written to the checkpoint folder.
 
     Returns ``(table, n_hot, max_rows)``; ``table`` is None when no key is hot.
     The table has at most ``rows / limit`` rows, which is what makes it safe
-    to broadcast.
+    to broadcast.  ``info`` (if given) receives ``n_keys``, the number of
+    distinct keys, from the same job.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wp_n"))
-    hot = counts.where(F.col("_wp_n") > limit)
-    summary = hot.agg(F.count(F.lit(1)).alias("k"), F.max("_wp_n").alias("m")).first()
+    summary = counts.agg(F.count(F.lit(1)).alias("keys"),
+                         F.count_if(F.col("_wp_n") > limit).alias("k"),
+                         F.max(F.when(F.col("_wp_n") > limit, F.col("_wp_n"))).alias("m")).first()
+    if info is not None:
+        info["n_keys"] = int(summary["keys"]) if summary else 0
     if not summary or not summary["k"]:
         return None, 0, 0
     ensure_checkpoint_dir(df.sparkSession)
+    hot = counts.where(F.col("_wp_n") > limit)
     return hot.checkpoint(eager=True), int(summary["k"]), int(summary["m"])
 
 
@@ -82,7 +88,7 @@ def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
 
 
 def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    split_ties: bool = True, limit: int | None = None
+                    split_ties: bool = True, limit: int | None = None, info: dict | None = None
                     ) -> tuple[DataFrame, DataFrame | None, int]:
     """Add column ``_wp_seg`` (0 for ordinary keys).
 
@@ -91,7 +97,7 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     spark = df.sparkSession
     limit = limit or rows_per_segment(spark)
-    hot, n_hot, max_rows = hot_keys(df, keys, limit)
+    hot, n_hot, max_rows = hot_keys(df, keys, limit, info)
     if hot is None:
         return df.withColumn(SEG, F.lit(0)), None, 0
 
@@ -148,19 +154,20 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             aggs: dict[str, tuple[str, Column]], frame: str = "rows",
-            limit: int | None = None) -> DataFrame:
+            limit: int | None = None, info: dict | None = None) -> DataFrame:
     """Add running aggregates per key in the given order.
 
     ``aggs`` maps an output name to ``(kind, column)``, kind one of
     ``sum`` | ``last`` | ``group_sum``.  ``frame="range"`` makes ``sum`` include
     all rows tied on the first order column (SQL ``RANGE`` frame); it needs
-    only ``order[0]``.  ``last`` requires ``frame="rows"``.
+    only ``order[0]``.  ``last`` requires ``frame="rows"``.  ``info`` (if
+    given) receives ``n_keys``, the number of distinct keys.
     """
     keys = list(keys)
     order = list(order)
     if not keys:
         # one global group: a constant key lets the hot-key path split it
-        out = running(df.withColumn("_wp_all", F.lit(0)), ["_wp_all"], order, aggs, frame, limit)
+        out = running(df.withColumn("_wp_all", F.lit(0)), ["_wp_all"], order, aggs, frame, limit, info)
         return out.drop("_wp_all")
     if frame not in ("rows", "range"):
         raise ValueError("frame must be 'rows' or 'range'")
@@ -168,7 +175,8 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         if any(kind == "last" for kind, _ in aggs.values()):
             raise ValueError("'last' needs a ROWS frame")
         order = order[:1]
-    seg_df, hot, n_hot = assign_segments(df, keys, order, split_ties=(frame == "rows"), limit=limit)
+    seg_df, hot, n_hot = assign_segments(df, keys, order, split_ties=(frame == "rows"),
+                                         limit=limit, info=info)
 
     part = keys + [SEG]
     w_order = Window.partitionBy(*part).orderBy(*_cols(order))
