@@ -91,3 +91,17 @@ def test_missing_report(spark):
     df = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
     out = {r["variable"]: (r["n_present"], r["n_missing"]) for r in missing_report(df, ["a", "b"]).collect()}
     assert out == {"a": (1, 1), "b": (0, 2)}
+
+
+def test_tile_with_hot_person_is_salted_and_exact(spark, low_limit):
+    rows = [(0 if i % 2 == 0 else i % 9 + 1, i, float(i) if i in (0, 1, 3, 5) else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "u int, k int, x double")
+    out = tile(df, ["x"], "u")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_wp_salt" in plan
+    got = {r["k"]: r["x"] for r in out.collect()}
+    exp = {0: 0.0, 1: 1.0, 3: 3.0, 5: 5.0}
+    for k, u in ((k, 0 if k % 2 == 0 else k % 9 + 1) for k in range(400)):
+        want = 0.0 if u == 0 else {2: 1.0, 4: 3.0, 6: 5.0}.get(u)
+        assert got[k] == want, (k, u, got[k], want)
+    assert out.count() == 400

@@ -2,11 +2,13 @@
 person, carry the last complete record forward, spell lengths.
 
 Plans.  ``tile`` aggregates per person (map-side partial aggregation, so a
-person with a third of the rows costs nothing special) and joins the small
-per-person result back with a left join: AQE splits a skewed left partition
-and turns the join into a broadcast when the per-person table measures
-small.  ``carry_forward`` is a running "last complete record" per person
-(``segments.running``), so a hot person is sorted by many tasks.
+person with a third of the rows costs nothing special) and joins the
+per-person result back with ``attach_per_key``: a plain join for ordinary
+persons, a salted join for hot ones (AQE's skew-join split does not apply
+here, because the per-person side comes out of an aggregate that already
+shares the join's partitioning).  ``carry_forward`` is a running "last
+complete record" per person (``segments.running``), so a hot person is
+sorted by many tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavepanel.operators.segments import running
+from wavepanel.operators.segments import hot_keys, running
+from wavepanel.session import max_broadcast_rows, rows_per_segment
 
 
 def _c(x: str | Column) -> Column:
@@ -86,7 +89,40 @@ def tile(df: DataFrame, values: Mapping[str, str | Column] | Sequence[str], by:
             cols[c] = r[c].try_cast(record_dtype) if record_dtype else r[c]
     stats = stats.select(*by, *[c.alias(k) for k, c in cols.items()])
     base = df.drop(*[k for k in cols if k in df.columns])
-    return base.join(stats, by, "left")
+    return attach_per_key(base, stats, by)
+
+
+def attach_per_key(df: DataFrame, stats: DataFrame, by: Sequence[str],
+                   limit: int | None = None) -> DataFrame:
+    """LEFT join of a per-key table (one row per key) back onto the rows,
+    safe when one key holds a large share of the rows.
+
+    A plain shuffle join sends every row of a key to one task.  Keys with
+    more than ``wavepanel.rowsPerSegment`` rows (found by one aggregate;
+    at most rows / limit of them, so the list is broadcast) are salted: their
+    rows are spread over ``ceil(rows / limit)`` salts by a hash of the row
+    content (deterministic on recomputation), and only their stats rows are
+    replicated to the same salts - at most about 2 * rows / limit extra rows.
+    """
+    by = list(by)
+    spark = df.sparkSession
+    limit = limit or rows_per_segment(spark)
+    hot, n_hot, _ = hot_keys(df, by, limit)
+    if hot is None:
+        return df.join(stats, by, "left")
+    flags = hot.select(*by, F.ceil(F.col("_wp_n") / F.lit(limit)).cast("int").alias("_wp_ns"))
+    flags = F.broadcast(flags) if n_hot <= max_broadcast_rows(spark) else flags
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    salted = (df.join(flags, by, "left")
+                .withColumn("_wp_salt", F.when(F.col("_wp_ns").isNull(), F.lit(0))
+                            .otherwise(F.pmod(row_hash, F.col("_wp_ns")).cast("int")))
+                .drop("_wp_ns"))
+    fanned = (stats.join(flags, by, "left")
+                   .withColumn("_wp_salt", F.explode(
+                       F.when(F.col("_wp_ns").isNull(), F.array(F.lit(0)))
+                        .otherwise(F.sequence(F.lit(0), F.col("_wp_ns") - 1))))
+                   .drop("_wp_ns"))
+    return salted.join(fanned, by + ["_wp_salt"], "left").drop("_wp_salt")
 
 
 def tile_record(df: DataFrame, cols: Sequence[str], by: str | Sequence[str],
@@ -107,7 +143,7 @@ def tile_record(df: DataFrame, cols: Sequence[str], by: str | Sequence[str],
             F.raise_error(F.lit("Multiple complete records per person: " + ", ".join(cols))))
     out = [(r[c].try_cast(dtype) if dtype else r[c]).alias(c) for c in cols]
     stats = stats.select(*by, *out)
-    return df.drop(*cols).join(stats, by, "left")
+    return attach_per_key(df.drop(*cols), stats, by)
 
 
 def tile_violations(df: DataFrame, value: str | Column, by: str | Sequence[str],
