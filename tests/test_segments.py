@@ -144,3 +144,21 @@ def test_hot_key_is_split_into_bounded_segments(spark):
     biggest = sizes.agg(F.max("count")).first()[0]
     assert biggest <= 100, biggest
     assert sizes.where("u = 0").count() >= 10
+
+
+def test_crosswalk_without_broadcast_matches(spark, low_limit):
+    """The salted (non-broadcast) cell join gives the same crosswalk."""
+    from wavepanel.session import MAX_BROADCAST_ROWS_KEY
+    o = (spark.read.parquet(f"{SMOKE}/orders.parquet")
+         .select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"),
+                 (F.col("o_orderkey") % 5 + 1).alias("w")))
+    edges = [0, 100000, 200000, 300000, 1e20]
+    a = rank_crosswalk(o, "o_totalprice", "w", ["year"], "o_orderkey", edges=edges).toPandas()
+    spark.conf.set(MAX_BROADCAST_ROWS_KEY, "1")
+    try:
+        b = rank_crosswalk(o, "o_totalprice", "w", ["year"], "o_orderkey", edges=edges).toPandas()
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_KEY)
+    key = ["year", "lbound"]
+    pd.testing.assert_frame_equal(a.sort_values(key).reset_index(drop=True),
+                                  b.sort_values(key).reset_index(drop=True))

@@ -85,8 +85,10 @@ def _attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> Data
     ensure_checkpoint_dir(big.sparkSession)
     small = small.checkpoint(eager=True)
     n = small.count()
-    side = F.broadcast(small) if n <= max_broadcast_rows(big.sparkSession) else small
-    return big.join(side, list(keys), "left")
+    if n <= max_broadcast_rows(big.sparkSession):
+        return big.join(F.broadcast(small), list(keys), "left")
+    from wavepanel.operators.panel import attach_per_key
+    return attach_per_key(big, small, keys)        # salted for hot (wave, variable)
 
 
 def outlier_flags(long: DataFrame, wave: str, value: str = "val", k: float = 100.0,

@@ -86,10 +86,16 @@ def median_by_position(ranked: DataFrame, keys: Sequence[str], value: str,
     rel = F.col(pos_col) - F.col("_wp_start")
     mid_lo = F.floor((F.col("_wp_n") - 1) / 2)
     mid_hi = F.ceil((F.col("_wp_n") - 1) / 2)
-    picked = (ranked.select(*keys, value, pos_col)
-                    .where(F.col(value).isNotNull())
-                    .join(F.broadcast(cells) if broadcast_cells else cells,
-                          F.expr("true") if not cond else _and(cond), "inner")
+    rows = ranked.select(*keys, value, pos_col).where(F.col(value).isNotNull())
+    if broadcast_cells:
+        joined = rows.join(F.broadcast(cells), F.expr("true") if not cond else _and(cond), "inner")
+    else:
+        # many cells: salted join, so a cell holding a large share of the rows is split
+        from wavepanel.operators.panel import attach_per_key
+        renamed = cells.select(*[F.col(a).alias(k) for k, a in alias.items()], "_wp_n", "_wp_start")
+        joined = attach_per_key(rows, renamed, keys).withColumns(
+            {a: F.col(k) for k, a in alias.items()})
+    picked = (joined
                     .where((rel == mid_lo) | (rel == mid_hi))
                     .groupBy(*alias.values()).agg(F.avg(value).alias(out))
                     .select(*[F.col(a).alias(a + "p") for a in alias.values()], out))
