@@ -9,6 +9,7 @@ from __future__ import annotations
 from wavepanel.plans.catalogue import build_survey_tables
 from wavepanel.plans.common import ORDER_VALUE_EDGES, order_weight, table
 from wavepanel.plans.survey_raw import raw_sql, survey_raw
+from wavepanel.operators.diagnostics import to_long, wave_stats
 from wavepanel.operators.ranks import rank_crosswalk
 from wavepanel.session import scratch_dir
 from wavepanel.sources.files import read_crosswalk, write_crosswalk_csv
@@ -36,10 +37,33 @@ def q_survey_raw(spark, sf_dir):
     return survey_raw(spark, sf_dir, materialise=False)
 
 
-QUERIES = {"survey_raw": q_survey_raw, "survey_full": survey_full, "survey_extract": survey_extract}
+# Variables the diagnostics leave out (keys and the interview date).
+DIAG_EXCLUDE = ("userid", "wid", "date")
+
+
+def extract_wave_stats(spark, sf_dir):
+    """The diagnostics program on the extract: exact quartiles and the mean
+    of every extract variable per wave (one unpivot, one sort per
+    (wave, variable))."""
+    ext = survey_extract(spark, sf_dir)
+    cols = [c for c in ext.columns if c not in DIAG_EXCLUDE]
+    long = to_long(ext.select("userid", "wid", *cols), ["wid"], cols)
+    q = wave_stats(long, "wid").drop("mean")
+    # Mean from an exact integer sum (answers have at most 4 decimals), so
+    # it does not depend on summation order; no rounding of the result.
+    scaled = F.round(F.col("val") * 10000).cast("long")
+    m = long.groupBy("wid", "variable").agg(
+        (F.sum(scaled).cast("double") / 10000.0 / F.count("val")).alias("mean"))
+    return q.join(m, ["wid", "variable"]).select(
+        "wid", "variable", *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "mean")
+
+
+QUERIES = {"survey_raw": q_survey_raw, "survey_full": survey_full, "survey_extract": survey_extract,
+           "extract_wave_stats": extract_wave_stats}
 def _sql() -> dict[str, str]:
-    from wavepanel.plans.importer_sql import extract_sql, full_sql
-    return {"survey_raw": raw_sql(), "survey_extract": extract_sql(), "survey_full": full_sql()}
+    from wavepanel.plans.importer_sql import extract_sql, extract_wave_stats_sql, full_sql
+    return {"survey_raw": raw_sql(), "survey_extract": extract_sql(), "survey_full": full_sql(),
+            "extract_wave_stats": extract_wave_stats_sql()}
 
 
 SQL: dict[str, str] = _sql()

@@ -148,3 +148,30 @@ SELECT userid, date AS wid, survey_date AS date, tenure, weight,
   CAST(t_Q46 AS SMALLINT) AS Q46, CAST(t_QRA1 AS SMALLINT) AS QRA1, m_Q47 AS Q47,
   cwr.r AS Q47_rank
 FROM prep LEFT JOIN cwr ON prep.ref_year = cwr.year AND prep.m_Q47 = cwr.ibin"""
+
+
+EXTRACT_VARS = [
+    "tenure", "weight", "financial_past_12m", "financial_12m", "prob_move_house", "prob_unrate_up",
+    "prob_irate_up", "prob_stocks_up", "infl_1y", "infl_1y_bin_mean", "infl_1y_bin_var",
+    "infl_1y_bin_median", "infl_1y_bin_iqr", "infl_1y_bin_prob_defl", "infl_3y", "infl_3y_bin_mean",
+    "infl_3y_bin_var", "infl_3y_bin_median", "infl_3y_bin_iqr", "infl_3y_bin_prob_defl", "working",
+    "num_jobs", "self_employed", "prob_lose_job", "prob_leave_job", "looking_for_job",
+    "prob_accept_job_12m", "prob_accept_job_3m", "jobless_length", "prob_search_job_12m",
+    "prob_search_job_3m", "earnings_change", "hh_inc_change", "hh_spending_change", "taxes_change",
+    "credit_cond_past12m", "credit_cond_12m", "prob_miss_paym_3m", "house_price_change",
+    "house_price_change_3y", "govt_debt_change",
+    *[f"num_lit_q{i}{s}" for i in (1, 2, 3, 5, 6, 8, 9) for s in ("", "_correct")],
+    "age_init", "female", "hispanic", "black", "college", "educ", "owner", "health", "take_fin_risk",
+    "hh_changed", "num_kids", "same_employer", "couple", "spouse_working", "hh_inc_bin",
+    "hh_inc_bin_rank"]
+
+
+def extract_wave_stats_sql() -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in EXTRACT_VARS)
+    return f"""
+WITH e AS (SELECT wid, {casts} FROM ({extract_sql()}) x),
+u AS (SELECT wid, variable, val FROM (UNPIVOT e ON {", ".join(EXTRACT_VARS)} INTO NAME variable VALUE val))
+SELECT wid, variable, round(quantile_cont(val, 0.25), 6) AS p25, round(quantile_cont(val, 0.5), 6) AS p50,
+  round(quantile_cont(val, 0.75), 6) AS p75,
+  CAST(sum(CAST(round(val * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 / count(val) AS mean
+FROM u GROUP BY wid, variable"""
