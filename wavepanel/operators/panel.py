@@ -129,21 +129,7 @@ def tile_record(df: DataFrame, cols: Sequence[str], by: str | Sequence[str],
                 dtype: str | None = None, check: str | None = "lazy") -> DataFrame:
     """Tile several columns as one record: only rows with ALL of ``cols``
     present count, and at most one such row per person is allowed."""
-    by = [by] if isinstance(by, str) else list(by)
-    complete = F.lit(True)
-    for c in cols:
-        complete = complete & F.col(c).isNotNull()
-    rec = F.when(complete, F.struct(*[F.col(c) for c in cols]))
-    stats = df.groupBy(*by).agg(F.max(rec).alias("_rec"), F.count(rec).alias("_n"))
-    if check == "eager" and stats.where(F.col("_n") > 1).limit(1).count():
-        raise ValueError("Multiple complete records per person: " + ", ".join(cols))
-    r = F.col("_rec")
-    if check == "lazy":
-        r = F.when(F.col("_n") <= 1, r).otherwise(
-            F.raise_error(F.lit("Multiple complete records per person: " + ", ".join(cols))))
-    out = [(r[c].try_cast(dtype) if dtype else r[c]).alias(c) for c in cols]
-    stats = stats.select(*by, *out)
-    return attach_per_key(df.drop(*cols), stats, by)
+    return tile(df, {}, by, check=check, records={"_record": list(cols)}, record_dtype=dtype)
 
 
 def tile_violations(df: DataFrame, value: str | Column, by: str | Sequence[str],
