@@ -72,3 +72,17 @@ def test_extract_labels(built):
     from wavepanel.functions.labels import variable_labels
     _, t = built
     assert variable_labels(t.extract)["hh_inc_bin"].startswith("Family income")
+
+
+def test_extract_is_the_same_on_the_hot_person_path(spark, built):
+    """With every person 'hot' (threshold 7 rows), tiles go through the salted
+    join and the household carry through segments; the extract must not change."""
+    from wavepanel.session import ROWS_PER_SEGMENT_KEY
+    raw, t = built
+    base = t.extract.toPandas().sort_values(["userid", "wid"]).reset_index(drop=True)
+    spark.conf.set(ROWS_PER_SEGMENT_KEY, "7")
+    try:
+        hot = build_survey_tables(raw).extract.toPandas().sort_values(["userid", "wid"]).reset_index(drop=True)
+    finally:
+        spark.conf.unset(ROWS_PER_SEGMENT_KEY)
+    pd.testing.assert_frame_equal(base, hot)

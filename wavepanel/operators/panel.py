@@ -30,7 +30,7 @@ def tile(df: DataFrame, values: Mapping[str, str | Column] | Sequence[str], by:
          dtype: str | None = None, check: str | None = "lazy", allow_equal: bool = False,
          dtypes: Mapping[str, str] | None = None,
          records: Mapping[str, Sequence[str]] | None = None,
-         record_dtype: str | None = None) -> DataFrame:
+         record_dtype: str | None = None, hot: tuple | None = None) -> DataFrame:
     """Spread a value given once per person to every row of the person.
 
     ``values`` maps output names to source columns (a list keeps names).
@@ -89,11 +89,11 @@ def tile(df: DataFrame, values: Mapping[str, str | Column] | Sequence[str], by:
             cols[c] = r[c].try_cast(record_dtype) if record_dtype else r[c]
     stats = stats.select(*by, *[c.alias(k) for k, c in cols.items()])
     base = df.drop(*[k for k in cols if k in df.columns])
-    return attach_per_key(base, stats, by)
+    return attach_per_key(base, stats, by, hot=hot)
 
 
 def attach_per_key(df: DataFrame, stats: DataFrame, by: Sequence[str],
-                   limit: int | None = None) -> DataFrame:
+                   limit: int | None = None, hot: tuple | None = None) -> DataFrame:
     """LEFT join of a per-key table (one row per key) back onto the rows,
     safe when one key holds a large share of the rows.
 
@@ -103,11 +103,12 @@ def attach_per_key(df: DataFrame, stats: DataFrame, by: Sequence[str],
     rows are spread over ``ceil(rows / limit)`` salts by a hash of the row
     content (deterministic on recomputation), and only their stats rows are
     replicated to the same salts - at most about 2 * rows / limit extra rows.
+    ``hot`` is a ``hot_keys`` result for the same rows and keys, if known.
     """
     by = list(by)
     spark = df.sparkSession
     limit = limit or rows_per_segment(spark)
-    hot, n_hot, _ = hot_keys(df, by, limit)
+    hot, n_hot, _ = hot if hot is not None else hot_keys(df, by, limit)
     if hot is None:
         return df.join(stats, by, "left")
     flags = hot.select(*by, F.ceil(F.col("_wp_n") / F.lit(limit)).cast("int").alias("_wp_ns"))
@@ -142,7 +143,7 @@ def tile_violations(df: DataFrame, value: str | Column, by: str | Sequence[str],
 
 def carry_forward(df: DataFrame, cols: Sequence[str], by: str | Sequence[str],
                   order: Sequence[str], complete: bool = True,
-                  limit: int | None = None) -> DataFrame:
+                  limit: int | None = None, hot: tuple | None = None) -> DataFrame:
     """Replace ``cols`` by the latest record at or before each row of the person.
 
     With ``complete=True`` only rows where all ``cols`` are present are
@@ -155,7 +156,7 @@ def carry_forward(df: DataFrame, cols: Sequence[str], by: str | Sequence[str],
     for c in cols:
         ok = (ok & F.col(c).isNotNull()) if complete else (ok | F.col(c).isNotNull())
     rec = F.when(ok, F.struct(*[F.col(c).alias(c) for c in cols]))
-    out = running(df, by, list(order), {"_wp_rec": ("last", rec)}, limit=limit)
+    out = running(df, by, list(order), {"_wp_rec": ("last", rec)}, limit=limit, hot=hot)
     return out.withColumns({c: F.col("_wp_rec")[c] for c in cols}).drop("_wp_rec")
 
 

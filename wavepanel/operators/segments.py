@@ -88,16 +88,18 @@ def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
 
 
 def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    split_ties: bool = True, limit: int | None = None, info: dict | None = None
-                    ) -> tuple[DataFrame, DataFrame | None, int]:
+                    split_ties: bool = True, limit: int | None = None, info: dict | None = None,
+                    hot: tuple | None = None) -> tuple[DataFrame, DataFrame | None, int]:
     """Add column ``_wp_seg`` (0 for ordinary keys).
 
     ``order`` holds one or two column names of a type ``percentile_approx``
     accepts (numeric, date, timestamp).  Returns ``(df, hot, n_hot)``.
+    ``hot`` is a ``hot_keys`` result already computed for the same rows and
+    keys (e.g. shared by several operators), which skips the detection job.
     """
     spark = df.sparkSession
     limit = limit or rows_per_segment(spark)
-    hot, n_hot, max_rows = hot_keys(df, keys, limit, info)
+    hot, n_hot, max_rows = hot if hot is not None else hot_keys(df, keys, limit, info)
     if hot is None:
         return df.withColumn(SEG, F.lit(0)), None, 0
 
@@ -154,7 +156,8 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             aggs: dict[str, tuple[str, Column]], frame: str = "rows",
-            limit: int | None = None, info: dict | None = None) -> DataFrame:
+            limit: int | None = None, info: dict | None = None,
+            hot: tuple | None = None) -> DataFrame:
     """Add running aggregates per key in the given order.
 
     ``aggs`` maps an output name to ``(kind, column)``, kind one of
@@ -176,7 +179,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             raise ValueError("'last' needs a ROWS frame")
         order = order[:1]
     seg_df, hot, n_hot = assign_segments(df, keys, order, split_ties=(frame == "rows"),
-                                         limit=limit, info=info)
+                                         limit=limit, info=info, hot=hot)
 
     part = keys + [SEG]
     w_order = Window.partitionBy(*part).orderBy(*_cols(order))

@@ -31,7 +31,9 @@ from wavepanel.functions.columns import (any_equals_flag, columns_matching, equa
                                          first_present, member_flag, numbered, recode, rescale,
                                          row_sum, score_answer, sentinel_fill, try_cast)
 from wavepanel.operators.checks import implies_missing, rule_violations
-from wavepanel.operators.panel import carry_forward, tile, tile_record
+from wavepanel.operators.panel import carry_forward, tile
+from wavepanel.operators.segments import hot_keys
+from wavepanel.session import rows_per_segment
 from wavepanel.operators.ranks import attach_rank, validated_crosswalk
 from wavepanel.operators.signs import decide, flipped, negative_mask
 from wavepanel.functions.columns import reference_year
@@ -182,9 +184,11 @@ def prepare(raw: DataFrame, checks: str = "raise") -> tuple[DataFrame, dict[str,
     df = df.withColumns({v: flipped(v, neg, verdicts[v]) for v, (_, neg) in pairs.items()})
 
     # 3. tiles: once-only answers (one aggregate + join); races as one record
+    # one skew check per person key, shared by the tile join and the carry window
+    hot = hot_keys(df, [ID], rows_per_segment(df.sparkSession))
     tiles = {t: dt for t, dt in TILES if t in cols}
     df = tile(df, list(tiles), ID, dtypes=tiles,
-              records={"_races": columns_matching(df, r"Q35.*")}, record_dtype="smallint")
+              records={"_races": columns_matching(df, r"Q35.*")}, record_dtype="smallint", hot=hot)
 
     # 4. household composition: overwrite on change, carry last complete record
     flag = F.coalesce(F.col("D1") == 2, F.lit(False))
@@ -195,7 +199,7 @@ def prepare(raw: DataFrame, checks: str = "raise") -> tuple[DataFrame, dict[str,
             if len(upd) != len(comp):
                 raise ValueError(f"D2new_* ({len(upd)}) and Q45new_* ({len(comp)}) differ in length")
             df = df.withColumns({o: F.when(flag, F.col(n)).otherwise(F.col(o)) for o, n in zip(comp, upd)})
-        df = carry_forward(df, comp, ID, [WID])
+        df = carry_forward(df, comp, ID, [WID], hot=hot)
 
     # merges of later-wave updates into the first-wave answers
     merged = {"Q38": first_present("Q38", "DQ38"), "Q47": first_present("Q47", "D6")}
