@@ -106,7 +106,10 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # Grid: about four segments per `limit` rows of the largest key.
     grid = int(min(4096, max(2, math.ceil(4.0 * max_rows / limit))))
     probs = [i / grid for i in range(1, grid)]
-    accuracy = max(10_000, 50 * grid)
+    # rank error 1/accuracy must stay well below one grid step (1/grid);
+    # 8x keeps segments within a small factor of their target size while
+    # bounding each sketch (at most ~32k entries)
+    accuracy = max(10_000, 8 * grid)
     o1 = order[0]
     o2 = order[1] if (split_ties and len(order) > 1) else None
 
