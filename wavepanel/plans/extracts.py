@@ -88,10 +88,10 @@ def changed_files(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     (ev.repartition("event_type").sortWithinPartitions("event_id")
        .write.mode("overwrite").partitionBy("event_type").parquet(path))
-    hashes = file_hashes(spark, path + "/*/*.parquet")
+    hashes = file_hashes(spark, path, "*.parquet")
     manifest = hashes.where(~F.col("path").contains("event_type=error")
                             & ~F.col("path").contains("event_type=signup"))
-    return changed_files_op(spark, path + "/*/*.parquet", manifest).select(
+    return changed_files_op(spark, path, manifest, "*.parquet").select(
         F.regexp_extract("path", r"event_type=([^/]+)", 1).alias("event_type"), "md5")
 
 

@@ -112,16 +112,26 @@ def union_extracts(frames: Sequence[DataFrame]) -> DataFrame:
 
 # --- S3 ---------------------------------------------------------------------
 
-def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, md5) of every file, content hashed on the executors."""
-    src = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+def file_hashes(spark: SparkSession, paths: str | Sequence[str],
+                name_glob: str | None = None) -> DataFrame:
+    """(path, md5) of every file, content hashed on the executors.
+
+    A directory is searched recursively; ``name_glob`` keeps matching file
+    names only (e.g. ``"*.csv"``).
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    src = reader.load(paths if isinstance(paths, str) else list(paths))
     return src.select(F.col("path"), F.md5("content").alias("md5"))
 
 
-def changed_files(spark: SparkSession, paths: str | Sequence[str], manifest: DataFrame) -> DataFrame:
+def changed_files(spark: SparkSession, paths: str | Sequence[str], manifest: DataFrame,
+                  name_glob: str | None = None) -> DataFrame:
     """Files whose content hash is not in ``manifest`` (column ``md5``):
     the ones that must be (re)loaded.  A left-anti join on the hash."""
-    return file_hashes(spark, paths).join(manifest.select("md5").distinct(), "md5", "left_anti")
+    return (file_hashes(spark, paths, name_glob)
+            .join(manifest.select("md5").distinct(), "md5", "left_anti"))
 
 
 # --- S6 / S8 ----------------------------------------------------------------
