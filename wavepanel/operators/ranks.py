@@ -103,7 +103,8 @@ def median_by_position(ranked: DataFrame, keys: Sequence[str], value: str,
     sel = [F.col(a).alias(k) for k, a in alias.items()] + [F.col(out)]
     if count_col:
         sel.append(F.col("_wp_n").alias(count_col))
-    return cells.join(picked, _and(back), "left").select(*sel)
+    picked_side = F.broadcast(picked) if broadcast_cells else picked   # <= one row per cell
+    return cells.join(picked_side, _and(back), "left").select(*sel)
 
 
 def _and(conds):
