@@ -27,8 +27,8 @@ from ..session import stage
 from .common import own_columns, read, schema
 
 # Documents that the word list and the scorer are fitted on, at most about.
-LABELLED_SAMPLE = 8_000
-TRAINING_SAMPLE = 8_000
+LABELLED_SAMPLE = 6_000
+TRAINING_SAMPLE = 4_000
 HASH_BITS = 18
 # Features of the word list: words and word beginnings of these lengths.
 STEMS = (4, 5, 6)
