@@ -28,7 +28,7 @@ GROUP_PIECES = 200_000
 # Bins filled to less than this share are opened again in the next round.
 REOPEN = 0.98
 # Distinct words kept per Python worker; the cache starts anew beyond it.
-CACHE = 400_000
+CACHE = 800_000
 # Underfull bins, and steps, of one local search.
 SEARCH_BINS = 256
 SEARCH_STEPS = 2_000
@@ -37,10 +37,13 @@ SEARCH_STEPS = 2_000
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Words for which lower-casing and NFC are the same in every library.
 _PLAIN = regex.compile(r"[\x21-\x7e¡-ÿĀ-įı-ſ]*")
-_SPACE = str.maketrans("\t\n\r\x0b\x0c", "     ")
 _words: dict[str, "WordIds"] = {}
 
 
+def _split(text: str) -> list[str]:
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+
 class WordIds:
     """Token ids of whole texts through a cache of words.
 
@@ -103,12 +106,12 @@ class WordIds:
                 flush()
                 done = []
                 for s in spans(t):
-                    ws = s.translate(_SPACE).split(" ")
+                    ws = _split(s)
                     self.learn(set(ws))
                     done.append(b"".join(map(self.words.__getitem__, ws)))
                 out.append(b"".join(done) + end)
                 continue
-            batch.append(t.translate(_SPACE).split(" "))
+            batch.append(_split(t))
             size += len(t)
             if size > 1 << 22:
                 flush()
