@@ -32,7 +32,7 @@ OVERLAP_CHARS = 1_024
 # more than the longest special string and the one character of look-ahead
 MARGIN = 32
 # distinct pieces kept per Python worker; the cache starts anew beyond it
-CACHE = 400_000
+CACHE = 800_000
 
 # Boundaries inside a piece that hold wherever the piece stands: around a
 # single line break between non-spaces, and between a letter and a stop.
