@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +39,44 @@ def test_write_extracts_roundtrip(spark):
     write_extracts(df, d, "# license")
     back = load_extracts(spark, d, SCHEMA, preamble_prefix="#").drop("_source_file")
     assert sorted(map(tuple, back.collect())) == [(1, 201301, 2.5), (2, 201302, 0.1)]
-    first_lines = [open(os.path.join(d, f)).readline().strip() for f in os.listdir(d) if f.startswith("part")]
-    assert first_lines and all(line == "# license" for line in first_lines)
+    first_lines = [open(os.path.join(p, f)).readline().strip()
+                   for p, _, fs in os.walk(d) for f in fs if f.startswith("part-")]
+    assert len(first_lines) == 8 and set(first_lines) == {"# license"}
+
+
+def test_a_record_may_look_like_a_preamble_line(spark):
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("x", T.StringType())])
+    d = tempfile.mkdtemp()
+    open(f"{d}/a.csv", "w").write("# license\nid,x\n#2,bar\n1,foo\n")
+    open(f"{d}/b.csv", "w").write("# license\n\"x\",id,more\r\nbaz,3,z\r\n")
+    rows = load_extracts(spark, d, schema, preamble_prefix="#").drop("_source_file")
+    assert sorted(map(tuple, rows.collect())) == [("#2", "bar"), ("1", "foo"), ("3", "baz")]
+
+
+def test_bad_extracts_raise(spark):
+    d = tempfile.mkdtemp()
+    open(f"{d}/a.csv", "w").write("userid,wid,x\n1,201301,2.5\n")
+    with pytest.raises(ValueError, match="does not start"):
+        load_extracts(spark, d, SCHEMA, preamble_prefix="#")
+    open(f"{d}/a.csv", "w").write("userid,x\n1,2.5\n")
+    with pytest.raises(ValueError, match="lacks wid"):
+        load_extracts(spark, d, SCHEMA)
+    open(f"{d}/a.csv", "w").write("userid,wid,x\none,201301,2.5\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        load_extracts(spark, d, SCHEMA).collect()
+    bad = load_extracts(spark, d, SCHEMA, malformed="null").first()
+    assert (bad.userid, bad.wid, bad.x) == (None, 201301, 2.5)
+
+
+def test_second_file_is_loaded_by_the_second_ingest(spark):
+    src, out, ckpt = (tempfile.mkdtemp() for _ in range(3))
+    for n, name in ((1, "a.csv"), (2, "b.csv")):
+        _write(f"{src}/{name}", [(n, 201301, 1.0)])
+        ingest_available(spark, src, SCHEMA, out, ckpt)
+        got = sorted(r.userid for r in spark.read.parquet(out).collect())
+        assert got == list(range(1, n + 1))
+    with pytest.raises(ValueError):
+        ingest_available(spark, src, SCHEMA, out, None)
 
 
 def test_union_by_name_with_drift(spark):

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wavepanel.operators.diagnostics import nobs_histogram, outlier_flags, to_long
-from wavepanel.operators.ranks import attach_rank, small_cell_filter
-from wavepanel.operators.stats import weighted_mean_se, weighted_percentiles, weighted_tabulate
+from wavepanel.operators.ranks import attach_rank, rank_crosswalk, small_cell_filter
+from wavepanel.operators.stats import (weighted_mean_se, weighted_percentiles, weighted_summary,
+                                       weighted_tabulate)
 
 
 def brute_percentile(xs, ws, p):
@@ -126,3 +127,37 @@ def test_wave_stats_approx_close_to_exact(spark):
     ap = {r["wid"]: r for r in wave_stats(long, "wid", method="approx").collect()}
     for w in (1, 2):
         assert abs(ex[w]["p50"] - ap[w]["p50"]) <= 1.0 and ex[w]["mean"] == ap[w]["mean"]
+
+
+def test_summary_without_keys_and_of_odd_groups(spark):
+    rows = [("const", 5.0, 2), ("const", 5.0, 1), ("one", 3.0, 1), ("zero", 1.0, 0), ("nan", float("nan"), 1)]
+    df = spark.createDataFrame(rows, "g string, x double, w int")
+    by = {r.g: r for r in weighted_summary(df, ["g"], "x", "w").collect()}
+    assert set(by) == {"const", "one"}
+    assert by["const"].sd == 0 and by["const"].skewness is None and by["const"].p50 == 5.0
+    assert by["one"].variance is None and by["one"].smallest2 is None
+    whole = weighted_summary(df.where("g != 'nan'"), [], "x", "w").collect()
+    assert len(whole) == 1 and whole[0].n == 4.0 and whole[0].smallest1 == 3.0
+    se = {r.g: r.se for r in weighted_mean_se(df, ["g"], "x", "w").collect()}
+    assert se["one"] is None and se["const"] == 0
+
+
+def test_moments_do_not_cancel(spark):
+    df = spark.createDataFrame([(1e8 + i,) for i in range(3)], "x double")
+    r = weighted_summary(df, [], "x", None).first()
+    assert r.variance == 1.0 and abs(r.skewness) < 1e-12
+
+
+def test_fractional_weights_keep_every_row(spark):
+    df = spark.createDataFrame([(float(i), 0.5 if i % 2 == 0 else 1.9) for i in range(10)],
+                               "x double, w double")
+    r = weighted_summary(df, [], "x", "w").first()
+    assert r.n == 12.0 and r.smallest1 == 0.0 and r.largest2 == 8.0
+    assert r.p50 == brute_percentile(list(map(float, range(10))), [5, 19] * 5, 50)
+
+
+def test_equal_ranks_share_the_median(spark):
+    df = spark.createDataFrame([(1, 10.0), (2, 10.0), (3, 20.0)], "k int, x double").withColumn(
+        "g", F.lit(1))
+    r = rank_crosswalk(df, "x", None, ["g"], "k", edges=[0, 100], ties="equal", count_col="n").first()
+    assert abs(r["rank"] - 2 / 3) < 1e-12 and r["n"] == 3

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavepanel.operators.stats import exact_quantiles
-from wavepanel.session import ensure_checkpoint_dir, max_broadcast_rows
+from wavepanel.session import stage, ensure_checkpoint_dir, max_broadcast_rows
 
 
 def nonmissing_counts(df: DataFrame, by: str | Sequence[str], cols: Sequence[str],
@@ -71,9 +71,7 @@ def wave_stats(long: DataFrame, wave: str, value: str = "val",
             *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "mean")
     if method != "exact":
         raise ValueError("method must be 'exact' or 'approx'")
-    return exact_quantiles(long, keys, value, probs, ["p25", "p50", "p75"],
-                           tiebreak=F.xxhash64("_row", "variable") if "_row" in long.columns else None,
-                           mean_name="mean")
+    return exact_quantiles(long, keys, value, probs, ["p25", "p50", "p75"], mean_name="mean")
 
 
 def _attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,8 +89,16 @@ def _attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> Data
     return attach_per_key(big, small, keys)        # salted for hot (wave, variable)
 
 
+def value_counts(long: DataFrame, wave: str, value: str = "val", freq: str = "n") -> DataFrame:
+    """One row per (wave, variable, value) with its count, written once.
+
+    The outlier counts and trimmed means below need no more than this."""
+    return stage(long.groupBy(wave, "variable", value).agg(F.count(F.lit(1)).alias(freq)),
+                 "value-counts")
+
+
 def outlier_flags(long: DataFrame, wave: str, value: str = "val", k: float = 100.0,
-                  min_iqr: float = 1.0) -> DataFrame:
+                  min_iqr: float = 1.0, freq: str | None = None) -> DataFrame:
     """Add ``outlier``: value above ``q25 + k*IQR`` or below ``q75 - k*IQR``
     within its (wave, variable), with ``IQR = max(q75 - q25, min_iqr)``.
 
@@ -100,8 +106,7 @@ def outlier_flags(long: DataFrame, wave: str, value: str = "val", k: float = 100
     being reproduced does), i.e. they lie (k-1)*IQR beyond the usual fences.
     """
     keys = [wave, "variable"]
-    q = exact_quantiles(long, keys, value, [0.25, 0.75], ["q25", "q75"],
-                        tiebreak=F.xxhash64("_row", "variable") if "_row" in long.columns else None)
+    q = exact_quantiles(long, keys, value, [0.25, 0.75], ["q25", "q75"], freq=freq)
     iqr = F.greatest(F.col("q75") - F.col("q25"), F.lit(min_iqr))
     q = q.select(*keys, "q25", "q75", iqr.alias("iqr"))
     x = F.col(value)
@@ -109,14 +114,21 @@ def outlier_flags(long: DataFrame, wave: str, value: str = "val", k: float = 100
     return _attach_small(long, q, keys).withColumn("outlier", F.coalesce(flag, F.lit(False)))
 
 
-def outlier_counts(flagged: DataFrame) -> DataFrame:
+def outlier_counts(flagged: DataFrame, freq: str | None = None) -> DataFrame:
     """Outliers per variable, non-zero only, largest first."""
-    return (flagged.groupBy("variable").agg(F.count_if("outlier").alias("n_outliers"))
+    n = F.count_if("outlier") if freq is None else F.sum(F.when(F.col("outlier"), F.col(freq)))
+    return (flagged.groupBy("variable").agg(n.alias("n_outliers"))
                    .where(F.col("n_outliers") > 0).orderBy(F.desc("n_outliers"), "variable"))
 
 
-def trimmed_means(flagged: DataFrame, wave: str, value: str = "val") -> DataFrame:
+def trimmed_means(flagged: DataFrame, wave: str, value: str = "val",
+                  freq: str | None = None) -> DataFrame:
     """Mean per (wave, variable) with outliers set to missing."""
+    if freq is not None:
+        kept = ~F.col("outlier")
+        return flagged.groupBy(wave, "variable").agg(
+            F.try_divide(F.sum(F.when(kept, F.col(value) * F.col(freq))),
+                         F.sum(F.when(kept, F.col(freq)))).alias("mean_trimmed"))
     return flagged.groupBy(wave, "variable").agg(
         F.avg(F.when(~F.col("outlier"), F.col(value))).alias("mean_trimmed"))
 

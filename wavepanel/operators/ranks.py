@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from wavepanel.functions.columns import clamp_low, cut
 from wavepanel.operators.segments import running
-from wavepanel.session import max_broadcast_rows
+from wavepanel.operators.stats import exact_quantiles
+from wavepanel.session import max_broadcast_rows, stage
 
 # Family-income bin edges of the survey (lower edges of the
 # 11 answer categories, plus an open top edge).
@@ -59,7 +60,7 @@ def weighted_ecdf(df: DataFrame, value: str, weight: str | Column | None = None,
     order = [value] + ([tiebreak] if tiebreak else [])
     frame = "rows" if ties == "rows" else "range"
     out = running(work, list(by), order, aggs, frame=frame, limit=limit, info=info)
-    cols = {rank_col: F.when(F.col("_wp_v") == 1, F.col("_wp_cw") / F.col("_wp_tw"))}
+    cols = {rank_col: F.when(F.col("_wp_v") == 1, F.try_divide("_wp_cw", "_wp_tw"))}
     if pos_col:
         cols[pos_col] = F.when(F.col("_wp_v") == 1, F.col("_wp_cn") - 1)
     return out.withColumns(cols).drop("_wp_w", "_wp_v", "_wp_cw", "_wp_tw", "_wp_cn")
@@ -135,6 +136,8 @@ def rank_crosswalk(df: DataFrame, income: str, weight: str | Column | None,
         x = F.when(~x.between(F.lit(lo), F.lit(hi)) | x.isNull(), x)
     work = df.select(*by, tiebreak, x.alias("_wp_x"),
                      (F.lit(1) if weight is None else _c(weight)).alias("_wp_wt"))
+    if ties == "equal":
+        return _equal_rank_crosswalk(work, by, edges, clamp_at, count_col, limit)
     info: dict = {}
     ranked = weighted_ecdf(work, "_wp_x", "_wp_wt", by, tiebreak, ties=ties,
                            rank_col="_wp_rank", pos_col="_wp_pos", limit=limit, info=info)
@@ -150,6 +153,38 @@ def rank_crosswalk(df: DataFrame, income: str, weight: str | Column | None,
     return med.withColumn("ibin", ibin.cast("int")).select(*cols)
 
 
+def _equal_rank_crosswalk(work: DataFrame, by: list[str], edges: Sequence[float],
+                          clamp_at: float | None, count_col: str | None,
+                          limit: int | None) -> DataFrame:
+    """The crosswalk when equal incomes share their largest rank.
+
+    Rows of one income have one rank, so everything runs on the counts and
+    weights of the distinct incomes; positions come from the counts.
+    """
+    counted = F.col("_wp_x").isNotNull() & F.col("_wp_wt").isNotNull()
+    values = stage(work.groupBy(*by, "_wp_x").agg(
+        F.count_if(counted).alias("_wp_n"),
+        F.coalesce(F.sum(F.when(counted, F.col("_wp_wt"))), F.lit(0)).alias("_wp_w")), "incomes")
+    r = running(values, by, ["_wp_x"], {"_wp_cw": ("sum", F.col("_wp_w")),
+                                        "_wp_tw": ("group_sum", F.col("_wp_w"))}, limit=limit)
+    rank = F.when(F.col("_wp_n") > 0, F.try_divide("_wp_cw", "_wp_tw"))
+    clamped = clamp_low("_wp_x", clamp_at) if clamp_at is not None else F.col("_wp_x")
+    binned = stage(r.withColumn("_wp_rank", rank).withColumn("lbound", cut(clamped, edges))
+                   .where(F.col("lbound").isNotNull())
+                   .select(*by, "lbound", "_wp_rank", "_wp_n"), "ranked-incomes")
+    cell = by + ["lbound"]
+    med = exact_quantiles(binned, cell, "_wp_rank", [0.5], ["rank"], freq="_wp_n")
+    counts = binned.groupBy(*cell).agg(F.sum("_wp_n").alias("_wp_c"))
+    same = _and([counts[c].eqNullSafe(med[c]) for c in cell])
+    ibin = F.row_number().over(Window.partitionBy(*by).orderBy("lbound"))
+    out = counts.join(med, same, "left").select(*[counts[c] for c in cell], med["rank"],
+                                                counts["_wp_c"])
+    if count_col:
+        out = out.withColumn(count_col, F.col("_wp_c"))
+    return out.withColumn("ibin", ibin.cast("int")).select(
+        *by, "ibin", "lbound", "rank", *([count_col] if count_col else []))
+
+
 def small_cell_filter(cw: DataFrame, cell: Sequence[str], count_col: str = "nobs",
                       min_total: int = 1000) -> DataFrame:
     """Keep cells whose total ``count_col`` over all bins is at least ``min_total``.

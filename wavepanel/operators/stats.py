@@ -1,10 +1,11 @@
 """Exact order statistics and weighted summaries.
 
-Exact quantiles are computed *by position*: a running row count (and the
-group size) per key in value order - ``segments.running``, which splits hot
-keys - then only the rows at the needed positions are kept and combined.
-No operator here builds a per-group value map (``percentile``) or collects a
-group into one task, so a wave holding a third of the table is fine.
+Every statistic runs on a *value table*: one row per key and distinct value
+with its count and weight, built by one aggregate with map-side combine.
+Running totals over the distinct values (``segments.running``, which splits hot
+keys) then place every position and every share of the weight exactly.  Survey
+answers are few codes, so the table is tiny beside the rows, and a value that
+a third of the rows share is one row of it.
 
 ``approx_quantiles`` (``percentile_approx``) is the cheaper option when a
 bounded rank error is acceptable.
@@ -14,10 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavepanel.operators.segments import running
+from wavepanel.session import stage
 
 # The percentiles of a detailed summary.
 SUMMARY_PERCENTILES = [1, 5, 10, 25, 50, 75, 90, 95, 99]
@@ -32,41 +34,52 @@ def _pname(p: float) -> str:
     return f"p{s}"
 
 
+def _present(c: Column, kind: str) -> Column:
+    """Neither NULL nor NaN."""
+    return c.isNotNull() & ~F.isnan(c) if kind in ("double", "float") else c.isNotNull()
+
+
+def value_table(df: DataFrame, keys: Sequence[str], value: str | Column,
+                freq: str | Column | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+    """(keys, _v, _n, extra...): the distinct present values of each key with
+    their row counts (the sum of ``freq`` if rows stand for several)."""
+    v = df.select(*keys, _c(value).alias("_v"), *([_c(freq).alias("_f")] if freq is not None else []),
+                  *extra)
+    kind = v.schema["_v"].dataType.simpleString()
+    names = [c for c in v.columns if c not in (*keys, "_v", "_f")]
+    n = F.sum("_f") if freq is not None else F.count(F.lit(1))
+    table = (v.where(_present(F.col("_v"), kind)).groupBy(*keys, "_v")
+             .agg(n.cast("long").alias("_n"), *[F.sum(c).alias(c) for c in names]))
+    return stage(table, "value-table")
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str] | None = None,
                     tiebreak: str | Column | None = None, limit: int | None = None,
-                    mean_name: str | None = None) -> DataFrame:
+                    mean_name: str | None = None, freq: str | Column | None = None) -> DataFrame:
     """Linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``)
     of the non-missing ``value`` per ``keys``; one row per key.
 
-    ``tiebreak`` (default: a hash of the whole input row) only lets a very
-    frequent value be split across tasks; it does not change the answer.
-    ``mean_name`` also returns the mean, from the same window pass.
+    ``freq`` names a count if a row stands for several.  ``mean_name`` also
+    returns the mean, from the same table.  ``tiebreak`` is accepted for
+    callers that have one; equal values are one row here and need none.
     """
     keys = list(keys)
     names = list(names) if names else [_pname(p) for p in probs]
-    tb = F.xxhash64(*[F.col(c) for c in df.columns]) if tiebreak is None else _c(tiebreak)
-    v = (df.select(*keys, _c(value).alias("_q_v"), tb.alias("_q_t"))
-           .where(F.col("_q_v").isNotNull()))
-    aggs = {"_q_c": ("sum", F.lit(1)), "_q_n": ("group_sum", F.lit(1))}
+    aggs = {"_q_c": ("sum", F.col("_n")), "_q_n": ("group_sum", F.col("_n"))}
     if mean_name:
-        aggs["_q_s"] = ("group_sum", F.col("_q_v"))
-    r = running(v, keys, ["_q_v", "_q_t"], aggs, limit=limit)
-    pos = F.col("_q_c") - 1
-    n = F.col("_q_n")
-    keep = F.lit(False)
-    for p in probs:
-        h = (n - 1) * F.lit(float(p))
-        keep = keep | (pos == F.floor(h)) | (pos == F.ceil(h))
-    picked = r.where(keep)
-    aggs = [F.max(n).alias("_q_n")]
+        aggs["_q_s"] = ("group_sum", F.col("_n") * F.col("_v"))
+    r = running(value_table(df, keys, value, freq), keys, ["_v"], aggs, limit=limit)
+    n, upto = F.col("_q_n"), F.col("_q_c")
+    before = upto - F.col("_n")
+    out_aggs = [F.max(n).alias("_q_n")]
     if mean_name:
-        aggs.append(F.max(F.col("_q_s")).alias("_q_s"))
+        out_aggs.append(F.max(F.col("_q_s")).alias("_q_s"))
     for i, p in enumerate(probs):
         h = (n - 1) * F.lit(float(p))
-        aggs.append(F.max(F.when(pos == F.floor(h), F.col("_q_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(pos == F.ceil(h), F.col("_q_v"))).alias(f"_hi{i}"))
-    g = picked.groupBy(*keys).agg(*aggs)
+        for name, at in ((f"_lo{i}", F.floor(h)), (f"_hi{i}", F.ceil(h))):
+            out_aggs.append(F.max(F.when((before <= at) & (at < upto), F.col("_v"))).alias(name))
+    g = r.groupBy(*keys).agg(*out_aggs)
     out = []
     for i, (p, nm) in enumerate(zip(probs, names)):
         h = (F.col("_q_n") - 1) * F.lit(float(p))
@@ -74,7 +87,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
         out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(nm))
     if mean_name:
         out.append((F.col("_q_s") / F.col("_q_n")).alias(mean_name))
-    return g.select(*keys, *out)
+    return g.where(F.col("_q_n") > 0).select(*keys, *out)
 
 
 def approx_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
@@ -86,8 +99,76 @@ def approx_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
         *keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
 
 
+def _weights(df: DataFrame, weight: str | Column | None) -> tuple[Column, str]:
+    """The weight column and the type in which it is summed exactly: whole
+    numbers as long, others as decimals with nine places."""
+    if weight is None:
+        return F.lit(1).cast("long"), "long"
+    kind = df.select(_c(weight).alias("w")).schema["w"].dataType.simpleString()
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    return _c(weight), "long" if whole else "decimal(20,9)"
+
+
+def _summary(df: DataFrame, keys: Sequence[str], value: str, weight: str | Column | None,
+             percents: Sequence[int], extremes: int, limit: int | None) -> DataFrame:
+    """Moments, percentiles and extremes per key, from one value table."""
+    keys = list(keys)
+    w, kind = _weights(df, weight)
+    ok = w.isNotNull() & (w > 0)
+    src = df.where(ok & ~F.isnan(w.cast("double")))
+    vt = value_table(src, keys, value, extra=[w.cast(kind).alias("_w"),
+                                              w.cast("double").alias("_d")])
+    x, xd, n = F.col("_v"), F.col("_v").cast("double"), F.col("_n")
+    # room for the factor of 100 that turns shares into exact comparisons
+    sums = "long" if kind == "long" else "decimal(30,9)"
+    r = running(vt, keys, ["_v"], {
+        "_cw": ("sum", F.col("_w")), "_tw": ("group_sum", F.col("_w")),
+        "_cn": ("sum", n), "_tn": ("group_sum", n),
+        "_td": ("group_sum", F.col("_d")), "_ts": ("group_sum", F.col("_d") * xd)}, limit=limit)
+    r = r.withColumns({"_cw": F.col("_cw").cast(sums), "_tw": F.col("_tw").cast(sums),
+                       "_bw": (F.col("_cw") - F.col("_w")).cast(sums),
+                       "_off": xd - F.try_divide("_ts", "_td")})
+    hundred = F.lit(100) if kind == "long" else F.lit(100).cast("decimal(3,0)")
+    cw, tw, before = F.col("_cw") * hundred, F.col("_tw"), F.col("_bw") * hundred
+    last, first, tn = F.col("_cn"), F.col("_cn") - n, F.col("_tn")
+    aggs = [F.sum("_d").alias("_W"), F.max(F.try_divide("_ts", "_td")).alias("_mean")]
+    # central moments around the group's own mean: no cancellation
+    aggs += [F.sum(F.col("_d") * F.pow("_off", F.lit(k))).alias(f"_c{k}") for k in (2, 3, 4)]
+    for p in percents:
+        target = tw * (F.lit(int(p)) if kind == "long" else F.lit(int(p)).cast("decimal(3,0)"))
+        at_a = (before <= target) & (target < cw)
+        at_b = cw == target
+        aggs.append(F.max(F.when(at_a, x)).alias(f"_a{p}"))
+        aggs.append(F.max(F.when(at_a, before == target)).alias(f"_e{p}"))
+        aggs.append(F.max(F.when(at_b, x)).alias(f"_b{p}"))
+    for i in range(extremes):
+        aggs.append(F.max(F.when((first <= i) & (last > i), x)).alias(f"smallest{i + 1}"))
+        at = tn - 1 - i
+        aggs.append(F.max(F.when((first <= at) & (last > at), x)).alias(f"largest{i + 1}"))
+    return r.groupBy(*keys).agg(*aggs).where(F.col("_W").isNotNull())
+
+
+def _percentile_columns(percents: Sequence[int], extremes: int) -> list[Column]:
+    cols = []
+    for p in percents:
+        a, b, e = F.col(f"_a{p}"), F.col(f"_b{p}"), F.col(f"_e{p}")
+        cols.append(F.when(e, (a + b) / 2).otherwise(a).alias(f"p{p}"))
+    return (cols + [F.col(f"smallest{i + 1}") for i in range(extremes)]
+            + [F.col(f"largest{i + 1}") for i in range(extremes)])
+
+
+def _moment_columns() -> list[Column]:
+    W, c2 = F.col("_W"), F.col("_c2")
+    m2, m3, m4 = c2 / W, F.col("_c3") / W, F.col("_c4") / W
+    # a group without spread, or with a total weight of one, has no such moments
+    var = F.when(W > 1, F.try_divide(c2, W - 1))
+    return [W.alias("n"), F.col("_mean").alias("mean"), var.alias("variance"),
+            F.sqrt(var).alias("sd"), F.try_divide(m3, F.pow(m2, F.lit(1.5))).alias("skewness"),
+            F.try_divide(m4, m2 * m2).alias("kurtosis")]
+
+
 def weighted_percentiles(df: DataFrame, keys: Sequence[str], value: str,
-                         weight: str | Column | None, tiebreak: str | Column | None,
+                         weight: str | Column | None, tiebreak: str | Column | None = None,
                          percents: Sequence[int] = SUMMARY_PERCENTILES,
                          extremes: int = 4, limit: int | None = None) -> DataFrame:
     """Frequency-weighted percentiles with the "average at an exact cut"
@@ -97,104 +178,54 @@ def weighted_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     With ``W`` the total weight and ``P = W * p / 100``: the percentile is
     the first value whose cumulative weight exceeds ``P``; when the weight
     up to the previous value equals ``P`` exactly, the two are averaged.
-    Weights must be positive integers (rows with missing or non-positive
-    weight, or missing value, are ignored).  Cumulative weights are exact
-    64-bit integers, so the equality test is exact.
+    Rows with a missing or non-positive weight, or a missing value, are
+    ignored.  Whole weights are summed as 64-bit integers, fractional ones as
+    decimals with nine places, so the equality test is exact.
     """
-    keys = list(keys)
-    w = F.lit(1).cast("long") if weight is None else _c(weight).cast("long")
-    tb = F.xxhash64(*[F.col(c) for c in df.columns]) if tiebreak is None else _c(tiebreak)
-    base = (df.select(*keys, F.col(value).alias("_x"), w.alias("_w"), tb.alias("_t"))
-              .where(F.col("_x").isNotNull() & (F.col("_w") > 0)))
-    r = running(base, keys, ["_x", "_t"], {"_cw": ("sum", F.col("_w")), "_tw": ("group_sum", F.col("_w")),
-                                          "_cn": ("sum", F.lit(1)), "_tn": ("group_sum", F.lit(1))},
-                limit=limit)
-    cw, tw = F.col("_cw"), F.col("_tw")
-    before = cw - F.col("_w")
-    pos, tn = F.col("_cn") - 1, F.col("_tn")
-    keep = (pos < extremes) | (pos >= tn - extremes)
-    aggs = [F.max(tw).alias("_tw"), F.max(tn).alias("_tn")]
-    for p in percents:
-        target = tw * F.lit(int(p))                    # P * 100, exact
-        at_a = (before * 100 <= target) & (target < cw * 100)
-        at_b = (cw * 100 == target)
-        keep = keep | at_a | at_b
-        aggs.append(F.max(F.when(at_a, F.col("_x"))).alias(f"_a{p}"))
-        aggs.append(F.max(F.when(at_a, before * 100 == target)).alias(f"_e{p}"))
-        aggs.append(F.max(F.when(at_b, F.col("_x"))).alias(f"_b{p}"))
-    for i in range(extremes):
-        aggs.append(F.max(F.when(pos == i, F.col("_x"))).alias(f"smallest{i + 1}"))
-        aggs.append(F.max(F.when(pos == tn - 1 - i, F.col("_x"))).alias(f"largest{i + 1}"))
-    g = r.where(keep).groupBy(*keys).agg(*aggs)
-    cols = [F.col(k) for k in keys]
-    for p in percents:
-        a, b, e = F.col(f"_a{p}"), F.col(f"_b{p}"), F.col(f"_e{p}")
-        cols.append(F.when(e, (a + b) / 2).otherwise(a).alias(f"p{p}"))
-    cols += [F.col(f"smallest{i + 1}") for i in range(extremes)]
-    cols += [F.col(f"largest{i + 1}") for i in range(extremes)]
-    return g.select(*cols)
+    g = _summary(df, keys, value, weight, percents, extremes, limit)
+    return g.select(*keys, *_percentile_columns(percents, extremes))
 
 
 def weighted_moments(df: DataFrame, keys: Sequence[str], value: str,
                      weight: str | Column | None) -> DataFrame:
     """Per key: ``n`` (sum of weights), ``mean``, ``variance`` (divisor n-1),
     ``sd``, ``skewness`` and ``kurtosis`` (moment ratios m3/m2^1.5, m4/m2^2;
-    kurtosis of a normal = 3).  One aggregate of weighted power sums."""
-    x = F.col(value)
-    w = (F.lit(1.0) if weight is None else _c(weight).cast("double"))
-    ok = x.isNotNull() & w.isNotNull() & (w > 0)
-    wx = F.when(ok, w)
-    aggs = [F.sum(wx).alias("W")] + [F.sum(F.when(ok, w * F.pow(x, k))).alias(f"S{k}") for k in range(1, 5)]
-    g = df.groupBy(*keys).agg(*aggs)
-    W, S1, S2, S3, S4 = (F.col(c) for c in ("W", "S1", "S2", "S3", "S4"))
-    m = S1 / W
-    c2 = S2 - m * S1
-    c3 = S3 - 3 * m * S2 + 2 * m * m * S1
-    c4 = S4 - 4 * m * S3 + 6 * m * m * S2 - 3 * m * m * m * S1
-    m2, m3, m4 = c2 / W, c3 / W, c4 / W
-    var = c2 / (W - 1)
-    return g.select(*keys, W.alias("n"), m.alias("mean"), var.alias("variance"),
-                    F.sqrt(var).alias("sd"), (m3 / F.pow(m2, 1.5)).alias("skewness"),
-                    (m4 / (m2 * m2)).alias("kurtosis"))
+    kurtosis of a normal = 3).  A moment that a group has not (no spread, a
+    total weight of one) is NULL."""
+    return _summary(df, keys, value, weight, [], 0, None).select(*keys, *_moment_columns())
 
 
 def weighted_summary(df: DataFrame, keys: Sequence[str], value: str,
                      weight: str | Column | None, tiebreak: str | Column | None = None,
                      percents: Sequence[int] = SUMMARY_PERCENTILES, limit: int | None = None
                      ) -> DataFrame:
-    """Detailed summary per key: moments, percentiles, 4 smallest/largest."""
-    keys = list(keys)
-    mom = weighted_moments(df, keys, value, weight)
-    pct = weighted_percentiles(df, keys, value, weight, tiebreak, percents, limit=limit)
-    cond = [mom[k].eqNullSafe(pct[k]) for k in keys]
-    j = cond[0]
-    for c in cond[1:]:
-        j = j & c
-    return mom.join(pct, j, "inner").select(*[mom[k] for k in keys],
-                                            *[mom[c] for c in mom.columns if c not in keys],
-                                            *[pct[c] for c in pct.columns if c not in keys])
+    """Detailed summary per key (``keys=[]``: of all rows): moments,
+    percentiles, 4 smallest/largest."""
+    g = _summary(df, keys, value, weight, percents, 4, limit)
+    return g.select(*keys, *_moment_columns(), *_percentile_columns(percents, 4))
 
 
 def weighted_mean_se(df: DataFrame, keys: Sequence[str], value: str, weight: str | Column,
                      where: Column | None = None) -> DataFrame:
     """Probability-weighted mean with its linearised standard error:
     ``se = sqrt(n/(n-1) * sum(((w/W) * (x - mean))^2))``; ``where`` restricts
-    the estimation sample."""
-    x = F.col(value)
+    the estimation sample.  A single row has no error (NULL), zero total
+    weight no mean."""
+    keys = list(keys)
     w = _c(weight).cast("double")
-    ok = x.isNotNull() & w.isNotNull()
-    if where is not None:
-        ok = ok & F.coalesce(where, F.lit(False))
-    g = df.groupBy(*keys).agg(
-        F.count_if(ok).alias("n"), F.sum(F.when(ok, w)).alias("W"),
-        F.sum(F.when(ok, w * x)).alias("T"),
-        F.sum(F.when(ok, w * w)).alias("Q0"), F.sum(F.when(ok, w * w * x)).alias("Q1"),
-        F.sum(F.when(ok, w * w * x * x)).alias("Q2"))
-    n, W = F.col("n"), F.col("W")
-    m = F.col("T") / W
-    ss = F.col("Q2") - 2 * m * F.col("Q1") + m * m * F.col("Q0")
-    se = F.sqrt(n / (n - 1) * ss / (W * W))
-    return g.select(*keys, n.alias("n"), m.alias("mean"), se.alias("se"))
+    src = df if where is None else df.where(where)
+    src = src.where(_present(w, "double"))
+    vt = value_table(src, keys, value, extra=[w.alias("_w"), (w * w).alias("_ww")])
+    xd = F.col("_v").cast("double")
+    r = running(vt, keys, ["_v"], {
+        "_W": ("group_sum", F.col("_w")), "_T": ("group_sum", F.col("_w") * xd)})
+    mean = F.try_divide("_T", "_W")
+    g = r.groupBy(*keys).agg(
+        F.sum("_n").alias("n"), F.max("_W").alias("_W"), F.max(mean).alias("mean"),
+        F.sum(F.col("_ww") * (xd - mean) * (xd - mean)).alias("_ss")).where(F.col("n").isNotNull())
+    se = F.sqrt(F.try_divide(F.col("n") * 1.0, F.col("n") - 1)
+                * F.try_divide("_ss", F.col("_W") * F.col("_W")))
+    return g.select(*keys, "n", "mean", se.alias("se"))
 
 
 def weighted_tabulate(df: DataFrame, var: str, weight: str | Column | None = None,
@@ -205,11 +236,11 @@ def weighted_tabulate(df: DataFrame, var: str, weight: str | Column | None = Non
     table whose size is the number of levels."""
     w = F.lit(1) if weight is None else _c(weight)
     src = df if where is None else df.where(where)
-    g = src.groupBy(var).agg(F.sum(w).alias("freq"))
+    g = stage(src.groupBy(var).agg(F.sum(w).alias("freq")), "levels")
     # running total over the levels: skew-safe even for many levels
     r = running(g, [], [var], {"_cum": ("sum", F.col("freq")), "_tot": ("group_sum", F.col("freq"))})
-    return r.select(var, "freq", (F.col("freq") * 100.0 / F.col("_tot")).alias("percent"),
-                    (F.col("_cum") * 100.0 / F.col("_tot")).alias("cum_percent")).orderBy(var)
+    return r.select(var, "freq", F.try_divide(F.col("freq") * 100.0, "_tot").alias("percent"),
+                    F.try_divide(F.col("_cum") * 100.0, "_tot").alias("cum_percent")).orderBy(var)
 
 
 def distinct_levels(df: DataFrame, col: str | Column, where: Column | None = None,

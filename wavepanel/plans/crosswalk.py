@@ -18,12 +18,12 @@ from wavepanel.operators.ranks import (attach_rank, key_duplicates, rank_crosswa
 from wavepanel.plans.common import (ACCTBAL_EDGES, ORDER_VALUE_EDGES, order_weight,
                                     sql_cut, sql_cut_index, table)
 from wavepanel.sources.files import read_crosswalk, write_crosswalk_csv
-from wavepanel.session import scratch_dir
+from wavepanel.session import scratch_dir, stage
 
 SMALL_CELL_MIN = 400
 
 # By-college crosswalk for a young age range, on orders: educ = o_custkey % 12,
-# age = 18 + o_custkey % 60, order values in [450000, 460000] act as the
+# age = 18 + (o_custkey // 7) % 60 (not tied to educ), order values in [450000, 460000] act as the
 # "not available" income codes.
 AGE_MIN, AGE_MAX = 18, 27
 NA_CODES = (450000.0, 460000.0)
@@ -65,6 +65,15 @@ def q_rank_crosswalk(spark, sf_dir):
     return cw.withColumn("rank", F.round("rank", 6))
 
 
+def rank_crosswalk_equal(spark, sf_dir):
+    """Equal incomes share one rank; incomes in whole thousands, so that ties
+    are the rule."""
+    o = _orders(spark, sf_dir).withColumn("income", F.floor(F.col("o_totalprice") / 1000) * 1000.0)
+    cw = rank_crosswalk(o, "income", "w", ["year"], "o_orderkey", edges=ORDER_VALUE_EDGES,
+                        ties="equal", count_col="nobs")
+    return cw.withColumn("rank", F.round("rank", 6))
+
+
 def crosswalk_export(spark, sf_dir):
     """Write the crosswalk as one CSV (year, ibin, lbound, rank to 3 places)
     and read it back with a fixed schema."""
@@ -93,7 +102,7 @@ def rank_crosswalk_college(spark, sf_dir):
     micro = o.select(
         "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), order_weight().alias("w"),
         interval_recode(F.col("o_custkey") % 12, [(0, 9, 0), (10, 11, 1)]).cast("int").alias("college"),
-        (F.col("o_custkey") % 60 + 18).cast("int").alias("age"))
+        (F.floor(F.col("o_custkey") / 7) % 60 + 18).cast("int").alias("age"))
     young = micro.where(F.col("age").between(AGE_MIN, AGE_MAX))
     cw = rank_crosswalk(young, "o_totalprice", "w", ["year", "college"], "o_orderkey",
                         edges=ORDER_VALUE_EDGES, missing_codes=NA_CODES, count_col="nobs")
@@ -106,7 +115,8 @@ def rank_crosswalk_college(spark, sf_dir):
 def max_bin_index(spark, sf_dir):
     """Largest bin index present per year, and overall (the axis range of
     the crosswalk chart)."""
-    per_year = _crosswalk(spark, sf_dir).groupBy("year").agg(F.max("ibin").alias("max_ibin"))
+    per_year = stage(_crosswalk(spark, sf_dir).groupBy("year").agg(F.max("ibin").alias("max_ibin")),
+                     "max-bins")
     overall = per_year.select(F.max("max_ibin")).scalar()
     return per_year.select("year", "max_ibin", overall.alias("max_ibin_all"))
 
@@ -145,6 +155,7 @@ QUERIES = {
     "weighted_ecdf": weighted_ecdf_rows,
     "weighted_ecdf_equal": weighted_ecdf_equal,
     "rank_crosswalk": q_rank_crosswalk,
+    "rank_crosswalk_equal": rank_crosswalk_equal,
     "crosswalk_export": crosswalk_export,
     "rank_crosswalk_cells": rank_crosswalk_cells,
     "small_cell_filter": q_small_cell_filter,
@@ -203,7 +214,7 @@ WITH m AS (
     CAST(CASE WHEN o_custkey % 12 BETWEEN 0 AND 9 THEN 0 WHEN o_custkey % 12 BETWEEN 10 AND 11 THEN 1
               ELSE o_custkey % 12 END AS INTEGER) AS college,
     CASE WHEN o_totalprice BETWEEN {NA_CODES[0]!r} AND {NA_CODES[1]!r} THEN NULL ELSE o_totalprice END AS x
-  FROM orders WHERE o_custkey % 60 + 18 BETWEEN {AGE_MIN} AND {AGE_MAX}),
+  FROM orders WHERE (o_custkey // 7) % 60 + 18 BETWEEN {AGE_MIN} AND {AGE_MAX}),
 r AS (
   SELECT year, college, x,
     CASE WHEN x IS NOT NULL THEN
@@ -230,6 +241,16 @@ FROM customer""",
     "weighted_ecdf": _ECDF_ROWS,
     "weighted_ecdf_equal": _ECDF_EQUAL,
     "rank_crosswalk": _round_rank(_sql_crosswalk()),
+    "rank_crosswalk_equal": f"""
+SELECT year, CAST(row_number() OVER (PARTITION BY year ORDER BY lbound) AS INTEGER) AS ibin,
+  lbound, round(median(rank), 6) AS rank, count(*) AS nobs
+FROM (SELECT year, rank, {sql_cut('x', ORDER_VALUE_EDGES)} AS lbound
+      FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, floor(o_totalprice / 1000) * 1000.0 AS x,
+              sum(1 + o_orderkey % 5) OVER (PARTITION BY year(o_orderdate)
+                ORDER BY floor(o_totalprice / 1000) RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              / sum(1 + o_orderkey % 5) OVER (PARTITION BY year(o_orderdate)) AS rank
+            FROM orders) a) b
+WHERE lbound IS NOT NULL GROUP BY year, lbound""",
     "crosswalk_export": _round_rank(_sql_crosswalk(), 3),
     "rank_crosswalk_cells": _round_rank(_sql_crosswalk("o_orderpriority", True)),
     "small_cell_filter": f"""

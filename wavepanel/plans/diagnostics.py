@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wavepanel.operators.checks import missing_report
 from wavepanel.operators.diagnostics import (median_timestamp, nobs_histogram, nonmissing_counts,
                                              outlier_counts, outlier_flags, to_long, trimmed_means,
-                                             wave_stats)
+                                             value_counts, wave_stats)
 from wavepanel.operators.stats import (distinct_levels, weighted_mean_se, weighted_summary,
                                        weighted_tabulate)
 from wavepanel.plans.common import PANEL_SQL, panel, table
@@ -56,11 +56,13 @@ def median_date(spark, sf_dir):
 
 
 def outlier_mask(spark, sf_dir):
-    return outlier_counts(outlier_flags(_long(spark, sf_dir), "wid"))
+    counts = value_counts(_long(spark, sf_dir), "wid")
+    return outlier_counts(outlier_flags(counts, "wid", freq="n"), "n")
 
 
 def trimmed_wave_mean(spark, sf_dir):
-    t = trimmed_means(outlier_flags(_long(spark, sf_dir), "wid"), "wid")
+    counts = value_counts(_long(spark, sf_dir), "wid")
+    t = trimmed_means(outlier_flags(counts, "wid", freq="n"), "wid", freq="n")
     return t.withColumn("mean_trimmed", F.round("mean_trimmed", 6))
 
 
@@ -96,6 +98,14 @@ def q_weighted_summary(spark, sf_dir):
                       *[F.round(c, 6).alias(c) for c in dbl])
 
 
+def weighted_summary_all(spark, sf_dir):
+    """Of all rows, over a column with a large mean and a small spread."""
+    li = _lineitem(spark, sf_dir).withColumn("x", F.col("l_discount") * 100 + 1e8)
+    s = weighted_summary(li, [], "x", "w")
+    dbl = [c for c in s.columns if c != "n"]
+    return s.select(F.col("n").cast("double").alias("n"), *[F.round(c, 4).alias(c) for c in dbl])
+
+
 def q_distinct_levels(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return distinct_levels(li, F.year("l_shipdate"), where=F.col("l_returnflag") == "R")
@@ -113,6 +123,7 @@ QUERIES = {
     "weighted_tabulate": q_weighted_tabulate,
     "weighted_mean": weighted_mean,
     "weighted_summary": q_weighted_summary,
+    "weighted_summary_all": weighted_summary_all,
     "distinct_levels": q_distinct_levels,
 }
 
@@ -224,6 +235,14 @@ pc AS ({_pct_sql(False)} UNION ALL {_pct_sql(True)})
 SELECT mo.l_returnflag, mo.weighted, CAST(mo.n AS DOUBLE) AS n,
   {", ".join(f"round({'mo' if c in ('mean', 'variance', 'sd', 'skewness', 'kurtosis') else 'pc'}.{c}, 6) AS {c}" for c in _SUMMARY_COLS)}
 FROM mo JOIN pc ON mo.l_returnflag = pc.l_returnflag AND mo.weighted = pc.weighted""",
+    "weighted_summary_all": f"""
+WITH li AS (SELECT 'all' AS l_returnflag, l_discount * 100 + 1e8 AS l_discount, l_quantity, l_orderkey,
+              l_linenumber FROM lineitem),
+mo AS ({_mom_sql(True).replace("FROM lineitem", "FROM li")}),
+pc AS ({_pct_sql(True).replace("FROM lineitem", "FROM li")})
+SELECT CAST(mo.n AS DOUBLE) AS n,
+  {", ".join(f"round({'mo' if c in ('mean', 'variance', 'sd', 'skewness', 'kurtosis') else 'pc'}.{c}, 4) AS {c}" for c in _SUMMARY_COLS)}
+FROM mo JOIN pc ON mo.l_returnflag = pc.l_returnflag""",
     "distinct_levels": """
 SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS level FROM lineitem WHERE l_returnflag = 'R'""",
 }

@@ -9,14 +9,16 @@ from pyspark.sql import types as T
 
 from wavepanel.functions.columns import columns_matching, existing, numbered, rescale, sentinel_fill
 from wavepanel.plans.common import table
-from wavepanel.session import scratch_dir
+from wavepanel.session import scratch_dir, stage
 from wavepanel.sources.files import (changed_files as changed_files_op, file_hashes,
                                      load_extracts, union_extracts, write_extracts)
 
 SPLIT_TS = "2024-01-16 00:00:00"
 LICENSE_LINE = "# Licensed for research use only; redistribution prohibited."
 
+# The first column makes every record start like a preamble line.
 EXTRACT_SCHEMA = T.StructType([
+    T.StructField("note", T.StringType()),
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()),
@@ -67,7 +69,8 @@ def extract_project(spark, sf_dir):
 
 def _write_event_extracts(spark, sf_dir, name):
     path = scratch_dir(spark, name)
-    ev = table(spark, sf_dir, "events").select(*[f.name for f in EXTRACT_SCHEMA.fields])
+    ev = (table(spark, sf_dir, "events").withColumn("note", F.concat(F.lit("#"), "event_type"))
+          .select(*[f.name for f in EXTRACT_SCHEMA.fields]))
     write_extracts(ev, path, LICENSE_LINE)
     return path
 
@@ -78,21 +81,25 @@ def load_preamble(spark, sf_dir):
     path = _write_event_extracts(spark, sf_dir, "extracts")
     df = load_extracts(spark, path, EXTRACT_SCHEMA, preamble_prefix="#",
                        timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return df.drop("_source_file")
+    return df.drop("_source_file", "part")
+
+
+LOADED = ("click", "view", "purchase")
 
 
 def changed_files(spark, sf_dir):
-    """One extract file per event type; the manifest holds the hashes of the
-    files already loaded (every type but two), so two files come back."""
+    """Extract files by event type, several per type; the manifest holds the
+    digests of some types' files, so those of the others come back.  Returned
+    per type: files do not have stable names, their lines do."""
     path = scratch_dir(spark, "by-type")
-    ev = table(spark, sf_dir, "events")
-    (ev.repartition("event_type").sortWithinPartitions("event_id")
-       .write.mode("overwrite").partitionBy("event_type").parquet(path))
-    hashes = file_hashes(spark, path, "*.parquet")
-    manifest = hashes.where(~F.col("path").contains("event_type=error")
-                            & ~F.col("path").contains("event_type=signup"))
-    return changed_files_op(spark, path, manifest, "*.parquet").select(
-        F.regexp_extract("path", r"event_type=([^/]+)", 1).alias("event_type"), "md5")
+    ev = table(spark, sf_dir, "events").select(
+        "event_type", F.concat_ws(",", "event_id", "user_id", "event_type").alias("value"))
+    ev.write.mode("overwrite").partitionBy("event_type").text(path)
+    hashes = stage(file_hashes(spark, path, "*.txt"), "file-hashes")
+    loaded = F.regexp_extract("path", r"event_type=([^/]+)", 1).isin(*LOADED)
+    found = changed_files_op(spark, path, hashes.where(loaded), "*.txt")
+    return (found.groupBy(F.regexp_extract("path", r"event_type=([^/]+)", 1).alias("event_type"))
+            .agg(F.sum("lines").alias("lines"), F.sum("digest").cast("long").alias("digest")))
 
 
 QUERIES = {
@@ -120,7 +127,12 @@ SELECT event_id AS id, ts AS date, value AS prob_move_house, value / 500.0 * 100
   CAST(coalesce(CASE WHEN event_id % 4 <> 0 THEN CAST(user_id % 5 + 1 AS INTEGER) END, -1) AS TINYINT)
     AS financial_past_12m
 FROM events""",
-    "load_preamble": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "changed_files": f"""
+SELECT event_type, count(*) AS lines,
+  CAST(sum(CAST('0x' || substr(md5(event_id || ',' || user_id || ',' || event_type), 1, 8) AS BIGINT)) AS BIGINT)
+    AS digest
+FROM events WHERE event_type NOT IN ({", ".join(f"'{t}'" for t in LOADED)}) GROUP BY event_type""",
+    "load_preamble": "SELECT '#' || event_type AS note, event_id, ts, user_id, event_type, value FROM events",
 }
 
 
@@ -132,7 +144,7 @@ def stream_ingest(spark, sf_dir):
     target = scratch_dir(spark, "stream-out")
     ingest_available(spark, src, EXTRACT_SCHEMA, target, scratch_dir(spark, "stream-ckpt"),
                      preamble_prefix="#", timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return spark.read.parquet(target).drop("_source_file")
+    return spark.read.parquet(target).drop("_source_file", "ingest_batch")
 
 
 QUERIES["stream_ingest"] = stream_ingest

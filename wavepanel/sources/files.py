@@ -1,9 +1,10 @@
 """Sources and sinks.
 
 * ``load_extracts`` (S1): delimited text extracts whose files start with one
-  or more preamble lines (a license notice) above the header.  Read with
-  ``spark.read.text`` (splittable), drop preamble and header lines by
-  content, parse with ``from_csv`` against an explicit schema.
+  preamble line (a license notice) above the header.  Read with
+  ``spark.read.text`` (splittable); the first lines of each file are found by
+  their place, the header is matched by name, and rows are parsed with
+  ``from_csv``.
 * ``union_extracts`` (S2): union by name over drifting schemas.
 * ``changed_files`` (S3): files whose content hash is not yet in a manifest.
 * ``read_crosswalk`` / ``write_crosswalk_csv`` (S4, S7).
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wavepanel.session import stage
+
 CROSSWALK_SCHEMA = T.StructType([
     T.StructField("year", T.IntegerType()),
     T.StructField("ibin", T.IntegerType()),
@@ -37,7 +40,7 @@ def write_crosswalk_csv(cw: DataFrame, path: str, order: Sequence[str],
     task is the intended plan.
     """
     out = cw.select(*order).withColumn("rank", F.round("rank", rank_digits))
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    out.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_crosswalk(spark: SparkSession, path: str,
@@ -47,56 +50,95 @@ def read_crosswalk(spark: SparkSession, path: str,
 
 # --- S1 ---------------------------------------------------------------------
 
+# Different headers that one load may meet.
+MAX_HEADERS = 100
+
+
 def load_extracts(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
                   preamble_prefix: str | None = None, sep: str = ",",
-                  timestamp_format: str | None = None) -> DataFrame:
-    """Parse delimited extracts that carry a preamble line above the header.
-
-    Lines are recognised by content, so the read stays splittable: a line
-    equal to the header, or starting with ``preamble_prefix``, is dropped.
-    The file of each row is kept in ``_source_file``.
+                  timestamp_format: str | None = None, malformed: str = "raise") -> DataFrame:
+    """Parse delimited extracts that carry one preamble line above the header.
+
+    With ``preamble_prefix`` the first line of every file must start with it
+    and is dropped; without, files start with their header.  The header names
+    the columns of its file in any order, quoted or not; columns that the
+    schema does not have are ignored, a missing one raises.  Every other line
+    is a record, whatever it starts with.  ``malformed="null"`` turns records
+    that do not fit the schema into NULLs instead of raising.  NaN counts as
+    missing.  The file of each row is kept in ``_source_file``.
     """
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return parse_extract_lines(lines, schema, preamble_prefix, sep, timestamp_format)
-
-
-def parse_extract_lines(lines: DataFrame, schema: T.StructType, preamble_prefix: str | None = None,
-                        sep: str = ",", timestamp_format: str | None = None) -> DataFrame:
-    """Lines (column ``value``) of extract files -> typed rows (batch or stream)."""
-    header = sep.join(f.name for f in schema.fields)
-    keep = (F.col("value") != F.lit(header)) & (F.length("value") > 0)
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.regexp_replace("value", "\r$", "").alias("value"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"))
+    # The lines of a file's first block are numbered without gaps, so a line's
+    # place in the file is its distance from the first one.
+    firsts = stage(lines.where(F.col("_block") == 0).groupBy("_source_file")
+                   .agg(F.min("_line").alias("_first")), "extract-files")
+    skip = 1 if preamble_prefix else 0
+    placed = (lines.join(firsts, "_source_file")
+              .withColumn("_at", F.when(F.col("_block") == 0, F.col("_line") - F.col("_first"))))
+    heads = placed.where(F.col("_at") <= skip)
     if preamble_prefix:
-        keep = keep & ~F.col("value").startswith(preamble_prefix)
-    opts = {"sep": sep}
+        wrong = heads.where((F.col("_at") == 0) & ~F.col("value").startswith(preamble_prefix)).first()
+        if wrong:
+            raise ValueError(f"{wrong['_source_file']} does not start with {preamble_prefix!r}")
+    headers = stage(heads.where(F.col("_at") == skip)
+                    .select("_source_file", F.col("value").alias("_header")), "extract-headers")
+    known = [r["_header"] for r in
+             headers.select("_header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(known) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers")
+    opts = {"sep": sep, "mode": "FAILFAST" if malformed == "raise" else "PERMISSIVE"}
     if timestamp_format:
         opts["timestampNTZFormat"] = timestamp_format
-    parsed = F.from_csv(F.col("value"), schema.simpleString(), opts)
-    return (lines.where(keep)
-                 .select(parsed.alias("r"), F.col("_metadata.file_path").alias("_source_file"))
-                 .select("r.*", "_source_file"))
-
-
-def write_extracts(df: DataFrame, path: str, preamble: str, n_files: int | None = None,
+    record = None
+    for h in known:
+        parsed = _record(h, schema, sep, opts)
+        test = F.col("_header") == h
+        record = F.when(test, parsed) if record is None else record.when(test, parsed)
+    if record is None:                       # no file has a header line
+        return spark.createDataFrame([], schema).withColumn("_source_file", F.lit(""))
+    rows = (placed.where(F.coalesce(F.col("_at") > skip, F.lit(True)) & (F.length("value") > 0))
+            .join(headers, "_source_file").select(record.alias("r"), "_source_file")
+            .select("r.*", "_source_file"))
+    real = [f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in real}) if real else rows
+
+
+def _record(header: str, schema: T.StructType, sep: str, opts: dict):
+    """A line of a file with this header as a struct in the schema's order."""
+    import csv
+    names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")], delimiter=sep), [])]
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"header {header!r} lacks {', '.join(missing)}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    there = T.StructType([T.StructField(n if n in kinds else f"_other{i}",
+                                        kinds.get(n, T.StringType())) for i, n in enumerate(names)])
+    parsed = F.from_csv(F.col("value"), there.simpleString(), opts)
+    return F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields])
+
+
+def write_extracts(df: DataFrame, path: str, preamble: str, n_files: int = 8,
                    sep: str = ",") -> None:
     """Write ``df`` as text extracts, each file starting with ``preamble`` and a header.
 
-    Each task writes one file; the preamble and header are emitted first by
-    a per-partition generator (``mapInPandas``), so lines stay in order.
-    Values are rendered by Spark (``to_csv``) before the Python step.
+    Rows are dealt to ``n_files`` files by a hash; a file's two first lines
+    sort before its rows.  The files lie in sub-folders of ``path``.
     """
-    header = sep.join(df.columns)
-    lines = df.select(F.to_csv(F.struct(*df.columns), {"sep": sep,
-                      "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}).alias("value"))
-    if n_files:
-        lines = lines.repartition(n_files)
-
-    def with_preamble(batches):
-        import pandas as pd
-        yield pd.DataFrame({"value": [preamble, header]})
-        for b in batches:
-            yield b
-
-    lines.mapInPandas(with_preamble, "value string").write.mode("overwrite").text(path)
+    spark = df.sparkSession
+    text = F.to_csv(F.struct(*df.columns), {"sep": sep,
+                    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    rows = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(n_files)).cast("int").alias("part"),
+                     F.lit(2).alias("_at"), text.alias("value"))
+    for at, line in ((0, preamble), (1, sep.join(df.columns))):
+        rows = rows.unionByName(spark.range(n_files).select(
+            F.col("id").cast("int").alias("part"), F.lit(at).alias("_at"),
+            F.lit(line).alias("value")))
+    (rows.repartition(n_files, "part").sortWithinPartitions("part", "_at").select("part", "value")
+     .write.mode("overwrite").partitionBy("part").text(path))
 
 
 # --- S2 ---------------------------------------------------------------------
@@ -114,24 +156,28 @@ def union_extracts(frames: Sequence[DataFrame]) -> DataFrame:
 
 def file_hashes(spark: SparkSession, paths: str | Sequence[str],
                 name_glob: str | None = None) -> DataFrame:
-    """(path, md5) of every file, content hashed on the executors.
+    """(path, lines, digest) of every text file.
 
-    A directory is searched recursively; ``name_glob`` keeps matching file
-    names only (e.g. ``"*.csv"``).
+    The digest is the sum of 32 bits of each line's MD5, so a large file is
+    read in splits by many tasks and its parts are added up; files with the
+    same lines have the same digest.  A directory is searched recursively;
+    ``name_glob`` keeps matching file names only (e.g. ``"*.csv"``).
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.read.format("text").option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     src = reader.load(paths if isinstance(paths, str) else list(paths))
-    return src.select(F.col("path"), F.md5("content").alias("md5"))
+    bits = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("long")
+    return (src.select(F.col("_metadata.file_path").alias("path"), bits.alias("b")).groupBy("path")
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum("b").alias("digest")))
 
 
 def changed_files(spark: SparkSession, paths: str | Sequence[str], manifest: DataFrame,
                   name_glob: str | None = None) -> DataFrame:
-    """Files whose content hash is not in ``manifest`` (column ``md5``):
-    the ones that must be (re)loaded.  A left-anti join on the hash."""
+    """Files whose (lines, digest) is not in ``manifest``: the ones that must
+    be (re)loaded.  A left-anti join."""
     return (file_hashes(spark, paths, name_glob)
-            .join(manifest.select("md5").distinct(), "md5", "left_anti"))
+            .join(manifest.select("lines", "digest").distinct(), ["lines", "digest"], "left_anti"))
 
 
 # --- S6 / S8 ----------------------------------------------------------------
@@ -140,11 +186,11 @@ def write_panel(df: DataFrame, path: str, id_col: str = "userid", wave_col: str
                 partition_by: Sequence[str] = ()) -> None:
     """Store a panel table as Parquet, rows clustered by person and wave.
 
-    Clustering by a hash of the person (not a global sort) keeps the write
-    fully parallel; Parquet min/max statistics on the key columns still let
-    later reads skip row groups.
+    Ranges of (person, wave) keep the write parallel and split a person with
+    very many rows; Parquet min/max statistics let later reads skip row groups.
     """
-    w = df.repartition(id_col).sortWithinPartitions(id_col, wave_col).write.mode("overwrite")
+    w = (df.repartitionByRange(id_col, wave_col).sortWithinPartitions(id_col, wave_col)
+         .write.mode("overwrite"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

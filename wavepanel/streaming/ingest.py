@@ -1,38 +1,51 @@
 """Incremental load of raw extract files as they arrive.
 
-Each new file under ``source_dir`` is parsed exactly like the batch loader
-(preamble and header lines dropped by content, typed by ``from_csv``) and
-appended to a Parquet table.  The file source's checkpoint records which
-files were already processed, and the Parquet sink's log makes the append
-exactly-once - the streaming form of "skip files already loaded".  The
-panel operators themselves stay batch: sign verdicts and tiles need every
-row of the panel.
+The file source's checkpoint records which files were already seen.  Each
+micro-batch hands its new files to the batch loader, so the preamble, the
+header and the records are read exactly as in a batch, and writes them to a
+folder of its own; a repeated batch replaces that folder, so every file is in
+the table once.  The panel operators themselves stay batch: sign verdicts and
+tiles need every row of the panel.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wavepanel.session import scratch_dir
-from wavepanel.sources.files import parse_extract_lines
+from wavepanel.sources.files import load_extracts
+
+# Partition column of the target table: the micro-batch of a row.
+BATCH = "ingest_batch"
 
 
 def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
-                 checkpoint_location: str | None = None, preamble_prefix: str | None = "#",
-                 timestamp_format: str | None = None, max_files_per_trigger: int | None = None,
+                 checkpoint_location: str, preamble_prefix: str | None = "#",
+                 timestamp_format: str | None = None, max_files_per_trigger: int = 1000,
                  available_now: bool = True) -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it processes what is
-    there and stops (schedule it like a batch job)."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(source_dir)
-    rows = parse_extract_lines(lines, schema, preamble_prefix, timestamp_format=timestamp_format)
-    ckpt = checkpoint_location or scratch_dir(spark, "ingest-ckpt")
-    w = (rows.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", ckpt).option("path", target_path))
+    there and stops (schedule it like a batch job).
+
+    ``checkpoint_location`` belongs to the target: every run that appends to
+    ``target_path`` must name the same one.  ``max_files_per_trigger`` bounds
+    the file names of a batch.
+    """
+    if not checkpoint_location:
+        raise ValueError("an ingest needs the checkpoint location of its target")
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
+
+    def load(batch, batch_id):
+        files = [r["f"] for r in batch.select("f").distinct().collect()]
+        if files:
+            rows = load_extracts(batch.sparkSession, files, schema, preamble_prefix,
+                                 timestamp_format=timestamp_format)
+            rows.write.mode("overwrite").parquet(f"{target_path}/{BATCH}={batch_id}")
+
+    w = (lines.select(F.col("_metadata.file_path").alias("f")).writeStream.foreachBatch(load)
+         .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
