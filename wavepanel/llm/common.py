@@ -17,6 +17,29 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Rows and bytes of a batch that Spark hands to Python at a time.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after its session's Arrow batches were made small.
+
+    Texts are a thousand times longer than the numbers that the defaults are
+    meant for; a session that sets its own sizes keeps them.
+    """
+    conf = df.sparkSession.conf
+    for key, default, value in (
+            ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", BATCH_ROWS),
+            ("spark.sql.execution.arrow.maxBytesPerBatch", None, BATCH_BYTES)):
+        try:
+            now = conf.get(key)
+        except Exception:                      # a Spark version without it
+            continue
+        if now == default or default is None and int(now.rstrip("bB") or 0) >= 64 << 20:
+            conf.set(key, str(value))
+    return df
+
+
 def own_columns(df: DataFrame, taken: list[str]) -> DataFrame:
     """``df`` without the columns an operator is about to add (any case)."""
     low = {t.lower() for t in taken}

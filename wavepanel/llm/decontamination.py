@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema
+from .common import own_columns, read, schema, small_batches
 from .shingles import words
 
 BUCKETS = 1 << 16
@@ -95,8 +95,9 @@ def weights(total: int, count: np.ndarray, used: np.ndarray) -> np.ndarray:
     return np.where(used, np.maximum(w, 0), 0).astype(np.float32)
 
 
-def randomised_svd(items: DataFrame, text: str, weight: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """(buckets in use, basis): right singular directions of the TF-IDF rows.
+def randomised_svd(items: DataFrame, text: str, weight: np.ndarray, rank: int = RANK
+                   ) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets in use, basis): the right singular directions of the TF-IDF rows.
 
     Halko's range finder on the transposed matrix: the basis starts random and
     is multiplied by A^T A a few times, made orthogonal in between.
@@ -106,7 +107,7 @@ def randomised_svd(items: DataFrame, text: str, weight: np.ndarray, rank: int =
     place[live] = np.arange(len(live))
     rank = min(rank, len(live))
     rng = np.random.default_rng(11)
-    basis = np.linalg.qr(rng.standard_normal((len(live), rank)))[0] if rank else np.zeros((0, 0))
+    basis = np.linalg.qr(rng.standard_normal((len(live), rank)))[0] if rank else np.zeros((0, 1))
     spark = items.sparkSession
     for _ in range(POWER_STEPS + 1):
         if not rank:
@@ -141,10 +142,7 @@ def randomised_svd(items: DataFrame, text: str, weight: np.ndarray, rank: int =
         for r in summed:
             got[r["i"]] = r["y"]
         basis = np.linalg.qr(got)[0]
-    out = np.zeros((BUCKETS, max(rank, 1)), np.float32)
-    if rank:
-        out[live] = basis
-    return out
+    return live, basis.astype(np.float32)
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -165,21 +163,25 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
 class Searcher:
     """The items of a block in the latent space."""
 
-    def __init__(self, items: list[tuple], weight: np.ndarray, basis: np.ndarray):
+    def __init__(self, items: list[tuple], weight: np.ndarray, live: np.ndarray,
+                 basis: np.ndarray):
         self.ids = [i for i, _, _ in items]
         self.words = [w for _, w, _ in items]
         self.answers = [a for _, _, a in items]
-        self.factor = weight[:, None] * basis
-        self.weight = weight
-        vectors = np.array([self.factor[buckets_of(np.array(w, np.uint64))].sum(0)
+        # a row per bucket in use, and a last one without weight
+        self.factor = np.vstack((weight[live][:, None] * basis, np.zeros((1, basis.shape[1]))))
+        self.factor = self.factor.astype(np.float32)
+        self.place = np.full(BUCKETS, len(live), np.int32)
+        self.place[live] = np.arange(len(live))
+        vectors = np.array([self.factor[self.place[buckets_of(np.array(w, np.uint64))]].sum(0)
                             for w in self.words], np.float32)
         norm = np.linalg.norm(vectors, axis=1, keepdims=True)
         self.vectors = (vectors / np.where(norm > 0, norm, 1)).T.copy()
 
     def find(self, h: np.ndarray) -> dict[int, tuple[float, int]]:
         """{item index: (cover, first word)} of the items in a document."""
-        bucket = buckets_of(h)
-        at = np.flatnonzero(self.weight[bucket])
+        place = self.place[buckets_of(h)]
+        at = np.flatnonzero(place < len(self.factor) - 1)
         found: dict[int, tuple[float, int]] = {}
         if len(at) < 2:
             return found
@@ -191,7 +193,7 @@ class Searcher:
             hi = np.searchsorted(at, some + WIDTH)
             first, last = lo[0], hi[-1]
             run = np.zeros((last - first + 1, self.factor.shape[1]), np.float32)
-            np.cumsum(self.factor[bucket[at[first:last]]], axis=0, out=run[1:])
+            np.cumsum(self.factor[place[at[first:last]]], axis=0, out=run[1:])
             v = run[hi - first] - run[lo - first]
             keep = np.flatnonzero(hi - lo >= 2)
             v = v[keep]
@@ -234,7 +236,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     or empty texts, nothing is leaked.  Equal items are both reported.  An
     empty table stays empty, and a column named like an added one is replaced.
     """
-    docs = own_columns(docs, ["leaked", "leaks", "_leaks"])
+    docs = own_columns(small_batches(docs), ["leaked", "leaks", "_leaks"])
     bench = stage(benchmark.where(F.col(item_text).isNotNull()).select(
         F.col(item_id).alias("id"), F.col(item_text).alias("t"),
         (F.col(answer) if answer else F.lit(None).cast("string")).alias("ans")), "benchmark")
@@ -253,7 +255,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         used[r["b"]] = True
     total, count = passage_counts(docs, text, used)
     weight = weights(total, count, used)
-    basis = randomised_svd(bench, "t", weight)
+    live, basis = randomised_svd(bench, "t", weight)
 
     blocks = max(1, -(-bench.count() // ITEM_BLOCK))
     out = docs.withColumn("_leaks", F.array().cast(leak))
@@ -267,7 +269,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                 items.append((r["id"], h.tolist(), tail.tolist()))
         if not items:
             continue
-        sent = docs.sparkSession.sparkContext.broadcast((items, weight, basis))
+        sent = docs.sparkSession.sparkContext.broadcast((items, weight, live, basis))
         cache: dict = {}
 
         @F.pandas_udf(leak)

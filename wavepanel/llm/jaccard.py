@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema
+from .common import own_columns, read, schema, small_batches
 from .components import components
 from .shingles import mix, set_name, shingle_set, words
 
@@ -356,7 +356,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", row_id: str = "doc_i
     Sets are compared by 64-bit hashes of shingles.
     """
     t = Threshold(num, den)
-    docs = docs.select(F.col(row_id), F.col(text))
+    docs = small_batches(docs).select(F.col(row_id), F.col(text))
     rows = stage(_described(docs, text, row_id, k, t), "shingle-rows")
     sets = stage(rows.where("n > 0").groupBy("name").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema
+from .common import own_columns, read, schema, small_batches
 from .sharding import running_totals
 
 MIN_WORDS = 50
@@ -208,7 +208,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_
     An empty table stays empty, other columns stay as they are, and a column
     named like an added one is replaced.
     """
-    docs = own_columns(docs, ["n_lines", "n_removed", "removed", "_a", "_b", "_spans", "_copy"])
+    docs = own_columns(small_batches(docs),
+                       ["n_lines", "n_removed", "removed", "_a", "_b", "_spans", "_copy"])
     found = stage(repeated_spans(docs, text, row_id, min_words), "line-spans")
     many = found.agg(F.sum(F.size("_spans"))).first()[0] or 0
     keyed = docs.select("*", *row_key(text, row_id))

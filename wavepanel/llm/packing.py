@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import quiet_tokenizer, read, schema, spans
+from .common import quiet_tokenizer, read, schema, small_batches, spans
 
 CAPACITY = 4096
 # Pieces that one task packs at a time.
@@ -28,7 +28,7 @@ GROUP_PIECES = 200_000
 # Bins filled to less than this share are opened again in the next round.
 REOPEN = 0.98
 # Distinct words kept per Python worker; the cache starts anew beyond it.
-CACHE = 800_000
+CACHE = 300_000
 # Underfull bins, and steps, of one local search.
 SEARCH_BINS = 256
 SEARCH_STEPS = 2_000
@@ -53,11 +53,10 @@ class WordIds:
 
     def __init__(self, path: str):
         from tokenizers import pre_tokenizers
-        self.full = quiet_tokenizer(path)
-        self.bare = quiet_tokenizer(path)        # for words already lower-case and cut
-        self.bare.normalizer = None
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False,
-                                                           use_regex=False)
+        self.tok = quiet_tokenizer(path)
+        self.whole = (self.tok.normalizer, self.tok.pre_tokenizer)
+        # for words that are lower-case and cut already
+        self.bare = (None, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False))
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
 
@@ -81,10 +80,12 @@ class WordIds:
             else:
                 odd.append(w)
         new = list({x for parts in cut.values() for x in parts if x not in self.parts})
-        for tok, some, into in ((self.bare, new, self.parts), (self.full, odd, self.words)):
+        for way, some, into in ((self.bare, new, self.parts), (self.whole, odd, self.words)):
+            if some:
+                self.tok.normalizer, self.tok.pre_tokenizer = way
             for i in range(0, len(some), 20_000):
                 part = some[i:i + 20_000]
-                for x, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
+                for x, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
                     into[x] = np.array(e.ids, "<u4").tobytes()
         for w, parts in cut.items():
             self.words[w] = b"".join(map(self.parts.__getitem__, parts))
@@ -127,6 +128,7 @@ def token_pieces(df: DataFrame, path: str, text: str = "text", row_id: str = "do
     text is empty and so has one token.  Only texts longer than ``capacity``
     are cut, into full pieces and a last one.
     """
+    df = small_batches(df)
     kind = df.schema[row_id].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema
+from .common import own_columns, read, schema, small_batches
 
 # Documents that the word list and the scorer are fitted on, at most about.
-LABELLED_SAMPLE = 6_000
-TRAINING_SAMPLE = 4_000
+LABELLED_SAMPLE = 4_000
+TRAINING_SAMPLE = 2_000
 HASH_BITS = 18
 # Features of the word list: words and word beginnings of these lengths.
 STEMS = (4, 5, 6)
@@ -37,7 +37,7 @@ GOOD, BAD, ABSTAIN = 1, 0, 2
 # Share of good documents that a labeller may take for bad.
 MOST_FALSE_ALARMS = 0.02
 # Distinct raw tokens remembered per task; the memory starts anew beyond it.
-TOKEN_CACHE = 600_000
+TOKEN_CACHE = 300_000
 THRESHOLD = 0.5
 
 # Abusive words that need no fitting.
@@ -165,25 +165,31 @@ def fit_abuse_words(texts: list[str], toxic: list[int]) -> list[str]:
     Near copies of one document would make its rare words look common, so of
     documents that share their three smallest word hashes one is counted.
     """
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    total, met = [0, 0], set()
+    met: set[tuple] = set()
+    groups: tuple[list[str], list[str]] = ([], [])
     for t, y in zip(texts, toxic):
-        y = int(bool(y))
         words = set(map(normal, set(t.split()))) - {""}
-        sketch = (y, *sorted(zlib.crc32(w.encode()) for w in words)[:3])
-        if sketch in met:
-            continue
-        met.add(sketch)
-        total[y] += 1
-        seen[y].update({s for w in words for s in stems(w)})
-    if min(total) == 0:
+        sketch = (bool(y), *sorted(zlib.crc32(w.encode()) for w in words)[:3])
+        if sketch not in met:
+            met.add(sketch)
+            groups[bool(y)].append(t)
+
+    def used(texts: list[str], among: set[str] | None) -> Counter:
+        out: Counter = Counter()
+        for t in texts:
+            found = {s for w in set(map(normal, set(t.split()))) - {""} for s in stems(w)}
+            out.update(found if among is None else found & among)
+        return out
+
+    clean, bad = groups
+    if not clean or not bad:
         return []
-    scored = []
-    for s, k in seen[1].items():
-        odds = (k / total[1]) / ((seen[0][s] + 0.5) / total[0])
-        if k >= max(4, 0.01 * total[1]) and odds >= 20:
-            scored.append((-k, s))
-    return [s for _, s in sorted(scored)[:STEM_LIMIT]]
+    # only what enough toxic documents use is looked up in the clean ones
+    often = {s: k for s, k in used(bad, None).items() if k >= max(4, 0.01 * len(bad))}
+    other = used(clean, set(often))
+    scored = sorted((-k, s) for s, k in often.items()
+                    if (k / len(bad)) / ((other[s] + 0.5) / len(clean)) >= 20)
+    return [s for _, s in scored[:STEM_LIMIT]]
 
 
 # ------------------------------------------------------------ linear scorer
@@ -196,7 +202,7 @@ def vote_features(votes: list[int]) -> list[int]:
     return [_mask(f"v{i}:{v}") for i, v in enumerate(votes)]
 
 
-def fit_scorer(rows: list[tuple[list[int], set[str], float]], rounds: int = 8) -> np.ndarray:
+def fit_scorer(rows: Iterable[tuple[list[int], set[str], float]], rounds: int = 8) -> np.ndarray:
     """Logistic regression by AdaGrad over (votes, distinct tokens, target).
 
     Features are the votes and the stems of the tokens, hashed; the tokens of
@@ -205,17 +211,12 @@ def fit_scorer(rows: list[tuple[list[int], set[str], float]], rounds: int = 8) -
     """
     size = 1 << HASH_BITS
     w, g2 = np.zeros(size + 1), np.full(size + 1, 1e-3)
-    known: dict[str, list[int]] = {}
     data = []
     for votes, tokens, y in rows:
-        idx: list[int] = []
-        for t in tokens:
-            if t not in known:
-                known[t] = [_mask(s) for s in stems(normal(t))]
-            idx += known[t]
-        s, k = np.unique(np.array(idx, np.int64), return_counts=True)
+        idx = np.fromiter((_mask(s) for t in tokens for s in stems(normal(t))), np.int32)
+        s, k = np.unique(idx, return_counts=True)
         data.append((np.array(vote_features(votes) + [size]), s,
-                     k / math.sqrt(max(1, len(tokens))), y))
+                     (k / math.sqrt(max(1, len(tokens)))).astype(np.float32), y))
     order = np.arange(len(data))
     rng = np.random.default_rng(7)
     for _ in range(rounds):
@@ -300,7 +301,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, text: str = "text
     Equal texts get equal scores.  An empty table stays empty, and a column
     named like an added one is replaced.
     """
-    docs = own_columns(docs, ["quality", "posterior", "keep", "_votes"])
+    docs = own_columns(small_batches(docs), ["quality", "posterior", "keep", "_votes"])
     listed = abuse_words(docs, labels, text, row_id) if labels is not None else frozenset()
 
     def vote(batches):
@@ -318,13 +319,16 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, text: str = "text
                      TRAINING_SAMPLE, sum(counts.values()))
 
     def train(pdf):
-        rows, abuse = [], AbuseList(listed)
-        for t in sorted(pdf[text].tolist()) if len(pdf) else []:
-            votes, tokens = measure(t, abuse)
-            p = pattern(votes)
-            if p in good:
-                rows.append((votes, tokens, good[p]))
-        return pd.DataFrame({"w": [fit_scorer(rows).tobytes()]})
+        abuse = AbuseList(listed)
+
+        def rows():
+            for t in sorted(pdf[text].tolist()) if len(pdf) else []:
+                votes, tokens = measure(t, abuse)
+                p = pattern(votes)
+                if p in good:
+                    yield votes, tokens, good[p]
+
+        return pd.DataFrame({"w": [fit_scorer(rows()).tobytes()]})
 
     weights = _one_task(sample, train, "w binary")[0]["w"]    # 1 MB
     sent = docs.sparkSession.sparkContext.broadcast(bytes(weights))

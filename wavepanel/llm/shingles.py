@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 # Bytes of text that are turned into hashes at a time.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

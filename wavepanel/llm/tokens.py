@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, quiet_tokenizer, read, schema, spans
+from .common import own_columns, quiet_tokenizer, read, schema, small_batches, spans
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
 # more than the longest special string and the one character of look-ahead
 MARGIN = 32
 # distinct pieces kept per Python worker; the cache starts anew beyond it
-CACHE = 800_000
+CACHE = 400_000
 
 # Boundaries inside a piece that hold wherever the piece stands: around a
 # single line break between non-spaces, and between a letter and a stop.
@@ -122,7 +122,8 @@ def count_tokens(df: DataFrame, path: str, text: str = "text",
     Repeated rows stay repeated; an empty table stays empty; a column of the
     input named like one that is added is replaced.
     """
-    df = own_columns(df, ["n_bytes", "n_tokens", "_rid", "_chunk", "_from", "_text"])
+    df = own_columns(small_batches(df),
+                     ["n_bytes", "n_tokens", "_rid", "_chunk", "_from", "_text"])
     keep = [c for c in df.columns if c != text]
     rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"),
                      F.monotonically_increasing_id().alias("_rid"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, stage
-from .common import read, schema
+from .common import read, schema, small_batches
 
 LEAST_REVISIT = 100             # bytes of payload from which copies are revisits
 ARCHIVE_BYTES = 256 << 20       # an archive is closed beyond this
@@ -309,7 +309,7 @@ def archive_round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "u
     payload is empty; null or repeated urls and ids keep a record per row; an
     empty table gives no rows.
     """
-    spark = pages.sparkSession
+    spark = small_batches(pages).sparkSession
     folder = folder or scratch_dir(spark, "warc")
     kind = pages.schema[page_id].dataType.simpleString()
     captures = write_archives(pages, f"{folder}/archives", page_id, url, payload)
