@@ -52,13 +52,12 @@ def text_of(name: str):
 
 
 def text_key(name: str):
-    """128 bits of SHA-256 that name a text; a null text has the key ''.
+    """128 bits of SHA-256 that name a text; a null text counts as empty.
 
     The key is a hex string, so it also orders the texts in a fixed way that
     does not depend on how the rows are stored.
     """
-    return F.coalesce(F.substring(F.sha2(F.col(name).cast("binary"), 256), 1, 32),
-                      F.lit(""))
+    return F.substring(F.sha2(text_of(name).cast("binary"), 256), 1, 32)
 
 
 def quiet_tokenizer(path: str):

@@ -217,7 +217,7 @@ def shard_texts(docs: DataFrame, shards: int = 8, text: str = "text",
     """Shards of near equal bytes, equal texts together.
 
     Adds size (UTF-8 bytes plus 1; a null text has 1), text_crc32, shard and
-    slot to ``row_id``.  All null texts are one group, as are all empty ones.
+    slot to ``row_id``.  Null and empty texts are one group.
     Repeated and null row ids are kept as rows of their own.  An empty table
     gives an empty result.  Other columns of ``docs`` are not read.
     """
