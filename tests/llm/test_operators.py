@@ -52,7 +52,7 @@ def best_capacity(sizes, k):
 
 @pytest.mark.parametrize("seed,hot", [(1, 1), (2, 400), (3, 40)])
 def test_minimax_capacity_is_the_least(spark, monkeypatch, seed, hot):
-    monkeypatch.setattr(sharding, "PIECES", 12)        # forces several looks
+    monkeypatch.setattr(sharding, "PIECES", 96)        # forces several looks
     rng = np.random.default_rng(seed)
     sizes = rng.integers(1, 50, 300).tolist()
     sizes[17] *= hot
