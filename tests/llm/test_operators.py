@@ -274,7 +274,8 @@ def test_packed_pieces(spark, docs, odd):
             at += length
         assert at <= 512
     total = sum(map(len, ids.values()))
-    assert sum(r.length for r in got) == total and len(fill) <= -(-total // 512) + 1
+    # the total alone bounds the bins from below; few pieces are small at this capacity
+    assert sum(r.length for r in got) == total and len(fill) <= 1.02 * total / 512 + 1
 
 
 def test_local_search_empties_a_bin():
