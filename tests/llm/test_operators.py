@@ -229,6 +229,17 @@ def test_neighbours_recall(spark):
     assert right >= 0.9 * 10 * len(found) and set(found) == {i for i in x if i % 100 == 0}
 
 
+def test_neighbours_among_equal_vectors():
+    rng = np.random.default_rng(0)
+    lines = np.random.default_rng(3).standard_normal((64, neighbours.PROJECTIONS))
+    for n, scale in ((2, 1.0), (5, 1.0), (50, 1e-200), (400, 1.0), (5, 1e306)):
+        q = rng.standard_normal(64) * scale
+        with np.errstate(all="ignore"):
+            rows, dist = neighbours.Block(np.arange(n), list(range(n)), np.tile(q, (n, 1)),
+                                          lines).nearest(0, q, q @ lines, 10)
+        assert len(rows) >= min(n - 1, 10) and 0 not in rows and not dist.any()
+
+
 # -------------------------------------------------------------------- 7 WARC
 
 def test_archives_round_trip(spark):

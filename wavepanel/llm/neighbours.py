@@ -58,13 +58,14 @@ class Block:
         """(rows, distances) of the k nearest found, the query's own row left out."""
         n = len(self.x)
         sample = self.x[:: max(1, n // 128)]
-        radius = 0.5 * np.sqrt(((sample - q) ** 2).sum(1)).max()
         own = np.flatnonzero(self.uid == uid)
         others = n - len(own)
-        near = np.sort(np.sqrt(((sample - q) ** 2).sum(1)))
+        near = np.sqrt(((sample - q) ** 2).sum(1))
         near = near[near > 0]
-        if len(near):
-            radius = 0.5 * near[0]
+        # Copies of the query project to its place but for rounding, so the
+        # first window is never empty.
+        radius = max(0.5 * near.min(initial=np.inf) if len(near) else 0.0,
+                     1e-9 * float(np.abs(q).sum()), np.finfo(float).tiny)
         seen = np.zeros(n, bool)
         seen[own] = True
         rows = np.zeros(0, np.int64)
@@ -81,7 +82,8 @@ class Block:
                 new += [o[i:j] for o, i, j in zip(self.order, hi, b)]
             lo, hi = a, b
             count += np.bincount(np.concatenate(new), minlength=n).astype(np.int32)
-            fresh = np.flatnonzero((count >= THRESHOLD) & ~seen)
+            # numbers too large to project are all verified in the end
+            fresh = np.flatnonzero(((count >= THRESHOLD) | ~np.isfinite(radius)) & ~seen)
             if len(fresh):
                 seen[fresh] = True
                 d = np.sqrt(((self.x[fresh] - q) ** 2).sum(1))
@@ -91,7 +93,7 @@ class Block:
                     keep = dist <= cut           # ties with the k-th stay
                     rows, dist = rows[keep], dist[keep]
             if len(dist) >= min(k, others) and (
-                    seen.all() or len(dist) >= k and np.partition(dist, k - 1)[k - 1] <= radius):
+                    seen.all() or len(dist) >= k > 0 and np.partition(dist, k - 1)[k - 1] <= radius):
                 return rows, dist
             radius *= GROWTH
 
