@@ -71,7 +71,28 @@ def test_skip_logic_raises(spark, built):
 def test_extract_labels(built):
     from wavepanel.functions.labels import variable_labels
     _, t = built
-    assert variable_labels(t.extract)["hh_inc_bin"].startswith("Family income")
+    assert set(variable_labels(t.extract)) >= set(t.extract.columns) - {"userid", "wid"}
+
+
+def test_two_answers_of_a_person_stop_the_import(spark, built):
+    raw, _ = built
+    with pytest.raises(ValueError, match="Q46"):
+        build_survey_tables(raw.withColumn("Q46", F.lit(1.0)))
+
+
+def test_no_sort_for_the_tiles(built):
+    _, t = built
+    assert "SortAggregate" not in t.extract._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_column_is_empty_and_ranks_hit_and_miss(spark):
+    from wavepanel.plans.importer import survey_extract, survey_full
+    full, extract = survey_full(spark, SMOKE), survey_extract(spark, SMOKE)
+    for df in (full, extract):
+        n = df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
+        assert all(n.values()), [c for c, k in n.items() if not k]
+    ranked = extract.where(F.col("hh_inc_bin").isNotNull())
+    assert 0 < ranked.where("hh_inc_bin_rank is null").count() < ranked.count()
 
 
 def test_extract_is_the_same_on_the_hot_person_path(spark, built):

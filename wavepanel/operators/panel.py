@@ -44,7 +44,8 @@ def tile(df: DataFrame, values: Mapping[str, str | Column] | Sequence[str], by:
     count.
 
     ``check``: ``"lazy"`` folds the check into the tiled column (error when
-    it is computed), ``"eager"`` runs a violation count first, ``None`` skips.
+    it is computed), ``"eager"`` runs a violation count first, ``None`` skips
+    (of several values the largest is taken, in a record field by field).
     All columns are tiled by ONE per-person aggregate and ONE left join.
     """
     by = [by] if isinstance(by, str) else list(by)
@@ -61,8 +62,9 @@ def tile(df: DataFrame, values: Mapping[str, str | Column] | Sequence[str], by:
         complete = F.lit(True)
         for c in cols:
             complete = complete & F.col(c).isNotNull()
-        rec = F.when(complete, F.struct(*[F.col(c) for c in cols]))
-        aggs += [F.max(rec).alias(f"_t_{name}"), F.count(rec).alias(f"_n_{name}")]
+        # field by field: a maximum of structs would sort all rows
+        aggs += [F.max(F.when(complete, F.col(c))).alias(f"_t_{name}_{c}") for c in cols]
+        aggs.append(F.count(F.when(complete, 1)).alias(f"_n_{name}"))
     stats = df.groupBy(*by).agg(*aggs)
     names = list(values) + list(records)
     if check == "eager":
@@ -84,9 +86,9 @@ def tile(df: DataFrame, values: Mapping[str, str | Column] | Sequence[str], by:
         cast_to = (dtypes or {}).get(out, dtype)
         cols[out] = guarded(out, v.try_cast(cast_to) if cast_to else v)
     for name, rcols in records.items():
-        r = guarded(name, F.col(f"_t_{name}"))
         for c in rcols:
-            cols[c] = r[c].try_cast(record_dtype) if record_dtype else r[c]
+            v = F.col(f"_t_{name}_{c}")
+            cols[c] = guarded(name, v.try_cast(record_dtype) if record_dtype else v)
     stats = stats.select(*by, *[c.alias(k) for k, c in cols.items()])
     base = df.drop(*[k for k in cols if k in df.columns])
     return attach_per_key(base, stats, by, hot=hot)

@@ -112,6 +112,27 @@ EXTRACT_LABELS = {
     "date": "Interview date", "tenure": "Waves in panel", "weight": "Survey weight",
     "financial_past_12m": "Financially better/worse off than 12 months ago (-1 = missing)",
     "financial_12m": "Financially better/worse off 12 months from now (-1 = missing)",
+    "prob_move_house": "Chance of moving house within 12 months (%)",
+    "prob_unrate_up": "Chance that unemployment is higher in 12 months (%)",
+    "prob_irate_up": "Chance that savings rates are higher in 12 months (%)",
+    "prob_stocks_up": "Chance that stock prices are higher in 12 months (%)",
+    **{f"infl_{y}_bin_{s}": f"Inflation {when}: {what} of the person's density"
+       for y, when in (("1y", "in 12 months"), ("3y", "in 24-36 months"))
+       for s, what in (("mean", "mean"), ("var", "variance"), ("median", "median"),
+                       ("iqr", "interquartile range"),
+                       ("prob_defl", "probability of deflation (%)"))},
+    "num_jobs": "Number of jobs held", "prob_lose_job": "Chance of losing the main job (%)",
+    "prob_leave_job": "Chance of leaving the main job by choice (%)",
+    "prob_accept_job_12m": "Chance of finding an acceptable job within 12 months (%)",
+    "prob_accept_job_3m": "Chance of finding an acceptable job within 3 months (%)",
+    "prob_search_job_12m": "Chance of looking for work within 12 months (%)",
+    "prob_search_job_3m": "Chance of looking for work within 3 months (%)",
+    "credit_cond_past12m": "Getting credit now against 12 months ago (1 harder - 5 easier)",
+    "credit_cond_12m": "Getting credit in 12 months against now (1 harder - 5 easier)",
+    "prob_miss_paym_3m": "Chance of missing a debt payment within 3 months (%)",
+    **{stem: f"Numeracy question {stem[-1]}: answer" for _, stem, _, _ in NUMERACY},
+    **{f"{stem}_correct": f"Numeracy question {stem[-1]}: answered correctly"
+       for _, stem, _, _ in NUMERACY},
     "infl_1y": "Expected inflation, next 12 months (%)",
     "infl_3y": "Expected inflation, 24-36 months ahead (%)",
     "infl_5y": "Expected inflation, 48-60 months ahead (%)",
@@ -188,7 +209,8 @@ def prepare(raw: DataFrame, checks: str = "raise") -> tuple[DataFrame, dict[str,
     hot = hot_keys(df, [ID], rows_per_segment(df.sparkSession))
     tiles = {t: dt for t, dt in TILES if t in cols}
     df = tile(df, list(tiles), ID, dtypes=tiles,
-              records={"_races": columns_matching(df, r"Q35.*")}, record_dtype="smallint", hot=hot)
+              records={"_races": columns_matching(df, r"Q35.*")}, record_dtype="smallint", hot=hot,
+              check="eager" if checks == "raise" else "lazy")
 
     # 4. household composition: overwrite on change, carry last complete record
     flag = F.coalesce(F.col("D1") == 2, F.lit(False))

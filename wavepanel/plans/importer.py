@@ -1,8 +1,8 @@
 """The importer as named queries: the survey extract derived from
 ``events``, cleaned into the full and extract tables, with the income rank
 looked up in the crosswalk built from ``orders`` (written and read back as
-CSV, like the stored crosswalk).  No SQL oracle: the tests check the
-invariants and a pandas re-computation instead."""
+CSV, like the stored crosswalk).  The crosswalk's years are moved by
+CROSSWALK_SHIFT, so that some survey years find it and some do not."""
 
 from __future__ import annotations
 
@@ -12,13 +12,18 @@ from wavepanel.plans.survey_raw import raw_sql, survey_raw
 from wavepanel.operators.diagnostics import to_long, wave_stats
 from wavepanel.operators.ranks import rank_crosswalk
 from wavepanel.session import scratch_dir
-from wavepanel.sources.files import read_crosswalk, write_crosswalk_csv
+from wavepanel.sources.files import (read_crosswalk, read_panel, write_crosswalk_csv,
+                                     write_panel)
 from pyspark.sql import functions as F
 
+# Years from an order to the crosswalk year it counts for.
+CROSSWALK_SHIFT = 22
+
 
 def _crosswalk(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), order_weight().alias("w"))
+        "o_orderkey", "o_totalprice", (F.year("o_orderdate") + CROSSWALK_SHIFT).alias("year"),
+        order_weight().alias("w"))
     path = scratch_dir(spark, "crosswalk")
     write_crosswalk_csv(rank_crosswalk(o, "o_totalprice", "w", ["year"], "o_orderkey",
                                        edges=ORDER_VALUE_EDGES), path, ["year", "ibin", "lbound", "rank"])
@@ -41,11 +46,20 @@ def q_survey_raw(spark, sf_dir):
 DIAG_EXCLUDE = ("userid", "wid", "date")
 
 
+def panel_store_reload(spark, sf_dir):
+    """The full table stored by year of the interview and read back."""
+    full = survey_full(spark, sf_dir).withColumn("wave_year", F.year("date"))
+    path = scratch_dir(spark, "panel-full")
+    write_panel(full, path, partition_by=["wave_year"])
+    return read_panel(spark, path).select(*full.columns)
+
+
 def extract_wave_stats(spark, sf_dir):
-    """The diagnostics program on the extract: exact quartiles and the mean
-    of every extract variable per wave (one unpivot, one sort per
-    (wave, variable))."""
-    ext = survey_extract(spark, sf_dir)
+    """The diagnostics program on the stored extract: exact quartiles and the
+    mean of every extract variable per wave, from value counts."""
+    path = scratch_dir(spark, "panel-extract")
+    write_panel(survey_extract(spark, sf_dir), path)
+    ext = read_panel(spark, path)
     cols = [c for c in ext.columns if c not in DIAG_EXCLUDE]
     long = to_long(ext.select("userid", "wid", *cols), ["wid"], cols)
     q = wave_stats(long, "wid").drop("mean")
@@ -59,10 +73,11 @@ def extract_wave_stats(spark, sf_dir):
 
 
 QUERIES = {"survey_raw": q_survey_raw, "survey_full": survey_full, "survey_extract": survey_extract,
-           "extract_wave_stats": extract_wave_stats}
+           "panel_store_reload": panel_store_reload, "extract_wave_stats": extract_wave_stats}
 def _sql() -> dict[str, str]:
     from wavepanel.plans.importer_sql import extract_sql, extract_wave_stats_sql, full_sql
     return {"survey_raw": raw_sql(), "survey_extract": extract_sql(), "survey_full": full_sql(),
+            "panel_store_reload": f"SELECT *, CAST(year(date) AS INTEGER) AS wave_year FROM ({full_sql()}) f",
             "extract_wave_stats": extract_wave_stats_sql()}
 
 

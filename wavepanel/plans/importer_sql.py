@@ -9,10 +9,10 @@ from __future__ import annotations
 from wavepanel.plans.crosswalk import _sql_crosswalk
 from wavepanel.plans.survey_raw import raw_sql
 
-# the pairs present in the derived extract (no 5-year inflation block)
 PAIRS = [("Q8v2", 2, "Q8v2part2"), ("Q9bv2", 2, "Q9bv2part2"), ("Q23v2", 3, "Q23v2part2"),
          ("Q25v2", 3, "Q25v2part2"), ("Q26v2", 3, "Q26v2part2"), ("Q27v2", 3, "Q27v2part2"),
-         ("Q31v2", 3, "Q31v2part2"), ("C2", 3, "C2part2"), ("C3", 3, "C3part2")]
+         ("Q31v2", 3, "Q31v2part2"), ("C2", 3, "C2part2"), ("C3", 3, "C3part2"),
+         ("Q1a", 2, "Q1apart2")]
 
 
 def _verdicts() -> str:
@@ -51,6 +51,7 @@ base AS (
   SELECT *, {comp},
     max(Q32) OVER p AS t_Q32, max(Q33) OVER p AS t_Q33, max(Q34) OVER p AS t_Q34,
     max(Q36) OVER p AS t_Q36, max(Q46) OVER p AS t_Q46, max(QRA1) OVER p AS t_QRA1,
+    max(QRA2) OVER p AS t_QRA2,
     max(CASE WHEN Q35_1 IS NOT NULL AND Q35_2 IS NOT NULL THEN Q35_1 END) OVER p AS t_Q35_1,
     max(CASE WHEN Q35_1 IS NOT NULL AND Q35_2 IS NOT NULL THEN Q35_2 END) OVER p AS t_Q35_2,
     {flips}
@@ -58,12 +59,13 @@ base AS (
 prep AS (
   SELECT *, {carried},
     coalesce(Q38, DQ38) AS m_Q38, coalesce(Q47, D6) AS m_Q47, coalesce(HH2_1, DHH2_1) AS m_HH2_1,
+    coalesce(HH2_2, DHH2_2) AS m_HH2_2,
     CAST(year(survey_date) - CASE WHEN month(CASE WHEN day(survey_date) = 1
            THEN date_trunc('month', survey_date) - INTERVAL 1 MONTH
            ELSE date_trunc('month', survey_date) END) <= 6 THEN 1 ELSE 0 END AS INTEGER) AS ref_year
   FROM base WINDOW w AS (PARTITION BY userid ORDER BY date
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-cw AS (SELECT year, ibin, round(rank, 3) AS rank FROM ({_sql_crosswalk()}) x),
+cw AS (SELECT year + 22 AS year, ibin, round(rank, 3) AS rank FROM ({_sql_crosswalk()}) x),
 cwr AS (SELECT year, ibin, CASE WHEN (SELECT max(rank) FROM cw) <= 1.0 THEN rank * 100.0 ELSE rank END AS r
         FROM cw)"""
 
@@ -99,6 +101,7 @@ SELECT userid, date AS wid, survey_date AS date, tenure, weight,
   f_Q9bv2part2 AS infl_3y,
   Q9c_mean AS infl_3y_bin_mean, Q9c_var AS infl_3y_bin_var, Q9c_cent50 AS infl_3y_bin_median,
   Q9c_iqr AS infl_3y_bin_iqr, Q9c_probdeflation * 100.0 AS infl_3y_bin_prob_defl,
+  f_Q1apart2 AS infl_5y,
   CAST(coalesce(Q10_1 = 1, false) OR coalesce(Q10_2 = 1, false) AS SMALLINT) AS working,
   Q11 AS num_jobs, {_case('Q12new', {1: 0, 2: 1}, 'INTEGER')} AS self_employed,
   Q13new AS prob_lose_job, Q14new AS prob_leave_job,
@@ -121,7 +124,7 @@ SELECT userid, date AS wid, survey_date AS date, tenure, weight,
   {num_kids} AS num_kids,
   CAST(DSAME IN (1, 2) AS DOUBLE) AS same_employer,
   {_case('m_Q38', yes_no, 'INTEGER')} AS couple,
-  CAST(coalesce(m_HH2_1 = 1, false) OR coalesce(HH2_2 = 1, false) AS SMALLINT) AS spouse_working,
+  CAST(coalesce(m_HH2_1 = 1, false) OR coalesce(m_HH2_2 = 1, false) AS SMALLINT) AS spouse_working,
   TRY_CAST(m_Q47 AS INTEGER) AS hh_inc_bin,
   cwr.r AS hh_inc_bin_rank
 FROM prep LEFT JOIN cwr ON prep.ref_year = cwr.year AND TRY_CAST(prep.m_Q47 AS INTEGER) = cwr.ibin"""
@@ -130,11 +133,12 @@ FROM prep LEFT JOIN cwr ON prep.ref_year = cwr.year AND TRY_CAST(prep.m_Q47 AS I
 def full_sql() -> str:
     copy = (["Q3", "Q4new", "Q5new", "Q6new"] + [f"Q9_bin{i}" for i in range(1, 11)]
             + [f"Q9c_bin{i}" for i in range(1, 11)]
+            + [f"Q9new2_bin{i}" for i in (1, 2, 3, 5, 8)]
             + ["Q10_1", "Q10_2", "Q11", "Q12new", "Q13new", "Q14new", "Q15", "Q16", "Q17new", "Q18new",
                "Q19", "Q20new", "Q21new", "Q22new", "Q23v2", "Q24_1", "Q24_2", "Q25v2", "Q26v2", "Q27v2",
                "Q28", "Q29", "Q30new", "Q31v2", "C1_1", "C1_2", "C2", "C3",
                "QNUM1", "QNUM2", "QNUM3", "QNUM5", "QNUM6", "QNUM8", "QNUM9",
-               "Q37", "HH2_2", "Q41", "Q42", "Q43", "Q44", "Q45b", "D1", "D3", "DSAME"])
+               "Q37", "Q41", "Q42", "Q43", "Q44", "Q45b", "D1", "D3", "DSAME"])
     flipped = ", ".join(f"f_{v} AS {v}" for _, _, v in PAIRS)
     carried = ", ".join(f"k{i} AS Q45new_{i}" for i in range(1, 7))
     return f"""
@@ -144,8 +148,9 @@ SELECT userid, date AS wid, survey_date AS date, tenure, weight,
   {", ".join(copy)}, {flipped},
   CAST(t_Q32 AS INTEGER) AS Q32, CAST(t_Q33 AS SMALLINT) AS Q33, CAST(t_Q34 AS SMALLINT) AS Q34,
   CAST(t_Q35_1 AS SMALLINT) AS Q35_1, CAST(t_Q35_2 AS SMALLINT) AS Q35_2,
-  CAST(t_Q36 AS SMALLINT) AS Q36, m_Q38 AS Q38, m_HH2_1 AS HH2_1, {carried},
-  CAST(t_Q46 AS SMALLINT) AS Q46, CAST(t_QRA1 AS SMALLINT) AS QRA1, m_Q47 AS Q47,
+  CAST(t_Q36 AS SMALLINT) AS Q36, m_Q38 AS Q38, m_HH2_1 AS HH2_1, m_HH2_2 AS HH2_2, {carried},
+  CAST(t_Q46 AS SMALLINT) AS Q46, CAST(t_QRA1 AS SMALLINT) AS QRA1,
+  CAST(t_QRA2 AS SMALLINT) AS QRA2, m_Q47 AS Q47,
   cwr.r AS Q47_rank
 FROM prep LEFT JOIN cwr ON prep.ref_year = cwr.year AND prep.m_Q47 = cwr.ibin"""
 
@@ -154,7 +159,7 @@ EXTRACT_VARS = [
     "tenure", "weight", "financial_past_12m", "financial_12m", "prob_move_house", "prob_unrate_up",
     "prob_irate_up", "prob_stocks_up", "infl_1y", "infl_1y_bin_mean", "infl_1y_bin_var",
     "infl_1y_bin_median", "infl_1y_bin_iqr", "infl_1y_bin_prob_defl", "infl_3y", "infl_3y_bin_mean",
-    "infl_3y_bin_var", "infl_3y_bin_median", "infl_3y_bin_iqr", "infl_3y_bin_prob_defl", "working",
+    "infl_3y_bin_var", "infl_3y_bin_median", "infl_3y_bin_iqr", "infl_3y_bin_prob_defl", "infl_5y", "working",
     "num_jobs", "self_employed", "prob_lose_job", "prob_leave_job", "looking_for_job",
     "prob_accept_job_12m", "prob_accept_job_3m", "jobless_length", "prob_search_job_12m",
     "prob_search_job_3m", "earnings_change", "hh_inc_change", "hh_spending_change", "taxes_change",

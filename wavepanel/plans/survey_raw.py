@@ -2,7 +2,9 @@
 test tables at any scale.
 
 One row per (person, day): ``userid = user_id``, ``date`` (the wave) =
-yyyymmdd, ``survey_date`` = first event of the day.  Answers are fixed rules
+yyyymmdd, ``survey_date`` = first event of the day, moved back by whole years
+that depend on the person (so that the survey spans years with and without an
+income crosswalk).  Answers are fixed rules
 of the day's aggregates (first event id ``eid``, mean ``v`` - from exact
 integer cents - and max ``vmax`` value), respecting the questionnaire's
 routing: once-only questions on the first wave only, follow-ups only where
@@ -22,6 +24,10 @@ from wavepanel.plans.common import table
 from wavepanel.session import stage
 
 
+# Survey dates are up to YEARS_BACK - 1 years before the events.
+YEARS_BACK = 10
+
+
 def _code(k: int, seed: int) -> str:
     return f"CAST((eid * 7919 + {seed * 104729}) % {k} + 1 AS DOUBLE)"
 
@@ -58,11 +64,14 @@ def _rules() -> dict[str, str]:
     for i in range(1, 11):
         r[f"Q9_bin{i}"] = _prob(100 + i)
         r[f"Q9c_bin{i}"] = _prob(200 + i)
+    for i in (1, 2, 3, 5, 8):        # the other bins of this family are absent
+        r[f"Q9new2_bin{i}"] = _prob(300 + i)
     # Direction questions and their percent answers: most arrive with the
     # right sign, two need a flip, one is ambiguous.
     pairs = [("Q8v2", 2, "correct"), ("Q9bv2", 2, "flip"), ("Q23v2", 3, "correct"),
              ("Q25v2", 3, "correct"), ("Q26v2", 3, "flip"), ("Q27v2", 3, "correct"),
-             ("Q31v2", 3, "ambiguous"), ("C2", 3, "correct"), ("C3", 3, "correct")]
+             ("Q31v2", 3, "ambiguous"), ("C2", 3, "correct"), ("C3", 3, "correct"),
+             ("Q1a", 2, "flip")]
     for i, (d, dec, kind) in enumerate(pairs):
         code, mag = _code(3, 30 + i), _pct(30 + i)
         r[d] = code
@@ -82,7 +91,7 @@ def _rules() -> dict[str, str]:
             "Q37": _code(6, 37), "Q38": _code(2, 38), "HH2_1": f"{_code(2, 381)} - 1",
             "HH2_2": f"{_code(2, 382)} - 1", "Q41": _code(6, 41), "Q42": _code(6, 42),
             "Q43": _code(3, 43), "Q44": _code(2, 44), "Q45b": _code(5, 45), "Q46": _code(3, 46),
-            "QRA1": _code(7, 47), "Q47": _code(11, 48)}
+            "QRA1": _code(7, 47), "QRA2": _code(10, 49), "Q47": _code(11, 48)}
     for i in range(1, 7):
         once[f"Q45new_{i}"] = f"CAST(eid % {i + 2} AS DOUBLE)"
     r.update({k: f"CASE WHEN tenure = 1 THEN {v} END" for k, v in once.items()})
@@ -91,6 +100,7 @@ def _rules() -> dict[str, str]:
               "DSAME": f"CASE WHEN tenure > 1 THEN {_code(3, 63)} END",
               "DQ38": f"CASE WHEN tenure > 1 THEN {_code(2, 64)} END",
               "DHH2_1": f"CASE WHEN tenure > 1 THEN {_code(2, 65)} - 1 END",
+              "DHH2_2": f"CASE WHEN tenure > 1 THEN {_code(2, 67)} - 1 END",
               "D6": f"CASE WHEN tenure > 1 THEN {_code(11, 66)} END"})
     for i in range(1, 7):
         r[f"D2new_{i}"] = f"CASE WHEN ({d1}) = 2 THEN CAST(CAST(floor(v) AS BIGINT) % {i + 1} AS DOUBLE) END"
@@ -107,7 +117,7 @@ FROM (
   SELECT *, row_number() OVER (PARTITION BY userid ORDER BY date) AS tenure
   FROM (
     SELECT user_id AS userid, CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date,
-      min(ts) AS survey_date, min(event_id) AS eid,
+      min(ts) - INTERVAL 1 YEAR * (user_id % {YEARS_BACK}) AS survey_date, min(event_id) AS eid,
       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0 AS v,
       max(value) AS vmax
     FROM {events}
@@ -117,13 +127,15 @@ FROM (
 def raw_from_events(events: DataFrame) -> DataFrame:
     day = (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int")
     cents = F.round(F.col("value") * 100).cast("long")
+    back = F.make_ym_interval((F.col("userid") % YEARS_BACK).cast("int"), F.lit(0))
     daily = (events.groupBy(F.col("user_id").alias("userid"), day.alias("date"))
-                   .agg(F.min("ts").alias("survey_date"), F.min("event_id").alias("eid"),
+                   .agg(F.min("ts").alias("_first"), F.min("event_id").alias("eid"),
                         (F.sum(cents).cast("double") / F.count(F.lit(1)) / 100.0).alias("v"),
                         F.max("value").alias("vmax")))
     daily = running(daily, ["userid"], ["date"], {"tenure": ("sum", F.lit(1))})
-    return daily.selectExpr("userid", "date", "survey_date",
-                            *[f"{expr} AS {name}" for name, expr in _rules().items()])
+    return (daily.withColumn("survey_date", F.col("_first") - back)
+            .selectExpr("userid", "date", "survey_date",
+                        *[f"{expr} AS {name}" for name, expr in _rules().items()]))
 
 
 def survey_raw(spark, sf_dir, materialise: bool = True) -> DataFrame:
