@@ -137,13 +137,25 @@ def test_hot_key_is_split_into_bounded_segments(spark):
     partition (key, segment) may exceed a small multiple of the limit."""
     from wavepanel.operators.segments import SEG, assign_segments
     rows = [(0 if i % 3 == 0 else i % 50 + 1, i % 17, i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "u int, t int, k int")
-    seg, hot, n_hot = assign_segments(df, ["u"], ["t", "k"], limit=100)
-    assert n_hot == 1
-    sizes = seg.groupBy("u", SEG).count()
-    biggest = sizes.agg(F.max("count")).first()[0]
-    assert biggest <= 100, biggest
-    assert sizes.where("u = 0").count() >= 10
+    nulls = [(None if i % 3 == 0 else i % 50 + 1, None if i % 2 else i % 17, i) for i in range(3000)]
+    for data in (rows, nulls):
+        df = spark.createDataFrame(data, "u int, t int, k int")
+        cold, seg = assign_segments(df, ["u"], ["t", "k"], limit=100)
+        sizes = seg.groupBy("u", SEG).count()
+        assert sizes.agg(F.max("count")).first()[0] <= 100
+        assert sizes.count() >= 10 and cold.count() + seg.count() == 3000
+        assert cold.groupBy("u").count().agg(F.max("count")).first()[0] <= 100
+
+
+def test_hot_path_with_texts_nulls_and_null_keys(spark):
+    rows = [(None if i % 3 == 0 else i % 5, None if i % 2 else f"t{i % 40:02}", i, i % 11)
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "u int, t string, k int, w int")
+    for frame, order in (("rows", ["t", "k"]), ("range", ["t"])):
+        runs = [{tuple(r) for r in running(df, ["u"], order, {
+            "s": ("sum", F.col("w")), "g": ("group_sum", F.col("w"))}, frame, limit=limit)
+            .select("u", "t", "k", "s", "g").collect()} for limit in (10_000, 40)]
+        assert runs[0] == runs[1] and len(runs[0]) == 900
 
 
 def test_crosswalk_without_broadcast_matches(spark, low_limit):

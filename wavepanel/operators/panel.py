@@ -18,8 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavepanel.operators.segments import hot_keys, running
-from wavepanel.session import max_broadcast_rows, rows_per_segment
+from wavepanel.operators.segments import hot_keys, join_keys, running
+from wavepanel.session import rows_per_segment
 
 
 def _c(x: str | Column) -> Column:
@@ -114,13 +114,12 @@ def attach_per_key(df: DataFrame, stats: DataFrame, by: Sequence[str],
     if hot is None:
         return df.join(stats, by, "left")
     flags = hot.select(*by, F.ceil(F.col("_wp_n") / F.lit(limit)).cast("int").alias("_wp_ns"))
-    flags = F.broadcast(flags) if n_hot <= max_broadcast_rows(spark) else flags
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    salted = (df.join(flags, by, "left")
+    salted = (join_keys(df, flags, by, "left", n_hot)
                 .withColumn("_wp_salt", F.when(F.col("_wp_ns").isNull(), F.lit(0))
                             .otherwise(F.pmod(row_hash, F.col("_wp_ns")).cast("int")))
                 .drop("_wp_ns"))
-    fanned = (stats.join(flags, by, "left")
+    fanned = (join_keys(stats, flags, by, "left", n_hot)
                    .withColumn("_wp_salt", F.explode(
                        F.when(F.col("_wp_ns").isNull(), F.array(F.lit(0)))
                         .otherwise(F.sequence(F.lit(0), F.col("_wp_ns") - 1))))

@@ -8,19 +8,21 @@ window for ordinary keys and splits each hot key into ordered *segments*:
 1. one aggregate finds the keys holding more than ``wavepanel.rowsPerSegment``
    rows (their number is bounded by rows / threshold, so the table is
    written to the checkpoint folder and broadcast);
-2. per hot key, approximate quantiles of the first order column give split
-   points.  A row's segment is ``2 * (#edges < x) + (x is an edge)``, so
-   rows equal to an edge form a *point* segment of their own; a point
-   segment that holds one very frequent value is split again by quantiles of
-   the second order column (the tie-break), as finely as its own row count
-   needs.  Edge lookups are binary searches over the per-key edge array.
-   Segment ids are monotone in the order, so the segments of a key are
-   consecutive slices of it;
+2. the rows of hot keys are range-partitioned by key and order columns, about
+   two ranges per threshold of rows, and staged with the number of their range.
+   Ranges follow the order, so a key's ranges are consecutive slices of it.
+   Spark draws the bounds from a bounded sample; any type that sorts will do,
+   NULL keys and NULL order values are split like others (NULL sorts first),
+   and a frequent first value is split by the columns after it;
 3. a small table of per-segment summaries is prefix-combined with a window
    over ``(key, segment)`` (tiny), giving the carry-in of every segment;
 4. the window runs per ``(key, segment)`` and adds the carry-in.
 
+With ``frame="range"`` all rows of a hot key with one order value share a
+result, so it is computed on a (key, value) table and joined back.
+
 The result equals the plain window exactly; only the work split differs.
+Rows that tie on every order column stay together, so give a tie-break.
 Supported running aggregates: ``sum`` (nulls count as 0), ``last`` (last
 non-null value, ROWS frame), and ``group_sum`` (whole-key total).
 """
@@ -33,7 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavepanel.session import ensure_checkpoint_dir, max_broadcast_rows, rows_per_segment
+from wavepanel.session import ensure_checkpoint_dir, max_broadcast_rows, rows_per_segment, stage
 
 SEG = "_wp_seg"
 
@@ -64,97 +66,61 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int,
     return hot.checkpoint(eager=True), int(summary["k"]), int(summary["m"])
 
 
-def count_below(edges: Column, x: Column, max_len: int) -> Column:
-    """Number of elements of the ascending array ``edges`` that are < ``x``
-    (0 for a NULL ``x``), by binary search: a fold over power-of-two steps,
-    so log2(len) lambda evaluations per row instead of len."""
-    steps = []
-    k = 1
-    while k <= max_len:
-        steps.append(k)
-        k *= 2
-    steps.reverse()
-
-    def step(acc, s):
-        cand = acc + s
-        ok = (cand <= F.size(edges)) & (F.try_element_at(edges, cand.cast("int")) < x)
-        return F.when(F.coalesce(ok, F.lit(False)), cand).otherwise(acc)
-
-    return F.aggregate(F.array(*[F.lit(v) for v in steps]), F.lit(0), step)
-
-
 def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= max_broadcast_rows(df.sparkSession) else df
 
 
+def join_keys(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str,
+              n_rows: int) -> DataFrame:
+    """Join with a per-key table, NULL keys matching; ``side``'s key columns
+    are not kept.  ``n_rows`` is its counted size."""
+    named = side.withColumnsRenamed({k: f"_wp_side{i}" for i, k in enumerate(keys)})
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_wp_side{i}"))
+    out = df.join(_maybe_broadcast(named, n_rows), match, how)
+    return out.drop(*[f"_wp_side{i}" for i in range(len(keys))])
+
+
 def assign_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    split_ties: bool = True, limit: int | None = None, info: dict | None = None,
-                    hot: tuple | None = None) -> tuple[DataFrame, DataFrame | None, int]:
-    """Add column ``_wp_seg`` (0 for ordinary keys).
-
-    ``order`` holds one or two column names of a type ``percentile_approx``
-    accepts (numeric, date, timestamp).  Returns ``(df, hot, n_hot)``.
-    ``hot`` is a ``hot_keys`` result already computed for the same rows and
-    keys (e.g. shared by several operators), which skips the detection job.
+                    limit: int | None = None, info: dict | None = None,
+                    hot: tuple | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys with ``_wp_seg``, staged).
+
+    The second is None without a hot key.  ``hot`` is a ``hot_keys`` result
+    already computed for the same rows and keys (e.g. shared by several
+    operators), which skips the detection job.
     """
-    spark = df.sparkSession
-    limit = limit or rows_per_segment(spark)
-    hot, n_hot, max_rows = hot if hot is not None else hot_keys(df, keys, limit, info)
+    keys = list(keys)
+    limit = limit or rows_per_segment(df.sparkSession)
+    hot, n_hot, _ = hot if hot is not None else hot_keys(df, keys, limit, info)
     if hot is None:
-        return df.withColumn(SEG, F.lit(0)), None, 0
-
-    # Grid: about four segments per `limit` rows of the largest key.
-    grid = int(min(4096, max(2, math.ceil(4.0 * max_rows / limit))))
-    probs = [i / grid for i in range(1, grid)]
-    # rank error 1/accuracy must stay well below one grid step (1/grid);
-    # 8x keeps segments within a small factor of their target size while
-    # bounding each sketch (at most ~32k entries)
-    accuracy = max(10_000, 8 * grid)
-    o1 = order[0]
-    o2 = order[1] if (split_ties and len(order) > 1) else None
+        return df, None
+    n = max(2, math.ceil(2.0 * hot.agg(F.sum("_wp_n")).first()[0] / limit))
+    names = hot.select(*keys)
+    ranged = (join_keys(df, names, keys, "left_semi", n_hot)
+              .repartitionByRange(n, *keys, *order).withColumn(SEG, F.spark_partition_id()))
+    return join_keys(df, names, keys, "left_anti", n_hot), stage(ranged, "segments")
 
-    keys = list(keys)
-    hot_small = _maybe_broadcast(hot.select(*keys), n_hot)
-    hot_rows = df.join(hot_small, keys, "left_semi")
-    edges = (hot_rows.groupBy(*keys)
-                     .agg(F.array_distinct(F.percentile_approx(o1, probs, accuracy)).alias("_wp_e1"))
-                     .checkpoint(eager=True))
-    x1 = F.col(o1)
-    out = df.join(_maybe_broadcast(edges, n_hot), keys, "left")
-    lo = count_below(F.col("_wp_e1"), x1, grid)
-    point = F.coalesce(F.try_element_at(F.col("_wp_e1"), (lo + 1).cast("int")) == x1, F.lit(False))
-    level = lo * 2 + point.cast("int")
-
-    sub = F.lit(0)
-    if o2 is not None:
-        # A value frequent enough to be an edge forms its own segment; split
-        # it by quantiles of the tie-break, as finely as ITS row count needs
-        # (about four pieces per `limit` rows).
-        on_edge = F.coalesce(F.array_contains("_wp_e1", x1), F.lit(False))
-        points = out.where(on_edge).select(*keys, x1.alias("_wp_x"), F.col(o2).alias("_wp_t"))
-        want = F.ceil(F.col("_wp_c") * 4.0 / limit)
-        stride = F.greatest(F.lit(1), F.floor(F.lit(grid) / want)).cast("int")
-        sub_edges = (points.groupBy(*keys, "_wp_x")
-                           .agg(F.count(F.lit(1)).alias("_wp_c"),
-                                F.percentile_approx("_wp_t", probs, accuracy).alias("_wp_q"))
-                           .where(F.col("_wp_c") > limit // 4)
-                           .select(*[F.col(k).alias(f"_wp_sk{i}") for i, k in enumerate(keys)],
-                                   "_wp_x", F.array_distinct(F.filter(
-                                       "_wp_q", lambda e, i: (i + 1) % stride == 0)).alias("_wp_e2"))
-                           .checkpoint(eager=True))
-        n_sub = sub_edges.count()
-        if n_sub:
-            cond = [F.col(k) == F.col(f"_wp_sk{i}") for i, k in enumerate(keys)] + [x1 == F.col("_wp_x")]
-            j = cond[0]
-            for c in cond[1:]:
-                j = j & c
-            out = (out.join(_maybe_broadcast(sub_edges, n_sub), j, "left")
-                      .drop(*[f"_wp_sk{i}" for i in range(len(keys))], "_wp_x"))
-            sub = F.when(point & F.col("_wp_e2").isNotNull(),
-                         count_below(F.col("_wp_e2"), F.col(o2), grid)).otherwise(F.lit(0))
-    seg = F.when(F.col("_wp_e1").isNull(), F.lit(0)).otherwise(level * (grid + 1) + sub)
-    out = out.withColumn(SEG, seg.cast("long"))
-    return out.drop(*[c for c in ("_wp_e1", "_wp_e2") if c in out.columns]), hot, n_hot
+
+def _windows(df: DataFrame, part: Sequence[str], order: Sequence[str],
+             aggs: dict[str, tuple[str, Column]], frame: str) -> DataFrame:
+    """The plain windows."""
+    w_order = Window.partitionBy(*part).orderBy(*_cols(order))
+    w_run = (w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows"
+             else w_order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    w_all = Window.partitionBy(*part)
+    local = {}
+    for name, (kind, c) in aggs.items():
+        if kind == "sum":
+            local[name] = F.coalesce(F.sum(c).over(w_run), F.lit(0))
+        elif kind == "last":
+            local[name] = F.last(c, ignorenulls=True).over(w_run)
+        elif kind == "group_sum":
+            local[name] = F.coalesce(F.sum(c).over(w_all), F.lit(0))
+        else:
+            raise ValueError(f"unknown running aggregate {kind!r}")
+    return df.withColumns(local)
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -181,40 +147,37 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         if any(kind == "last" for kind, _ in aggs.values()):
             raise ValueError("'last' needs a ROWS frame")
         order = order[:1]
-    seg_df, hot, n_hot = assign_segments(df, keys, order, split_ties=(frame == "rows"),
-                                         limit=limit, info=info, hot=hot)
-
+    limit = limit or rows_per_segment(df.sparkSession)
+    hot = hot if hot is not None else hot_keys(df, keys, limit, info)
+    if hot[0] is None:
+        return _windows(df, keys, order, aggs, frame)
+    if frame == "rows":
+        cold, mine = assign_segments(df, keys, order, limit, hot=hot)
+        split = _hot_rows(mine, keys, order, aggs)
+    else:
+        names = hot[0].select(*keys)
+        cold = join_keys(df, names, keys, "left_anti", hot[1])
+        split = _hot_values(join_keys(df, names, keys, "left_semi", hot[1]), keys, order, aggs,
+                            limit)
+    plain = _windows(cold, keys, order, aggs, frame)
+    return plain.unionByName(split.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                                            if f.name in aggs else F.col(f.name)
+                                            for f in plain.schema.fields]))
+
+
+def _hot_rows(mine: DataFrame, keys: list[str], order: list[str],
+              aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Windows per (key, segment) plus what the segments before carry in."""
     part = keys + [SEG]
-    w_order = Window.partitionBy(*part).orderBy(*_cols(order))
-    w_run = (w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows"
-             else w_order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    w_all = Window.partitionBy(*part)
-
-    local = {}
-    for name, (kind, c) in aggs.items():
-        if kind == "sum":
-            local[name] = F.coalesce(F.sum(c).over(w_run), F.lit(0))
-        elif kind == "last":
-            local[name] = F.last(c, ignorenulls=True).over(w_run)
-        elif kind == "group_sum":
-            local[name] = F.coalesce(F.sum(c).over(w_all), F.lit(0))
-        else:
-            raise ValueError(f"unknown running aggregate {kind!r}")
-
-    if hot is None:
-        return seg_df.withColumns(local).drop(SEG)
-
-    # Per-segment summaries of hot keys only (bounded by ~4 * rows / limit rows).
-    hot_small = _maybe_broadcast(hot.select(*keys), n_hot)
-    hot_rows = seg_df.join(hot_small, keys, "left_semi")
+    # one row per key and segment: about 2 * rows / limit
     summ = []
     for name, (kind, c) in aggs.items():
-        if kind in ("sum", "group_sum"):
-            summ.append(F.coalesce(F.sum(c), F.lit(0)).alias(f"_s_{name}"))
-        else:
+        if kind == "last":
             summ.append(F.max(F.when(c.isNotNull(), F.struct(*[F.col(o) for o in order], c.alias("v"))))
                         .alias(f"_s_{name}"))
-    seg_tab = hot_rows.groupBy(*part).agg(*summ)
+        else:
+            summ.append(F.coalesce(F.sum(c), F.lit(0)).alias(f"_s_{name}"))
+    seg_tab = mine.groupBy(*part).agg(*summ)
     w_prev = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     w_key = Window.partitionBy(*keys)
     carry = {}
@@ -226,19 +189,28 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             carry[f"_o_{name}"] = F.sum(s).over(w_key)
         else:
             carry[f"_o_{name}"] = F.last(s, ignorenulls=True).over(w_prev)["v"]
-    offsets = (seg_tab.withColumns(carry)
-                      .select(*part, *carry.keys())
-                      .checkpoint(eager=True))
-    n_off = offsets.count()
-
-    joined = seg_df.join(_maybe_broadcast(offsets, n_off), part, "left")
+    offsets = stage(seg_tab.withColumns(carry).select(*part, *carry.keys()), "segment-offsets")
+    joined = join_keys(_windows(mine, part, order, aggs, "rows"), offsets, part, "left",
+                       offsets.count())
     final = {}
     for name, (kind, _) in aggs.items():
         o = F.col(f"_o_{name}")
         if kind == "sum":
-            final[name] = local[name] + F.coalesce(o, F.lit(0))
+            final[name] = F.col(name) + o
         elif kind == "group_sum":
-            final[name] = F.coalesce(o, local[name])
+            final[name] = o
         else:
-            final[name] = F.coalesce(local[name], o)
+            final[name] = F.coalesce(name, o)
     return joined.withColumns(final).drop(SEG, *carry.keys())
+
+
+def _hot_values(mine: DataFrame, keys: list[str], order: list[str],
+                aggs: dict[str, tuple[str, Column]], limit: int) -> DataFrame:
+    """RANGE frame: running totals over distinct values, joined back."""
+    by = keys + order
+    values = mine.groupBy(*by).agg(*[F.sum(c).alias(f"_v_{n}") for n, (_, c) in aggs.items()])
+    done = running(values, keys, order, {n: (kind, F.col(f"_v_{n}"))
+                                         for n, (kind, _) in aggs.items()}, limit=limit)
+    done = stage(done.select(*by, *aggs), "segment-values")
+    return join_keys(mine.drop(*[c for c in aggs if c in mine.columns]), done, by, "left",
+                     done.count())
