@@ -210,6 +210,11 @@ def test_one_of_each_group_stays(odd, none):
     assert jaccard.without_near_copies(none).count() == 0
 
 
+def test_pseudonyms_are_native(spark):
+    plan = pii.op4_feistel_pseudonyms(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "ExistingRDD"))
+
+
 # -------------------------------------------------------------- 6 neighbours
 
 def test_neighbours_recall(spark):
