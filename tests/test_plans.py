@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from wavepanel.plans import all_queries
 
 SMOKE = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(all_queries())
 
 
 def _plan(df):
@@ -15,7 +16,7 @@ def _plan(df):
 @pytest.mark.parametrize("name", NAMES)
 def test_no_python_udf_in_plan(spark, name):
     plan = _plan(entry.queries()[name](spark, SMOKE))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas"):
         assert node not in plan, f"{name} runs Python: {node}"
 
 
