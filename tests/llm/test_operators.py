@@ -128,6 +128,19 @@ def test_line_runs_against_brute_force(spark):
     assert {r.doc_id: r.text for r in got} == brute_lines(rows, 7)
 
 
+def test_runs_that_differ_near_the_end_of_an_island(spark):
+    line = {k: " ".join(f"{k}{i}" for i in range(10)) for k in "abcdexy"}
+    runs = ["abcde", "abcxe", "abcde", "abcxe", "yabcde", "eabxde"]
+    rows = [(i, "\n".join(line[k] for k in run)) for i, run in enumerate(runs)]
+    rng = np.random.default_rng(8)
+    rows += [(100 + i, "\n".join(rng.choice(["p q", "r", "s t", "u"], rng.integers(5, 12))))
+             for i in range(60)]
+    for least in (50, 11):
+        got = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"),
+                                        min_words=least).collect()
+        assert {r.doc_id: r.text for r in got} == brute_lines(rows, least)
+
+
 def test_lines_of_odd_rows(odd, none):
     got = lines.drop_repeated_lines(odd, min_words=3).collect()
     texts = Counter((r.doc_id, r.text) for r in got)

@@ -14,7 +14,8 @@ How the runs are found:
    2^k lines apart.  Only the counts of distinct pairs are ordered, so a
    frequent line costs no more than a rare one.  A suffix needs to be told
    apart only as far as its window, the shortest prefix with ``min_words``
-   words; it leaves the rounds there, so their number depends on
+   words, or as an earlier window of its island reaches if the rest is too
+   short for one; it leaves the rounds there, so their number depends on
    ``min_words`` and not on the data.
 3. Neighbours in the suffix array with a longest common prefix at least as
    long as the window form an interval: the occurrences of one run.  All but
@@ -72,9 +73,10 @@ def row_key(text: str, row_id: str) -> list:
 def _islands(min_words: int, id_kind: str):
     """Arrow function: rows of sorted repeated lines -> lines with windows."""
     names = ["_a", "_b", "id", "island", "ord", "line", "r0",
-             "mf", "tof", "winf", "mb", "fromb", "winb"]
+             "mf", "tof", "winf", "reachf", "mb", "fromb", "winb", "reachb"]
     ddl = (f"_a long, _b long, id {id_kind}, island int, ord int, line int, r0 long, "
-           "mf int, tof int, winf array<long>, mb int, fromb int, winb array<long>")
+           "mf int, tof int, winf array<long>, reachf int, "
+           "mb int, fromb int, winb array<long>, reachb int")
 
     def run(batches):
         for batch in batches:
@@ -91,10 +93,10 @@ def _islands(min_words: int, id_kind: str):
                         out += [(start, *f) for f in found]
                     start = end
             take = pa.array(rows, pa.int64())
-            cols = list(zip(*out)) if out else [[]] * 10
+            cols = list(zip(*out)) if out else [[]] * 12
             la = pa.list_(pa.int64())
             kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), la,
-                     pa.int32(), pa.int32(), la]
+                     pa.int32(), pa.int32(), pa.int32(), la, pa.int32()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).take(take) for c in ("_a", "_b", "id")]
                 + [pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
@@ -103,7 +105,8 @@ def _islands(min_words: int, id_kind: str):
 
 
 def _windows(part: list[dict], min_words: int) -> list[tuple]:
-    """Per line of an island its shortest windows forward and backward."""
+    """Per line of an island its shortest windows forward and backward, and how
+    far any window that holds the line goes on from it."""
     n, upto = len(part), [0]
     for x in part:
         upto.append(upto[-1] + x["words"])
@@ -119,28 +122,34 @@ def _windows(part: list[dict], min_words: int) -> list[tuple]:
         while s < j and upto[j + 1] - upto[s + 1] >= min_words:
             s += 1
         backward[j] = j - s + 1 if upto[j + 1] - upto[s] >= min_words else 0
+    # ends never fall, so a line with a window of its own is reached no further
+    reachf, reachb = forward[:], backward[:]
+    for j in range(1, n):
+        reachf[j] = forward[j] or max(0, reachf[j - 1] - 1)
+    for j in range(n - 2, -1, -1):
+        reachb[j] = backward[j] or max(0, reachb[j + 1] - 1)
     out = []
     for j, x in enumerate(part):
         mf, mb = forward[j], backward[j]
         out.append((x["ord"], x["line"], x["r"],
                     mf, part[j + mf - 1]["line"] if mf else None, ids[j:j + mf] if mf else None,
-                    mb, part[j - mb + 1]["line"] if mb else None,
-                    ids[j - mb + 1:j + 1][::-1] if mb else None))
+                    reachf[j], mb, part[j - mb + 1]["line"] if mb else None,
+                    ids[j - mb + 1:j + 1][::-1] if mb else None, reachb[j]))
     return out
 
 
-def suffix_ranks(suffixes: DataFrame, m: str, forward: bool) -> DataFrame:
+def suffix_ranks(suffixes: DataFrame, reach: str, forward: bool) -> DataFrame:
     """Adds ``r``: ranks of the islands' suffixes (or reversed prefixes), told
-    apart at least as far as their windows of ``m`` lines."""
+    apart at least as far as the ``reach`` lines that windows hold of them."""
     ranked = suffixes.withColumn("r", F.col("r0"))
     order = Window.partitionBy("_a", "_b", "island").orderBy("ord")
-    longest = suffixes.agg(F.max(m)).first()[0] or 0
+    longest = suffixes.agg(F.max(reach)).first()[0] or 0
     k = 0
     while 1 << k < longest:
         step = 1 << k
         nxt = F.lead("r", step) if forward else F.lag("r", step)
         paired = ranked.withColumn("s", F.coalesce(nxt.over(order), F.lit(-1)))
-        need = F.col(m) > step
+        need = F.col(reach) > step
         counts = stage(paired.where(need).groupBy("r", "s").agg(F.count(F.lit(1)).alias("n")),
                        "line-pairs")
         here = Window.partitionBy("r").orderBy("s")
@@ -187,8 +196,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
         F.array_sort(F.collect_list(F.struct("ord", "line", "r", "words"))).alias("items"))
     run, out = _islands(min_words, lines.schema["id"].dataType.simpleString())
     suffixes = stage(by_row.mapInArrow(run, out), "line-suffixes")
-    forward = later_copies(suffix_ranks(suffixes, "mf", True), "mf", "winf")
-    backward = later_copies(suffix_ranks(suffixes, "mb", False), "mb", "winb")
+    forward = later_copies(suffix_ranks(suffixes, "reachf", True), "mf", "winf")
+    backward = later_copies(suffix_ranks(suffixes, "reachb", False), "mb", "winb")
     spans = (forward.select("_a", "_b", F.col("line").alias("from"), F.col("tof").alias("to"))
              .unionByName(backward.select("_a", "_b", F.col("fromb").alias("from"),
                                           F.col("line").alias("to"))).distinct())
