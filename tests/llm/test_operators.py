@@ -314,6 +314,18 @@ def test_local_search_empties_a_bin():
     assert all(sum(s for s, _ in b) <= 10 for b in out)
 
 
+def test_local_search_tries_every_underfull_bin(monkeypatch):
+    rng = np.random.default_rng(4)
+    for n, most, block in ((600, 0.97, 256), (900, 0.99, 64)):
+        monkeypatch.setattr(packing, "SEARCH_BINS", block)
+        sizes = np.sort(rng.integers(900, 1700, n))[::-1]
+        placed = packing.best_fit(sizes.tolist(), 4096)
+        of, offset, fill = packing.pack_group(sizes, 4096)
+        assert of.max() + 1 <= most * (max(placed) + 1)
+        assert np.bincount(of, sizes).max() <= 4096 and (offset + sizes <= fill).all()
+        assert sorted(zip(of, offset)) == sorted(set(zip(of, offset)))
+
+
 # --------------------------------------------------------- 9 decontamination
 
 def test_leaks_and_paraphrases(spark, docs):

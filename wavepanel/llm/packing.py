@@ -3,8 +3,8 @@
 Texts become pieces of at most ``capacity`` tokens.  Pieces are dealt by a hash
 to groups of bounded size.  Each group is packed best-fit decreasing and then
 improved by local search: moves, one-for-one and two-for-one exchanges between
-underfull bins that raise the sum of squared fills, until the emptiest bin has
-gone or nothing improves.  The poorly filled bins of all groups go to the next
+underfull bins that raise the sum of squared fills, with every underfull bin as
+a source, until nothing improves within its block of bins.  The poorly filled bins of all groups go to the next
 round, with fewer groups, until one group is left; so no task sees more than a
 group, and the groups cost almost no sequence.
 """
@@ -29,9 +29,8 @@ GROUP_PIECES = 200_000
 REOPEN = 0.98
 # Distinct words kept per Python worker; the cache starts anew beyond it.
 CACHE = 300_000
-# Underfull bins, and steps, of one local search.
+# Underfull bins that exchange with each other at a time.
 SEARCH_BINS = 256
-SEARCH_STEPS = 2_000
 
 # The pre-tokenizer pattern of the word tokenizer file.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -181,28 +180,51 @@ def best_fit(sizes: list[int], capacity: int) -> list[int]:
     return out
 
 
-def _exchange(bins: list[list[tuple[int, int]]], fill: list[int], t: int, capacity: int) -> bool:
-    """One improving step that takes load off bin ``t``; False if there is none."""
-    order = sorted((b for b in range(len(bins)) if b != t and bins[b] and fill[b] >= fill[t]
-                    and fill[b] < capacity), key=lambda b: -fill[b])
-    mine = sorted(bins[t], reverse=True)
-    for b in order:
-        room = capacity - fill[b]
-        for x in mine:                                     # move
-            if x[0] <= room:
-                return _swap(bins, fill, t, [x], b, [])
-    for b in order:
-        room = capacity - fill[b]
-        for x in mine:                                     # one for one
-            ys = [y for y in bins[b] if 0 < x[0] - y[0] <= room]
-            if ys:
-                return _swap(bins, fill, t, [x], b, [min(ys)])
-        for i, x1 in enumerate(mine):                      # two for one
-            for x2 in mine[i + 1:]:
-                ys = [y for y in bins[b] if 0 < x1[0] + x2[0] - y[0] <= room]
-                if ys:
-                    return _swap(bins, fill, t, [x1, x2], b, [min(ys)])
-    return False
+def _back_sizes(members: list[tuple[int, int]]) -> np.ndarray:
+    """What a bin may give back: nothing or one of its pieces."""
+    return np.array(sorted({0, *(x[0] for x in members)}), np.int64)
+
+
+def _best_step(bins: list[list[tuple[int, int]]], fill: list[int], backs: list[np.ndarray],
+               t: int, among, capacity: int) -> tuple | None:
+    """(pieces off bin ``t``, target, pieces back) of the step to a bin of
+    ``among`` that raises the squared fills most; None if no step raises them."""
+    among = [b for b in among if b != t and bins[b] and fill[t] <= fill[b] < capacity]
+    if not among:
+        return None
+    mine = np.array(sorted(x[0] for x in bins[t]), np.int64)
+    loads = np.unique(mine)
+    if len(mine) > 1:                          # pairs, a size at most twice
+        twice = mine[2:] != mine[:-2]
+        few = mine[np.concatenate(([True, True], twice))]
+        i, j = np.triu_indices(len(few), 1)
+        loads = np.unique(np.concatenate((loads, few[i] + few[j])))
+    of = np.repeat(among, [len(backs[b]) for b in among])
+    back = np.concatenate([backs[b] for b in among])
+    filled = np.array(fill, np.int64)[of]
+    # the largest load that fits is the best one for what comes back
+    at = np.searchsorted(loads, back + capacity - filled, "right") - 1
+    gain = np.where(at >= 0, loads[at] - back, 0)
+    rise = np.where(gain > 0, gain * (filled - fill[t] + gain), 0)
+    best = int(rise.argmax())
+    if not rise[best]:
+        return None
+    return (_pieces(bins[t], int(loads[at[best]])), int(of[best]),
+            _pieces(bins[of[best]], int(back[best])))
+
+
+def _pieces(members: list[tuple[int, int]], load: int) -> list[tuple[int, int]]:
+    """At most two pieces of this total."""
+    if not load:
+        return []
+    for x in members:
+        if x[0] == load:
+            return [x]
+    for i, x in enumerate(members):
+        for y in members[i + 1:]:
+            if x[0] + y[0] == load:
+                return [x, y]
+    raise ValueError(load)
 
 
 def _swap(bins, fill, t, xs, b, ys) -> bool:
@@ -218,25 +240,65 @@ def _swap(bins, fill, t, xs, b, ys) -> bool:
     return True
 
 
+def _search_block(bins: list[list[tuple[int, int]]], capacity: int
+                  ) -> list[list[tuple[int, int]]]:
+    """Steps among ``bins`` until none has one or they are as few as can be."""
+    bins = [list(b) for b in bins]
+    fill = [sum(x[0] for x in b) for b in bins]
+    least, alive = -(-sum(fill) // capacity), len(bins)
+    backs = [_back_sizes(b) for b in bins]
+    changed: list[int] = []                    # bins in the order of their changes
+    tried = [-1] * len(bins)                   # changes seen when a source had no step
+    moved = True
+    while moved and alive > least:
+        moved = False
+        for t in sorted(range(len(bins)), key=lambda i: fill[i]):
+            while bins[t] and alive > least and tried[t] < len(changed):
+                among = range(len(bins)) if tried[t] < 0 else sorted(set(changed[tried[t]:]))
+                step = _best_step(bins, fill, backs, t, among, capacity)
+                if step is None:
+                    tried[t] = len(changed)
+                    break
+                b = step[1]
+                _swap(bins, fill, t, *step)
+                moved = True
+                changed += [t, b]
+                tried[t] = tried[b] = -1
+                backs[t], backs[b] = _back_sizes(bins[t]), _back_sizes(bins[b])
+                alive -= not bins[t]
+    return [b for b in bins if b]
+
+
 def local_search(bins: list[list[tuple[int, int]]], capacity: int) -> list[list[tuple[int, int]]]:
     """Empties bins of (size, item) lists while exchanges allow it.
 
-    Each step moves load from the emptiest bin to a fuller one, so the sum of
-    squared fills rises and the search ends.  It stops at once when the bins
-    are as few as their total needs.
+    Each step moves load from a bin to a fuller one, so the sum of squared
+    fills rises and the search ends.  All underfull bins are walked, emptiest
+    first, in blocks of SEARCH_BINS; the emptiest eighth of a block goes on into
+    the next one.  In a block every bin is a source until none has a step.
+    Walks are repeated while they empty a bin, and stop when the bins are as
+    few as their total needs.
     """
-    full = [b for b in bins if sum(x[0] for x in b) >= capacity]
-    work = sorted((b for b in bins if sum(x[0] for x in b) < capacity),
-                  key=lambda b: sum(x[0] for x in b))
-    rest, work = work[SEARCH_BINS:], [list(b) for b in work[:SEARCH_BINS]]
-    fill = [sum(x[0] for x in b) for b in work]
-    for _ in range(SEARCH_STEPS):
-        alive = [i for i in range(len(work)) if work[i]]
-        if len(alive) <= -(-sum(fill) // capacity):
-            break
-        if not _exchange(work, fill, min(alive, key=lambda i: fill[i]), capacity):
+    def load(b):
+        return sum(x[0] for x in b)
+
+    full = [b for b in bins if load(b) >= capacity]
+    work = [b for b in bins if load(b) < capacity]
+    while len(work) > -(-sum(map(load, work)) // capacity):
+        before, left, done = len(work), sorted(work, key=load), []
+        carried: list[list[tuple[int, int]]] = []
+        while left:
+            take = SEARCH_BINS - len(carried)
+            block = sorted(_search_block(carried + left[:take], capacity), key=load)
+            left = left[take:]
+            some = SEARCH_BINS // 8 if left else 0
+            carried = block[:some]
+            done += block[some:]
+        work = [b for b in done if load(b) < capacity]
+        full += [b for b in done if load(b) >= capacity]
+        if len(done) >= before:
             break
-    return full + rest + [b for b in work if b]
+    return full + work
 
 
 def pack_group(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
