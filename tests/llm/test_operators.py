@@ -217,6 +217,19 @@ def test_jaccard_against_brute_force(spark, docs, odd, num, region):
     assert sorted(tuple(-1 if x is None else x for x in r) for r in got) == want
 
 
+def test_links_of_a_group_joined_block_by_block(spark):
+    # 24 sets, all linked, and a window row that has its home elsewhere
+    rows = [(1, i < 24, i, 1 + i % 2, [*range(100), 1000 + i]) for i in range(25)]
+    cells = spark.createDataFrame(rows, "cell long, home boolean, name long, copies long, set array<long>")
+    sizes = spark.createDataFrame([(1, 25)], "cell long, rows long")
+    regions = jaccard._blocks(cells, sizes, 4).withColumnRenamed("cell", "region")
+    got = (jaccard._joined(regions, jaccard.Threshold(90, 100)).groupBy("name")
+           .agg(F.sum("links").alias("links")).collect())
+    copies = {r[2]: r[3] for r in rows}
+    want = {i: sum(copies.values()) - copies[i] for i in range(24)}
+    assert {r["name"]: r.links for r in got if r["name"] < 24} == want
+
+
 def test_one_of_each_group_stays(odd, none):
     got = sorted((r.doc_id or -1, r.text or "") for r in jaccard.without_near_copies(odd).collect())
     assert got == sorted((i or -1, t or "") for i, t in ODD if i != 2)

@@ -190,9 +190,12 @@ def _intersections(sets: list[np.ndarray], rows: int) -> np.ndarray:
 
 
 def join_region(names: np.ndarray, home: np.ndarray, copies: np.ndarray, sets: list[np.ndarray],
-                t: Threshold) -> list[tuple[int, int, int]]:
+                t: Threshold, counts: bool = True) -> list[tuple[int, int, int]]:
     """(name, links, label): documents linked to each home set by other sets,
-    and the smallest name that the region's links connect a set with."""
+    and the smallest name that the region's links connect a set with.
+
+    Without ``counts`` another region counts the links between home sets.
+    """
     order = np.argsort(~home, kind="stable")
     names, home, copies = names[order], home[order], copies[order]
     sets = [sets[i] for i in order]
@@ -201,7 +204,7 @@ def join_region(names: np.ndarray, home: np.ndarray, copies: np.ndarray, sets: l
     both = np.rint(_intersections(sets, h)).astype(np.int64)
     linked = t.den * both >= t.num * (sizes[:h, None] + sizes[None, :] - both)
     linked &= names[:h, None] != names[None, :]
-    links = linked @ copies
+    links = (linked if counts else linked & (np.arange(len(sets)) >= h)) @ copies
     label = names.copy()
     while True:                                  # least name along links
         near = np.where(linked, label[None, :], np.iinfo(np.int64).max)
@@ -264,7 +267,8 @@ def _refine(rows: DataFrame, big: DataFrame, level: int, eps: float) -> DataFram
 
 
 def _regions(members: DataFrame, t: Threshold, region_rows: int) -> DataFrame:
-    """(region, home, name, copies, set): rows to be joined within a region."""
+    """(region, home, name, copies, set, counts): rows to be joined within a
+    region; it counts the links between its home rows if ``counts``."""
     done, rows = [], members
     before: int | None = None
     for level in range(DEPTH + 1):
@@ -287,23 +291,27 @@ def _regions(members: DataFrame, t: Threshold, region_rows: int) -> DataFrame:
             break
         before = stat["rows"]
         rows = stage(_refine(left, big, level, t.eps), "regions")
-    out = done[0].select("cell", "home", "name", "copies", "set")
-    for d in done[1:]:
-        out = out.unionByName(d.select("cell", "home", "name", "copies", "set"))
+    whole = [d if "counts" in d.columns else d.withColumn("counts", F.lit(True)) for d in done]
+    out = whole[0].select("cell", "home", "name", "copies", "set", "counts")
+    for d in whole[1:]:
+        out = out.unionByName(d.select("cell", "home", "name", "copies", "set", "counts"))
     return out.withColumnRenamed("cell", "region")
 
 
 def _blocks(rows: DataFrame, sizes: DataFrame, region_rows: int) -> DataFrame:
-    """Cells as block pairs: each block of home rows meets every block."""
+    """Cells as block pairs: each block of home rows meets every block, and
+    counts the links within itself where it meets its own."""
     half = region_rows // 2
     placed = (rows.join(sizes.select("cell", "rows"), "cell")
               .withColumn("_b", F.ceil(F.col("rows") / half).cast("int"))
               .withColumn("_i", F.pmod(F.xxhash64("name"), F.col("_b")).cast("int")))
     every = F.explode(F.sequence(F.lit(0), F.col("_b") - 1))
     left = (placed.where("home").select("*", every.alias("_j"))
+            .withColumn("counts", F.col("_i") == F.col("_j"))
             .withColumn("cell", F.xxhash64("cell", "_i", "_j")))
     right = (placed.select("*", every.alias("_j"))
              .where(~F.col("home") | (F.col("_i") != F.col("_j")))
+            .withColumn("counts", F.col("_i") == F.col("_j"))
              .withColumn("cell", F.xxhash64("cell", F.col("_j"), F.col("_i")))
              .withColumn("home", F.lit(False)))
     return left.unionByName(right)
@@ -318,7 +326,7 @@ def _joined(regions: DataFrame, t: Threshold) -> DataFrame:
             if not held or not any(x[0] for x in held):
                 return []
             return join_region(np.array([x[1] for x in held]), np.array([x[0] for x in held]),
-                               np.array([x[2] for x in held]), [x[3] for x in held], t)
+                               np.array([x[2] for x in held]), [x[3] for x in held], t, held[0][4])
 
         def batch(rows):
             cols = list(zip(*rows)) if rows else [[]] * 3
@@ -327,13 +335,14 @@ def _joined(regions: DataFrame, t: Threshold) -> DataFrame:
 
         for b in batches:
             out = []
-            for r, home, name, copies, s in zip(
-                    *(b.column(c).to_pylist() for c in ("region", "home", "name", "copies")),
+            for r, home, name, copies, counts, s in zip(
+                    *(b.column(c).to_pylist()
+                      for c in ("region", "home", "name", "copies", "counts")),
                     b.column("set")):
                 if r != region:
                     out += flush()
                     held, region = [], r
-                held.append((home, name, copies, s.values.to_numpy().copy()))
+                held.append((home, name, copies, s.values.to_numpy().copy(), counts))
             yield batch(out)
         yield batch(flush())
 
