@@ -167,6 +167,23 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert len(digits) == 16 and luhn % 10 == 0
 
 
+def test_numbers_next_to_short_numbers_and_words(spark):
+    card, amex, iban = "4111 1111 1111 1111", "3782 822463 10005", "BE68 5390 0754 7034"
+    cases = [(card, "", " 123"), (card, "", " 12/27"), (card, "", " 2 items"), (card, "", "-2 x"),
+             (card, "12 ", ""), (amex, "", " 1234"), ("4111111111111111", "", " 123"),
+             (iban, "", " IN"), (iban, "", " EURO CASH"), ("BE68539007547034", "", " OR 5")]
+    df = spark.createDataFrame([(i, f"pay {a}{x}{b}.") for i, (x, a, b) in enumerate(cases)]
+                               + [(90, f"pay {card} 3/2/2001."), (91, "pay 4111 1111 1111 1112 123.")],
+                               "doc_id int, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    alone = {r.text: r.new for r in spark.createDataFrame([(x,) for x, _, _ in cases], "text string")
+             .select("text", pii.pseudonym(F.col("text"), F.lit(pii.DEMO_KEY)).alias("new")).collect()}
+    for i, (x, a, b) in enumerate(cases):
+        assert alone[x] != x and got[i].text == f"pay {a}{alone[x]}{b}." and got[i].n_replaced == 1
+    assert got[90].n_replaced == 2 and "3/2/2001" not in got[90].text
+    assert got[91].n_replaced == 0
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(17 * 23).select(F.floor(F.col("id") / 23).alias("l"), (F.col("id") % 23).alias("r"))
     f = pii.feistel(F.col("l"), F.col("r"), F.lit(17), F.lit(23), F.lit("key"), "t")

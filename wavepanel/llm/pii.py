@@ -30,7 +30,8 @@ SSN = r"\d{3}-\d{2}-\d{4}"
 PHONE = (r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}"
          r"|\(\d{3}\) ?\d{3}[.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})")
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?"
-CARD = r"\d(?:[ -]?\d){12,18}"
+# a date with slashes after a card is not part of it
+CARD = r"\d(?:(?:[ -](?!\d{1,2}/\d{1,2}/\d{4}(?!\w)))?\d){12,18}"
 KINDS = ("email", "address", "iso_date", "date", "ssn", "phone", "iban", "card")
 _BY_KIND = dict(zip(KINDS, (EMAIL, ADDRESS, ISO_DATE, DATE.replace("([/.])", "[/.]")
                             .replace(r"\1", "[/.]"), SSN, PHONE, IBAN, CARD)))
@@ -38,6 +39,16 @@ _BY_KIND = dict(zip(KINDS, (EMAIL, ADDRESS, ISO_DATE, DATE.replace("([/.])", "[/
 PATTERN = (r"(?<![\w.+@-])(?:" + "|".join(_BY_KIND[k] for k in KINDS)
            + r")(?![\w@]|[.-]\d)|(?<=[=:])(?:" + CARD + ")(?![\\w@])")
 
+# Extents that come before others of a candidate: usual groups of a card, and
+# the length of a country's account numbers.
+USUAL_CARD = (r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5}"
+              r"|\d{4}([ -])\d{6}\3\d{4})$")
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK|FI|NL", 19: "SI", 20: "AT|EE|LT|LU",
+                21: "CH|HR|LI|LV", 22: "BG|DE|GB|IE", 23: "AE|IL", 24: "AD|CZ|ES|RO|SA|SE|SK",
+                25: "PT", 26: "IS|TR", 27: "FR|GR|IT|MC", 28: "CY|HU|PL", 31: "MT"}
+USUAL_IBAN = ("^(?:" + "|".join(f"(?:{c})[A-Z0-9]{{{n - 2}}}" for n, c in IBAN_LENGTHS.items())
+              + ")$")
+
 FIRST_DAY, DAYS = "1900-01-01", 73_049          # up to 2099-12-31; 73,049 = 17 * 4,297
 
 
@@ -251,10 +262,47 @@ def _email(m: Column, key: Column) -> Column:
     return F.concat(new, F.lit("@"), F.substring_index(m, "@", -1))
 
 
+def _within(m: Column, kind: str, one, usual) -> Column:
+    """``m`` with its first valid extent replaced, or null if none is valid.
+
+    An extent starts and ends with a group.  ``usual`` ones come first, then
+    longer ones, since a number or word next to a value may look like its end.
+    """
+    parts = F.regexp_extract_all(m, F.lit(r"[ -]?[^ -]+"), F.lit(0))
+    n = F.size(parts)
+
+    def glued(start, length):
+        return F.array_join(F.slice(parts, start, length), "")
+
+    def extent(i, k):
+        body = F.regexp_replace(glued(i, k), "^[ -]", "")
+        head = F.concat(glued(F.lit(1), i - 1),
+                        F.regexp_extract(glued(i, F.lit(1)), "^[ -]?", 0))
+        return F.struct((~usual(body)).alias("odd"), (-F.length(body)).alias("short"),
+                        i.alias("at"), head.alias("head"), body.alias("body"),
+                        glued(i + k, n).alias("tail"))
+
+    every = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
+        F.sequence(F.lit(1), n - i + 1), lambda k: extent(i, k))))
+    formed = F.array_sort(F.filter(every, lambda e: e["body"].rlike(f"^(?:{_BY_KIND[kind]})$")))
+    new = F.transform(formed, lambda e: F.concat(e["head"], one(e["body"]), e["tail"]))
+    return F.get(F.filter(new, lambda x: x.isNotNull()), F.lit(0))
+
+
+def _card_within(m: Column, key: Column) -> Column:
+    return _within(m, "card", lambda x: _card(x, key), lambda x: x.rlike(USUAL_CARD))
+
+
+def _iban_within(m: Column, key: Column) -> Column:
+    return _within(m, "iban", lambda x: _iban(x, key),
+                   lambda x: F.replace(x, F.lit(" "), F.lit("")).rlike(USUAL_IBAN))
+
+
 def pseudonym(m: Column, key: Column) -> Column:
     """The pseudonym of a candidate, or null if it is not valid."""
     by_kind = {"email": _email, "address": _address, "iso_date": _iso_date, "date": _date,
-               "ssn": _ssn, "phone": _phone, "iban": _iban, "card": _card}
+               "ssn": _ssn, "phone": _phone, "iban": _iban_within,
+               "card": _card_within}
     out = None
     for kind in KINDS:
         test, value = m.rlike(f"^(?:{_BY_KIND[kind]})$"), by_kind[kind](m, key)
