@@ -234,6 +234,16 @@ def test_jaccard_against_brute_force(spark, docs, odd, num, region):
     assert sorted(tuple(-1 if x is None else x for x in r) for r in got) == want
 
 
+def test_linked_sets_of_any_size_bands_share_keys():
+    t = jaccard.Threshold(60, 100)
+    s = jaccard.mix(np.arange(1, 401, dtype=np.uint64))
+    for small, large in ((30, 39), (26, 39), (18, 28), (60, 100), (200, 333)):
+        a, b = (set(jaccard.slice_keys(np.sort(s[:n]), t, {}).tolist()) for n in (small, large))
+        assert len(a & b) >= jaccard.SHARED
+    assert [len(jaccard.slice_keys(np.sort(s[:n]), jaccard.Threshold(80, 100), {})) > 0
+            for n in (1, 30)] == [False, True]
+
+
 def test_links_of_a_group_joined_block_by_block(spark):
     # 24 sets, all linked, and a window row that has its home elsewhere
     rows = [(1, i < 24, i, 1 + i % 2, [*range(100), 1000 + i]) for i in range(25)]

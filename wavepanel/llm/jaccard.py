@@ -95,10 +95,10 @@ def _slices(band: int, t: Threshold, memo: dict) -> tuple[int, int]:
 
 
 def slice_keys(s: np.ndarray, t: Threshold, memo: dict) -> np.ndarray:
-    """Keys of a sorted set: one per non-empty slice, for its own size band
-    and for the band of smaller partners."""
+    """Keys of a sorted set: one per non-empty slice, for every size
+    band from that of its least partner to its own."""
     n = len(s)
-    bands = {_band(n), _band(max(1, t.least_size(n)))}
+    bands = range(_band(max(1, t.least_size(n))), _band(n) + 1)
     out = []
     mixed = mix(s ^ np.uint64(0x5851F42D4C957F2D))
     for band in bands:
