@@ -386,6 +386,21 @@ def test_leaks_and_paraphrases(spark, docs):
     assert not any(r.leaked for r in decontamination.find_leaks(df, bench.where("false")).collect())
 
 
+def test_an_item_in_a_third_of_the_documents(spark):
+    items = read(spark, SMOKE, "benchmark").orderBy("item_id").limit(11).collect()
+    clean = "entirely other words that no benchmark item holds " * 5
+    many = 30
+    rows = [(i, f"{clean} {i} {clean}") for i in range(2 * many)]
+    rows += [(10_000 + i, f"{clean} {i} {items[0].text} {clean}") for i in range(many)]
+    rows += [(20_000 + i, clean + x.text + clean) for i, x in enumerate(items)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items)
+    got = {r.doc_id: {x["item"] for x in r.leaks}
+           for r in decontamination.find_leaks(df, bench).collect()}
+    assert all(items[0].item_id in got[10_000 + i] for i in range(many))
+    assert all(x.item_id in got[20_000 + i] for i, x in enumerate(items))
+
+
 # --------------------------------------------------------------- 10 quality
 
 def test_quality_on_held_labels(spark, odd, none):

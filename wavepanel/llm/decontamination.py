@@ -2,7 +2,8 @@
 
 1. TF-IDF: words are hashed to buckets that the benchmark uses; the weight of a
    bucket comes from the number of corpus passages that hold it, counted over
-   all documents.  Words in more than COMMON of the passages weigh nothing.
+   all documents.  Every word of the benchmark keeps a weight, however many
+   passages hold it, so a leak in many documents does not hide itself.
 2. Latent space: a distributed randomised SVD of the benchmark's TF-IDF
    passages.  Each power step multiplies by the matrix and its transpose in
    the tasks that hold the rows, and sums the partial products by bucket; only
@@ -31,7 +32,6 @@ BUCKETS = 1 << 16
 RANK = 64
 POWER_STEPS = 2
 WIDTH, STRIDE = 64, 32        # words of a window, and from one window to the next
-COMMON = 0.05                 # share of passages from which a word weighs nothing
 COSINE = 0.35                 # of a candidate
 COVER, ANSWER_COVER = 0.7, 0.5
 SURE = 0.9                    # cover of the item that needs no answer check
@@ -89,10 +89,9 @@ def passage_counts(docs: DataFrame, text: str, used: np.ndarray) -> tuple[int, n
 
 
 def weights(total: int, count: np.ndarray, used: np.ndarray) -> np.ndarray:
-    """Inverse passage frequency above that of common words; 0 if common."""
-    w = np.log(max(total, 1) + 1) - np.log(count + 1)
-    w -= min(-np.log(COMMON), w.max(initial=0) / 2)
-    return np.where(used, np.maximum(w, 0), 0).astype(np.float32)
+    """Smoothed inverse passage frequency, at least 1; 0 for unused buckets."""
+    w = 1 + np.log(max(total, 1) + 1) - np.log(count + 1)
+    return np.where(used, np.maximum(w, 1), 0).astype(np.float32)
 
 
 def randomised_svd(items: DataFrame, text: str, weight: np.ndarray, rank: int = RANK
@@ -168,6 +167,7 @@ class Searcher:
         self.ids = [i for i, _, _ in items]
         self.words = [w for _, w, _ in items]
         self.answers = [a for _, _, a in items]
+        self.sets = [frozenset(w) for w in self.words]
         # a row per bucket in use, and a last one without weight
         self.factor = np.vstack((weight[live][:, None] * basis, np.zeros((1, basis.shape[1]))))
         self.factor = self.factor.astype(np.float32)
@@ -187,6 +187,8 @@ class Searcher:
             return found
         starts = np.arange(0, max(1, len(h) - STRIDE), STRIDE)
         tried: set[tuple[int, int]] = set()
+        held = set(h.tolist())
+        may: dict[int, bool] = {}              # a document without the words has no passage with them
         for s in range(0, len(starts), 2048):
             some = starts[s:s + 2048]
             lo = np.searchsorted(at, some)
@@ -201,6 +203,10 @@ class Searcher:
             close = (v @ self.vectors) >= COSINE * np.where(norm > 0, norm, np.inf)
             for w, i in zip(*np.nonzero(close)):
                 i, start = int(i), int(some[keep[w]])
+                if i not in may:
+                    may[i] = self.enough(i, held)
+                if not may[i]:
+                    continue
                 if found.get(i, (0.0, 0))[0] >= SURE or (i, start) in tried:
                     continue
                 tried.add((i, start))
@@ -209,13 +215,16 @@ class Searcher:
                     found[i] = (cover, start)
         return found
 
+    def enough(self, i: int, held: set) -> bool:
+        return len(self.sets[i] & held) >= COVER * len(self.sets[i]) * 0.8
+
     def check(self, i: int, h: np.ndarray, start: int) -> float:
         """Share of item i that the passage around a window covers; 0 if it
         isn't the item."""
         item, answer = self.words[i], self.answers[i]
         reach = max(0, len(item) - STRIDE // 2)
         text = h[max(0, start - reach):start + WIDTH + reach].tolist()
-        if len(set(item) & set(text)) < COVER * len(set(item)) * 0.8:
+        if not self.enough(i, set(text)):
             return 0.0
         cover = common_subsequence(item, text) / len(item)
         if cover >= SURE:
