@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from .decontamination import op9_decontamination
+from .hardnegatives import HARD_NEGATIVES_SQL, op13_hard_negatives
 from .jaccard import op5_jaccard_join
+from .licenses import license_sql, op11_license_join
 from .lines import op3_line_dedup
 from .neighbours import op6_nearest_neighbours
 from .packing import op8_packed_sequences
+from .periodic import op12_periodic_runs
 from .pii import op4_feistel_pseudonyms
 from .quality import op10_quality_classifier
 from .sharding import op1_minimax_shards
@@ -26,10 +29,13 @@ QUERIES: dict[str, Callable] = {
     "op8_packed_sequences": op8_packed_sequences,
     "op9_decontamination": op9_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_license_join": op11_license_join,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # Archives are written and read back, but what a page's record says depends on
-# the pages alone.  The other queries depend on tokenizers, trained models or
+# the pages alone.  Licenses and hard negatives have brute-force SQL.  The other queries depend on tokenizers, trained models or
 # keyed hashes, or walk graphs and sequences that SQL has no whole-table form
 # for; tests/llm compares them with brute-force versions.
 SQL: dict[str, str] = {
@@ -46,4 +52,6 @@ SQL: dict[str, str] = {
                CASE WHEN f.first < p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)
     """,
+    "op11_license_join": license_sql(),
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }
