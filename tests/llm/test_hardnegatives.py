@@ -88,10 +88,12 @@ def test_boxes_outside_the_window_are_not_opened(monkeypatch):
     pop = hn.heapq.heappop
     monkeypatch.setattr(hn.heapq, "heappop", lambda q: opened.append(pop(q)) or opened[-1])
     q = np.array([1.0, 1.0])
-    best = tree.search(q, 0, False, -1, 1000, 2000, 3, [])
-    assert len(opened) < 20
-    want = sorted(((int(s), -i) for i, s in enumerate(x @ q) if label[i]), reverse=True)[:3]
-    assert sorted(best, reverse=True) == want
+    found = hn.Found(np.array([1000.0, 1000.0]), np.array([2000.0, 1005.0]), 3)
+    tree.search(q, 0, False, -1, found)
+    assert len(opened) < 0.7 * len(tree.levels[0][0])
+    for w, high in enumerate((2000, 1005)):
+        want = sorted((-int(s), i) for i, s in enumerate(x @ q) if label[i] and 1000 <= s <= high)[:3]
+        assert list(zip((-found.score[w]).tolist(), found.ids[w].tolist())) == want
 
 
 def test_packing_fills_leaves():

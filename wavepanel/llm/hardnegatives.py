@@ -13,8 +13,9 @@ A best-first queue opens the box with the greatest possible score first.  Boxes
 whose interval misses the score window, whose labels cannot do, or whose
 greatest score lies strictly below the k-th found are never opened; boxes that
 can tie with it are, since ties go to the smaller id.  Queries go to the tiles
-in blocks of bounded size; a task keeps its k best of each query over all of
-its tiles, and only these travel.
+in blocks of bounded size, an anchor with all of its score windows at once; a
+task keeps its k best of each window over all of its tiles, and only these
+travel.
 
 All scores are exact: vectors whose squares sum up to 2^44 and more take no
 part (components of the given tables would have to exceed 16,000), so every
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import read, schema
 
-TILE_ROWS, LEAF_ROWS, FANOUT = 2_048, 32, 8
+TILE_ROWS, LEAF_ROWS, FANOUT = 8_192, 256, 32
 # Coordinates along which Spark cuts the tiles.
 TILE_DIMS = 3
 # Numbers in a block of queries that is sent to the tasks (8 bytes each).
@@ -83,17 +84,23 @@ def tiled(rows: DataFrame, dim: int, tile_rows: int, dims: int = TILE_DIMS) -> D
     many = rows.count()
     widest = sorted(range(dim), key=lambda c: (-(spread[c] or 0.0), c))[:dims]
     slabs = _slabs(many / tile_rows, len(widest))
-    out = rows.withColumn("tile", F.lit(0).cast("long"))
-    if slabs > 1:
-        shares = [i / slabs for i in range(1, slabs)]
-        for c in widest:
-            cuts = out.groupBy("tile").agg(F.percentile_approx(
-                F.element_at("v", c + 1), shares, 1000 * slabs).alias("cuts"))
-            x = F.element_at("v", c + 1)
-            slab = F.size(F.filter("cuts", lambda q: q < x))
-            out = (out.join(cuts, "tile")
-                   .withColumn("tile", F.col("tile") * slabs + slab).drop("cuts"))
-            out = stage(out, "slabs")
+    shares = [i / slabs for i in range(1, slabs)]
+
+    def cuts_of(c):
+        return F.percentile_approx(F.element_at("v", c + 1), shares, 1000 * slabs).alias("cuts")
+
+    def slab(c, cuts):
+        return F.size(F.filter(cuts, lambda q: q < F.element_at("v", c + 1)))
+
+    if slabs == 1:
+        out = rows.withColumn("tile", F.lit(0).cast("long"))
+    else:
+        cuts = rows.agg(cuts_of(widest[0])).first()["cuts"] or []    # slabs - 1 numbers
+        out = stage(rows.withColumn("tile", slab(widest[0], F.lit(cuts)).cast("long")), "slabs")
+        for c in widest[1:]:
+            out = stage(out.join(out.groupBy("tile").agg(cuts_of(c)), "tile")
+                        .withColumn("tile", F.col("tile") * slabs + slab(c, "cuts"))
+                        .drop("cuts"), "slabs")
     size = out.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / (2 * tile_rows)).alias("pieces"))
     return (out.join(size, "tile")
             .withColumn("piece", F.pmod(F.xxhash64("id", "label"), F.col("pieces"))).drop("pieces"))
@@ -123,6 +130,36 @@ def pack(x: np.ndarray, first: np.ndarray, leaf_rows: int) -> np.ndarray:
     return np.concatenate(list(cut(np.arange(len(x)), 0)))
 
 
+class Found:
+    """The k greatest scores of one query in each of its score windows."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, k: int):
+        self.low, self.high, self.k = low, high, k
+        self.score = [np.zeros(0, np.int64) for _ in low]
+        self.ids = [np.zeros(0, np.int64) for _ in low]
+        self.need = low.copy()          # what a score must reach in each window
+
+    def wanted(self, top, bottom) -> np.ndarray:
+        """Greatest score in a window that boxes can add; -inf where none."""
+        cap = np.minimum(top[..., None], self.high)
+        return np.where((cap >= self.need) & (bottom[..., None] <= self.high), cap, -np.inf).max(-1)
+
+    def add(self, score: np.ndarray, ids: np.ndarray) -> None:
+        near = (score >= self.need.min()) & (score <= self.high.max())
+        if not near.any():
+            return
+        score, ids = score[near].astype(np.int64), ids[near]
+        for w in range(len(self.low)):
+            fit = (score >= self.need[w]) & (score <= self.high[w])
+            if fit.any():
+                s = np.concatenate((self.score[w], score[fit]))
+                i = np.concatenate((self.ids[w], ids[fit]))
+                best = np.lexsort((i, -s))[:self.k]
+                self.score[w], self.ids[w] = s[best], i[best]
+                if len(best) == self.k:
+                    self.need[w] = s[best[-1]]
+
+
 class Tree:
     """A tile's R-tree: levels of boxes over the packed rows."""
 
@@ -141,51 +178,34 @@ class Tree:
             level = (np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at),
                      np.minimum.reduceat(least, at), np.maximum.reduceat(most, at), FANOUT)
 
-    def search(self, q: np.ndarray, label: int, same: bool, own: int, low: int, high: int,
-               k: int, best: list) -> list:
-        """``best`` and this tile's rows, the k greatest: (score, -id) heaps.
-
-        Rows of the label (``same``) or of other ones, with low <= score <=
-        high and another id than ``own``.  ``best`` is a heap whose root is the
-        k-th so far.
-        """
+    def search(self, q: np.ndarray, label: int, same: bool, own: int, found: Found) -> None:
+        """Adds this tile's rows of the label (``same``) or of other ones, with
+        another id than ``own``, to what the query has found."""
         up, down = np.maximum(q, 0.0), np.minimum(q, 0.0)
         queue: list[tuple] = []
 
         def push(level: int, a: int, b: int) -> None:
-            lo, hi, least, most, _ = (v[a:b] if i < 4 else v
-                                      for i, v in enumerate(self.levels[level]))
+            lo, hi, least, most = (v[a:b] for v in self.levels[level][:4])
             top, bottom = hi @ up + lo @ down, lo @ up + hi @ down
-            if same:
-                fit = (least <= label) & (label <= most)
-            else:
-                fit = (least != label) | (most != label)
-            fit &= (top >= low) & (bottom <= high)
-            for i in np.flatnonzero(fit):
-                heapq.heappush(queue, (-min(top[i], high), level, a + int(i)))
-
-        push(len(self.levels) - 1, 0, len(self.levels[-1][0]))
+            fit = (least <= label) & (label <= most) if same else (least != label) | (most != label)
+            bound = np.where(fit, found.wanted(top, bottom), -np.inf)
+            for i in np.flatnonzero(bound > -np.inf).tolist():
+                heapq.heappush(queue, (-bound[i], level, a + i, top[i], bottom[i]))
+
+        push(len(self.levels) - 1, 0, 1)
         while queue:
-            bound, level, node = heapq.heappop(queue)
-            if len(best) >= k and -bound < best[0][0]:
-                break                            # strictly below the k-th
+            bound, level, node, top, bottom = heapq.heappop(queue)
+            if -bound < found.need.min():
+                break                            # so is every box still queued
+            if found.wanted(top, bottom) == -np.inf:
+                continue                         # strictly below the k-th by now
             step = self.levels[level][4]
             a, b = node * step, (node + 1) * step
             if level:
                 push(level - 1, a, min(b, len(self.levels[level - 1][0])))
                 continue
-            score = self.x[a:b] @ q
-            fit = (self.labels[a:b] == label) == same
-            fit &= (score >= low) & (score <= high) & (self.ids[a:b] != own)
-            if len(best) >= k:
-                fit &= score >= best[0][0]
-            for i in np.flatnonzero(fit):
-                row = (int(score[i]), -int(self.ids[a + i]))
-                if len(best) < k:
-                    heapq.heappush(best, row)
-                elif row > best[0]:
-                    heapq.heapreplace(best, row)
-        return best
+            fit = ((self.labels[a:b] == label) == same) & (self.ids[a:b] != own)
+            found.add((self.x[a:b] @ q)[fit], self.ids[a:b][fit])
 
 
 def _packed(dim: int, leaf_rows: int):
@@ -222,9 +242,10 @@ def build_index(rows: DataFrame, tile_rows: int = TILE_ROWS, leaf_rows: int = LE
 
 def search(index: DataFrame, queries: list[tuple], same: bool, k: int,
            leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """(query, id, score): at most k of each query from each task.
+    """(query, window, id, score): at most k of each window from each task.
 
-    A query is (number, vector, label, own id, lowest and greatest score).
+    A query is (number, vector, label, own id, lows, highs): a window for each
+    pair of a low and a high score.
     """
     by_dim: dict[int, list] = {}
     for q in queries:
@@ -232,7 +253,7 @@ def search(index: DataFrame, queries: list[tuple], same: bool, k: int,
     sent = index.sparkSession.sparkContext.broadcast(by_dim)
 
     def run(batches):
-        best: dict[int, list] = {}
+        found: dict[int, Found] = {}
         for b in batches:
             for r in b.to_pylist():
                 wanted = sent.value.get(r["dim"], [])
@@ -241,22 +262,24 @@ def search(index: DataFrame, queries: list[tuple], same: bool, k: int,
                 x = np.frombuffer(r["x"], np.int32).reshape(-1, r["dim"]).astype(np.float64)
                 tree = Tree(np.frombuffer(r["ids"], np.int64),
                             np.frombuffer(r["labels"], np.int64), x, leaf_rows)
-                for n, q, label, own, low, high in wanted:
-                    got = tree.search(q, label, same, own, low, high, k, best.get(n, []))
-                    if got:
-                        best[n] = got
-        rows = [(n, -i, s) for n, heap in best.items() for s, i in heap]
-        for at in range(0, len(rows), 10_000):
-            cols = list(zip(*rows[at:at + 10_000]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                             names=["query", "id", "score"])
+                for n, q, label, own, lows, highs in wanted:
+                    if n not in found:
+                        found[n] = Found(np.array(lows, np.float64), np.array(highs, np.float64), k)
+                    tree.search(q, label, same, own, found[n])
+        for n, f in found.items():
+            size = [len(i) for i in f.ids]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(sum(size), n), pa.int64()),
+                 pa.array(np.repeat(np.arange(len(size)), size), pa.int32()),
+                 pa.array(np.concatenate(f.ids)), pa.array(np.concatenate(f.score))],
+                names=["query", "window", "id", "score"])
 
-    return index.mapInArrow(run, schema("query long, id long, score long"))
+    return index.mapInArrow(run, schema("query long, window int, id long, score long"))
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     # rows of different content may share an id, label and score: any order
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    order = Window.partitionBy("query", "window").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -289,23 +312,26 @@ def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int =
         if not block:
             continue
         vectors = [np.array(v, np.float64) for _, _, v in block]
-        least, most = -(1 << 52), 1 << 52
-        near = _best(search(index, [(n, v, label, i, least, most) for n, ((i, label, _), v)
-                                    in enumerate(zip(block, vectors))], True, positives, leaf_rows),
-                     positives).orderBy("query", "rank").collect()    # positives x the block
-        asks, pairs = [], []
+        asks = [(n, v, label, i, [-float(1 << 52)], [float(1 << 52)])
+                for n, ((i, label, _), v) in enumerate(zip(block, vectors))]
+        near = (_best(search(index, asks, True, positives, leaf_rows), positives)
+                .orderBy("query", "rank").collect())                  # positives x the block
+        windows: dict[int, list] = {}
+        pairs = []
         for r in near:
-            i, label, _ = block[r["query"]]
             a, b = -(-low * r["score"] // den), high * r["score"] // den
             if a <= b:
-                asks.append((len(pairs), vectors[r["query"]], label, i, a, b))
-                pairs.append((len(pairs), i, r["id"], r["score"]))
+                held = windows.setdefault(r["query"], [])
+                pairs.append((r["query"], len(held), block[r["query"]][0], r["id"], r["score"]))
+                held.append((float(a), float(b)))
         if not pairs:
             continue
-        names = spark.createDataFrame(
-            pairs, "query long, anchor_id long, positive_id long, positive_score long")
+        asks = [(n, vectors[n], block[n][1], block[n][0], *map(list, zip(*w)))
+                for n, w in windows.items()]
+        names = spark.createDataFrame(pairs, "query long, window int, anchor_id long, "
+                                             "positive_id long, positive_score long")
         got = (_best(search(index, asks, False, negatives, leaf_rows), negatives)
-               .join(names, "query")
+               .join(names, ["query", "window"])
                .select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"),
                        F.col("id").alias("negative_id"), "positive_score",
                        F.col("score").alias("negative_score")))
