@@ -52,7 +52,7 @@ def best_capacity(sizes, k):
 
 @pytest.mark.parametrize("seed,hot", [(1, 1), (2, 400), (3, 40)])
 def test_minimax_capacity_is_the_least(spark, monkeypatch, seed, hot):
-    monkeypatch.setattr(sharding, "PIECES", 96)        # forces several looks
+    monkeypatch.setattr(sharding, "PIECES", 12)        # forces several looks
     rng = np.random.default_rng(seed)
     sizes = rng.integers(1, 50, 300).tolist()
     sizes[17] *= hot
@@ -63,6 +63,53 @@ def test_minimax_capacity_is_the_least(spark, monkeypatch, seed, hot):
     assert max(r["t"] for r in got.groupBy("shard").agg(F.sum("s").alias("t")).collect()) == capacity
 
 
+class Listed(sharding.Boundaries):
+    """Boundaries in a list; counts the looks and the rows of each."""
+
+    def __init__(self, ends):
+        super().__init__(None, int(ends[-1]))
+        self.ends, self.rows = ends, []
+
+    def look_into(self, gaps):
+        ends, seen = self.ends, []
+
+        class Totals:                                  # stands in for the running totals
+            def where(self, _): return self
+            def groupBy(self, _): return self
+            def agg(self, *_): return self
+
+            def collect(self):
+                return seen
+
+        spans = [(self.known[g - 1], self.known[g]) for g in gaps]
+        each = max(2, sharding.PIECES // len(gaps))
+        fixed = np.array(sorted({a + (b - a) * j // each for a, b in spans
+                                 for j in range(each + 1)}))
+        inside = ends[(ends > fixed[0]) & (ends <= fixed[-1])]
+        at = np.searchsorted(fixed, inside, "left")
+        for p in np.unique(at):
+            part = inside[at == p]
+            seen.append({"a": int(part[0]), "b": int(part[-1]), "n": len(part)})
+        self.rows.append(len(seen))
+        self.totals = Totals()
+        super().look_into(gaps)
+
+
+@pytest.mark.parametrize("seed,hot", [(1, 0.3), (2, 0.15), (3, 0.0), (4, 0.6)])
+def test_minimax_search_ends_on_a_hot_text(spark, seed, hot):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, 4000, 200_000)
+    sizes[rng.integers(0, len(sizes))] += int(hot / (1 - hot) * sizes.sum())
+    sizes[rng.integers(0, len(sizes), 1000)] = 0
+    known = Listed(np.cumsum(sizes))
+    capacity, cuts = known.solve(8, int(sizes.max()))
+    assert capacity == best_capacity(sizes.tolist(), 8)
+    assert len(known.rows) < 30 and max(known.rows) <= 2 * sharding.PIECES + 1
+    ends = np.cumsum(sizes)
+    assert np.isin(cuts, np.concatenate(([0], ends))).all()
+    assert np.diff([0, *cuts, ends[-1]]).max() == capacity
+
+
 def test_shards_of_odd_rows(spark, odd, none):
     got = sharding.shard_texts(odd, 3).collect()
     assert len(got) == len(ODD)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import own_columns, schema, text_key
 
-# Boundaries that one look into the open gaps may bring to the driver.
+# Pieces (two boundaries each) that one look into the open gaps brings to the driver.
 PIECES = 8192
 # Rows that one task numbers when the slots are given out.
 SLOT_ROWS = 200_000
@@ -97,13 +97,13 @@ class Boundaries:
         return low
 
     def look_into(self, gaps: list[int]) -> None:
-        """Split each open gap (by index) and learn a boundary of each piece."""
+        """Split each open gap (by index) into pieces, and learn the first and
+        the last boundary of each.  What a piece still hides lies between the
+        two, so an open gap is half as wide at most after each look."""
         each = max(2, PIECES // len(gaps))
-        edges: list[int] = []
-        for g in gaps:
-            a, b = self.known[g - 1], self.known[g]
-            edges += sorted({a + (b - a) * j // each for j in range(each + 1)})
-        fixed = np.unique(np.array(edges, np.int64))
+        spans = [(self.known[g - 1], self.known[g]) for g in gaps]
+        edges = {a + (b - a) * j // each for a, b in spans for j in range(each + 1)}
+        fixed = np.array(sorted(edges), np.int64)
 
         @F.pandas_udf("int")
         def piece(v):
@@ -113,40 +113,53 @@ class Boundaries:
         lo, hi = int(fixed[0]), int(fixed[-1])
         found = (self.totals.where((F.col("upto") > lo) & (F.col("upto") <= hi))
                  .groupBy(piece("upto").alias("p"))
-                 .agg(F.max("upto").alias("b"), F.countDistinct("upto").alias("n"))
-                 .collect())                      # at most PIECES + gaps rows
-        inside = {g: True for g in gaps}
-        spans = [(self.known[g - 1], self.known[g]) for g in gaps]
-        starts = [s for s, _ in spans]
-        new: dict[int, bool] = {}
+                 .agg(F.min("upto").alias("a"), F.max("upto").alias("b"),
+                      F.count(F.lit(1)).alias("n"))
+                 .collect())                      # one row a piece, and one a space between gaps
+        starts = [a for a, _ in spans]
+        new = {k: was for k, was in zip(self.known, self.open)}
         for r in found:
-            i = bisect_left(starts, r["b"]) - 1   # gap with start < b
+            i = bisect_left(starts, r["b"]) - 1   # the gap that starts before it
             if i >= 0 and r["b"] <= spans[i][1]:
-                new[r["b"]] = r["n"] > 1
-        for i, k in enumerate(self.known):
-            new.setdefault(k, self.open[i] and i not in inside)
+                new[r["a"]] = False
+                if r["b"] > r["a"]:               # groups of size 0 end where others do
+                    new[r["b"]] = r["n"] > 2 and r["b"] - r["a"] > 1
         self.known = sorted(new)
         self.open = [new[k] for k in self.known]
 
+    def unsure(self, low: int, high: int, shards: int) -> list[int]:
+        """Open gaps that keep the capacity between low and high: all that any
+        cut can fall into, or, where these are many, those of capacity low."""
+        worst = [0, *self.greedy(low, shards, False)[:-1]]
+        for hopeful in (high, low):
+            best = [0, *self.greedy(hopeful, shards, True)[:-1]]
+            gaps: set[int] = set()
+            for w, b in zip(worst, best):
+                for x, y in ([(w + low, b + high)] if hopeful == high else
+                             [(w + low, w + low), (b + low, b + low)]):
+                    i = max(1, bisect_left(self.known, x))
+                    j = min(len(self.known) - 1, bisect_left(self.known, y))
+                    gaps.update(g for g in range(i, j + 1) if self.open[g])
+            if gaps and len(gaps) <= PIECES // 16:
+                break
+        return sorted(gaps)
+
     def solve(self, shards: int, largest: int) -> tuple[int, list[int]]:
         """The least capacity, and cuts that keep to it and are as even as
-        the known boundaries allow."""
+        the known boundaries allow.
+
+        At capacity low the hopeful check succeeds and the other one fails, so
+        one of the gaps that they ask about is open; each look halves it at
+        least, so the search ends.
+        """
         low = max(largest, -(-self.total // shards))
         high = self.total
         while True:
             low = self.least(shards, True, low, high)
             high = self.least(shards, False, low, high)
             if low == high:
-                break
-            worst = self.greedy(low, shards, False)
-            best = self.greedy(high, shards, True)
-            gaps: set[int] = set()
-            for w, b in zip([0, *worst[:-1]], [0, *best[:-1]]):
-                i = max(1, bisect_left(self.known, w + low))
-                j = min(len(self.known) - 1, bisect_left(self.known, b + high))
-                gaps.update(g for g in range(i, j + 1) if self.open[g])
-            self.look_into(sorted(gaps))
-        return low, self.even(low, shards)
+                return low, self.even(low, shards)
+            self.look_into(self.unsure(low, high, shards))
 
     def even(self, capacity: int, shards: int) -> list[int]:
         need = [self.total]                       # least start that leaves the rest feasible
