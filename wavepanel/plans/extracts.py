@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wavepanel.functions.digest import BASE, PRIME
 from wavepanel.functions.columns import columns_matching, existing, numbered, rescale, sentinel_fill
 from wavepanel.plans.common import table
 from wavepanel.session import scratch_dir, stage
@@ -84,22 +85,46 @@ def load_preamble(spark, sf_dir):
     return df.drop("_source_file", "part")
 
 
-LOADED = ("click", "view", "purchase")
+# Events of all types that share a file, by their ids.
+FILE_EVENTS = 20_000
+FILE_HEADER = "event_id,user_id,event_type"
+# What becomes of the files of these types after they were loaded.
+TURNED, HEADER_LAST = "signup", "error"
 
 
-def changed_files(spark, sf_dir):
-    """Extract files by event type, several per type; the manifest holds the
-    digests of some types' files, so those of the others come back.  Returned
-    per type: files do not have stable names, their lines do."""
-    path = scratch_dir(spark, "by-type")
+def _write_type_files(spark, sf_dir, path, later):
+    """One file per event type and FILE_EVENTS ids: a header, then the events
+    by id.  ``later``: those of one type in reverse, the header of another one
+    at the end."""
     ev = table(spark, sf_dir, "events").select(
-        "event_type", F.concat_ws(",", "event_id", "user_id", "event_type").alias("value"))
-    ev.write.mode("overwrite").partitionBy("event_type").text(path)
-    hashes = stage(file_hashes(spark, path, "*.txt"), "file-hashes")
-    loaded = F.regexp_extract("path", r"event_type=([^/]+)", 1).isin(*LOADED)
-    found = changed_files_op(spark, path, hashes.where(loaded), "*.txt")
-    return (found.groupBy(F.regexp_extract("path", r"event_type=([^/]+)", 1).alias("event_type"))
-            .agg(F.sum("lines").alias("lines"), F.sum("digest").cast("long").alias("digest")))
+        "event_type", F.floor(F.col("event_id") / FILE_EVENTS).alias("chunk"),
+        F.col("event_id").alias("at"),
+        F.concat_ws(",", "event_id", "user_id", "event_type").alias("value"))
+    last = F.lit(1 << 62)
+    head = (ev.select("event_type", "chunk").distinct()
+            .withColumns({"at": -last, "value": F.lit(FILE_HEADER)}))
+    rows = ev.unionByName(head)
+    if later:
+        rows = rows.withColumn("at", F.when((F.col("event_type") == TURNED) & (F.col("at") >= 0),
+                                            -F.col("at"))
+                               .when((F.col("event_type") == HEADER_LAST) & (F.col("at") < 0), last)
+                               .otherwise(F.col("at")))
+    key = ["event_type", "chunk"]
+    (rows.repartition(*key).sortWithinPartitions(*key, "at")
+     .select(*key, "value").write.mode("overwrite").partitionBy(*key).text(path))
+
+
+def changed_files(spark, sf_dir):
+    """Extract files, loaded once and then delivered again: the files with the
+    same lines in another order come back, the others do not."""
+    first, again = scratch_dir(spark, "delivered"), scratch_dir(spark, "delivered-again")
+    _write_type_files(spark, sf_dir, first, later=False)
+    _write_type_files(spark, sf_dir, again, later=True)
+    manifest = stage(file_hashes(spark, first, "*.txt"), "file-hashes")
+    found = changed_files_op(spark, again, manifest, "*.txt")
+    return found.select(F.regexp_extract("path", r"event_type=([^/]+)", 1).alias("event_type"),
+                        F.regexp_extract("path", r"chunk=(\d+)", 1).cast("long").alias("chunk"),
+                        "bytes", "lines", "digest")
 
 
 QUERIES = {
@@ -128,10 +153,22 @@ SELECT event_id AS id, ts AS date, value AS prob_move_house, value / 500.0 * 100
     AS financial_past_12m
 FROM events""",
     "changed_files": f"""
-SELECT event_type, count(*) AS lines,
-  CAST(sum(CAST('0x' || substr(md5(event_id || ',' || user_id || ',' || event_type), 1, 8) AS BIGINT)) AS BIGINT)
-    AS digest
-FROM events WHERE event_type NOT IN ({", ".join(f"'{t}'" for t in LOADED)}) GROUP BY event_type""",
+WITH e AS (
+  SELECT event_type, CAST(event_id // {FILE_EVENTS} AS BIGINT) AS chunk, event_id AS pos,
+    concat_ws(',', event_id, user_id, event_type) AS line
+  FROM events WHERE event_type IN ('{TURNED}', '{HEADER_LAST}')),
+l AS (
+  SELECT event_type, chunk, CASE WHEN event_type = '{TURNED}' THEN -pos ELSE pos END AS pos, line FROM e
+  UNION ALL
+  SELECT DISTINCT event_type, chunk,
+    CASE WHEN event_type = '{TURNED}' THEN -{1 << 62} ELSE {1 << 62} END, '{FILE_HEADER}' FROM e),
+f AS (
+  SELECT event_type, chunk, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, count(*) AS lines,
+    list(CAST(CAST('0x' || substr(md5(line), 1, 15) AS BIGINT) + 1 AS HUGEINT) ORDER BY pos DESC) AS hashes
+  FROM l GROUP BY event_type, chunk)
+SELECT event_type, chunk, bytes, lines,
+  CAST(list_reduce(hashes, lambda d, h: (d * {BASE} + h) % {PRIME}) AS BIGINT) AS digest
+FROM f""",
     "load_preamble": "SELECT '#' || event_type AS note, event_id, ts, user_id, event_type, value FROM events",
 }
 
