@@ -161,3 +161,66 @@ def test_equal_ranks_share_the_median(spark):
         "g", F.lit(1))
     r = rank_crosswalk(df, "x", None, ["g"], "k", edges=[0, 100], ties="equal", count_col="n").first()
     assert abs(r["rank"] - 2 / 3) < 1e-12 and r["n"] == 3
+
+
+def brute_crosswalk(rows, edges, clamp=0.0):
+    """rows (group, key, income, weight) -> {(group, lbound): (count, median rank)}."""
+    out = {}
+    for g in {r[0] for r in rows}:
+        mine = sorted((x, k, w) for h, k, x, w in rows if h == g and x is not None and w is not None)
+        total, upto, cells = sum(w for *_, w in mine), 0, {}
+        for h, k, x, w in rows:
+            low = max(clamp, x) if x is not None else clamp
+            for a, b in zip(edges[:-1], edges[1:]):
+                if h == g and a <= low < b:
+                    cells.setdefault(float(a), [])
+        for x, k, w in mine:
+            upto += w
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a <= max(clamp, x) < b:
+                    cells[float(a)].append(upto / total)
+        for a, ranks in cells.items():
+            n = len(ranks)
+            out[g, a] = (n, (ranks[(n - 1) // 2] + ranks[n // 2]) / 2 if n else None)
+    return out
+
+
+@pytest.mark.parametrize("seed,accuracy,ties", [(1, 1000, False), (2, 20, False), (3, 20, True)])
+def test_median_ranks_by_selection(spark, monkeypatch, seed, accuracy, ties):
+    import random
+    from wavepanel.operators import ranks
+    monkeypatch.setattr(ranks, "SKETCH_ACCURACY", accuracy)      # 20: cells are bracketed
+    rng = random.Random(seed)
+    rows = [(rng.choice([2013, 2014, None]), k,
+             rng.choice([None, -5.0, 10.0, 25.0, 1e21]) if rng.random() < (0.6 if ties else 0.1)
+             else round(rng.uniform(-10, 60), 3), rng.choice([None, 1, 2, 5])) for k in range(3000)]
+    df = spark.createDataFrame(rows, "g int, k int, x double, w int")
+    edges = [0, 10, 20, 30, 1e20]
+    got = {(r.g, r.lbound): (r.n, r["rank"]) for r in
+           ranks.rank_crosswalk(df, "x", "w", ["g"], "k", edges=edges, count_col="n").collect()}
+    want = brute_crosswalk(rows, edges)
+    assert set(got) == set(want)
+    for c, (n, rank) in want.items():
+        assert got[c][0] == n and abs(got[c][1] - rank) < 1e-12, c
+
+
+def test_only_rows_around_the_medians_are_ordered(spark, low_limit):
+    from wavepanel.operators import ranks
+    df = spark.range(40_000).select((F.col("id") % 2).alias("g"), F.col("id").alias("_wp_t"),
+                                    ((F.col("id") * 7919) % 30_011).cast("double").alias("_wp_x"),
+                                    F.lit(1).alias("_wp_wt"))
+    cells, values = ranks.median_values(df, ["g"], [0, 10_000, 20_000, 1e20], 0.0)
+    assert cells.count() == 6
+    assert values.count() < 0.05 * 40_000 and values.agg(F.sum("_n")).first()[0] > 0.4 * 40_000
+    out = ranks.rank_crosswalk(df.withColumnRenamed("_wp_t", "k"), "_wp_x", None, ["g"], "k",
+                               edges=[0, 10_000, 20_000, 1e20])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan                 # only staged cells and values are left
+
+
+def test_crosswalk_without_groups_or_rows(spark):
+    from wavepanel.operators.ranks import rank_crosswalk
+    df = spark.createDataFrame([(k, float(k)) for k in range(1, 6)], "k int, x double")
+    r = rank_crosswalk(df, "x", None, [], "k", edges=[0, 4, 9], count_col="n").collect()
+    assert [(x.ibin, x.lbound, x["rank"], x.n) for x in r] == [(1, 0.0, 0.4, 3), (2, 4.0, 0.9, 2)]
+    assert rank_crosswalk(df.where("k > 9"), "x", None, [], "k", edges=[0, 4]).count() == 0

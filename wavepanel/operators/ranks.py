@@ -3,11 +3,10 @@ and the validated many-to-one lookup back onto a panel.
 
 Plan shape.  The ECDF is a running weighted sum per group (``segments.running``),
 so a group holding a third of the table is still sorted by many tasks.  The
-median rank per (group, bin) is *not* an exact ``percentile`` aggregate
-(which would merge one value map per cell into one task): the ranks of a bin
-are a contiguous run of the group's sorted order, so the median is read off
-by position - a small (group, bin) table of counts and first positions, then
-a filter that keeps at most two rows per cell.
+crosswalk ranks no rows at all: a bin is a slice of the income order, so counts
+and weights of the (group, bin) cells, which no sort needs, fix the position of
+each median; a sketch brackets the incomes there, and only the rows within the
+bracket are ordered.  The count per cell comes from the same aggregate.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavepanel.functions.columns import clamp_low, cut
-from wavepanel.operators.segments import running
+from wavepanel.operators.segments import join_keys, running
 from wavepanel.operators.stats import exact_quantiles
 from wavepanel.session import max_broadcast_rows, stage
 
@@ -66,48 +65,6 @@ def weighted_ecdf(df: DataFrame, value: str, weight: str | Column | None = None,
     return out.withColumns(cols).drop("_wp_w", "_wp_v", "_wp_cw", "_wp_tw", "_wp_cn")
 
 
-def median_by_position(ranked: DataFrame, keys: Sequence[str], value: str,
-                       pos_col: str, out: str = "median", count_col: str | None = None,
-                       broadcast_cells: bool = False) -> DataFrame:
-    """Median of ``value`` per ``keys`` when each cell is a contiguous run of
-    the ``pos_col`` order and ``value`` is non-decreasing along it.
-
-    Unweighted median: the middle value, or the mean of the two middle
-    values for an even count.  One row per cell, NULL for a cell without
-    values.  ``broadcast_cells`` broadcasts the per-cell table to the rows
-    (set it when the number of cells is known to be bounded).
-    """
-    keys = list(keys)
-    alias = {k: f"_wp_k{i}" for i, k in enumerate(keys)}
-    cells = (ranked.groupBy(*keys)
-                   .agg(F.count(value).alias("_wp_n"),
-                        F.min(F.when(F.col(value).isNotNull(), F.col(pos_col))).alias("_wp_start"))
-                   .select(*[F.col(k).alias(a) for k, a in alias.items()], "_wp_n", "_wp_start"))
-    cond = [F.col(k).eqNullSafe(F.col(a)) for k, a in alias.items()]
-    rel = F.col(pos_col) - F.col("_wp_start")
-    mid_lo = F.floor((F.col("_wp_n") - 1) / 2)
-    mid_hi = F.ceil((F.col("_wp_n") - 1) / 2)
-    rows = ranked.select(*keys, value, pos_col).where(F.col(value).isNotNull())
-    if broadcast_cells:
-        joined = rows.join(F.broadcast(cells), F.expr("true") if not cond else _and(cond), "inner")
-    else:
-        # many cells: salted join, so a cell holding a large share of the rows is split
-        from wavepanel.operators.panel import attach_per_key
-        renamed = cells.select(*[F.col(a).alias(k) for k, a in alias.items()], "_wp_n", "_wp_start")
-        joined = attach_per_key(rows, renamed, keys).withColumns(
-            {a: F.col(k) for k, a in alias.items()})
-    picked = (joined
-                    .where((rel == mid_lo) | (rel == mid_hi))
-                    .groupBy(*alias.values()).agg(F.avg(value).alias(out))
-                    .select(*[F.col(a).alias(a + "p") for a in alias.values()], out))
-    back = [F.col(a).eqNullSafe(F.col(a + "p")) for a in alias.values()]
-    sel = [F.col(a).alias(k) for k, a in alias.items()] + [F.col(out)]
-    if count_col:
-        sel.append(F.col("_wp_n").alias(count_col))
-    picked_side = F.broadcast(picked) if broadcast_cells else picked   # <= one row per cell
-    return cells.join(picked_side, _and(back), "left").select(*sel)
-
-
 def _and(conds):
     out = conds[0]
     for c in conds[1:]:
@@ -134,23 +91,86 @@ def rank_crosswalk(df: DataFrame, income: str, weight: str | Column | None,
     if missing_codes is not None:
         lo, hi = missing_codes
         x = F.when(~x.between(F.lit(lo), F.lit(hi)) | x.isNull(), x)
-    work = df.select(*by, tiebreak, x.alias("_wp_x"),
+    work = df.select(*by, F.col(tiebreak).alias("_wp_t"), x.alias("_wp_x"),
                      (F.lit(1) if weight is None else _c(weight)).alias("_wp_wt"))
     if ties == "equal":
         return _equal_rank_crosswalk(work, by, edges, clamp_at, count_col, limit)
-    info: dict = {}
-    ranked = weighted_ecdf(work, "_wp_x", "_wp_wt", by, tiebreak, ties=ties,
-                           rank_col="_wp_rank", pos_col="_wp_pos", limit=limit, info=info)
-    clamped = clamp_low("_wp_x", clamp_at) if clamp_at is not None else F.col("_wp_x")
-    binned = ranked.withColumn("lbound", cut(clamped, edges)).where(F.col("lbound").isNotNull())
-    # cells <= groups x bins; the group count comes from the ECDF's skew check
-    n_groups = info.get("n_keys", 1)
-    small = n_groups * len(edges) <= max_broadcast_rows(df.sparkSession)
-    med = median_by_position(binned, by + ["lbound"], "_wp_rank", "_wp_pos", out="rank",
-                             count_col=count_col, broadcast_cells=small)
+    return _selected_rank_crosswalk(work, by, edges, clamp_at, count_col, limit)
+
+
+# Relative rank error of the sketch that brackets a cell's median.
+SKETCH_ACCURACY = 1000
+
+
+def median_values(work: DataFrame, by: list[str], edges: Sequence[float],
+                  clamp_at: float | None) -> tuple[DataFrame, DataFrame]:
+    """(cells, values): what the median ranks are read from, both staged.
+
+    ``cells`` has per (by, lbound): the number and weight of its ranked rows,
+    the weight of the rows before it, the group's total weight and the median
+    positions.  Bins are slices of the income order, so no row is sorted for
+    that.  A sketch of each cell brackets the incomes at its median positions;
+    in ``values`` all ranked rows below the bracket are one row with their
+    number and weight, and only the rows within it are rows of their own.
+    """
+    x, w = F.col("_wp_x"), F.col("_wp_wt")
+    valid = x.isNotNull() & w.isNotNull()
+    clamped = clamp_low("_wp_x", clamp_at) if clamp_at is not None else x
+    rows = work.withColumn("lbound", cut(clamped, edges))
+    near = 2 / SKETCH_ACCURACY
+    low = F.coalesce(F.col("lbound").isNull() & (x < F.lit(float(edges[0]))), F.lit(False))
+    found = rows.groupBy(*by, "lbound", low.alias("_low")).agg(
+        F.count_if(valid).alias("_n"), F.coalesce(F.sum(F.when(valid, w)), F.lit(0)).alias("_w"),
+        F.min(F.when(valid, x)).alias("_from"), F.max(F.when(valid, x)).alias("_to"),
+        F.percentile_approx(F.when(valid, x), [0.5 - near, 0.5 + near], SKETCH_ACCURACY)
+        .alias("_near"))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumns({"_before": F.coalesce(F.sum("_w").over(before), F.lit(0)),
+                               "_total": F.sum("_w").over(group)})
+    sure = F.col("_n") > SKETCH_ACCURACY
+    cells = stage(found.where(F.col("lbound").isNotNull()).select(
+        *by, "lbound", "_n", "_before", "_total",
+        F.floor((F.col("_n") - 1) / 2).alias("_mid_lo"), F.ceil((F.col("_n") - 1) / 2).alias("_mid_hi"),
+        F.when(sure, F.col("_near")[0]).otherwise(F.col("_from")).alias("_lo"),
+        F.when(sure, F.col("_near")[1]).otherwise(F.col("_to")).alias("_hi")), "cells")
+    ranked = rows.where(valid & F.col("lbound").isNotNull())
+    side = cells.select(*by, "lbound", "_lo", "_hi")
+    placed = join_keys(ranked, side, by + ["lbound"], "inner", cells.count())
+    inside = F.col("_wp_x") >= F.col("_lo")
+    kept = placed.where(F.col("_wp_x") <= F.col("_hi")).select(
+        *by, "lbound", w.alias("_wt"), F.when(inside, x).alias("_x"),
+        F.when(inside, F.col("_wp_t")).alias("_t"), F.when(inside, w).alias("_each"))
+    values = kept.groupBy(*by, "lbound", "_x", "_t", "_each").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_wt").alias("_w"))
+    return cells, stage(values, "median-values")
+
+
+def _selected_rank_crosswalk(work: DataFrame, by: list[str], edges: Sequence[float],
+                             clamp_at: float | None, count_col: str | None,
+                             limit: int | None) -> DataFrame:
+    """The crosswalk by distributed selection: counts and weights of the cells
+    fix the positions of the medians, and only the rows around them are
+    ordered.  Rows alike in income, tie-break and weight are one."""
+    cells, values = median_values(work, by, edges, clamp_at)
+    cell = by + ["lbound"]
+    ordered = running(values, cell, ["_x", "_t", "_each"], {
+        "_cn": ("sum", F.col("_n")), "_cw": ("sum", F.col("_w"))}, limit=limit)
+    ordered = ordered.select(*cell, "_x", "_each", "_cn", (F.col("_cn") - F.col("_n")).alias("_sn"),
+                             (F.col("_cw") - F.col("_w")).alias("_sw"))
+    many = cells.count()
+    known = join_keys(ordered, cells, cell, "inner", many)
+
+    def rank_at(mid: str) -> Column:
+        here = F.col("_x").isNotNull() & (F.col("_sn") <= F.col(mid)) & (F.col(mid) < F.col("_cn"))
+        upto = F.col("_before") + F.col("_sw") + (F.col(mid) - F.col("_sn") + 1) * F.col("_each")
+        return F.max(F.when(here, F.try_divide(upto, F.col("_total"))))
+
+    med = known.groupBy(*cell).agg(((rank_at("_mid_lo") + rank_at("_mid_hi")) / 2).alias("rank"))
     ibin = F.row_number().over(Window.partitionBy(*by).orderBy("lbound"))
-    cols = by + ["ibin", "lbound", "rank"] + ([count_col] if count_col else [])
-    return med.withColumn("ibin", ibin.cast("int")).select(*cols)
+    out = join_keys(cells.select(*cell, F.col("_n").alias(count_col or "_n")), med, cell, "left", many)
+    return out.withColumn("ibin", ibin.cast("int")).select(
+        *cell[:-1], "ibin", "lbound", "rank", *([count_col] if count_col else []))
 
 
 def _equal_rank_crosswalk(work: DataFrame, by: list[str], edges: Sequence[float],
