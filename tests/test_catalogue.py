@@ -107,3 +107,21 @@ def test_extract_is_the_same_on_the_hot_person_path(spark, built):
     finally:
         spark.conf.unset(ROWS_PER_SEGMENT_KEY)
     pd.testing.assert_frame_equal(base, hot)
+
+
+def test_every_column_of_both_tables_has_a_label(spark):
+    from wavepanel.plans.importer import panel_codebook
+    from wavepanel.plans.catalogue import EXTRACT_LABELS
+    book = panel_codebook(spark, "/root/testdata/sf0.001").collect()
+    assert [r.variable for r in book if not r.label] == []
+    assert {r.table_name for r in book} == {"full", "extract"}
+    by = {(r.table_name, r.variable): r.label for r in book}
+    assert by["full", "Q8v2part2"] == by["extract", "infl_1y"] == EXTRACT_LABELS["infl_1y"]
+    assert by["full", "Q9_bin7"].endswith("range 7 (%)")
+
+
+def test_codebook_of_a_table_without_labels_or_rows(spark):
+    from wavepanel.operators.checks import codebook
+    df = spark.createDataFrame([], "a int, b string")
+    assert [tuple(r) for r in codebook(df).orderBy("position").collect()] == [
+        (0, "a", "int", None, 0, 0), (1, "b", "string", None, 0, 0)]

@@ -1,6 +1,7 @@
 """Weighted statistics, histogram, outliers and the rank lookup."""
 
 import math
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,3 +225,94 @@ def test_crosswalk_without_groups_or_rows(spark):
     r = rank_crosswalk(df, "x", None, [], "k", edges=[0, 4, 9], count_col="n").collect()
     assert [(x.ibin, x.lbound, x["rank"], x.n) for x in r] == [(1, 0.0, 0.4, 3), (2, 4.0, 0.9, 2)]
     assert rank_crosswalk(df.where("k > 9"), "x", None, [], "k", edges=[0, 4]).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mean_and_error_need_no_window(spark):
+    rows = [(g, float(x), w) for g in (1, 2, None) for x, w in ((1, 2.0), (4, 1.0), (9, 0.5), (2, None))]
+    df = spark.createDataFrame(rows + [(3, 5.0, 1.0), (4, 5.0, 0.0)], "g int, x double, w double")
+    out = weighted_mean_se(df, ["g"], "x", "w")
+    assert "Window" not in _plan(out)
+    got = {r.g: (r.n, r["mean"], r.se) for r in out.collect()}
+    assert set(got) == {1, 2, 3, 4, None} and got[None] == got[1]
+    assert got[3] == (1, 5.0, None) and got[4] == (1, None, None)
+    whole = weighted_mean_se(df.where("g = 1"), [], "x", "w").first()
+    assert (whole.n, whole["mean"], whole.se) == got[1]
+    assert weighted_mean_se(df.where("g > 9"), [], "x", "w").count() == 0
+
+
+def test_extremes_against_brute_force(spark):
+    import random
+    from wavepanel.operators.stats import extreme_values
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 2, None]), rng.choice([7.0, 7.0, rng.uniform(0, 9)]),
+             rng.choice([1.0, 2.0, 0.0, None])) for _ in range(3000)]
+    rows += [(5, 1.5, 1.0), (5, None, 1.0), (6, 2.0, 1.0), (6, 2.0, 1.0), (6, 3.0, 1.0),
+             (7, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "g int, x double, w double")
+    out = extreme_values(df, ["g"], "x", "w", 3)
+    assert "Window" not in _plan(out)
+    got = {r.g: tuple(r)[1:] for r in out.collect()}
+    for g in {r[0] for r in rows} - {7}:
+        xs = sorted(x for h, x, w in rows if h == g and x is not None and w)
+        want = [*xs[:3], *[None] * (3 - len(xs))], [*xs[::-1][:3], *[None] * (3 - len(xs))]
+        assert got[g] == (*want[0], *want[1]), g
+    assert 7 not in got
+    both = weighted_percentiles(df, ["g"], "x", "w", percents=[], extremes=3)
+    assert {r.g: tuple(r)[1:] for r in both.collect()} == got
+    assert extreme_values(df, [], "x").count() == 1
+
+
+def test_only_possible_extremes_are_counted(spark, monkeypatch):
+    from wavepanel.operators import stats
+    df = spark.range(50_000).select(F.lit(1).alias("g"), ((F.col("id") * 7919) % 49_999).alias("x"))
+    seen = []
+    join = stats.join_keys
+    monkeypatch.setattr(stats, "join_keys", lambda *a: seen.append(join(*a)) or seen[-1])
+    r = stats.extreme_values(df, ["g"], "x", k=4).first()
+    assert [r[f"smallest{i}"] for i in range(1, 5)] == [0, 0, 1, 2]
+    assert [r[f"largest{i}"] for i in range(1, 5)] == [49_998, 49_997, 49_996, 49_995]
+    near = seen[0].where("_v <= _up or _v >= _down").count()
+    assert near < 60
+
+
+def test_coverage_reports_from_one_scan(spark):
+    from wavepanel.operators.diagnostics import coverage_counts, coverage_reports
+    d = tempfile.mkdtemp() + "/t"
+    rows = [(1, 1, 5.0, None), (1, 2, None, "a"), (2, 1, 1.0, "b"), (None, 2, 2.0, None),
+            (2, None, None, None)]
+    spark.createDataFrame(rows, "p int, w int, x double, y string").write.parquet(d)
+    df = spark.read.parquet(d)
+    assert _plan(coverage_counts(df, "p", "w", ["x", "y"])).count("FileScan") == 1
+    r = coverage_reports(df, "p", "w", ["x", "y"])
+    assert sorted(map(repr, r.by_person.collect())) == sorted(map(repr, (
+        df.groupBy("p").agg(F.count("*").alias("n_rows"), F.count("x").alias("n_x"),
+                            F.count("y").alias("n_y"))).collect()))
+    assert {(x.w, x.n_rows, x.n_x, x.n_y) for x in r.by_wave.collect()} == {
+        (1, 2, 2, 1), (2, 2, 1, 1), (None, 1, 0, 0)}
+    assert {tuple(x) for x in r.missing.collect()} == {("x", 3, 2), ("y", 2, 3)}
+    none = coverage_reports(df.where("w > 9"), "p", "w", ["x"])
+    assert none.by_person.count() == 0 and [tuple(x) for x in none.missing.collect()] == [("x", 0, 0)]
+
+
+def test_stored_counts_give_the_full_statistics(spark):
+    from wavepanel.operators.diagnostics import append_counts, read_counts, wave_stats
+    path = tempfile.mkdtemp() + "/counts"
+    rows = [(w, f"v{v}", float((w * 7 + v * i) % 5)) for w in (1, 2, 3) for v in (1, 2) for i in range(9)]
+    long = spark.createDataFrame(rows, "wave int, variable string, val double")
+    old, new = long.where("wave < 3 and val < 4"), long.where("wave = 3 or val >= 4")
+    append_counts(old, path, "a", "wave")
+    append_counts(old.limit(3), path, "b", "wave")             # a delivery that is corrected
+    append_counts(new.where("wave <> 1"), path, "b", "wave")
+    assert {r.wave for r in read_counts(spark, path, "wave", changed_by="b").collect()} == {2, 3}
+    append_counts(new.where("wave = 1"), path, "c", "wave")
+
+    def stats(df, **kw):
+        return sorted(tuple(r) for r in wave_stats(df, "wave", **kw).collect())
+
+    assert stats(read_counts(spark, path, "wave"), freq="n") == stats(long)
+    one = read_counts(spark, path, "wave", changed_by="c")
+    assert stats(one, freq="n") == [r for r in stats(long) if r[0] == 1]

@@ -110,11 +110,6 @@ def any_equals_flag(cols: Sequence[str | Column], value=1, dtype: str = "smallin
     return cond.cast(dtype)
 
 
-def is_direction(x: str | Column, code) -> Column:
-    """Boolean mask ``x == code`` with missing treated as False."""
-    return F.coalesce(_c(x) == F.lit(code), F.lit(False))
-
-
 def not_equal_or_missing(x: str | Column, value) -> Column:
     """pandas ``x != value``: true when ``x`` is missing."""
     return ~_c(x).eqNullSafe(F.lit(value))
@@ -228,9 +223,3 @@ def cast_failures(x: str | Column, dtype: str) -> Column:
     """Aggregate: rows whose value is present but does not survive the cast."""
     xc = _c(x)
     return F.count_if(xc.isNotNull() & xc.try_cast(dtype).isNull())
-
-
-def nan_to_null(x: str | Column) -> Column:
-    """Map floating NaN to NULL (Spark orders NaN above +inf)."""
-    xc = _c(x)
-    return F.when(~F.isnan(xc), xc)

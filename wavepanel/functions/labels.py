@@ -80,11 +80,6 @@ def label(code: str | Column, domain: str | Mapping[int, str]) -> Column:
     return F.try_element_at(lit_map, c.cast("int"))
 
 
-def label_table(spark: SparkSession) -> DataFrame:
-    rows = [(d, k, v) for d, m in CODE_LABELS.items() for k, v in m.items()]
-    return spark.createDataFrame(rows, "domain string, code int, label string")
-
-
 def with_variable_labels(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
     """Attach ``{"comment": label}`` metadata to the columns that have one."""
     cols = []

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavepanel.functions.labels import variable_labels
 from wavepanel.functions.columns import cast_failures
 
 
@@ -54,6 +55,20 @@ def missing_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+def codebook(df: DataFrame) -> DataFrame:
+    """Per column, in order: ``position, variable, dtype, label, n_present,
+    n_missing``.  The labels are those that came with the table (column
+    comments, which Parquet files and catalogue tables keep); one aggregate
+    counts."""
+    labels = variable_labels(df)
+    rows = [(i, f.name, f.dataType.simpleString(), labels.get(f.name))
+            for i, f in enumerate(df.schema.fields)]           # one row a column
+    named = df.sparkSession.createDataFrame(
+        rows, "position int, variable string, dtype string, label string")
+    return (named.join(missing_report(df, df.columns), "variable")
+            .select("position", "variable", "dtype", "label", "n_present", "n_missing"))
+
+
 def cast_report(df: DataFrame, casts: Mapping[str, tuple[str | Column, str]]) -> DataFrame:
     """Per target: ``variable, dtype, n_present, n_failed`` where failed means
     a present value that the safe cast turns into NULL."""

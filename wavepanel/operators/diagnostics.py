@@ -9,10 +9,12 @@ of one job per column.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavepanel.operators.segments import join_keys
 from wavepanel.operators.stats import exact_quantiles
 from wavepanel.session import stage, ensure_checkpoint_dir, max_broadcast_rows
 
@@ -24,6 +26,39 @@ def nonmissing_counts(df: DataFrame, by: str | Sequence[str], cols: Sequence[str
     return df.groupBy(*by).agg(*[F.count(c).alias(f"{prefix}{c}") for c in cols])
 
 
+@dataclass(frozen=True)
+class CoverageReports:
+    """What one scan of the panel tells about missing answers."""
+    by_person: DataFrame        # person, n_rows, n_<column>...
+    by_wave: DataFrame          # wave, n_rows, n_<column>...
+    missing: DataFrame          # variable, n_present, n_missing
+
+
+def coverage_counts(df: DataFrame, person: str, wave: str, cols: Sequence[str]) -> DataFrame:
+    """Rows and non-missing counts per person, per wave and in all, by one
+    aggregate over grouping sets: level ("person", "wave" or "all"), person,
+    wave, n_rows, n_<column>.  A missing person or wave is a group like others."""
+    sets = df.groupingSets([[F.col(person)], [F.col(wave)], []], person, wave)
+    level = (F.when(F.grouping(person) == 0, "person").when(F.grouping(wave) == 0, "wave")
+             .otherwise("all"))
+    return sets.agg(level.alias("level"), F.count(F.lit(1)).alias("n_rows"),
+                    *[F.count(c).alias(f"n_{c}") for c in cols])
+
+
+def coverage_reports(df: DataFrame, person: str, wave: str, cols: Sequence[str]) -> CoverageReports:
+    """The counts per person, per wave and per variable from one scan."""
+    counts = stage(coverage_counts(df, person, wave, cols), "coverage")
+    n = [f"n_{c}" for c in cols]
+    # one row, also for an empty table, which has no grouping set at all
+    whole = counts.where("level = 'all'").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_rows", *n)])
+    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"n_{c}").alias("n_present"),
+                              (F.col("n_rows") - F.col(f"n_{c}")).alias("n_missing")) for c in cols])
+    return CoverageReports(counts.where("level = 'person'").select(person, "n_rows", *n),
+                           counts.where("level = 'wave'").select(wave, "n_rows", *n),
+                           whole.select(F.inline(rows)))
+
+
 def nobs_histogram(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
     """Histogram of per-person non-missing counts for each column.
 
@@ -57,9 +92,11 @@ def to_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 def wave_stats(long: DataFrame, wave: str, value: str = "val",
                probs: Sequence[float] = (0.25, 0.5, 0.75), method: str = "exact",
-               accuracy: int = 10_000) -> DataFrame:
+               accuracy: int = 10_000, freq: str | None = None) -> DataFrame:
     """Per (wave, variable): quartiles ``p25 p50 p75`` and ``mean``.
 
+    ``freq`` names the counts if ``long`` is a table of value counts.
+
     ``method="exact"`` (default) reads them by position after one sort per
     (wave, variable); ``"approx"`` uses ``percentile_approx`` (one
     aggregate, rank error about 1/accuracy) for very large waves.
@@ -71,7 +108,8 @@ def wave_stats(long: DataFrame, wave: str, value: str = "val",
             *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "mean")
     if method != "exact":
         raise ValueError("method must be 'exact' or 'approx'")
-    return exact_quantiles(long, keys, value, probs, ["p25", "p50", "p75"], mean_name="mean")
+    return exact_quantiles(long, keys, value, probs, ["p25", "p50", "p75"], mean_name="mean",
+                           freq=freq)
 
 
 def _attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -97,6 +135,31 @@ def value_counts(long: DataFrame, wave: str, value: str = "val", freq: str = "n"
                  "value-counts")
 
 
+def append_counts(long: DataFrame, path: str, batch: str, wave: str, value: str = "val",
+                  freq: str = "n") -> None:
+    """Add the value counts of one batch of rows (a new file, say) to the store
+    at ``path``.  Earlier batches are not read; a batch that is appended again,
+    after a failure or a corrected delivery, replaces its former counts."""
+    (long.groupBy(wave, "variable", value).agg(F.count(F.lit(1)).alias(freq))
+     .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}"))
+
+
+def read_counts(spark: SparkSession, path: str, wave: str, value: str = "val",
+                freq: str = "n", changed_by: str | None = None) -> DataFrame:
+    """The counts of all batches added up, one row per (wave, variable, value).
+
+    Waves that got rows from several batches are merged.  With ``changed_by``
+    only the waves that this batch has rows of come back: the only ones whose
+    statistics it changed.  Waves are few, so that list is joined broadcast if
+    it is counted small.
+    """
+    every = spark.read.parquet(path).withColumn("batch", F.col("batch").cast("string"))
+    if changed_by is not None:
+        waves = every.where(F.col("batch") == changed_by).select(wave).distinct()
+        every = join_keys(every, stage(waves, "changed-waves"), [wave], "left_semi", waves.count())
+    return every.groupBy(wave, "variable", value).agg(F.sum(freq).alias(freq))
+
+
 def outlier_flags(long: DataFrame, wave: str, value: str = "val", k: float = 100.0,
                   min_iqr: float = 1.0, freq: str | None = None) -> DataFrame:
     """Add ``outlier``: value above ``q25 + k*IQR`` or below ``q75 - k*IQR``

@@ -5,10 +5,8 @@ with its count and weight, built by one aggregate with map-side combine.
 Running totals over the distinct values (``segments.running``, which splits hot
 keys) then place every position and every share of the weight exactly.  Survey
 answers are few codes, so the table is tiny beside the rows, and a value that
-a third of the rows share is one row of it.
-
-``approx_quantiles`` (``percentile_approx``) is the cheaper option when a
-bounded rank error is acceptable.
+a third of the rows share is one row of it.  The mean with its error and the
+extremes need no order at all and use plain aggregates.
 """
 
 from __future__ import annotations
@@ -18,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavepanel.operators.segments import running
+from wavepanel.operators.segments import join_keys, running
 from wavepanel.session import stage
 
 # The percentiles of a detailed summary.
@@ -90,15 +88,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     return g.where(F.col("_q_n") > 0).select(*keys, *out)
 
 
-def approx_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
-                     probs: Sequence[float], names: Sequence[str] | None = None,
-                     accuracy: int = 10_000) -> DataFrame:
-    names = list(names) if names else [_pname(p) for p in probs]
-    q = F.percentile_approx(_c(value), list(probs), accuracy)
-    return df.groupBy(*keys).agg(q.alias("_q")).select(
-        *keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-
-
 def _weights(df: DataFrame, weight: str | Column | None) -> tuple[Column, str]:
     """The weight column and the type in which it is summed exactly: whole
     numbers as long, others as decimals with nine places."""
@@ -180,8 +169,11 @@ def weighted_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     up to the previous value equals ``P`` exactly, the two are averaged.
     Rows with a missing or non-positive weight, or a missing value, are
     ignored.  Whole weights are summed as 64-bit integers, fractional ones as
-    decimals with nine places, so the equality test is exact.
+    decimals with nine places, so the equality test is exact.  Without
+    ``percents`` only the extremes are asked for, and nothing else is sorted.
     """
+    if not percents:
+        return extreme_values(df, keys, value, weight, extremes)
     g = _summary(df, keys, value, weight, percents, extremes, limit)
     return g.select(*keys, *_percentile_columns(percents, extremes))
 
@@ -212,20 +204,72 @@ def weighted_mean_se(df: DataFrame, keys: Sequence[str], value: str, weight: str
     the estimation sample.  A single row has no error (NULL), zero total
     weight no mean."""
     keys = list(keys)
-    w = _c(weight).cast("double")
-    src = df if where is None else df.where(where)
-    src = src.where(_present(w, "double"))
-    vt = value_table(src, keys, value, extra=[w.alias("_w"), (w * w).alias("_ww")])
-    xd = F.col("_v").cast("double")
-    r = running(vt, keys, ["_v"], {
-        "_W": ("group_sum", F.col("_w")), "_T": ("group_sum", F.col("_w") * xd)})
-    mean = F.try_divide("_T", "_W")
-    g = r.groupBy(*keys).agg(
-        F.sum("_n").alias("n"), F.max("_W").alias("_W"), F.max(mean).alias("mean"),
-        F.sum(F.col("_ww") * (xd - mean) * (xd - mean)).alias("_ss")).where(F.col("n").isNotNull())
+    kind = df.select(_c(value).alias("v")).schema["v"].dataType.simpleString()
+    src = (df if where is None else df.where(where)).select(
+        *keys, _c(value).alias("_v"), _c(weight).cast("double").alias("_w"))
+    src = src.where(_present(F.col("_v"), kind) & _present(F.col("_w"), "double"))
+    x = F.col("_v").cast("double")
+    means = stage(src.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_w").alias("_W"),
+        F.try_divide(F.sum(F.col("_w") * x), F.sum("_w")).alias("mean")), "means")
+    off = x - F.col("_m")
+    spread = (join_keys(src, means.select(*keys, F.col("mean").alias("_m")), keys, "inner",
+                        means.count())
+              .groupBy(*keys).agg(F.sum(F.col("_w") * F.col("_w") * off * off).alias("_ss")))
     se = F.sqrt(F.try_divide(F.col("n") * 1.0, F.col("n") - 1)
                 * F.try_divide("_ss", F.col("_W") * F.col("_W")))
-    return g.select(*keys, "n", "mean", se.alias("se"))
+    return (join_keys(means.where("n > 0"), spread, keys, "left", means.count())
+            .select(*keys, "n", "mean", se.alias("se")))
+
+
+# Parts of a key's values whose least and greatest bound its extremes.
+EXTREME_PARTS = 64
+
+
+def extreme_values(df: DataFrame, keys: Sequence[str], value: str | Column,
+             weight: str | Column | None = None, k: int = 4) -> DataFrame:
+    """The ``k`` smallest and largest observations per key: smallest1, ... and
+    largest1, ...; NULL where a key has fewer.  Rows with a missing value, or
+    with a missing or non-positive ``weight``, are ignored; every other row is
+    one observation.
+
+    Nothing is sorted but what can be an extreme.  An aggregate takes the least
+    and greatest value of each of EXTREME_PARTS parts of a key's values; the
+    k-th least of the former is a value with k values up to it, so only rows up
+    to there can be among the smallest, and likewise for the largest.  Those
+    rows are counted by value, and the places read off the counts.
+    """
+    keys = list(keys)
+    src = df.select(*keys, _c(value).alias("_v"),
+                    *([] if weight is None else [_c(weight).cast("double").alias("_w")]))
+    kind = src.schema["_v"].dataType.simpleString()
+    src = src.where(_present(F.col("_v"), kind))
+    if weight is not None:
+        src = src.where((F.col("_w") > 0) & ~F.isnan("_w"))
+    src = src.select(*keys, "_v")
+    part = F.pmod(F.xxhash64("_v"), F.lit(max(EXTREME_PARTS, 4 * k))).alias("_part")
+    ends = (src.groupBy(*keys, part).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+            .groupBy(*keys).agg(F.array_sort(F.collect_list("_lo")).alias("_los"),
+                                F.sort_array(F.collect_list("_hi"), False).alias("_his")))
+    bounds = stage(ends.select(*keys, F.get("_los", F.lit(k - 1)).alias("_up"),
+                               F.get("_his", F.lit(k - 1)).alias("_down")), "extreme-bounds")
+    # a key whose values fill fewer than k parts has few values, and all stay
+    v, up, down = F.col("_v"), F.col("_up"), F.col("_down")
+    near = v.isNotNull() & (up.isNull() | down.isNull() | (v <= up) | (v >= down))
+    counts = (join_keys(src, bounds, keys, "inner", bounds.count()).where(near)
+              .groupBy(*keys, "_v", "_up", "_down").agg(F.count(F.lit(1)).alias("_n")))
+    out = counts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_s"))
+
+    def places(values: Column) -> Column:
+        """Each value as often as it occurs, k times at most."""
+        return F.flatten(F.transform(values, lambda s: F.array_repeat(
+            s["_v"], F.least(s["_n"], F.lit(k)).cast("int"))))
+
+    # the values between the bounds are missing in the middle, not at the ends
+    return out.select(*keys, places(F.slice("_s", 1, k)).alias("_a"),
+                      places(F.slice(F.reverse("_s"), 1, k)).alias("_b")).select(
+        *keys, *[F.get("_a", F.lit(i)).alias(f"smallest{i + 1}") for i in range(k)],
+        *[F.get("_b", F.lit(i)).alias(f"largest{i + 1}") for i in range(k)])
 
 
 def weighted_tabulate(df: DataFrame, var: str, weight: str | Column | None = None,

@@ -20,6 +20,7 @@ races tiled in both tables, schema independent of the data).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from wavepanel.functions.columns import (any_equals_flag, columns_matching, equals_flag, existing,
                                          first_present, member_flag, numbered, recode, rescale,
                                          row_sum, score_answer, sentinel_fill, try_cast)
+from wavepanel.functions.labels import with_variable_labels
 from wavepanel.operators.checks import implies_missing, rule_violations
 from wavepanel.operators.panel import carry_forward, tile
 from wavepanel.operators.segments import hot_keys
@@ -152,6 +154,70 @@ EXTRACT_LABELS = {
     "hh_inc_bin_rank": "Median national income rank of the bin (0-100)",
 }
 
+KEY_LABELS = {ID: "Person", WID: "Wave (year and month)"}
+
+# Labels of the raw answers that have no extract variable of the same content;
+# {} stands for the number at the end of the name.
+QUESTION_LABELS = [
+    (r"Q9_bin(\d+)", "Inflation in 12 months: chance of range {} (%)"),
+    (r"Q9c_bin(\d+)", "Inflation in 24-36 months: chance of range {} (%)"),
+    (r"Q9new2_bin(\d+)", "Inflation in 48-60 months: chance of range {} (%)"),
+    (r"Q10_(\d+)", "Employment status {} applies"),
+    (r"Q12new", "Employer: someone else (1) or own business (2)"),
+    (r"Q15", "Without a job: looking for one (1) or not (2)"),
+    (r"Q16", "Months of looking for a job"),
+    (r"Q19", "Months since the last job"),
+    (r"Q22new", "Chance of finding a job within 3 months after losing the present one (%)"),
+    (r"Q23v2", "Earnings: rise, stay or fall"),
+    (r"Q24_(\d+)", "Earnings: chance of change range {} (%)"),
+    (r"Q25v2", "Household income: rise, stay or fall"),
+    (r"Q26v2", "Household spending: rise, stay or fall"),
+    (r"Q27v2", "Taxes: rise, stay or fall"),
+    (r"Q31v2", "House prices in 12 months: rise, stay or fall"),
+    (r"C1_(\d+)", "House prices: chance of change range {} (%)"),
+    (r"C2", "House prices in 24-36 months: rise, stay or fall"),
+    (r"C3", "Government debt: rise, stay or fall"),
+    (r"Q33", "Gender code"),
+    (r"Q34", "Hispanic, Latino or Spanish (1 yes, 2 no)"),
+    (r"Q35_(\d+)", "Race: group {} applies"),
+    (r"Q36", "Highest schooling, survey code"),
+    (r"Q37", "Tenure of the present job, code"),
+    (r"Q38", "Married or living with partner (1 yes, 2 no)"),
+    (r"HH2_(\d+)", "Partner's employment status {} applies"),
+    (r"Q41", "State of residence, years there, code"),
+    (r"Q42", "Present home, years there, code"),
+    (r"Q43", "Home: owned (1), rented (2), other (3)"),
+    (r"Q44", "Other homes owned, code"),
+    (r"Q45new_(\d+)", "Household members of group {}"),
+    (r"Q46", "Decides on the household's finances, code"),
+    (r"QRA2", "Willingness to take risks in daily life"),
+    (r"Q47", "Family income bin (1-11), latest answer"),
+    (r"Q47_rank", "Median national income rank of the bin (0-100)"),
+    (r"D1", "Household members since the last interview: same (1) or changed (2)"),
+    (r"D3", "Job since the last interview: same (1) or changed (2)"),
+    (r"DSAME", "Employer since the last interview: code of same or other"),
+]
+
+
+def full_labels(columns: Sequence[str]) -> dict[str, str]:
+    """Labels of the full table's columns: an answer that the extract copies
+    has its variable's label, the others have one of their own."""
+    same = {raw: EXTRACT_LABELS[name] for name, raw in COPIES}
+    same |= {percent: EXTRACT_LABELS[name] for _, _, percent, name in SIGN_PAIRS}
+    same |= {raw: EXTRACT_LABELS[stem] for raw, stem, _, _ in NUMERACY}
+    same |= {c: EXTRACT_LABELS[c] for c in ("date", "tenure", "weight")}
+    same |= {"Q1": EXTRACT_LABELS["financial_past_12m"], "Q2": EXTRACT_LABELS["financial_12m"],
+             "Q32": EXTRACT_LABELS["age_init"], "Q45b": EXTRACT_LABELS["health"],
+             "QRA1": EXTRACT_LABELS["take_fin_risk"], **KEY_LABELS}
+    out = {}
+    for c in columns:
+        found = [(m, text) for p, text in QUESTION_LABELS if (m := re.fullmatch(p, c))]
+        if c in same:
+            out[c] = same[c]
+        elif found:
+            out[c] = found[0][1].format(*found[0][0].groups())
+    return out
+
 
 @dataclass
 class SurveyTables:
@@ -336,8 +402,8 @@ def build_survey_tables(raw: DataFrame, crosswalk: DataFrame | None = None,
         cw = validated_crosswalk(crosswalk)
         full = _with_rank(full, "Q47", cw)
         extract = _with_rank(extract, "hh_inc_bin", cw)
-    from wavepanel.functions.labels import with_variable_labels
-    return SurveyTables(full, with_variable_labels(extract, EXTRACT_LABELS), verdicts)
+    return SurveyTables(with_variable_labels(full, full_labels(full.columns)),
+                        with_variable_labels(extract, {**KEY_LABELS, **EXTRACT_LABELS}), verdicts)
 
 
 def _with_rank(df: DataFrame, bin_col: str, crosswalk: DataFrame) -> DataFrame:

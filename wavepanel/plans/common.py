@@ -75,7 +75,3 @@ def sql_cut_index(x: str, edges: Sequence[float]) -> str:
         parts.append(f"WHEN {x} < {float(hi)!r} THEN {i}")
     parts.append("END")
     return " ".join(parts)
-
-
-def unit_window(*keys: str) -> Window:
-    return Window.partitionBy(*keys)

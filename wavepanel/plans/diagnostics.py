@@ -6,12 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wavepanel.operators.checks import missing_report
-from wavepanel.operators.diagnostics import (median_timestamp, nobs_histogram, nonmissing_counts,
-                                             outlier_counts, outlier_flags, to_long, trimmed_means,
+from wavepanel.operators.diagnostics import (append_counts, coverage_reports, median_timestamp,
+                                             nobs_histogram, nonmissing_counts, outlier_counts,
+                                             outlier_flags, read_counts, to_long, trimmed_means,
                                              value_counts, wave_stats)
-from wavepanel.operators.stats import (distinct_levels, weighted_mean_se, weighted_summary,
-                                       weighted_tabulate)
+from wavepanel.operators.stats import (distinct_levels, extreme_values, weighted_mean_se,
+                                       weighted_summary, weighted_tabulate)
 from wavepanel.plans.common import PANEL_SQL, panel, table
+from wavepanel.session import scratch_dir, stage
 
 COUNT_VARS = ["value", "a", "b", "asked_once"]
 WAVE_VARS = ["v", "a", "b"]
@@ -39,6 +41,20 @@ def q_missing_report(spark, sf_dir):
     return missing_report(panel(spark, sf_dir), COUNT_VARS)
 
 
+def q_coverage_reports(spark, sf_dir):
+    """The counts per person, per wave and per variable, from one scan."""
+    r = coverage_reports(panel(spark, sf_dir), "user_id", "wid", COUNT_VARS)
+    n = [f"n_{c}" for c in COUNT_VARS]
+    parts = [t.select(F.lit(name).alias("report"), F.col(key).cast("long").alias("id"), "n_rows", *n)
+             .unpivot(["report", "id", "n_rows"], n, "variable", "n_present")
+             .select("report", "id", F.expr("substr(variable, 3)").alias("variable"), "n_present",
+                     (F.col("n_rows") - F.col("n_present")).alias("n_missing"))
+             for name, t, key in (("person", r.by_person, "user_id"), ("wave", r.by_wave, "wid"))]
+    whole = r.missing.select(F.lit("all").alias("report"), F.lit(None).cast("long").alias("id"),
+                             "variable", "n_present", "n_missing")
+    return parts[0].unionByName(parts[1]).unionByName(whole)
+
+
 def _long(spark, sf_dir):
     p = _panel_v(spark, sf_dir).select("event_id", "user_id", "wid", *WAVE_VARS)
     return to_long(p, ["wid"], WAVE_VARS)
@@ -66,6 +82,37 @@ def trimmed_wave_mean(spark, sf_dir):
     return t.withColumn("mean_trimmed", F.round("mean_trimmed", 6))
 
 
+# Days whose events come with the first delivery; the second brings the rest,
+# among them rows of days that the first one had begun.
+FIRST_DELIVERY = "2024-01-16 12:00:00"
+
+
+def wave_stats_stored(spark, sf_dir):
+    """The diagnostics from stored counts: the first delivery's are kept, the
+    second one's are added (twice, as after a failure) without rereading."""
+    path = scratch_dir(spark, "stored-counts")
+    p = _panel_v(spark, sf_dir).select("event_id", "ts", "wid", *WAVE_VARS)
+    early = F.col("ts") < F.lit(FIRST_DELIVERY).cast("timestamp_ntz")
+    for batch, rows in (("first", early), ("second", ~early), ("second", ~early)):
+        append_counts(to_long(p.where(rows), ["wid"], WAVE_VARS, with_row_hash=False), path, batch, "wid")
+    counts = stage(read_counts(spark, path, "wid"), "all-counts")
+    flagged = outlier_flags(counts, "wid", freq="n")
+    out = F.coalesce(F.sum(F.when(F.col("outlier"), F.col("n"))), F.lit(0)).alias("n_outliers")
+    screened = flagged.groupBy("wid", "variable").agg(out, F.max("iqr").alias("iqr"))
+    stats = (wave_stats(counts, "wid", freq="n").join(screened, ["wid", "variable"])
+             .join(trimmed_means(flagged, "wid", freq="n"), ["wid", "variable"]))
+    return stats.select("wid", "variable", "n_outliers", *[
+        F.round(c, 6).alias(c) for c in ("p25", "p50", "p75", "mean", "iqr", "mean_trimmed")])
+
+
+def q_extreme_values(spark, sf_dir):
+    """The four least and greatest discounted prices per return flag."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.col("l_quantity").cast("int").alias("w"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")).alias("x"))
+    return extreme_values(li.withColumn("w", F.col("w") - 1), ["l_returnflag"], "x", "w")
+
+
 def _lineitem(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_discount", "l_quantity", "l_shipdate",
@@ -125,6 +172,9 @@ QUERIES = {
     "weighted_summary": q_weighted_summary,
     "weighted_summary_all": weighted_summary_all,
     "distinct_levels": q_distinct_levels,
+    "coverage_reports": q_coverage_reports,
+    "wave_stats_stored": wave_stats_stored,
+    "extreme_values": q_extreme_values,
 }
 
 _COUNTS = ", ".join(f"count({c}) AS n_{c}" for c in COUNT_VARS)
@@ -243,6 +293,27 @@ pc AS ({_pct_sql(True).replace("FROM lineitem", "FROM li")})
 SELECT CAST(mo.n AS DOUBLE) AS n,
   {", ".join(f"round({'mo' if c in ('mean', 'variance', 'sd', 'skewness', 'kurtosis') else 'pc'}.{c}, 4) AS {c}" for c in _SUMMARY_COLS)}
 FROM mo JOIN pc ON mo.l_returnflag = pc.l_returnflag""",
+    "coverage_reports": f"WITH {PANEL_SQL} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS report, CAST({key} AS BIGINT) AS id, '{c}' AS variable, count({c}) AS n_present, "
+        f"CAST(count_if({c} IS NULL) AS BIGINT) AS n_missing FROM panel {group}"
+        for name, key, group in (("person", "user_id", "GROUP BY user_id"), ("wave", "wid", "GROUP BY wid"),
+                                 ("all", "NULL", "")) for c in COUNT_VARS),
+    "wave_stats_stored": f"""{_LONG}, {_Q}
+SELECT wid, variable, CAST(count_if(outlier) AS BIGINT) AS n_outliers,
+  round(quantile_cont(val, 0.25), 6) AS p25, round(quantile_cont(val, 0.5), 6) AS p50,
+  round(quantile_cont(val, 0.75), 6) AS p75, round(avg(val), 6) AS mean,
+  round(greatest(quantile_cont(val, 0.75) - quantile_cont(val, 0.25), 1.0), 6) AS iqr,
+  round(avg(CASE WHEN NOT outlier THEN val END), 6) AS mean_trimmed
+FROM f GROUP BY wid, variable""",
+    "extreme_values": f"""
+WITH s AS (SELECT l_returnflag, l_extendedprice AS x,
+             row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS up,
+             row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS down
+           FROM lineitem
+           WHERE l_linenumber <> 3 AND l_extendedprice IS NOT NULL AND CAST(l_quantity AS INTEGER) > 1)
+SELECT l_returnflag, {", ".join(f"max(CASE WHEN up = {i} THEN x END) AS smallest{i}" for i in range(1, 5))},
+  {", ".join(f"max(CASE WHEN down = {i} THEN x END) AS largest{i}" for i in range(1, 5))}
+FROM s GROUP BY l_returnflag""",
     "distinct_levels": """
 SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS level FROM lineitem WHERE l_returnflag = 'R'""",
 }

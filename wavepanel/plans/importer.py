@@ -9,6 +9,7 @@ from __future__ import annotations
 from wavepanel.plans.catalogue import build_survey_tables
 from wavepanel.plans.common import ORDER_VALUE_EDGES, order_weight, table
 from wavepanel.plans.survey_raw import raw_sql, survey_raw
+from wavepanel.operators.checks import codebook
 from wavepanel.operators.diagnostics import to_long, wave_stats
 from wavepanel.operators.ranks import rank_crosswalk
 from wavepanel.session import scratch_dir
@@ -72,11 +73,26 @@ def extract_wave_stats(spark, sf_dir):
         "wid", "variable", *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "mean")
 
 
-QUERIES = {"survey_raw": q_survey_raw, "survey_full": survey_full, "survey_extract": survey_extract,
+def panel_codebook(spark, sf_dir):
+    """Both tables stored and read back: the label of every column, as it came
+    with the files, and how many answers the column holds."""
+    tables = build_survey_tables(survey_raw(spark, sf_dir), _crosswalk(spark, sf_dir))
+    out = None
+    for name, df in (("full", tables.full), ("extract", tables.extract)):
+        path = scratch_dir(spark, f"labelled-{name}")
+        write_panel(df, path)
+        book = codebook(read_panel(spark, path)).select(
+            F.lit(name).alias("table_name"), "variable", "label", "n_present", "n_missing")
+        out = book if out is None else out.unionByName(book)
+    return out
+
+
+QUERIES = {"panel_codebook": panel_codebook, "survey_raw": q_survey_raw, "survey_full": survey_full, "survey_extract": survey_extract,
            "panel_store_reload": panel_store_reload, "extract_wave_stats": extract_wave_stats}
 def _sql() -> dict[str, str]:
-    from wavepanel.plans.importer_sql import extract_sql, extract_wave_stats_sql, full_sql
-    return {"survey_raw": raw_sql(), "survey_extract": extract_sql(), "survey_full": full_sql(),
+    from wavepanel.plans.importer_sql import (codebook_sql, extract_sql, extract_wave_stats_sql,
+                                              full_sql)
+    return {"panel_codebook": codebook_sql(), "survey_raw": raw_sql(), "survey_extract": extract_sql(), "survey_full": full_sql(),
             "panel_store_reload": f"SELECT *, CAST(year(date) AS INTEGER) AS wave_year FROM ({full_sql()}) f",
             "extract_wave_stats": extract_wave_stats_sql()}
 

@@ -180,3 +180,27 @@ SELECT wid, variable, round(quantile_cont(val, 0.25), 6) AS p25, round(quantile_
   round(quantile_cont(val, 0.75), 6) AS p75,
   CAST(sum(CAST(round(val * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 / count(val) AS mean
 FROM u GROUP BY wid, variable"""
+
+
+def codebook_sql() -> str:
+    from wavepanel.functions.columns import numbered
+    from wavepanel.plans.catalogue import (EXTRACT_LABELS, KEY_LABELS, REQUIRED, SIGN_PAIRS, TILES,
+                                           full_labels)
+    stems = ("Q9_bin", "Q9c_bin", "Q9new2_bin", "Q10_", "Q24_", "C1_", "Q35_", "HH2_", "Q45new_")
+    columns = {*REQUIRED, *(t for t, _ in TILES), *(c for d, _, v, _ in SIGN_PAIRS for c in (d, v)),
+               *KEY_LABELS, "Q47_rank", *(c for x in stems for c in numbered(x, 1, 10))}
+    labels = {"full": full_labels(sorted(columns)), "extract": {**KEY_LABELS, **EXTRACT_LABELS}}
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    values = ", ".join(f"('{t}', '{c}', {quoted(x)})" for t, m in labels.items() for c, x in m.items())
+    counts = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, variable, n_present, (SELECT count(*) FROM t_{t}) - n_present AS n_missing "
+        f"FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM t_{t}) ON COLUMNS(*) INTO NAME variable VALUE n_present)"
+        for t in labels)
+    return f"""
+WITH t_full AS MATERIALIZED ({full_sql()}), t_extract AS MATERIALIZED ({extract_sql()}),
+l(table_name, variable, label) AS (VALUES {values}),
+n AS ({counts})
+SELECT table_name, variable, label, n_present, n_missing FROM n LEFT JOIN l USING (table_name, variable)"""
