@@ -26,6 +26,7 @@ SMALL_CELL_MIN = 400
 # age = 18 + (o_custkey // 7) % 60 (not tied to educ), order values in [450000, 460000] act as the
 # "not available" income codes.
 AGE_MIN, AGE_MAX = 18, 27
+ADULT = 18
 NA_CODES = (450000.0, 460000.0)
 COLLEGE_CELL_MIN = 100
 
@@ -112,6 +113,18 @@ def rank_crosswalk_college(spark, sf_dir):
     return read_crosswalk(spark, path, COLLEGE_CROSSWALK_SCHEMA)
 
 
+def rank_crosswalk_adults(spark, sf_dir):
+    """Pooled crosswalk of adults and of people whose age is missing, which
+    the original's "18 or above" does not drop."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), order_weight().alias("w"),
+        F.when(F.col("o_custkey") % 11 != 0, 10 + F.floor(F.col("o_custkey") / 7) % 60).alias("age"))
+    adults = o.where((F.col("age") >= ADULT) | F.col("age").isNull())
+    cw = rank_crosswalk(adults, "o_totalprice", "w", ["year"], "o_orderkey",
+                        edges=ORDER_VALUE_EDGES, count_col="nobs")
+    return cw.withColumn("rank", F.round("rank", 6))
+
+
 def max_bin_index(spark, sf_dir):
     """Largest bin index present per year, and overall (the axis range of
     the crosswalk chart)."""
@@ -155,6 +168,7 @@ QUERIES = {
     "weighted_ecdf": weighted_ecdf_rows,
     "weighted_ecdf_equal": weighted_ecdf_equal,
     "rank_crosswalk": q_rank_crosswalk,
+    "rank_crosswalk_adults": rank_crosswalk_adults,
     "rank_crosswalk_equal": rank_crosswalk_equal,
     "crosswalk_export": crosswalk_export,
     "rank_crosswalk_cells": rank_crosswalk_cells,
@@ -241,6 +255,9 @@ FROM customer""",
     "weighted_ecdf": _ECDF_ROWS,
     "weighted_ecdf_equal": _ECDF_EQUAL,
     "rank_crosswalk": _round_rank(_sql_crosswalk()),
+    "rank_crosswalk_adults": _round_rank(_sql_crosswalk(with_count=True).replace("FROM orders)", f"""
+  FROM (SELECT *, CASE WHEN o_custkey % 11 <> 0 THEN 10 + (o_custkey // 7) % 60 END AS age FROM orders) o
+  WHERE age >= {ADULT} OR age IS NULL)""")),
     "rank_crosswalk_equal": f"""
 SELECT year, CAST(row_number() OVER (PARTITION BY year ORDER BY lbound) AS INTEGER) AS ibin,
   lbound, round(median(rank), 6) AS rank, count(*) AS nobs

@@ -85,6 +85,25 @@ def load_preamble(spark, sf_dir):
     return df.drop("_source_file", "part")
 
 
+def loaded_spell_report(spark, sf_dir):
+    """From raw files to the report of the importer: two deliveries, the second
+    without one column and with the others in another order, are loaded as one
+    panel, and the lengths of the persons' spells are counted."""
+    ev = table(spark, sf_dir, "events").withColumn("note", F.concat(F.lit("#"), "event_type"))
+    split = F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")
+    early, late = scratch_dir(spark, "early"), scratch_dir(spark, "late")
+    columns = [f.name for f in EXTRACT_SCHEMA.fields]
+    write_extracts(ev.where(split).select(*columns), early, LICENSE_LINE)
+    write_extracts(ev.where(~split).select(*[c for c in columns[::-1] if c != "value"]), late,
+                   LICENSE_LINE)
+    loaded = load_extracts(spark, [early, late], EXTRACT_SCHEMA, preamble_prefix="#",
+                           timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS", missing="null")
+    per_person = loaded.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("spell_length"), F.count("value").alias("n_value"))
+    return per_person.groupBy("spell_length").agg(F.count(F.lit(1)).alias("n_persons"),
+                                                  F.sum("n_value").alias("n_value"))
+
+
 # Events of all types that share a file, by their ids.
 FILE_EVENTS = 20_000
 FILE_HEADER = "event_id,user_id,event_type"
@@ -134,6 +153,7 @@ QUERIES = {
     "extract_project": extract_project,
     "load_preamble": load_preamble,
     "changed_files": changed_files,
+    "loaded_spell_report": loaded_spell_report,
 }
 
 SQL = {
@@ -152,6 +172,12 @@ SELECT event_id AS id, ts AS date, value AS prob_move_house, value / 500.0 * 100
   CAST(coalesce(CASE WHEN event_id % 4 <> 0 THEN CAST(user_id % 5 + 1 AS INTEGER) END, -1) AS TINYINT)
     AS financial_past_12m
 FROM events""",
+    "loaded_spell_report": f"""
+SELECT spell_length, count(*) AS n_persons, CAST(sum(n_value) AS BIGINT) AS n_value
+FROM (SELECT user_id, count(*) AS spell_length,
+        count(CASE WHEN ts < TIMESTAMP '{SPLIT_TS}' THEN value END) AS n_value
+      FROM events GROUP BY user_id) t
+GROUP BY spell_length""",
     "changed_files": f"""
 WITH e AS (
   SELECT event_type, CAST(event_id // {FILE_EVENTS} AS BIGINT) AS chunk, event_id AS pos,

@@ -11,6 +11,11 @@ from wavepanel.operators.panel import (carry_forward, complete_rows, spell_lengt
                                        tile, tile_violations)
 from wavepanel.operators.signs import flip_signs, negative_mask, sign_verdicts
 from wavepanel.plans.common import PANEL_SQL, panel, table
+from wavepanel.session import scratch_dir
+from wavepanel.sources.files import write_bucketed_panel
+
+# Buckets of the stored panel (a cluster takes about one per 128 MB).
+PANEL_BUCKETS = 16
 
 
 def _sign_input(spark, sf_dir):
@@ -52,6 +57,19 @@ def carry_forward_record(spark, sf_dir):
         "event_id", "user_id", "a", "b")
 
 
+def stored_panel_clean(spark, sf_dir):
+    """The panel stored in buckets by person, then cleaned: tiled and carried
+    forward without moving a row."""
+    path = scratch_dir(spark, "bucketed-panel")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    p = panel(spark, sf_dir).select("event_id", "user_id", "ts", "asked_once", "a", "b")
+    stored = write_bucketed_panel(p, name, path, "user_id", "ts", PANEL_BUCKETS)
+    out = carry_forward(tile(stored, ["asked_once"], "user_id"), ["a", "b"], "user_id",
+                        ["ts", "event_id"])
+    spark.sql(f"DROP TABLE {name}")                    # of the catalogue; the files stay
+    return out.select("event_id", "user_id", "asked_once", "a", "b")
+
+
 def q_complete_rows(spark, sf_dir):
     p = panel(spark, sf_dir, with_tenure=False)
     return complete_rows(p.select("event_id", "user_id", "a", "b"), ["a", "b"])
@@ -82,6 +100,7 @@ QUERIES = {
     "tile_constant": tile_constant,
     "tile_violations": q_tile_violations,
     "carry_forward_record": carry_forward_record,
+    "stored_panel_clean": stored_panel_clean,
     "complete_rows": q_complete_rows,
     "family_overwrite": q_family_overwrite,
     "skip_logic_violations": skip_logic_violations,
@@ -141,6 +160,13 @@ SELECT event_id, user_id,
   last_value(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN a END IGNORE NULLS) OVER w AS a,
   last_value(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN b END IGNORE NULLS) OVER w AS b
 FROM panel
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "stored_panel_clean": f"""
+WITH {PANEL_SQL}
+SELECT event_id, user_id, max(asked_once) OVER (PARTITION BY user_id) AS asked_once,
+  last_value(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN a END IGNORE NULLS) OVER w AS a,
+  last_value(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN b END IGNORE NULLS) OVER w AS b
+FROM panel
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "complete_rows": f"""
 WITH {PANEL_SQL}

@@ -71,14 +71,16 @@ def load_extracts(spark: SparkSession, paths: str | Sequence[str], schema: T.Str
     NULL in that file's rows with ``missing="null"``.  Every other line is a
     record, whatever it starts with.  ``malformed="null"`` turns records that
     do not fit the schema into NULLs instead of raising.  NaN counts as
-    missing.  The file of each row is kept in ``_source_file``.
+    missing.  The file of each row is kept in ``_source_file``.  Folders are
+    searched recursively.
 
     One aggregate learns each file's first lines (one row a file); then one
     scan parses the rows.  Files with the same header are parsed alike, by one
     scan for each ``HEADERS_PER_PASS`` different headers.
     """
     skip = 1 if preamble_prefix else 0
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lines = reader.text(paths if isinstance(paths, str) else list(paths)).select(
         F.regexp_replace("value", "\r$", "").alias("value"),
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),

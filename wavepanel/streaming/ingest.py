@@ -11,7 +11,6 @@ tiles need every row of the panel.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +18,8 @@ from wavepanel.sources.files import load_extracts
 
 # Partition column of the target table: the micro-batch of a row.
 BATCH = "ingest_batch"
+# Columns of Spark's source of whole files.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
@@ -34,17 +35,19 @@ def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, tar
     """
     if not checkpoint_location:
         raise ValueError("an ingest needs the checkpoint location of its target")
-    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-             .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
+    # only the names are selected, so the source never opens the files
+    names = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+             .option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir).select("path"))
 
     def load(batch, batch_id):
-        files = [r["f"] for r in batch.select("f").distinct().collect()]
+        files = [r["path"] for r in batch.collect()]
         if files:
             rows = load_extracts(batch.sparkSession, files, schema, preamble_prefix,
                                  timestamp_format=timestamp_format)
             rows.write.mode("overwrite").parquet(f"{target_path}/{BATCH}={batch_id}")
 
-    w = (lines.select(F.col("_metadata.file_path").alias("f")).writeStream.foreachBatch(load)
+    w = (names.writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
