@@ -203,7 +203,7 @@ def test_pseudonyms_keep_format_and_links(spark):
     text = f"{card}, {phone} {mail} 10.1.2.3 on 2001-02-03 or 3/2/2001; 999.1.1.1 4111111111111112"
     df = spark.createDataFrame([(1, text), (2, text), (3, None), (4, ""), (5, "clean 12")],
                                "doc_id int, text string")
-    got = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(df, pii.DEMO_KEY).collect()}
     assert got[1].text == got[2].text and got[1].n_replaced == 6
     assert (got[3].text, got[4].text, got[5].text) == (None, "", "clean 12")
     for old in (card, phone, mail, "10.1.2.3", "2001-02-03"):
@@ -222,7 +222,7 @@ def test_numbers_next_to_short_numbers_and_words(spark):
     df = spark.createDataFrame([(i, f"pay {a}{x}{b}.") for i, (x, a, b) in enumerate(cases)]
                                + [(90, f"pay {card} 3/2/2001."), (91, "pay 4111 1111 1111 1112 123.")],
                                "doc_id int, text string")
-    got = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(df, pii.DEMO_KEY).collect()}
     alone = {r.text: r.new for r in spark.createDataFrame([(x,) for x, _, _ in cases], "text string")
              .select("text", pii.pseudonym(F.col("text"), F.lit(pii.DEMO_KEY)).alias("new")).collect()}
     for i, (x, a, b) in enumerate(cases):
@@ -231,6 +231,28 @@ def test_numbers_next_to_short_numbers_and_words(spark):
     assert got[91].n_replaced == 0
 
 
+def test_dates_of_a_century_keep_apart(spark):
+    days = spark.range(36_525).select(F.date_add(F.lit("1950-01-01").cast("date"),
+                                                 F.col("id").cast("int")).alias("d"))
+    late = F.dayofmonth("d") > 12
+    rows = (days.select(F.date_format("d", "dd/MM/yyyy").alias("text"))
+            .unionByName(days.where(late).select(F.date_format("d", "MM/dd/yyyy").alias("text")))
+            .unionByName(days.select(F.date_format("d", "yyyy-MM-dd").alias("text")))
+            .unionByName(days.where(late).select(F.date_format("d", "M.d.yyyy").alias("text"))
+                         .where("length(text) < 10")))
+    out = pii.pseudonymise(rows.select("text", F.col("text").alias("was")), "any key").collect()
+    assert all(r.n_replaced == 1 for r in out)
+    dotted = [r for r in out if "." in r.was]
+    whole = [r for r in out if "." not in r.was]
+    for part in (dotted, whole):
+        assert len({r.text for r in part}) == len({r.was for r in part}) == len(part)
+    for r in out:
+        if "/" in r.was and int(r.was[3:5]) > 12:
+            assert int(r.text[3:5]) > 12 and 1900 <= int(r.text[6:]) <= 2099
+    assert len({r.text for r in pii.pseudonymise(rows.limit(50), "one").collect()}
+               & {r.text for r in pii.pseudonymise(rows.limit(50), "other").collect()}) < 25
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(17 * 23).select(F.floor(F.col("id") / 23).alias("l"), (F.col("id") % 23).alias("r"))
     f = pii.feistel(F.col("l"), F.col("r"), F.lit(17), F.lit(23), F.lit("key"), "t")
@@ -363,6 +385,21 @@ def test_archives_round_trip(spark):
     assert {r.page_id: tuple(r)[1:] for r in got} == want
 
 
+def test_archives_of_repeated_ids(spark):
+    rows = [(1, "A" * 200), (1, "B" * 200), (2, "A" * 200), (3, "B" * 200), (3, "B" * 200), (4, None),
+            (1, "A" * 200)]
+    pages = spark.createDataFrame([(i, "http://x.org/", h) for i, h in rows],
+                                  "page_id long, url string, html string")
+    got = warc.archive_round_trip(pages).collect()
+    assert sorted((r.page_id, r.payload_digest) for r in got) == sorted(
+        (i, hashlib.sha256((h or "").encode()).hexdigest()) for i, h in rows)
+    kinds = Counter(r.record_type for r in got)
+    # copies that share the smallest id are responses both
+    assert kinds["response"] == 4 and all(r.refers_to == 1 for r in got if r.record_type == "revisit")
+    assert all(r.payload_bytes == (200 if r.page_id != 4 else 0) for r in got)
+    assert warc.archive_round_trip(pages.where("page_id > 9")).count() == 0
+
+
 def test_url_keys():
     assert warc.url_key("https://WWW.Example.com/a?b=1#c") == "com,example,www)/a?b=1"
     assert warc.url_key(None) == ")" and " " not in warc.url_key("no url at all")
@@ -433,6 +470,46 @@ def test_leaks_and_paraphrases(spark, docs):
     assert not any(r.leaked for r in decontamination.find_leaks(df, bench.where("false")).collect())
 
 
+def test_short_items_are_found_word_for_word(spark):
+    bench = spark.createDataFrame([(1, "What is the capital of Peru Lima"), (2, "two words"),
+                                   (3, None), (4, "..."), (5, "the capital of")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "so: what is the CAPITAL of Peru? Lima!"), (2, "what is the capital of Lima Peru"),
+        (3, "Two, words two words"), (4, "two other words"), (5, None)], "doc_id long, text string")
+    got = {r.doc_id: [(x["item"], x["cover"], x.word) for x in r.leaks]
+           for r in decontamination.find_leaks(docs, bench).collect()}
+    assert sorted(got[1]) == [(1, 1.0, 1), (5, 1.0, 3)] and got[2] == [(5, 1.0, 2)]
+    assert got[3] == [(2, 1.0, 0)] and got[4] == [] and got[5] == []
+
+
+def test_items_passed_over_are_no_leaks(monkeypatch):
+    rng = np.random.default_rng(6)
+    common = rng.integers(1, 1 << 62, 40).astype(np.uint64)
+    items = [(i, rng.choice(common, n).tolist(), rng.choice(common, 4).tolist())
+             for i, n in enumerate((9, 20, 36, 36, 70, 150))]
+    weight = np.zeros(decontamination.BUCKETS, np.float32)
+    weight[decontamination.buckets_of(common)] = 1
+    live = np.flatnonzero(weight)
+    search = decontamination.Searcher(items, weight, live, np.eye(len(live)))
+    monkeypatch.setattr(decontamination, "COSINE", -2.0)         # every window is a candidate
+    for n in (3, 30, 64, 65, 400, 90_000):
+        h = rng.choice(np.concatenate((common, rng.integers(1, 1 << 62, 30).astype(np.uint64))), n)
+        for k, (_, w, a) in enumerate(items):
+            at = n * k // 6
+            if n > 300:
+                h[at:at + len(w)] = w[:n - at]
+        want = {}
+        for start in range(0, max(1, n - decontamination.STRIDE), decontamination.STRIDE):
+            for i in range(len(items)):
+                if want.get(i, (0.0, 0))[0] < decontamination.SURE and n < 1_000:
+                    cover = search.check(i, h, start)
+                    if cover > want.get(i, (0.0, 0))[0]:
+                        want[i] = (cover, start)
+        got = search.find(h)
+        assert got == want if n < 1_000 else set(got) == set(range(6))
+
+
 def test_an_item_in_a_third_of_the_documents(spark):
     items = read(spark, SMOKE, "benchmark").orderBy("item_id").limit(11).collect()
     clean = "entirely other words that no benchmark item holds " * 5
@@ -450,6 +527,18 @@ def test_an_item_in_a_third_of_the_documents(spark):
 
 # --------------------------------------------------------------- 10 quality
 
+def test_sample_is_bounded_at_any_size(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot")
+                                    .otherwise(F.col("id").cast("string")).alias("t"))
+    for rows_, total in ((200, 3000), (5000, 3000)):
+        got = [r.t for r in quality._sample(rows, ["t"], rows_, total).collect()]
+        assert min(0.5 * rows_, 2001) <= len(got) == len(set(got)) <= rows_
+        assert got == [r.t for r in quality._sample(rows.repartition(5), ["t"], rows_, total).collect()]
+    # a share of two in a billion is none of a millionth's grid
+    plan = quality._sample(rows, ["t"], 4_000, 2_000_000_000_000)._jdf.queryExecution().toString()
+    assert "2.6E-9" in plan
+
+
 def test_quality_on_held_labels(spark, odd, none):
     sf = "/root/testdata/sf0.01"
     labels = read(spark, sf, "labels")
@@ -461,3 +550,5 @@ def test_quality_on_held_labels(spark, odd, none):
     few = {(r.doc_id, r.text): r for r in quality.classify(odd, labels.where("false")).collect()}
     assert not few[3, None].keep and not few[4, ""].keep and few[3, None].quality == 0
     assert quality.classify(none, labels).count() == 0
+    assert quality.classify(odd.where("doc_id > 99"), labels).count() == 0
+    assert quality.classify(none).count() == 0

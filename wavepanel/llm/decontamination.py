@@ -14,7 +14,9 @@
 4. A candidate counts if the longest common subsequence of item and passage
    covers most of the item and of its answer, so that paraphrases with
    inserted, dropped or replaced words are found and shared vocabulary is not
-   enough.
+   enough.  Pairs of item and passage that share too few words for that are
+   passed over beforehand, by counts over the postings of the item words.
+5. Items too short for a vector are looked up word for word.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ WIDTH, STRIDE = 64, 32        # words of a window, and from one window to the ne
 COSINE = 0.35                 # of a candidate
 COVER, ANSWER_COVER = 0.7, 0.5
 SURE = 0.9                    # cover of the item that needs no answer check
-MIN_WORDS = 8                 # shorter items are no evidence and are not searched
+MIN_WORDS = 8                 # shorter items count where all their words stand in order
+ENOUGH = COVER * 0.8          # share of an item's distinct words that a passage must hold
 ITEM_BLOCK = 20_000           # items that are sent to the tasks at a time
 
 _PLAIN = bytes(0x20 if 0x21 <= c <= 0x2F or 0x3A <= c <= 0x40 or 0x5B <= c <= 0x60
@@ -177,52 +180,102 @@ class Searcher:
                             for w in self.words], np.float32)
         norm = np.linalg.norm(vectors, axis=1, keepdims=True)
         self.vectors = (vectors / np.where(norm > 0, norm, 1)).T.copy()
+        # postings: the items that hold each distinct item word
+        flat = np.array([w for s in self.sets for w in sorted(s)], np.uint64)
+        item = np.repeat(np.arange(len(items)), [len(s) for s in self.sets])
+        self.vocabulary, word = np.unique(flat, return_inverse=True)
+        order = np.argsort(word, kind="stable")
+        self.posted = item[order]
+        self.posting = np.searchsorted(word[order], np.arange(len(self.vocabulary) + 1))
+        self.need = np.array([ENOUGH * len(s) for s in self.sets])
+        # blocks of STRIDE words that a passage reaches beyond its window
+        self.span = np.array([-(-self.reach(i) // STRIDE) for i in range(len(items))], np.int64)
+
+    def reach(self, i: int) -> int:
+        return max(0, len(self.words[i]) - STRIDE // 2)
+
+    def sharing(self, h: np.ndarray) -> tuple:
+        """(items that share enough words with a document, its item words'
+        places and numbers, which of these words each such item has)."""
+        known = np.searchsorted(self.vocabulary, h)
+        known[known == len(self.vocabulary)] = 0
+        at = np.flatnonzero(self.vocabulary[known] == h) if len(self.vocabulary) else known[:0]
+        here, number = np.unique(known[at], return_inverse=True)
+        size = self.posting[here + 1] - self.posting[here]
+        row = np.repeat(np.arange(len(here)), size)
+        ends = np.cumsum(size)
+        entry = np.arange(len(row)) + np.repeat(self.posting[here] - (ends - size), size)
+        item = self.posted[entry]
+        enough = np.flatnonzero(np.bincount(item, minlength=len(self.need)) >= self.need)
+        column = np.full(len(self.need), -1, np.int64)
+        column[enough] = np.arange(len(enough))
+        mine = column[item] >= 0
+        has = np.zeros((len(here), len(enough)), np.float32)
+        has[row[mine], column[item[mine]]] = 1
+        return enough, at, number, has
 
     def find(self, h: np.ndarray) -> dict[int, tuple[float, int]]:
         """{item index: (cover, first word)} of the items in a document."""
+        found: dict[int, tuple[float, int]] = {}
+        items, word_at, number, has = self.sharing(h)
+        if not len(items):
+            return found
         place = self.place[buckets_of(h)]
         at = np.flatnonzero(place < len(self.factor) - 1)
-        found: dict[int, tuple[float, int]] = {}
         if len(at) < 2:
             return found
+        vectors = self.vectors[:, items]
         starts = np.arange(0, max(1, len(h) - STRIDE), STRIDE)
-        tried: set[tuple[int, int]] = set()
-        held = set(h.tolist())
-        may: dict[int, bool] = {}              # a document without the words has no passage with them
         for s in range(0, len(starts), 2048):
             some = starts[s:s + 2048]
+            may = self.near(items, word_at, number, has, s, len(some))
+            if not may.any():
+                continue
             lo = np.searchsorted(at, some)
             hi = np.searchsorted(at, some + WIDTH)
             first, last = lo[0], hi[-1]
             run = np.zeros((last - first + 1, self.factor.shape[1]), np.float32)
             np.cumsum(self.factor[place[at[first:last]]], axis=0, out=run[1:])
             v = run[hi - first] - run[lo - first]
-            keep = np.flatnonzero(hi - lo >= 2)
+            keep = np.flatnonzero((hi - lo >= 2) & may.any(1))
             v = v[keep]
             norm = np.linalg.norm(v, axis=1, keepdims=True)
-            close = (v @ self.vectors) >= COSINE * np.where(norm > 0, norm, np.inf)
-            for w, i in zip(*np.nonzero(close)):
-                i, start = int(i), int(some[keep[w]])
-                if i not in may:
-                    may[i] = self.enough(i, held)
-                if not may[i]:
+            close = (v @ vectors) >= COSINE * np.where(norm > 0, norm, np.inf)
+            for w, c in zip(*np.nonzero(close & may[keep])):
+                i, start = int(items[c]), int(some[keep[w]])
+                if found.get(i, (0.0, 0))[0] >= SURE:
                     continue
-                if found.get(i, (0.0, 0))[0] >= SURE or (i, start) in tried:
-                    continue
-                tried.add((i, start))
                 cover = self.check(i, h, start)
                 if cover > found.get(i, (0.0, 0))[0]:
                     found[i] = (cover, start)
         return found
 
+    def near(self, items: np.ndarray, word_at: np.ndarray, number: np.ndarray, has: np.ndarray,
+             first: int, many: int) -> np.ndarray:
+        """Which of the windows first, first + 1, ... may hold enough words of
+        which items: their passages' blocks are looked at whole."""
+        out = np.zeros((many, len(items)), bool)
+        spans = self.span[items]
+        for span in np.unique(spans):
+            a, b = np.searchsorted(word_at, [(first - span) * STRIDE,
+                                             (first + many + 1 + span) * STRIDE])
+            held = np.zeros((many + 2 * span + 1, len(has)), np.float32)
+            held[word_at[a:b] // STRIDE - (first - span), number[a:b]] = 1
+            passage = held[:many].copy()
+            for k in range(1, 2 * span + 2):
+                np.maximum(passage, held[k:k + many], out=passage)
+            mine = np.flatnonzero(spans == span)
+            out[:, mine] = passage @ has[:, mine] >= self.need[items[mine]]
+        return out
+
     def enough(self, i: int, held: set) -> bool:
-        return len(self.sets[i] & held) >= COVER * len(self.sets[i]) * 0.8
+        return len(self.sets[i] & held) >= self.need[i]
 
     def check(self, i: int, h: np.ndarray, start: int) -> float:
         """Share of item i that the passage around a window covers; 0 if it
         isn't the item."""
         item, answer = self.words[i], self.answers[i]
-        reach = max(0, len(item) - STRIDE // 2)
+        reach = self.reach(i)
         text = h[max(0, start - reach):start + WIDTH + reach].tolist()
         if not self.enough(i, set(text)):
             return 0.0
@@ -234,15 +287,39 @@ class Searcher:
         return 0.0
 
 
+class ShortItems:
+    """Items of fewer than MIN_WORDS words, found where all of them stand in order."""
+
+    def __init__(self, items: list[tuple]):
+        self.by_size: dict[int, dict[tuple, list]] = {}
+        for i, words_, _ in items:
+            self.by_size.setdefault(len(words_), {}).setdefault(tuple(words_), []).append(i)
+        self.first = {n: np.unique(np.array([w[0] for w in m], np.uint64))
+                      for n, m in self.by_size.items()}
+
+    def find(self, h: np.ndarray) -> list[tuple]:
+        """(item, first word) of each item in a document, where it first stands."""
+        out = []
+        for n, known in self.by_size.items():
+            met = set()
+            for at in np.flatnonzero(np.isin(h[:max(0, len(h) - n + 1)], self.first[n])).tolist():
+                key = tuple(h[at:at + n].tolist())
+                if key in known and key not in met:
+                    met.add(key)
+                    out += [(i, at) for i in known[key]]
+        return out
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                item_text: str = "text", item_id: str = "item_id",
                answer: str | None = None) -> DataFrame:
     """``docs`` with leaked (boolean) and leaks (item, cover, first word).
 
     ``answer`` names a benchmark column with the answer; without one the last
-    quarter of an item's words is its answer.  Items that are null or have
-    fewer than MIN_WORDS words are not searched; without items, and for null
-    or empty texts, nothing is leaked.  Equal items are both reported.  An
+    quarter of an item's words is its answer.  Items of fewer than MIN_WORDS
+    words count only where all their words stand in order (cover 1).  Items
+    that are null or without words are not searched; without items, and for
+    null or empty texts, nothing is leaked.  Equal items are both reported.  An
     empty table stays empty, and a column named like an added one is replaced.
     """
     docs = own_columns(small_batches(docs), ["leaked", "leaks", "_leaks"])
@@ -270,28 +347,32 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     out = docs.withColumn("_leaks", F.array().cast(leak))
     for n in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == n).collect()
-        items = []
+        items, short = [], []
         for r, h, a in zip(rows, plain_words([r["t"] for r in rows]),
                            plain_words([r["ans"] for r in rows])):
             if len(h) >= MIN_WORDS:
                 tail = a if len(a) else h[-max(3, len(h) // 4):]
                 items.append((r["id"], h.tolist(), tail.tolist()))
-        if not items:
+            elif len(h):
+                short.append((r["id"], h.tolist(), None))
+        if not items and not short:
             continue
-        sent = docs.sparkSession.sparkContext.broadcast((items, weight, live, basis))
+        sent = docs.sparkSession.sparkContext.broadcast((items, short, weight, live, basis))
         cache: dict = {}
 
         @F.pandas_udf(leak)
         def search(texts, sent=sent, cache=cache):
             import pandas as pd
             if "s" not in cache:
-                cache["s"] = Searcher(*sent.value)
-            s = cache["s"]
+                long, few, *rest = sent.value
+                cache["s"] = Searcher(long, *rest) if long else None, ShortItems(few)
+            s, few = cache["s"]
             out = []
             for h in plain_words(texts.tolist()):
-                got = s.find(h)
+                got = s.find(h) if s else {}
                 out.append([{"item": s.ids[i], "cover": c, "word": w}
-                            for i, (c, w) in sorted(got.items())])
+                            for i, (c, w) in sorted(got.items())]
+                           + [{"item": i, "cover": 1.0, "word": w} for i, w in few.find(h)])
             return pd.Series(out)
 
         out = out.withColumn("_leaks", F.concat("_leaks", search(text)))

@@ -190,7 +190,13 @@ def _iso_date(m: Column, key: Column) -> Column:
 
 
 def _date(m: Column, key: Column) -> Column:
-    """Day first if that is a date, else month first; zero padding as it was."""
+    """Day first if that is a date, else month first; zero padding as it was.
+
+    A date that can only be month first has a day above 12, and so has its
+    pseudonym, so it never reads as a day-first one: days 13 to 28 of the 2,400
+    months change places, and so do the months with a 29th (but for February),
+    a 30th and a 31st, and the 49 leap days.
+    """
     sep = F.regexp_extract(m, r"([/.])", 1)
     p = F.split(m, r"[/.]")
     build = lambda d, mo: F.concat_ws("-", p[2], F.lpad(mo, 2, "0"), F.lpad(d, 2, "0"))
@@ -200,10 +206,42 @@ def _date(m: Column, key: Column) -> Column:
     show = lambda day, pat, plain: F.when(padded, F.date_format(day, pat)).otherwise(
         F.date_format(day, plain))
     first = show(_moved(day_first, key), "dd/MM/yyyy", "d/M/yyyy")
-    second = show(_moved(month_first, key), "MM/dd/yyyy", "M/d/yyyy")
+    second = show(_moved_late(month_first, key), "MM/dd/yyyy", "M/d/yyyy")
     return F.replace(F.when(day_first.isNotNull(), first).otherwise(second), F.lit("/"), sep)
 
 
+# Months with 31 days, months but February.
+LONG_MONTHS = (1, 3, 5, 7, 8, 10, 12)
+OTHER_MONTHS = (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)
+
+
+def _moved_late(day: Column, key: Column) -> Column:
+    """Another day of 1900 to 2099 after the 12th of its month, for such a day."""
+    year, month, dom = F.year(day) - 1900, F.month(day), F.dayofmonth(day)
+
+    def date(y: Column, mo: Column, d: Column) -> Column:
+        return F.make_date((y + 1900).cast("int"), mo.cast("int"), d.cast("int"))
+
+    def moved(left: Column, right: Column, a: int, b: int, kind: str, to) -> Column:
+        f = feistel(left, right, F.lit(a), F.lit(b), key, kind)
+        return F.transform(F.array(f), to)[0]
+
+    def months(kind: str, which: tuple[int, ...]) -> Column:
+        names = F.array(*map(F.lit, which))
+        return moved(year, F.array_position(names, month) - 1, 200, len(which), kind,
+                     lambda s: date(s["l"], F.get(names, s["r"].cast("int")), dom))
+
+    common = moved(year * 12 + month - 1, dom - 13, 2_400, 16, "date 13-28",
+                   lambda s: date(F.floor(s["l"] / 12), s["l"] % 12 + 1, s["r"] + 13))
+    leap = moved(F.floor((year - 4) / 28), F.floor((year - 4) / 4) % 7, 7, 7, "leap day",
+                 lambda s: date(4 + 28 * s["l"] + 4 * s["r"], F.lit(2), F.lit(29)))
+    inside = (year >= 0) & (year < 200)
+    return F.when(inside & (dom <= 28), common).when(inside & (month == 2), leap).when(
+        inside & (dom == 29), months("date 29", OTHER_MONTHS)).when(
+        inside & (dom == 30), months("date 30", OTHER_MONTHS)).when(
+        inside, months("date 31", LONG_MONTHS))
+
+
 def _iban(m: Column, key: Column) -> Column:
     """The account's digits are permuted, and the two check digits fitted.
 
@@ -310,7 +348,7 @@ def pseudonym(m: Column, key: Column) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = DEMO_KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with validated emails, addresses, dates, phone, social security,
     account and card numbers in ``text`` replaced, and their count n_replaced.
 
@@ -336,4 +374,4 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = DEMO_KEY) -> Da
 
 
 def op4_feistel_pseudonyms(spark, sf_dir):
-    return pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)

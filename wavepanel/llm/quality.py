@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import own_columns, read, schema, small_batches
 
-# Documents that the word list and the scorer are fitted on, at most about.
-LABELLED_SAMPLE = 4_000
-TRAINING_SAMPLE = 2_000
+# Labelled rows that the word list, and distinct texts that the scorer is fitted
+# on at most (arguments of ``classify``).
+LABELLED_ROWS = 6_000
+TRAINING_TEXTS = 4_000
 HASH_BITS = 18
 # Features of the word list: words and word beginnings of these lengths.
 STEMS = (4, 5, 6)
-STEM_LIMIT = 4_000
 GOOD, BAD, ABSTAIN = 1, 0, 2
 # Share of good documents that a labeller may take for bad.
 MOST_FALSE_ALARMS = 0.02
@@ -189,7 +189,7 @@ def fit_abuse_words(texts: list[str], toxic: list[int]) -> list[str]:
     other = used(clean, set(often))
     scored = sorted((-k, s) for s, k in often.items()
                     if (k / len(bad)) / ((other[s] + 0.5) / len(clean)) >= 20)
-    return [s for _, s in scored[:STEM_LIMIT]]
+    return [s for _, s in scored]
 
 
 # ------------------------------------------------------------ linear scorer
@@ -270,39 +270,53 @@ def _one_task(df: DataFrame, fit, out: str) -> list:
 
 
 def _sample(df: DataFrame, by: list[str], rows: int, total: int) -> DataFrame:
-    """About ``rows`` rows of ``total``, chosen by a hash of their content."""
-    if total <= rows:
-        return df
-    share = int(rows / total * 1_000_000)
-    return df.where(F.pmod(F.xxhash64(*by), F.lit(1_000_000)) < share)
+    """At most ``rows`` distinct rows of ``total``: those with the least hashes
+    of ``by``.  Copies have one hash and count once, so a hot row weighs no
+    more than another one, and nothing depends on the order of the rows.
+
+    A share of the hash space a little larger than needed is cut out first, so
+    that only about that many rows are sorted.
+    """
+    h = F.xxhash64(*by)
+    place = (F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53)).alias("_place")
+    near = df.select("*", place)
+    if total > rows:
+        near = near.where(F.col("_place") < 1.3 * rows / total)
+    return near.distinct().orderBy("_place", *by).limit(rows).drop("_place")
 
 
-def abuse_words(docs: DataFrame, labels: DataFrame, text: str, row_id: str) -> frozenset[str]:
+def abuse_words(docs: DataFrame, labels: DataFrame, text: str, row_id: str,
+                rows: int = LABELLED_ROWS) -> frozenset[str]:
     marked = (labels.where(F.col("toxic").isNotNull() & F.col(row_id).isNotNull())
               .groupBy(row_id).agg(F.max("toxic").alias("_toxic")))
-    marked = _sample(marked, [row_id], LABELLED_SAMPLE, marked.count())
-    rows = (docs.select(row_id, text).where(F.col(text).isNotNull())
+    marked = _sample(marked, [row_id], rows, marked.count())
+    texts = (docs.select(row_id, text).where(F.col(text).isNotNull())
             .join(F.broadcast(marked), row_id).select(text, "_toxic"))
 
     def fit(pdf):
         found = fit_abuse_words(pdf[text].tolist(), pdf["_toxic"].tolist()) if len(pdf) else []
         return pd.DataFrame({"s": pd.Series(found, dtype="string")})
 
-    return frozenset(r["s"] for r in _one_task(rows, fit, "s string"))
+    return frozenset(r["s"] for r in _one_task(texts, fit, "s string"))
 
 
 def classify(docs: DataFrame, labels: DataFrame | None = None, text: str = "text",
-             row_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+             row_id: str = "doc_id", threshold: float = THRESHOLD,
+             labelled_rows: int = LABELLED_ROWS, training_texts: int = TRAINING_TEXTS
+             ) -> DataFrame:
     """``docs`` with quality (score from 0 to 1), posterior (of the label model)
     and keep (quality >= threshold).
 
-    ``labels`` (row_id, toxic) feeds the word list only.  A null, empty or
+    ``labels`` (row_id, toxic) feeds the word list only, ``labelled_rows`` of
+    them at most; the scorer is fitted on ``training_texts`` distinct texts at
+    most.  Votes and their patterns are counted over all documents.  A null, empty or
     blank text has nothing to vote on; it gets the score 0 and is not kept.
     Equal texts get equal scores.  An empty table stays empty, and a column
     named like an added one is replaced.
     """
     docs = own_columns(small_batches(docs), ["quality", "posterior", "keep", "_votes"])
-    listed = abuse_words(docs, labels, text, row_id) if labels is not None else frozenset()
+    listed = (abuse_words(docs, labels, text, row_id, labelled_rows) if labels is not None
+              else frozenset())
 
     def vote(batches):
         abuse = AbuseList(listed)
@@ -316,7 +330,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, text: str = "text
               if r["p"] >= 0}
     good = fit_label_model(counts)
     sample = _sample(docs.where(F.length(F.trim(F.col(text))) > 0).select(text), [text],
-                     TRAINING_SAMPLE, sum(counts.values()))
+                     training_texts, sum(counts.values()))
 
     def train(pdf):
         abuse = AbuseList(listed)
@@ -330,8 +344,9 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, text: str = "text
 
         return pd.DataFrame({"w": [fit_scorer(rows()).tobytes()]})
 
-    weights = _one_task(sample, train, "w binary")[0]["w"]    # 1 MB
-    sent = docs.sparkSession.sparkContext.broadcast(bytes(weights))
+    fitted = _one_task(sample, train, "w binary")             # 1 MB; none of an empty table
+    weights = bytes(fitted[0]["w"]) if fitted else fit_scorer([]).tobytes()
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("quality double, posterior double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

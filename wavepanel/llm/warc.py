@@ -323,14 +323,17 @@ def archive_round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "u
     got = stage(fetch(look_up(keys, parts, f"{folder}/index", kind), f"{folder}/archives"),
                 "records")
     revisits = got.where("record_type = 'revisit'")
+    # a page id may stand for several rows, so the digest tells which one is meant
     target = (got.where("record_type = 'response'")
               .join(bounded(stage(revisits.select(F.col("refers_to").alias("page")).distinct(),
                                   "revisited")), "page", "left_semi")
-              .groupBy(F.col("page").alias("refers_to"))
-              .agg(F.max("payload_bytes").alias("b"),
-                   F.max("payload_digest").alias("d")))
-    full = (revisits.join(bounded(stage(target, "revisit-targets")), "refers_to")
-            .select("page", F.col("b").alias("payload_bytes"), F.col("d").alias("payload_digest"),
+              .groupBy(F.col("page").alias("refers_to"), F.col("payload_digest").alias("given_digest"))
+              .agg(F.max("payload_bytes").alias("b")))
+    # a revisit whose response is not there has no digest, and raises below
+    full = (revisits.join(bounded(stage(target, "revisit-targets")), ["refers_to", "given_digest"],
+                          "left")
+            .select("page", F.col("b").alias("payload_bytes"),
+                    F.when(F.col("b").isNotNull(), F.col("given_digest")).alias("payload_digest"),
                     "record_type", "refers_to", "given_digest"))
     out = got.where("record_type = 'response'").select(*full.columns).unionByName(full)
     sound = F.when(F.col("payload_digest") == F.col("given_digest"), F.col("payload_digest")) \
