@@ -40,6 +40,22 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Returns what a finished task has freed to the system.
+
+    Spark keeps Python workers for later tasks, and the allocators keep freed
+    memory; on an executor it is missing elsewhere.  Without glibc nothing is
+    done.
+    """
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def own_columns(df: DataFrame, taken: list[str]) -> DataFrame:
     """``df`` without the columns an operator is about to add (any case)."""
     low = {t.lower() for t in taken}

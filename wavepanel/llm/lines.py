@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema, small_batches
+from .common import give_back, own_columns, read, schema, small_batches
 from .sharding import running_totals
 
 MIN_WORDS = 50
@@ -56,9 +56,12 @@ def _lines(docs: DataFrame, text: str, row_id: str) -> DataFrame:
     out = docs.where(F.col(text).isNotNull()).select(
         *row_key(text, row_id), F.col(row_id).alias("id"), F.posexplode(kept).alias("ord", "_s"))
     x = F.col("_s.x")
-    spaced = x.contains("  ") | x.rlike("[\t\r\x0b\x0c]")
+    # byte searches; a pattern or translate() would decode every line
+    spaced = x.contains("  ")
+    for c in "\t\r\x0b\x0c":
+        spaced = spaced | x.contains(c)
     words = F.when(spaced, F.size(F.split(x, r"\s+"))).otherwise(
-        F.length(x) - F.length(F.translate(x, " ", "")) + 1)
+        F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
     return out.select("_a", "_b", "id", "ord", F.col("_s.line").alias("line"),
                       words.cast("int").alias("words"),
                       F.xxhash64(x).alias("h"), F.xxhash64(F.lit(11), x).alias("g"))
@@ -79,7 +82,8 @@ def _islands(min_words: int, id_kind: str):
            "mb int, fromb int, winb array<long>, reachb int")
 
     def run(batches):
-        for batch in batches:
+        # a line is a dictionary here: a few documents at a time
+        for batch in (b.slice(i, 100) for b in batches for i in range(0, len(b), 100)):
             rows, out = [], []
             for i, items in enumerate(batch.column("items").to_pylist()):
                 start = 0
@@ -100,6 +104,7 @@ def _islands(min_words: int, id_kind: str):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).take(take) for c in ("_a", "_b", "id")]
                 + [pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+        give_back()
 
     return run, schema(ddl)
 
@@ -266,7 +271,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_
 
     touched = F.col("_spans").isNotNull() | F.col("_copy")
     new = cut(F.when(touched, F.col(text)), F.col("_spans"), F.col("_copy"))
-    lines = F.length(F.col(text)) - F.length(F.translate(F.col(text), "\n", "")) + 1
+    lines = (F.octet_length(F.col(text))
+             - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
     none = F.array().cast("array<struct<from:int,to:int>>")
     return (joined.withColumn("_new", new)
             .withColumn("n_lines", F.coalesce(lines, F.lit(0)).cast("int"))
