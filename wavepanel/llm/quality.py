@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema, small_batches
+from .common import give_back, own_columns, read, schema, small_batches
 
 # Labelled rows that the word list, and distinct texts that the scorer is fitted
 # on at most (arguments of ``classify``).
@@ -265,6 +265,8 @@ def _one_task(df: DataFrame, fit, out: str) -> list:
         parts = [b.to_pandas() for b in batches]
         yield from pa.Table.from_pandas(
             fit(pd.concat(parts) if parts else pd.DataFrame()), preserve_index=False).to_batches()
+        parts.clear()
+        give_back()
 
     return df.repartition(1).mapInArrow(run, schema(out)).collect()
 
@@ -324,6 +326,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, text: str = "text
             yield pa.RecordBatch.from_arrays([pa.array(
                 [pattern(measure(t, abuse)[0]) if t and not t.isspace() else -1
                  for t in b.column(0).to_pylist()], pa.int32())], names=["p"])
+        give_back()
 
     counts = {r["p"]: r["count"] for r in
               docs.select(text).mapInArrow(vote, schema("p int")).groupBy("p").count().collect()
@@ -362,6 +365,8 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, text: str = "text
                 q.append(score(weights, votes, tokens))
                 p.append(good.get(pattern(votes)))
             yield pd.DataFrame({"quality": q, "posterior": pd.Series(p, dtype="float64")})
+        weights.clear()
+        give_back()
 
     return (docs.withColumn("_j", judge(text))
             .withColumn("quality", F.col("_j.quality"))
