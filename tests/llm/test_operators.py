@@ -262,6 +262,24 @@ def test_feistel_is_a_permutation(spark):
 
 # ------------------------------------------------------------- 5 n-gram join
 
+@pytest.mark.parametrize("many,step", [(3, 80), (40, 10), (200, 7)])
+def test_pivots_cut_regions_and_keep_links(many, step):
+    """Sets that drift away from each other: many regions, every link in one."""
+    sets = [np.arange(i * step, i * step + 100, dtype=np.int64) for i in range(many)]
+    home = np.arange(many) % 5 != 4
+    regions = list(jaccard.voronoi(sets, home, 0.2, np.full(many, 100)))
+    assert len(regions) > 1
+    owners = np.concatenate([at[own] for at, own in regions])
+    assert sorted(owners) == np.flatnonzero(home).tolist()
+    seen = {(a, b) for at, own in regions for a in at[own] for b in at}
+    for a in np.flatnonzero(home):
+        for b in range(many):
+            both = max(0, 100 - abs(int(a) - b) * step)
+            if 100 * both >= 80 * (200 - both):
+                assert (a, b) in seen
+    assert many == 3 or len(seen) < many * many / 2
+
+
 def brute_jaccard(rows, k, num, den):
     sets = []
     for d, t in rows:

@@ -18,14 +18,17 @@ connected by the remaining keys form a cell.  No linked pair lies in two
 cells, and text that many documents share connects none of them unless at
 least c slices consist of it.
 
-Cells up to ``region_rows`` sets are one region.  Larger ones get pivots,
-Voronoi regions and windows, recursively; a region that pivots don't shrink is
-joined block by block.  Equal sets are one row throughout.
+Every cell of more than two sets gets pivots, Voronoi regions and windows,
+recursively.  Cells above ``region_rows`` sets are cut as a Spark job, and
+those that pivots don't shrink go on block by block; cells or regions below
+are cut further within their task, until pivots don't shrink a region, whose
+pairs are then compared.  Equal sets are one row throughout.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -189,22 +192,67 @@ def _intersections(sets: list[np.ndarray], rows: int) -> np.ndarray:
     return out
 
 
+def voronoi(sets: list[np.ndarray], home: np.ndarray, eps: float, sizes: np.ndarray
+            ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, home flags) of regions that every link of a home set lies in.
+
+    Pivots are drawn from the home sets, about the root of their number.  A
+    region is home to the sets nearest to its pivot, and sees all sets within
+    the window of twice ``eps``.  Regions of more than two sets are cut again
+    as long as pivots shrink them.
+    """
+    todo = [(np.arange(len(sets)), home)]
+    while todo:
+        at, own = todo.pop()
+        some = at[own]
+        pivots = some[::max(1, math.isqrt(len(some)))][:PIVOTS]
+        if len(at) <= 2 or len(pivots) < 2:
+            yield at, own
+            continue
+        both = _intersections([sets[i] for i in (*pivots, *at)], len(pivots))[:, len(pivots):]
+        far = 1 - both / (sizes[pivots][:, None] + sizes[at] - both)
+        best = far.argmin(0)
+        near = far <= far.min(0) + 2 * eps + 1e-6
+        for j in range(len(pivots)):
+            inner = own & (best == j)
+            if not inner.any():
+                continue
+            seen = at[near[j]], inner[near[j]]
+            if len(seen[0]) > 0.9 * len(at):
+                yield seen
+            else:
+                todo.append(seen)
+
+
 def join_region(names: np.ndarray, home: np.ndarray, copies: np.ndarray, sets: list[np.ndarray],
                 t: Threshold, counts: bool = True) -> list[tuple[int, int, int]]:
     """(name, links, label): documents linked to each home set by other sets,
-    and the smallest name that the region's links connect a set with.
+    and smaller names that the region's links connect sets with.
 
-    Without ``counts`` another region counts the links between home sets.
+    The region is cut around pivots of its own first.  Without ``counts``
+    another region counts the links between home sets.
     """
-    order = np.argsort(~home, kind="stable")
+    order = np.argsort(names, kind="stable")       # names are hashes: pivots come at random
     names, home, copies = names[order], home[order], copies[order]
     sets = [sets[i] for i in order]
     sizes = np.array([len(s) for s in sets], np.int64)
-    h = int(home.sum())
+    out = []
+    for at, own in voronoi(sets, home, t.eps, sizes):
+        at = np.concatenate((at[own], at[~own]))
+        counted = np.ones(len(at), bool) if counts else ~home[at]
+        out += _join_leaf(names[at], int(own.sum()), copies[at], [sets[i] for i in at],
+                          sizes[at], counted, t)
+    return out
+
+
+def _join_leaf(names: np.ndarray, h: int, copies: np.ndarray, sets: list[np.ndarray],
+               sizes: np.ndarray, counted: np.ndarray, t: Threshold
+               ) -> list[tuple[int, int, int]]:
+    """All links of the first ``h`` sets; those to ``counted`` sets are counted."""
     both = np.rint(_intersections(sets, h)).astype(np.int64)
     linked = t.den * both >= t.num * (sizes[:h, None] + sizes[None, :] - both)
     linked &= names[:h, None] != names[None, :]
-    links = (linked if counts else linked & (np.arange(len(sets)) >= h)) @ copies
+    links = (linked & counted) @ copies
     label = names.copy()
     while True:                                  # least name along links
         near = np.where(linked, label[None, :], np.iinfo(np.int64).max)
