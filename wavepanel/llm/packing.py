@@ -11,11 +11,13 @@ group, and the groups cost almost no sequence.
 
 from __future__ import annotations
 
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,27 +29,59 @@ CAPACITY = 4096
 GROUP_PIECES = 200_000
 # Bins filled to less than this share are opened again in the next round.
 REOPEN = 0.98
-# Distinct words kept per Python worker; the cache starts anew beyond it.
-CACHE = 300_000
+# Distinct words kept per Python worker, and their bytes; beyond either, the
+# half used last stays.
+CACHE, CACHE_BYTES = 500_000, 32 << 20
+# Characters that are cut into words at a time.
+BATCH_CHARS = 1 << 22
 # Underfull bins that exchange with each other at a time.
 SEARCH_BINS = 256
 
-# The pre-tokenizer pattern of the word tokenizer file.
-_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-# Words for which lower-casing and NFC are the same in every library.
-_PLAIN = regex.compile(r"[\x21-\x7e¡-ÿĀ-įı-ſ]*")
+# The word tokenizer file's pre-tokens, in the characters below: a run of
+# letters, a contraction's end, one number sign, a run of anything else.
+_LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾"
+_WORD = re.compile(f"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^ {_LETTERS}{_NUMBERS}]+")
+# Elsewhere lower-casing and NFC may differ between libraries; a special string
+# may start with the two last ones.
+_ODD = re.compile(r"[^ \x21-\x7e¡-įı-ſ]|<\|")
 _words: dict[str, "WordIds"] = {}
 
 
-def _split(text: str) -> list[str]:
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+def _cut(text: str) -> list[str]:
+    """The pre-tokens of ``text`` in order; a word with odd characters is whole
+    and has a newline before it, which no pre-token has."""
+    text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+    out, at = [], 0
+    for m in _ODD.finditer(text):
+        if m.start() < at:
+            continue
+        a = text.rfind(" ", at, m.start()) + 1 or at
+        b = text.find(" ", m.start())
+        b = len(text) if b < 0 else b
+        out += _WORD.findall(text[at:a].lower())
+        out.append("\n" + text[a:b])
+        at = b
+    out += _WORD.findall(text[at:].lower())
+    return out
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The parts ``at`` of ``flat`` one after another."""
+    kind = np.int32 if len(flat) < 1 << 31 else np.int64
+    size = n[at]
+    first = np.cumsum(size) - size
+    place = np.repeat((start[at] - first).astype(kind), size)
+    place += np.arange(len(place), dtype=kind)
+    return flat[place]
 
 
 class WordIds:
     """Token ids of whole texts through a cache of words.
 
     The tokenizer drops white space and never joins what stands on both sides
-    of it, so the ids of a text are those of its words one after another.
+    of it, nor two pre-tokens, so the ids of a text are those of its pre-tokens
+    one after another.  Arrow numbers the distinct ones of many texts, and only
+    new ones are encoded.
     """
 
     def __init__(self, path: str):
@@ -56,8 +90,18 @@ class WordIds:
         self.whole = (self.tok.normalizer, self.tok.pre_tokenizer)
         # for words that are lower-case and cut already
         self.bare = (None, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False))
-        self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self, stay: np.ndarray | None = None) -> None:
+        """Keeps the words ``stay`` only."""
+        if stay is None:
+            self.known = pa.array([], pa.large_string())
+            self.flat, self.n, self.used = (np.zeros(0, t) for t in ("<u4", np.int64, np.int64))
+            self.turn = 0
+        else:
+            self.known = self.known.take(pa.array(stay))
+            self.flat = _gather(self.flat, np.cumsum(self.n) - self.n, self.n, stay)
+            self.n, self.used = self.n[stay], self.used[stay]
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
@@ -65,55 +109,69 @@ class WordIds:
             _words[path] = cls(path)
         return _words[path]
 
-    def learn(self, wanted: set[str]) -> None:
-        if len(self.words) > CACHE:
-            self.words = {"": b""}
-        if len(self.parts) > CACHE:
-            self.parts = {}
-        cut, odd = {}, []
-        for w in wanted:
-            if w in self.words:
-                continue
-            if _PLAIN.fullmatch(w) and "<|" not in w:
-                cut[w] = _WORD.findall(w.lower())
-            else:
-                odd.append(w)
-        new = list({x for parts in cut.values() for x in parts if x not in self.parts})
-        for way, some, into in ((self.bare, new, self.parts), (self.whole, odd, self.words)):
-            if some:
+    def numbered(self, words: pa.Array) -> np.ndarray:
+        """Places of distinct words in the cache, where all are then."""
+        if len(self.known) > CACHE or self.known.nbytes > CACHE_BYTES:
+            self.forget(np.argsort(-self.used, kind="stable")[:CACHE // 2])
+            if self.known.nbytes > CACHE_BYTES:
+                self.forget()
+        at = pc.index_in(words, value_set=self.known)
+        new = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        if len(new):
+            added = words.take(pa.array(new))
+            at[new] = len(self.known) + np.arange(len(new))
+            ids: list[list[int]] = [[]] * len(new)
+            odd = pc.starts_with(added, "\n").to_numpy(zero_copy_only=False)
+            texts = added.to_pylist()
+            for way, some in ((self.bare, np.flatnonzero(~odd)), (self.whole, np.flatnonzero(odd))):
+                if not len(some):
+                    continue
                 self.tok.normalizer, self.tok.pre_tokenizer = way
-            for i in range(0, len(some), 20_000):
-                part = some[i:i + 20_000]
-                for x, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                    into[x] = np.array(e.ids, "<u4").tobytes()
-        for w, parts in cut.items():
-            self.words[w] = b"".join(map(self.parts.__getitem__, parts))
+                for k in range(0, len(some), 20_000):
+                    part = some[k:k + 20_000].tolist()
+                    for i, e in zip(part, self.tok.encode_batch_fast(
+                            [texts[i].removeprefix("\n") for i in part],
+                            add_special_tokens=False)):
+                        ids[i] = e.ids
+            self.known = pa.concat_arrays([self.known, added])
+            self.n = np.concatenate((self.n, np.fromiter(map(len, ids), np.int64, len(ids))))
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), "<u4")))
+            self.used = np.concatenate((self.used, np.zeros(len(new), np.int64)))
+        self.turn += 1
+        self.used[at] = self.turn
+        return at
+
+    def of_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all parts, where each part's ids start and the last ones end)."""
+        coded = pa.array(parts, pa.large_string()).dictionary_encode()
+        at = self.numbered(coded.dictionary)[coded.indices.to_numpy()]
+        ends = np.concatenate(([0], np.cumsum(self.n[at])))
+        return _gather(self.flat, np.cumsum(self.n) - self.n, self.n, at), ends
 
     def ids(self, texts: list[str], end: bytes) -> list[bytes]:
         """Little-endian 32-bit ids of each text, then ``end``."""
         out: list[bytes] = []
-        batch: list[list[str]] = []
+        parts: list[str] = []
+        upto = [0]
         size = 0
 
         def flush():
-            nonlocal batch, size
-            self.learn({w for ws in batch for w in ws})
-            out.extend(b"".join(map(self.words.__getitem__, ws)) + end for ws in batch)
-            batch, size = [], 0
+            nonlocal parts, upto, size
+            ids, ends = self.of_parts(parts)
+            for a, b in zip(ends[upto[:-1]], ends[upto[1:]]):
+                out.append(ids[a:b].tobytes() + end)
+            parts, upto, size = [], [0], 0
 
         for t in texts:
-            if len(t) > 1 << 22:                   # a huge text: in spans
+            if len(t) > 2 * BATCH_CHARS:           # a huge text: in spans
                 flush()
-                done = []
-                for s in spans(t):
-                    ws = _split(s)
-                    self.learn(set(ws))
-                    done.append(b"".join(map(self.words.__getitem__, ws)))
-                out.append(b"".join(done) + end)
+                out.append(b"".join([self.of_parts(_cut(s))[0].tobytes() for s in spans(t)]) + end)
                 continue
-            batch.append(_split(t))
+            parts += _cut(t)
+            upto.append(len(parts))
             size += len(t)
-            if size > 1 << 22:
+            if size > BATCH_CHARS:
                 flush()
         flush()
         return out
