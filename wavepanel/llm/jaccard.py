@@ -123,8 +123,9 @@ def slice_keys(s: np.ndarray, t: Threshold, memo: dict) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
-def _described(docs: DataFrame, text: str, row_id: str, k: int, t: Threshold) -> DataFrame:
-    """(id, n, name, keys) of every row."""
+def _described(docs: DataFrame, text: str, row_id: str, k: int,
+               t: Threshold | None = None) -> DataFrame:
+    """(id, n, name) of every row, and its keys if there is a threshold."""
     kind = docs.schema[row_id].dataType.simpleString()
 
     def run(batches):
@@ -136,13 +137,16 @@ def _described(docs: DataFrame, text: str, row_id: str, k: int, t: Threshold) ->
                 s = shingle_set(h, k)
                 n.append(len(s))
                 name.append(set_name(s) if len(s) else None)
-                keys.append(slice_keys(s, t, memo) if len(s) else [])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "name", "keys"])
+                if t:
+                    keys.append(slice_keys(s, t, memo) if len(s) else [])
+            cols = {"id": b.column(0), "n": pa.array(n, pa.int64()),
+                    "name": pa.array(name, pa.int64())}
+            if t:
+                cols["keys"] = pa.array(keys, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     return docs.select(F.col(row_id).alias("id"), text).mapInArrow(
-        run, schema(f"id {kind}, n long, name long, keys array<long>"))
+        run, schema(f"id {kind}, n long, name long" + (", keys array<long>" if t else "")))
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -414,8 +418,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", row_id: str = "doc_i
     """
     t = Threshold(num, den)
     docs = small_batches(docs).select(F.col(row_id), F.col(text))
-    rows = stage(_described(docs, text, row_id, k, t), "shingle-rows")
-    sets = stage(rows.where("n > 0").groupBy("name").agg(
+    # keys are long, so they are written for distinct sets only
+    rows = stage(_described(docs, text, row_id, k), "shingle-rows")
+    sets = stage(_described(docs, text, row_id, k, t).where("n > 0").groupBy("name").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
         F.first("keys").alias("keys")), "shingle-sets")
     cells = stage(_cells(sets.select("name", "keys")), "cells")
