@@ -125,3 +125,20 @@ def test_codebook_of_a_table_without_labels_or_rows(spark):
     df = spark.createDataFrame([], "a int, b string")
     assert [tuple(r) for r in codebook(df).orderBy("position").collect()] == [
         (0, "a", "int", None, 0, 0), (1, "b", "string", None, 0, 0)]
+
+
+def test_codebook_writes_both_tables_from_rows_prepared_once(spark, monkeypatch, capsys):
+    """Tiling and carrying take a join and a window over all rows; neither
+    table's plan may hold them again."""
+    from wavepanel.plans import importer
+    plans = []
+
+    def write(df, path, *a, **k):
+        df.explain()
+        plans.append(capsys.readouterr().out)
+        write_panel(df, path, *a, **k)
+
+    write_panel = importer.write_panel
+    monkeypatch.setattr(importer, "write_panel", write)
+    assert importer.panel_codebook(spark, "/root/testdata/sf0.001").count()
+    assert len(plans) == 2 and not [p for p in plans if "Window" in p or "HashAggregate" in p]

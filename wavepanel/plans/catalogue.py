@@ -35,7 +35,7 @@ from wavepanel.functions.labels import with_variable_labels
 from wavepanel.operators.checks import implies_missing, rule_violations
 from wavepanel.operators.panel import carry_forward, tile
 from wavepanel.operators.segments import hot_keys
-from wavepanel.session import rows_per_segment
+from wavepanel.session import rows_per_segment, stage
 from wavepanel.operators.ranks import attach_rank, validated_crosswalk
 from wavepanel.operators.signs import decide, flipped, negative_mask
 from wavepanel.functions.columns import reference_year
@@ -388,13 +388,17 @@ def extract_columns(prep: DataFrame) -> list[Column]:
 
 
 def build_survey_tables(raw: DataFrame, crosswalk: DataFrame | None = None,
-                        checks: str = "raise") -> SurveyTables:
+                        checks: str = "raise", both: bool = False) -> SurveyTables:
     """Full and extract tables (keys ``userid``, ``wid`` as columns).
 
     With a ``crosswalk`` (year, ibin, lbound, rank), both tables get the
     income rank of their income bin: ``Q47_rank`` and ``hh_inc_bin_rank``.
+    A caller that reads ``both`` tables, or one of them several times, has the
+    prepared rows staged, so that they are tiled and carried once.
     """
     prep, verdicts = prepare(raw, checks)
+    if both:
+        prep = stage(prep, "survey-prepared")
     keys = [F.col(ID), F.col(WID)]
     full = prep.select(*keys, *full_columns(prep))
     extract = prep.select(*keys, *extract_columns(prep))

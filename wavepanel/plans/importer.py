@@ -76,7 +76,7 @@ def extract_wave_stats(spark, sf_dir):
 def panel_codebook(spark, sf_dir):
     """Both tables stored and read back: the label of every column, as it came
     with the files, and how many answers the column holds."""
-    tables = build_survey_tables(survey_raw(spark, sf_dir), _crosswalk(spark, sf_dir))
+    tables = build_survey_tables(survey_raw(spark, sf_dir), _crosswalk(spark, sf_dir), both=True)
     out = None
     for name, df in (("full", tables.full), ("extract", tables.extract)):
         path = scratch_dir(spark, f"labelled-{name}")
