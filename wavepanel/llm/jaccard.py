@@ -32,11 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema, small_batches
+from .common import give_back, own_columns, read, schema, small_batches
 from .components import components
 from .shingles import mix, set_name, shingle_set, words
 
@@ -123,30 +123,47 @@ def slice_keys(s: np.ndarray, t: Threshold, memo: dict) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
-def _described(docs: DataFrame, text: str, row_id: str, k: int,
-               t: Threshold | None = None) -> DataFrame:
-    """(id, n, name) of every row, and its keys if there is a threshold."""
+def _described(docs: DataFrame, text: str, row_id: str, k: int) -> DataFrame:
+    """(id, n, name) of every row."""
     kind = docs.schema[row_id].dataType.simpleString()
 
     def run(batches):
-        memo: dict = {}
         for b in batches:
-            texts = [(x or "").encode() for x in b.column(1).to_pylist()]
-            n, name, keys = [], [], []
-            for h in words(texts):
+            n, name = [], []
+            for h in words([(x or "").encode() for x in b.column(1).to_pylist()]):
                 s = shingle_set(h, k)
                 n.append(len(s))
                 name.append(set_name(s) if len(s) else None)
-                if t:
-                    keys.append(slice_keys(s, t, memo) if len(s) else [])
-            cols = {"id": b.column(0), "n": pa.array(n, pa.int64()),
-                    "name": pa.array(name, pa.int64())}
-            if t:
-                cols["keys"] = pa.array(keys, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64())],
+                names=["id", "n", "name"])
+        give_back()
 
     return docs.select(F.col(row_id).alias("id"), text).mapInArrow(
-        run, schema(f"id {kind}, n long, name long" + (", keys array<long>" if t else "")))
+        run, schema(f"id {kind}, n long, name long"))
+
+
+def _keyed(docs: DataFrame, text: str, k: int, t: Threshold) -> DataFrame:
+    """(name, key), the keys of every set; copies in one task give them once."""
+    def run(batches):
+        memo: dict = {}
+        seen: set[int] = set()
+        for b in batches:
+            names, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for h in words([(x or "").encode() for x in b.column(0).to_pylist()]):
+                s = shingle_set(h, k)
+                if not len(s) or (name := set_name(s)) in seen:
+                    continue
+                seen.add(name)
+                keys.append(np.unique(slice_keys(s, t, memo)))
+                names.append(np.full(len(keys[-1]), name, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(names)), pa.array(np.concatenate(keys))],
+                names=["name", "key"])
+        del seen
+        give_back()
+
+    return docs.select(text).mapInArrow(run, schema("name long, key long"))
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -154,15 +171,18 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _cells(keys: DataFrame) -> DataFrame:
+def _cells(one: DataFrame) -> DataFrame:
     """(node, root): distinct sets that may be linked to another one, by cell.
 
-    ``keys`` has rows (name, keys).
+    ``one`` has rows (name, key), some of them more than once.  They are dealt
+    by key a single time, whatever their number: what is counted and what is
+    kept are the same rows.  A set has each of its keys once, so the sets of
+    one key are a small part of all rows.
     """
-    one = keys.select("name", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = stage(one.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
-                   "shared-keys")
-    ranked = (one.join(_bounded(shared), "key").groupBy("name")
+    same = Window.partitionBy("key")
+    shared = (one.repartition("key").dropDuplicates(["key", "name"])
+              .withColumn("n", F.count(F.lit(1)).over(same)).where("n > 1"))
+    ranked = (shared.groupBy("name")
               .agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("ks"))
               .where(F.size("ks") >= SHARED))
     few = stage(ranked.select("name", F.explode(F.slice(
@@ -281,7 +301,7 @@ def _refine(rows: DataFrame, big: DataFrame, level: int, eps: float) -> DataFram
     """Rows of the big cells, dealt to the Voronoi regions of new pivots."""
     chosen = (rows.join(F.broadcast(big), "cell").where("home")
               .where(F.pmod(F.xxhash64("name", F.lit(level)), F.col("rows"))
-                     < F.least(F.lit(PIVOTS), F.col("rows") / F.lit(REGION_ROWS // 4))))
+                     < F.least(F.lit(PIVOTS), F.col("rows") / F.lit(REGION_ROWS // 2))))
     pivots: dict[int, list[tuple[int, np.ndarray]]] = {}
     for r in chosen.select("cell", "name", "set").collect():     # sized by the caller
         pivots.setdefault(r["cell"], []).append((r["name"], np.array(r["set"], np.int64)))
@@ -397,6 +417,8 @@ def _joined(regions: DataFrame, t: Threshold) -> DataFrame:
                 held.append((home, name, copies, s.values.to_numpy().copy(), counts))
             yield batch(out)
         yield batch(flush())
+        held.clear()
+        give_back()
 
     return (regions.repartition("region").sortWithinPartitions("region")
             .mapInArrow(run, schema("name long, links long, label long")))
@@ -418,12 +440,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", row_id: str = "doc_i
     """
     t = Threshold(num, den)
     docs = small_batches(docs).select(F.col(row_id), F.col(text))
-    # keys are long, so they are written for distinct sets only
     rows = stage(_described(docs, text, row_id, k), "shingle-rows")
-    sets = stage(_described(docs, text, row_id, k, t).where("n > 0").groupBy("name").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
-        F.first("keys").alias("keys")), "shingle-sets")
-    cells = stage(_cells(sets.select("name", "keys")), "cells")
+    sets = stage(rows.where("n > 0").groupBy("name").agg(
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "shingle-sets")
+    # keys are long: they are made for one shuffle, and not written
+    cells = stage(_cells(_keyed(docs, text, k, t)), "cells")
 
     # the sets of the cells' members are made anew from one text each
     wanted = cells.join(sets.select("name", "id", "copies"), F.col("node") == F.col("name")).select(
@@ -444,6 +465,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", row_id: str = "doc_i
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
                 names=["name", "set"])
+        give_back()
 
     made = texts.select(text).mapInArrow(make, schema("name long, set array<long>"))
     members = stage(made.join(wanted, "name").groupBy("name").agg(
