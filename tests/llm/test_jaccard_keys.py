@@ -30,3 +30,20 @@ def test_keys_are_dealt_once_and_not_staged(spark, monkeypatch, capsys):
     assert not [n for n, (kind, _) in staged.items() if "array" in kind and "set:" not in kind]
     assert sum(p.count("Exchange hashpartitioning(key") for n, (_, p) in staged.items()
                if n not in ("key-least", "edges")) == 1
+
+
+def test_a_cell_that_pivots_do_not_cut_goes_into_blocks_once(spark, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[:i] + [f"x{i}"] + words[i + 1:]) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, joined = [], jaccard._joined
+
+    def counted(regions, t):
+        rows.append(regions.count())
+        return joined(regions, t)
+
+    monkeypatch.setattr(jaccard, "_joined", counted)
+    monkeypatch.setattr(jaccard, "REGION_ROWS", 20)
+    found = jaccard.jaccard_components(docs, num=80, region_rows=20).collect()
+    assert {(r.component_id, r.n_links) for r in found} == {(0, 99)} and len(found) == 100
+    assert rows[0] <= 100 * 2 * 10            # each of ten blocks meets every block

@@ -342,26 +342,31 @@ def _regions(members: DataFrame, t: Threshold, region_rows: int) -> DataFrame:
     """(region, home, name, copies, set, counts): rows to be joined within a
     region; it counts the links between its home rows if ``counts``."""
     done, rows = [], members
-    before: int | None = None
+    before = uncut = None
     for level in range(DEPTH + 1):
         sizes = stage(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"),
                                                F.sum(F.size("set")).alias("held")),
                       "cell-sizes")
         big = sizes.where(F.col("rows") > region_rows)
         stat = big.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"),
+                       F.sum(F.col("rows").cast("double") * F.col("rows")).alias("pairs"),
                        F.max(F.col("held") / F.col("rows")).alias("each")).first()
         if not stat["n"]:
             done.append(rows)
             break
+        if before is not None and stat["pairs"] >= before["pairs"]:
+            # every region saw about all of its cell: blocks of the cells are fewer rows
+            done.append(_blocks(*uncut, region_rows))
+            break
         small = rows.join(_bounded(big.select("cell")), "cell", "left_anti")
         done.append(small)
         left = rows.join(_bounded(big.select("cell")), "cell", "left_semi")
-        stuck = before is not None and stat["rows"] > 0.9 * before
+        stuck = before is not None and stat["rows"] > 0.9 * before["rows"]
         heavy = stat["n"] * 2 * PIVOTS * stat["each"] * 8 > PIVOT_BYTES
         if level == DEPTH or stuck or heavy or stat["n"] > BROADCAST_ROWS:
             done.append(_blocks(left, sizes, region_rows))
             break
-        before = stat["rows"]
+        before, uncut = stat, (left, sizes)
         rows = stage(_refine(left, big, level, t.eps), "regions")
     whole = [d if "counts" in d.columns else d.withColumn("counts", F.lit(True)) for d in done]
     out = whole[0].select("cell", "home", "name", "copies", "set", "counts")
