@@ -425,6 +425,33 @@ def test_url_keys():
 
 # ----------------------------------------------------------------- 8 packing
 
+
+def test_packing_tasks_give_memory_back(spark, monkeypatch):
+    """After a batch its words' memory is with the system again, not with the worker."""
+    import gc
+
+    import pyarrow as pa
+    from wavepanel.llm.common import give_back
+
+    def held():
+        text = open("/proc/self/smaps_rollup").read()
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", text))) / 1024
+
+    df = spark.createDataFrame([(0, "a")], "doc_id long, text string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, kinds: f)
+    cut = packing.token_pieces(df, public_tokenizers.path("word_bpe_49k.json"))
+    letters = np.random.default_rng(3).integers(97, 123, (60_000, 8), np.uint8)
+    texts = [" ".join(bytes(w).decode() for w in letters[i:i + 200]) for i in range(0, 60_000, 200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)],
+                                       names=["doc_id", "text"])
+    tasks = cut(iter([batch, batch.slice(0, 1), batch.slice(0, 0)]))
+    assert [b.num_rows for b in tasks][1:] == [1, 0]
+    gc.collect()
+    before = held()
+    give_back()
+    assert before - held() < 15
+
+
 def test_packed_pieces(spark, docs, odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)

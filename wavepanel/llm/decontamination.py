@@ -21,13 +21,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import own_columns, read, schema, small_batches
+from .common import give_back, own_columns, read, schema, small_batches
 from .shingles import words
 
 BUCKETS = 1 << 16
@@ -78,6 +81,7 @@ def passage_counts(docs: DataFrame, text: str, used: np.ndarray) -> tuple[int, n
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(([-1], at)), pa.int64()),
              pa.array(np.concatenate(([total], count[at])), pa.int64())], names=["b", "n"])
+        give_back()
 
     found = (docs.select(text).mapInArrow(run, schema("b long, n long"))
              .groupBy("b").agg(F.sum("n").alias("n")).collect())     # BUCKETS + 1 rows at most
@@ -136,6 +140,8 @@ def randomised_svd(items: DataFrame, text: str, weight: np.ndarray, rank: int =
                 [pa.array(keys, pa.int32()),
                  pa.array([acc[k].astype(np.float64).tolist() for k in keys],
                           pa.list_(pa.float64()))], names=["i", "y"])
+            acc.clear()
+            give_back()
 
         parts = items.select(text).mapInArrow(run, schema("i int, y array<double>"))
         summed = parts.groupBy("i").agg(F.array(*[F.sum(F.col("y")[j]) for j in range(rank)])
@@ -310,6 +316,27 @@ class ShortItems:
         return out
 
 
+def _search(sent, leak: str):
+    """Pandas function: texts -> leaks of the sent items."""
+    @F.pandas_udf(leak)
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        long, few, *rest = sent.value
+        s, few = Searcher(long, *rest) if long else None, ShortItems(few)
+        for texts in batches:
+            out = []
+            for h in plain_words(texts.tolist()):
+                got = s.find(h) if s else {}
+                out.append([{"item": s.ids[i], "cover": c, "word": w}
+                            for i, (c, w) in sorted(got.items())]
+                           + [{"item": i, "cover": 1.0, "word": w} for i, w in few.find(h)])
+            yield pd.Series(out)
+            del texts, out
+        del s, few
+        give_back()
+
+    return search
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                item_text: str = "text", item_id: str = "item_id",
                answer: str | None = None) -> DataFrame:
@@ -358,24 +385,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         if not items and not short:
             continue
         sent = docs.sparkSession.sparkContext.broadcast((items, short, weight, live, basis))
-        cache: dict = {}
-
-        @F.pandas_udf(leak)
-        def search(texts, sent=sent, cache=cache):
-            import pandas as pd
-            if "s" not in cache:
-                long, few, *rest = sent.value
-                cache["s"] = Searcher(long, *rest) if long else None, ShortItems(few)
-            s, few = cache["s"]
-            out = []
-            for h in plain_words(texts.tolist()):
-                got = s.find(h) if s else {}
-                out.append([{"item": s.ids[i], "cover": c, "word": w}
-                            for i, (c, w) in sorted(got.items())]
-                           + [{"item": i, "cover": 1.0, "word": w} for i, w in few.find(h)])
-            return pd.Series(out)
-
-        out = out.withColumn("_leaks", F.concat("_leaks", search(text)))
+        out = out.withColumn("_leaks", F.concat("_leaks", _search(sent, leak)(text)))
     return (out.withColumn("leaks", F.col("_leaks")).drop("_leaks")
             .withColumn("leaked", F.size("leaks") > 0).select(*docs.columns, "leaked", "leaks"))
 

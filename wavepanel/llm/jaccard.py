@@ -332,6 +332,7 @@ def _refine(rows: DataFrame, big: DataFrame, level: int, eps: float) -> DataFram
                 [pa.array(cell, pa.int64()), pa.array(home, pa.bool_()),
                  *(b.column(c).take(idx) for c in ("name", "copies", "set"))],
                 names=["cell", "home", "name", "copies", "set"])
+        give_back()
 
     return rows.join(F.broadcast(big.select("cell")), "cell", "left_semi").select(
         "cell", "home", "name", "copies", "set").mapInArrow(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import quiet_tokenizer, read, schema, small_batches, spans
+from .common import give_back, quiet_tokenizer, read, schema, small_batches, spans
 
 CAPACITY = 4096
 # Pieces that one task packs at a time.
@@ -33,7 +33,9 @@ REOPEN = 0.98
 # half used last stays.
 CACHE, CACHE_BYTES = 500_000, 32 << 20
 # Characters that are cut into words at a time.
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 20
+# New words that the tokenizer encodes at a time; each is a large object meanwhile.
+ENCODED = 2_000
 # Underfull bins that exchange with each other at a time.
 SEARCH_BINS = 256
 
@@ -128,8 +130,8 @@ class WordIds:
                 if not len(some):
                     continue
                 self.tok.normalizer, self.tok.pre_tokenizer = way
-                for k in range(0, len(some), 20_000):
-                    part = some[k:k + 20_000].tolist()
+                for k in range(0, len(some), ENCODED):
+                    part = some[k:k + ENCODED].tolist()
                     for i, e in zip(part, self.tok.encode_batch_fast(
                             [texts[i].removeprefix("\n") for i in part],
                             add_special_tokens=False)):
@@ -207,6 +209,9 @@ def token_pieces(df: DataFrame, path: str, text: str = "text", row_id: str = "do
                  pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                  pa.array(crc, pa.int64())],
                 names=[row_id, "piece", "start", "length", "ids_crc32"])
+            # words come and go by the million: after each batch, not each task
+            texts = ids = part = None
+            give_back()
 
     return df.select(row_id, text).mapInArrow(
         cut, schema(f"`{row_id}` {kind}, piece int, start long, length long, ids_crc32 long"))
@@ -402,6 +407,7 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY,
             pdf = pdf.sort_values(["size", "_uid"], ascending=[False, True], kind="stable")
             b, off, fill = pack_group(pdf["size"].to_numpy(), capacity)
             base = first + (int(pdf["_g"].iloc[0]) << 24)
+            give_back()
             return pdf.assign(sequence_id=base + b, offset=off, fill=fill)[
                 ["_uid", "size", "sequence_id", "offset", "fill"]]
 
