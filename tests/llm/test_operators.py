@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -188,6 +189,17 @@ def test_runs_that_differ_near_the_end_of_an_island(spark):
         assert {r.doc_id: r.text for r in got} == brute_lines(rows, least)
 
 
+def test_filtered_lines_are_cut_once(spark):
+    """A filter on the results leaves one Python step in the task, not two."""
+    run = "\n".join(f"line {i} has a few words of its own" for i in range(8))
+    docs = spark.createDataFrame([(1, run, "x", "y", 1), (2, run, "x", "y", 1), (3, f"end\n{run}", "x", "y", 1),
+                                  (4, None, "x", "y", 1)], corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.line_dedup(spark, docs, SMOKE)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython \[", plan)) == 1
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, run), (3, "end"), (4, None)]
+
+
 def test_lines_of_odd_rows(odd, none):
     got = lines.drop_repeated_lines(odd, min_words=3).collect()
     texts = Counter((r.doc_id, r.text) for r in got)

@@ -269,6 +269,9 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_
             n.append(sum(drop))
         return pd.DataFrame({"text": out, "removed": gone, "n": n})
 
+    # Spark may copy a deterministic function into a filter on its results: each
+    # task would run it twice, and each executor keep twice the Python workers
+    cut = cut.asNondeterministic()
     touched = F.col("_spans").isNotNull() | F.col("_copy")
     new = cut(F.when(touched, F.col(text)), F.col("_spans"), F.col("_copy"))
     lines = (F.octet_length(F.col(text))
