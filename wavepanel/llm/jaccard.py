@@ -16,7 +16,10 @@ hashes of its slices as keys, drops the c - 1 most frequent of those that
 anyone shares (c shared ones always leave one), and documents that are
 connected by the remaining keys form a cell.  No linked pair lies in two
 cells, and text that many documents share connects none of them unless at
-least c slices consist of it.
+least c slices consist of it; c grows with the slices, so that a quarter of a
+set may be such text.  Sets of few shingles leave most slices empty, and an
+empty slice says nothing: their keys are the shingles themselves, of which
+linked sets share all that the threshold asks for.
 
 Every cell of more than two sets gets pivots, Voronoi regions and windows,
 recursively.  Cells above ``region_rows`` sets are cut as a Spark job, and
@@ -42,10 +45,16 @@ from .shingles import mix, set_name, shingle_set, words
 
 # Sets that one task compares with each other.
 REGION_ROWS = 1_500
-# Slices that linked sets share at least.
+# Slices that linked sets share at least, and the part of a set that may be
+# text of others too before so many of its slices consist of it.
 SHARED = 6
+COMMON = 0.25
 # Growth of set sizes from one size band to the next.
 BAND = 1.5
+# Sizes up to which the shingles themselves are keys.
+FEW = 128
+# The last bits of a key: 0 where it is a shingle, else one more than the band.
+KIND = 63
 # Pivots of a large cell, and bytes of pivots sent out at a time.
 PIVOTS = 48
 PIVOT_BYTES = 64 << 20
@@ -77,36 +86,42 @@ def _band(n: int) -> int:
     return int(math.log(n) / math.log(BAND) + 1e-9)
 
 
-def _slices(band: int, t: Threshold, memo: dict) -> tuple[int, int]:
-    """(slices, how many of a set's slices may be empty) of a band; 0 slices
-    where linked sets are equal."""
+def _slices(band: int, t: Threshold, memo: dict) -> tuple[int, int, int]:
+    """(slices, how many of a set's slices may be empty, how many others
+    linked sets share) of a band; 0 slices where sets are too small for them."""
     got = memo.get(band)
     if got is None:
         low, top = max(1, int(BAND ** band)), int(BAND ** (band + 1)) + 1
         apart = t.most_apart(top, top * t.den // t.num)
-        if apart == 0:
-            got = (0, 0)
-        else:
-            spare = 2
-            for _ in range(4):
-                m = apart + SHARED + spare
-                p = math.exp(-low / m)
-                spare = min(m, 2 + math.ceil(m * p + 2 * math.sqrt(m * p)))
-            got = (apart + SHARED + spare, spare)
-        memo[band] = got
+        spare, shared = 2, SHARED
+        for _ in range(4):
+            m = apart + shared + spare
+            each = low / m
+            p = math.exp(-each)
+            spare = min(m, 2 + math.ceil(m * p + 2 * math.sqrt(m * p)))
+            common = math.exp(-each * (1 - COMMON)) * -math.expm1(-each * COMMON)
+            shared = max(SHARED, math.ceil(m * common))
+        m = apart + shared + spare
+        got = memo[band] = (0, 0, 0) if top <= FEW or m >= low else (m, spare, shared)
     return got
 
 
 def slice_keys(s: np.ndarray, t: Threshold, memo: dict) -> np.ndarray:
     """Keys of a sorted set: one per non-empty slice, for every size
-    band from that of its least partner to its own."""
+    band from that of its least partner to its own.
+
+    Where a band has no slices, or the set leaves too many of them empty, its
+    shingles are keys too.  A set that is linked to equal ones only has none.
+    """
     n = len(s)
-    bands = range(_band(max(1, t.least_size(n))), _band(n) + 1)
-    out = []
+    if t.least_size(n) == n == n * t.den // t.num:
+        return np.zeros(0, np.int64)
+    out, whole = [], False
     mixed = mix(s ^ np.uint64(0x5851F42D4C957F2D))
-    for band in bands:
-        m, spare = _slices(band, t, memo)
+    for band in range(_band(max(1, t.least_size(n))), _band(n) + 1):
+        m, spare, _ = _slices(band, t, memo)
         if not m:
+            whole = True
             continue
         part = (s % np.uint64(m)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -114,13 +129,13 @@ def slice_keys(s: np.ndarray, t: Threshold, memo: dict) -> np.ndarray:
         at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
         content = np.add.reduceat(mixed[order], at)
         held = part[at]
-        if m - len(held) > spare:             # too many empty ones: they count too
-            gone = np.setdiff1d(np.arange(m), held)
-            held = np.concatenate((held, gone))
-            content = np.concatenate((content, np.zeros(len(gone), np.uint64)))
+        whole |= m - len(held) > spare
         out.append(mix(content * np.uint64(0x9E3779B97F4A7C15)
-                       + mix(held.astype(np.uint64) + np.uint64(band << 32))))
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+                       + mix(held.astype(np.uint64) + np.uint64(band << 32)))
+                   & np.uint64(~KIND & 0xFFFFFFFFFFFFFFFF) | np.uint64(band + 1))
+    if whole:
+        out.append(mixed & np.uint64(~KIND & 0xFFFFFFFFFFFFFFFF))
+    return np.concatenate(out).view(np.int64)
 
 
 def _described(docs: DataFrame, text: str, row_id: str, k: int) -> DataFrame:
@@ -171,22 +186,30 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _cells(one: DataFrame) -> DataFrame:
+def _cells(one: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     """(node, root): distinct sets that may be linked to another one, by cell.
 
-    ``one`` has rows (name, key), some of them more than once.  They are dealt
-    by key a single time, whatever their number: what is counted and what is
-    kept are the same rows.  A set has each of its keys once, so the sets of
-    one key are a small part of all rows.
+    ``one`` has rows (name, key), some of them more than once, ``sets`` has
+    (name, n).  The keys are dealt a single time, whatever their number: what
+    is counted and what is kept are the same rows.  A set has each of its keys
+    once, so the sets of one key are a small part of all rows.  Of the keys of
+    one kind, linked sets share ``least``, and a set keeps all but the
+    ``least`` - 1 most frequent.
     """
     same = Window.partitionBy("key")
     shared = (one.repartition("key").dropDuplicates(["key", "name"])
-              .withColumn("n", F.count(F.lit(1)).over(same)).where("n > 1"))
-    ranked = (shared.groupBy("name")
-              .agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("ks"))
-              .where(F.size("ks") >= SHARED))
-    few = stage(ranked.select("name", F.explode(F.slice(
-        "ks", 1, F.size("ks") - (SHARED - 1))).alias("k")).select("name", "k.key"), "rare-keys")
+              .withColumn("many", F.count(F.lit(1)).over(same)).where("many > 1"))
+    kind = F.col("key").bitwiseAND(F.lit(KIND)).cast("int")
+    slices = F.array(*(F.lit(_slices(b, t, {})[2]) for b in range(KIND)))
+    ranked = (shared.join(sets.select("name", "n"), "name").groupBy("name", kind.alias("kind"))
+              .agg(F.array_sort(F.collect_list(F.struct("many", "key"))).alias("ks"),
+                   F.first("n").alias("n"))
+              .withColumn("least", F.when(F.col("kind") == 0, F.expr(
+                  f"int((n * {t.num} + {t.den - 1}) div {t.den})"))
+                  .otherwise(F.get(slices, F.col("kind") - 1)))
+              .where("size(ks) >= least"))
+    few = stage(ranked.select("name", F.explode(F.expr(
+        "slice(ks, 1, size(ks) - least + 1)")).alias("k")).select("name", "k.key"), "rare-keys")
     least = stage(few.groupBy("key").agg(F.min("name").alias("least"),
                                          F.count(F.lit(1)).alias("n")).where("n > 1")
                   .select("key", "least"), "key-least")
@@ -448,9 +471,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", row_id: str = "doc_i
     docs = small_batches(docs).select(F.col(row_id), F.col(text))
     rows = stage(_described(docs, text, row_id, k), "shingle-rows")
     sets = stage(rows.where("n > 0").groupBy("name").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "shingle-sets")
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")),
+        "shingle-sets")
     # keys are long: they are made for one shuffle, and not written
-    cells = stage(_cells(_keyed(docs, text, k, t)), "cells")
+    cells = stage(_cells(_keyed(docs, text, k, t), sets, t), "cells")
 
     # the sets of the cells' members are made anew from one text each
     wanted = cells.join(sets.select("name", "id", "copies"), F.col("node") == F.col("name")).select(
